@@ -44,6 +44,7 @@ DIC_ROWS = [
     ("66001", "cash"), ("66002", "card"), ("66003", "wallet"),
     ("ECONOMY", "economy cargo"), ("STANDARD", "standard cargo"), ("SMALL", "small parcel"),
     ("MEDIUM", "medium parcel"), ("LARGE", "large freight"),
+    ("67001", "trunk line"), ("67002", "branch line"),
 ]
 
 

@@ -77,7 +77,13 @@ def with_model(body: str, *names: str, extra: dict[str, str] | None = None) -> s
     """``WITH <model tables> <extra ctes> <body>``; extra CTEs may refer to the model ones."""
     parts = [f"{n} AS ({MODEL[n]})" for n in names]
     parts += [f"{k} AS ({v})" for k, v in (extra or {}).items()]
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    if not parts:
+        return body
+    head = body.lstrip()
+    if head[:5].upper() == "WITH ":
+        # the statement has its own CTEs: continue the same WITH list
+        return "WITH " + ",\n".join(parts) + ",\n" + head[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
 
 
 RUN = f"DATE '{RUN_DATE}'"
