@@ -148,7 +148,7 @@ def cdc_cart_add(spark, sf_dir):
 
 
 def order_detail_wide(spark, sf_dir) -> DataFrame:
-    env = E.envelopes(spark, sf_dir)
+    env = E.envelopes(spark, sf_dir, ["order_detail", "order_info"])
     a = F.col("after")
     d = E.of_table(env, "order_detail").select(
         a["id"].alias("id"), a["order_id"].alias("order_id"), a["sku_id"].cast("bigint").alias("sku_id"),
@@ -202,7 +202,7 @@ def status_moves(env: DataFrame, frm: str, to: str) -> DataFrame:
            CAST(l_quantity AS INTEGER) AS sku_num, {T_ORDER} + 120000 AS cancel_ts
     FROM ({LINES}) x WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'""")
 def cdc_order_cancel(spark, sf_dir):
-    env = E.envelopes(spark, sf_dir)
+    env = E.envelopes(spark, sf_dir, ["order_info", "order_detail"])
     c = status_moves(env, "1001", "1003")
     a = F.col("after")
     d = E.of_table(env, "order_detail").select(a["id"].alias("id"), a["order_id"].alias("__oid"),
@@ -226,7 +226,7 @@ REFUND_LINES = f"SELECT * FROM ({LINES}) r WHERE o_orderstatus = 'F' AND o_order
 def cdc_refund(spark, sf_dir):
     """Refund requests joined to orders that moved to 1005, with refund type
     and reason decoded by two lookups on one dictionary."""
-    env = E.envelopes(spark, sf_dir)
+    env = E.envelopes(spark, sf_dir, ["order_refund_info", "order_info"])
     a = F.col("after")
     r = E.of_table(env, "order_refund_info").select(
         a["id"].alias("id"), a["order_id"].alias("__oid"), a["sku_id"].cast("bigint").alias("sku_id"),
@@ -250,7 +250,7 @@ def cdc_refund(spark, sf_dir):
     FROM ({REFUND_LINES}) r LEFT JOIN d ON d.id = '1103'""")
 def cdc_refund_pay(spark, sf_dir):
     """Refund payment (1602) ⋈ refund (0705) on (order, sku) ⋈ order moved to 1006, payment type decoded."""
-    env = E.envelopes(spark, sf_dir)
+    env = E.envelopes(spark, sf_dir, ["refund_payment", "order_refund_info", "order_info"])
     a = F.col("after")
     p = E.of_table(env, "refund_payment").where(a["refund_status"] == "1602").select(
         a["id"].alias("id"), a["order_id"].alias("order_id"), a["sku_id"].alias("sku_id"),

@@ -106,16 +106,19 @@ def _known(family):
     return [v for f, v, _ in FACTORS if f == family and v != "*"]
 
 
-def apply_scores(df: DataFrame, family: str, value, spark) -> DataFrame:
-    """One row per band: the family's factor row for ``value`` (or its '*'
-    row), joined by broadcast. Rows whose family has no '*' row and whose
-    value is unknown get no score rows (the reference leaves them unset)."""
-    known = _known(family)
-    v = F.when(value.isin(*known), value).otherwise(F.lit("*"))
-    s = F.broadcast(scores(spark).where(F.col("family") == family)
-                    .select(F.col("value").alias("__v"), "band", "score"))
-    return df.withColumn("__val", v).join(s, F.col("__val") == F.col("__v")).drop("__v", "__val") \
-        .withColumn("family", F.lit(family)).withColumn("value", value)
+def apply_scores(df: DataFrame, families: dict[str, "F.Column"], keys: list[str], spark) -> DataFrame:
+    """Score several families in one pass: each row is exploded into its
+    ``(family, value)`` pairs, values without a row of their own fall to the
+    family's '*' row (a literal-map test, no join), then one broadcast join
+    with the score table yields one row per band. A family without a '*' row
+    gives unknown values no score rows (the reference leaves them unset)."""
+    known = F.create_map(*[F.lit(x) for f, v, _ in FACTORS if v != "*" for x in (f"{f}|{v}", True)])
+    pairs = F.array(*[F.struct(F.lit(f).alias("family"), c.cast("string").alias("value")) for f, c in families.items()])
+    ex = df.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.family", "p.value")
+    key = F.when(known[F.concat_ws("|", "family", "value")].isNotNull(), F.col("value")).otherwise(F.lit("*"))
+    s = F.broadcast(scores(spark).select(F.col("family").alias("__f"), F.col("value").alias("__v"), "band", "score"))
+    return ex.withColumn("__key", key).join(s, (F.col("family") == F.col("__f")) & (F.col("__key") == F.col("__v"))) \
+        .select(*keys, "family", "value", "band", "score")
 
 
 def _map_expr(d: dict, col):
@@ -170,10 +173,7 @@ def device_scores(spark, sf_dir):
     u = last.join(last_view, last.uid == F.col("__u"), "left").select(
         "uid", F.col("os").alias("judge_os"), F.coalesce(_map_expr(SEARCH_OF_B1, b1), F.lit("unknown"))
         .alias("search_category"))
-    dev = apply_scores(u, "device", F.col("judge_os"), spark)
-    sea = apply_scores(u, "search", F.col("search_category"), spark)
-    cols = ["uid", "family", "value", "band", "score"]
-    return dev.select(*cols).unionByName(sea.select(*cols))
+    return apply_scores(u, {"device": F.col("judge_os"), "search": F.col("search_category")}, ["uid"], spark)
 
 
 _B1_ARR = "[" + ", ".join(f"'{n}'" for n in B1_NAMES) + "]"
@@ -205,11 +205,13 @@ def order_scores(spark, sf_dir):
                    (F.col("o_totalprice") / 100).alias("total_amount"),
                    (F.col("o_orderdate") + F.make_interval(hours=(F.col("o_totalprice").cast("bigint") % 24)
                                                            .cast("int"))).alias("pay_time"))
-    det = li.select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                    F.col("l_linenumber").alias("__sec"))
-    det = det.join(pay.select("k", "pay_time"), "k").withColumn(
-        "detail_time", F.col("pay_time") + F.make_interval(secs=F.col("__sec").cast("decimal(18,6)"))).drop("pay_time")
-    j = interval_join(pay, det, "k", "pay_time", "detail_time", "-2 minutes", "2 minutes")
+    det = li.select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    # a detail line is created l_linenumber seconds after its order's payment:
+    # the +-2 minute bound of the interval join is one residual predicate
+    detail_time = F.col("l.pay_time") + F.make_interval(secs=F.col("r.l_linenumber").cast("decimal(18,6)"))
+    j = pay.alias("l").join(det.alias("r"), (F.col("l.k") == F.col("r.k"))
+                            & detail_time.between(F.col("l.pay_time") - F.expr("INTERVAL 2 MINUTES"),
+                                                  F.col("l.pay_time") + F.expr("INTERVAL 2 MINUTES")))
     lines = j.select(F.col("l.user_id").alias("user_id"), F.col("l.k").alias("order_id"),
                      F.col("l.total_amount").alias("total_amount"), F.col("l.pay_time").alias("pay_time"),
                      F.col("r.l_linenumber").alias("line_no"), F.col("r.l_partkey").alias("sku_id"),
@@ -222,13 +224,8 @@ def order_scores(spark, sf_dir):
          .alias("spending"),
         F.coalesce(_map_expr(BRAND_NAMES, F.col("p_brand")), F.col("p_brand")).alias("tname"),
         _map_expr(B1_OF_TYPE, F.col("p_type")).alias("b1_name"))
-    cols = ["user_id", "family", "value", "band", "score"]
-    parts = [apply_scores(d, "time", F.col("slot"), spark), apply_scores(d, "amount", F.col("spending"), spark),
-             apply_scores(d, "brand", F.col("tname"), spark), apply_scores(d, "category", F.col("b1_name"), spark)]
-    out = parts[0].select(*cols)
-    for x in parts[1:]:
-        out = out.unionByName(x.select(*cols))
-    return out
+    return apply_scores(d, {"time": F.col("slot"), "amount": F.col("spending"), "brand": F.col("tname"),
+                            "category": F.col("b1_name")}, ["user_id"], spark)
 
 
 _SLOT_SQL = ("CASE WHEN hour(pay_time) < 6 THEN '凌晨' WHEN hour(pay_time) < 9 THEN '早晨' WHEN hour(pay_time) < 12 "
@@ -353,9 +350,9 @@ def label_user_profile(spark, sf_dir):
     go to the younger band)."""
     t = age_totals(spark, sf_dir)
     idx = F.create_map(*[F.lit(x) for i, b in enumerate(BANDS) for x in (b, -i)])
-    best = t.where(F.col("total") > 0).groupBy("uid").agg(
-        F.max_by("band", F.struct("total", idx[F.col("band")])).alias("best_band"),
-        F.max("total").alias("best_score"))
-    users = t.select("uid").distinct()
-    return user_base(spark, sf_dir).join(users, "uid").join(best, "uid", "left").select(
+    pos = F.col("total") > 0
+    best = t.groupBy("uid").agg(
+        F.max_by(F.when(pos, F.col("band")), F.struct("total", idx[F.col("band")])).alias("best_band"),
+        F.max(F.when(pos, F.col("total"))).alias("best_score"))
+    return user_base(spark, sf_dir).join(best, "uid").select(
         "uid", "gender", "age", "decade", "zodiac_sign", "best_band", "best_score")

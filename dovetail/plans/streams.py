@@ -207,8 +207,8 @@ def stream_log_split(spark, sf_dir):
 
 # -- stream joins -------------------------------------------------------------------------------------
 
-def _envelope_streams(spark, sf_dir):
-    path = stage(spark, E.envelopes(spark, sf_dir), "envelopes")
+def _envelope_streams(spark, sf_dir, tables):
+    path = stage(spark, E.envelopes(spark, sf_dir, tables), "envelopes")
     return lambda: S.with_event_time(staged_stream(spark, path), F.col("ts_ms"), "5 seconds")
 
 
@@ -220,7 +220,7 @@ def stream_cancel_join(spark, sf_dir):
     """Cancellations (status 1001 -> 1003) ⋈ order details, both watermarked;
     details within [cancel - 30 min, cancel + 5 s], which also bounds the
     join state (the reference's 30 min + 5 s idle retention)."""
-    src = _envelope_streams(spark, sf_dir)
+    src = _envelope_streams(spark, sf_dir, ["order_info", "order_detail"])
     a = F.col("after")
     cancel = E.of_table(src(), "order_info").where(
         (F.col("op") == "u") & (F.col("before")["order_status"] == "1001") & (a["order_status"] == "1003")) \
@@ -245,7 +245,7 @@ def stream_cancel_join(spark, sf_dir):
 def stream_pay_interval_join(spark, sf_dir):
     """Successful payments ⋈ details in [pay - 30 min, pay + 5 s] (asymmetric
     interval join on watermarked streams) + stream-static payment-type lookup."""
-    src = _envelope_streams(spark, sf_dir)
+    src = _envelope_streams(spark, sf_dir, ["payment_info", "order_detail"])
     a = F.col("after")
     pay = E.of_table(src(), "payment_info").where(a["payment_status"] == "1602").select(
         a["order_id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"), a["payment_type"].alias("payment_type"),
@@ -352,7 +352,7 @@ def stream_dim_routing(spark, sf_dir):
     key): an upsert store that never rewrites old files."""
     cfg_path = stage(spark, spark.createDataFrame(
         ROUTING, "source_table string, sink_table string, sink_row_key string, sink_columns string"), "routing")
-    env = staged_stream(spark, stage(spark, E.envelopes(spark, sf_dir), "routing-envelopes"))
+    env = staged_stream(spark, stage(spark, E.envelopes(spark, sf_dir, [r[0] for r in ROUTING]), "routing-envelopes"))
 
     def write(batch: DataFrame, bid: int, out: str):
         cfg = F.broadcast(spark.read.parquet(cfg_path))  # config changes apply from the next batch

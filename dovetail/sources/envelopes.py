@@ -44,12 +44,27 @@ def _m(**cols: Column) -> Column:
     return F.create_map(*[x for k, v in cols.items() for x in (F.lit(k), v.cast("string"))])
 
 
-def _env(df: DataFrame, table: str, op, before, after, ts) -> DataFrame:
-    op_col = op if isinstance(op, Column) else F.lit(op)
-    before_col = before if before is not None else F.lit(None).cast("map<string,string>")
-    return df.select(op_col.alias("op"), before_col.alias("before"), after.alias("after"),
-                     F.create_map(F.lit("db"), F.lit("retail"), F.lit("table"), F.lit(table)).alias("source"),
-                     ts.cast("bigint").alias("ts_ms"))
+NULL_MAP = F.lit(None).cast("map<string,string>")
+
+
+def _events(df: DataFrame, table: str, events: list[tuple[Column, Column | str, Column | None, Column | None, Column]]
+            ) -> DataFrame:
+    """All change events one source row produces, from one scan: each
+    ``(condition, op, before, after, ts)`` becomes an optional array element;
+    the array is exploded and empty slots dropped. ``source`` is a literal
+    added after the explode, so a filter on the table prunes whole groups."""
+    arr = F.array(*[F.when(cond, F.struct((op if isinstance(op, Column) else F.lit(op)).alias("op"),
+                                          (before if before is not None else NULL_MAP).alias("before"),
+                                          (after if after is not None else NULL_MAP).alias("after"),
+                                          ts.cast("bigint").alias("ts_ms")))
+                    for cond, op, before, after, ts in events])
+    return (df.select(F.explode(arr).alias("e")).where(F.col("e").isNotNull())
+              .select("e.op", "e.before", "e.after",
+                      F.create_map(F.lit("db"), F.lit("retail"), F.lit("table"), F.lit(table)).alias("source"),
+                      "e.ts_ms"))
+
+
+ALWAYS = F.lit(True)
 
 
 def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,22 +73,27 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = dict(id=F.col("o_orderkey"), user_id=F.col("o_custkey"),
                 total_amount=F.col("o_totalprice").cast("decimal(16,2)"))
 
-    def st(s):
-        return _m(**base, order_status=F.lit(s))
-    snap = _env(o, "order_info", "r", None, st("1001"), t)
-    paid = o.where(F.col("o_orderstatus") == "F")
-    pay = _env(paid, "order_info", "u", _m(order_status=F.lit("1001")), st("1002"), t + MIN)
-    cancel = _env(o.where((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")), "order_info",
-                  "u", _m(order_status=F.lit("1001")), st("1003"), t + 2 * MIN)
-    urgent = paid.where(F.col("o_orderpriority") == "1-URGENT")
-    refund = _env(urgent, "order_info", "u", _m(order_status=F.lit("1002")), st("1005"), t + 3 * MIN)
-    refunded = _env(urgent, "order_info", "u", _m(order_status=F.lit("1005")), st("1006"), t + 4 * MIN)
-    payment = _env(paid, "payment_info", "c", None,
-                   _m(id=F.col("o_orderkey"), order_id=F.col("o_orderkey"), user_id=F.col("o_custkey"),
-                      payment_type=F.lit("1103"), payment_status=F.lit("1602"),
-                      callback_time=F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 1 MINUTE"),
-                                                  "yyyy-MM-dd HH:mm:ss")), t + MIN + 5000)
-    return reduce(DataFrame.unionByName, [snap, pay, cancel, refund, refunded, payment])
+    def st(code):
+        return _m(**base, order_status=F.lit(code))
+
+    def was(code):
+        return _m(order_status=F.lit(code))
+    paid = F.col("o_orderstatus") == "F"
+    cancelled = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
+    urgent = paid & (F.col("o_orderpriority") == "1-URGENT")
+    info = _events(o, "order_info", [
+        (ALWAYS, "r", None, st("1001"), t),
+        (paid, "u", was("1001"), st("1002"), t + MIN),
+        (cancelled, "u", was("1001"), st("1003"), t + 2 * MIN),
+        (urgent, "u", was("1002"), st("1005"), t + 3 * MIN),
+        (urgent, "u", was("1005"), st("1006"), t + 4 * MIN),
+    ])
+    payment = _events(o, "payment_info", [
+        (paid, "c", None, _m(id=F.col("o_orderkey"), order_id=F.col("o_orderkey"), user_id=F.col("o_custkey"),
+                             payment_type=F.lit("1103"), payment_status=F.lit("1602"),
+                             callback_time=F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 1 MINUTE"),
+                                                         "yyyy-MM-dd HH:mm:ss")), t + MIN + 5000)])
+    return info.unionByName(payment)
 
 
 def line_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,51 +103,56 @@ def line_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     t = epoch_ms(F.col("o_orderdate")) + F.col("l_linenumber") * 1000
     line_id = F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey")
-    detail = _env(j, "order_detail", "r", None, _m(
-        id=line_id, order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"),
-        sku_num=F.col("l_quantity").cast("int"), order_price=F.col("l_extendedprice").cast("decimal(16,2)"),
+    qty = F.col("l_quantity").cast("int")
+    detail = _events(j, "order_detail", [(ALWAYS, "r", None, _m(
+        id=line_id, order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"), sku_num=qty,
+        order_price=F.col("l_extendedprice").cast("decimal(16,2)"),
         split_activity_amount=(F.col("l_extendedprice").cast("decimal(16,2)")
                                * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(16,2)"),
         split_coupon_amount=(F.col("l_extendedprice").cast("decimal(16,2)")
                              * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(16,2)"),
         activity_id=F.when(F.col("l_discount") > 0.05, F.col("l_suppkey")),
-        coupon_id=F.when(F.col("l_tax") > 0.04, F.col("l_partkey"))), t)
-    cart_after = dict(id=line_id, user_id=F.col("o_custkey"), sku_id=F.col("l_partkey"),
-                      sku_num=F.col("l_quantity").cast("int"), sku_name=F.concat(F.lit("sku-"), "l_partkey"))
-    cart = _env(j, "cart_info", F.when(F.col("l_linestatus") == "F", "r").otherwise("c"), None, _m(**cart_after), t)
-    raise_ = _env(j.where(F.col("l_returnflag") == "R"), "cart_info", "u",
-                  _m(**cart_after), _m(**{**cart_after, "sku_num": F.col("l_quantity").cast("int") + F.col("l_linenumber")}),
-                  t + MIN)
-    drop = _env(j.where((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")), "cart_info", "d",
-                _m(**cart_after), F.lit(None).cast("map<string,string>"), t + 2 * MIN)
-    refunded = j.where((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
-                       & (F.col("l_returnflag") == "R"))
-    refund = _env(refunded, "order_refund_info", "c", None, _m(
+        coupon_id=F.when(F.col("l_tax") > 0.04, F.col("l_partkey"))), t)])
+    cart_after = dict(id=line_id, user_id=F.col("o_custkey"), sku_id=F.col("l_partkey"), sku_num=qty,
+                      sku_name=F.concat(F.lit("sku-"), "l_partkey"))
+    cart = _events(j, "cart_info", [
+        (ALWAYS, F.when(F.col("l_linestatus") == "F", "r").otherwise("c"), None, _m(**cart_after), t),
+        (F.col("l_returnflag") == "R", "u", _m(**cart_after),
+         _m(**{**cart_after, "sku_num": qty + F.col("l_linenumber")}), t + MIN),
+        ((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F"), "d", _m(**cart_after), None, t + 2 * MIN),
+    ])
+    refunded = ((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+                & (F.col("l_returnflag") == "R"))
+    t0 = epoch_ms(F.col("o_orderdate"))
+    refund = _events(j, "order_refund_info", [(refunded, "c", None, _m(
         id=line_id, order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"), refund_type=F.lit("1502"),
-        refund_num=F.col("l_quantity").cast("int"), refund_amount=F.col("l_extendedprice").cast("decimal(16,2)"),
+        refund_num=qty, refund_amount=F.col("l_extendedprice").cast("decimal(16,2)"),
         refund_reason_type=F.when(F.col("l_discount") > 0.05, "1301").otherwise("1302"),
-        refund_status=F.lit("0705")), epoch_ms(F.col("o_orderdate")) + 3 * MIN + F.col("l_linenumber") * 1000)
-    rpay = _env(refunded, "refund_payment", "c", None, _m(
+        refund_status=F.lit("0705")), t0 + 3 * MIN + F.col("l_linenumber") * 1000)])
+    rpay = _events(j, "refund_payment", [(refunded, "c", None, _m(
         id=line_id, order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"), payment_type=F.lit("1103"),
         total_amount=F.col("l_extendedprice").cast("decimal(16,2)"), refund_status=F.lit("1602"),
         callback_time=F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 4 MINUTE"), "yyyy-MM-dd HH:mm:ss")),
-        epoch_ms(F.col("o_orderdate")) + 4 * MIN + F.col("l_linenumber") * 1000)
-    return reduce(DataFrame.unionByName, [detail, cart, raise_, drop, refund, rpay])
+        t0 + 4 * MIN + F.col("l_linenumber") * 1000)])
+    return reduce(DataFrame.unionByName, [detail, cart, refund, rpay])
 
 
 def comment_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = load(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = d.join(o, d.doc_id == o.o_orderkey)
-    return _env(j, "comment_info", "c", None, _m(
+    return _events(j, "comment_info", [(ALWAYS, "c", None, _m(
         id=F.col("doc_id"), user_id=F.col("o_custkey"), order_id=F.col("o_orderkey"),
         appraise=F.concat(F.lit("120"), (F.least(F.col("n_chars") / 2000, F.lit(3)).cast("int") + 1).cast("string")),
-        comment_txt=F.col("text")), epoch_ms(F.col("o_orderdate")) + 30000)
+        comment_txt=F.col("text")), epoch_ms(F.col("o_orderdate")) + 30000)])
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, [order_envelopes(spark, sf_dir), line_envelopes(spark, sf_dir),
-                                          comment_envelopes(spark, sf_dir)])
+def envelopes(spark: SparkSession, sf_dir: str, tables: list[str] | None = None) -> DataFrame:
+    """All envelopes, or only those of ``tables`` (other groups are pruned
+    from the plan, not computed and filtered)."""
+    env = reduce(DataFrame.unionByName, [order_envelopes(spark, sf_dir), line_envelopes(spark, sf_dir),
+                                         comment_envelopes(spark, sf_dir)])
+    return env.where(F.col("source")["table"].isin(*tables)) if tables else env
 
 
 def of_table(env: DataFrame, table: str) -> DataFrame:
