@@ -12,6 +12,7 @@ from dovetail.operators.joins import decode, interval_join, maybe_broadcast, pre
 from dovetail.operators.windows import latest_per_key
 from dovetail.registry import query
 from dovetail.sources import envelopes as E
+from dovetail.sources.literal import literal_table
 from dovetail.sources.tables import load
 
 # Retail code dictionary (dic_code, dic_name); names descriptive.
@@ -21,7 +22,7 @@ RDIC_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in RE
 
 
 def rdic(spark):
-    return spark.createDataFrame(RETAIL_DIC, "id string, name string")
+    return literal_table(spark, RETAIL_DIC, "id string, name string")
 
 
 T_ORDER = "(epoch_us(o_orderdate) // 1000)"

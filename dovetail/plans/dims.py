@@ -12,6 +12,7 @@ from dovetail.registry import query
 from dovetail.sources import model
 from dovetail.sources.model import RUN_DATE
 from dovetail.sources.model_sql import with_model
+from dovetail.sources.literal import literal_table
 from dovetail.sources.tables import load
 
 PHONE = S.PHONE_RE
@@ -209,9 +210,9 @@ CAT_SQL = {
 
 
 def category_path(spark):
-    c3 = spark.createDataFrame(CATEGORY3, "c3_id string, c3_name string, category2_id string")
-    c2 = spark.createDataFrame(CATEGORY2, "c2_id string, c2_name string, category1_id string")
-    c1 = spark.createDataFrame(CATEGORY1, "c1_id string, c1_name string")
+    c3 = literal_table(spark, CATEGORY3, "c3_id string, c3_name string, category2_id string")
+    c2 = literal_table(spark, CATEGORY2, "c2_id string, c2_name string, category1_id string")
+    c1 = literal_table(spark, CATEGORY1, "c1_id string, c1_name string")
     return (c3.join(F.broadcast(c2), c3.category2_id == c2.c2_id)
               .join(F.broadcast(c1), F.col("category1_id") == c1.c1_id)
               .select("c3_id", "c3_name", "c2_id", "c2_name", "c1_id", "c1_name"))
@@ -265,9 +266,9 @@ def dim_sku_full(spark, sf_dir):
         F.lit("linestatus").alias("sale_attr_id"), F.col("l_linestatus").alias("sale_attr_value_id"),
         F.lit("line status").alias("sale_attr_name"),
         F.concat(F.lit("status "), "l_linestatus").alias("sale_attr_value_name"))))).alias("sale_attrs"))
-    c3 = spark.createDataFrame(CATEGORY3, "__c3 string, category3_name string, category2_id string")
-    c2 = spark.createDataFrame(CATEGORY2, "__c2 string, category2_name string, category1_id string")
-    c1 = spark.createDataFrame(CATEGORY1, "__c1 string, category1_name string")
+    c3 = literal_table(spark, CATEGORY3, "__c3 string, category3_name string, category2_id string")
+    c2 = literal_table(spark, CATEGORY2, "__c2 string, category2_name string, category1_id string")
+    c1 = literal_table(spark, CATEGORY1, "__c1 string, category1_name string")
     spu = S.first_word(F.col("p_name"))
     j = (p.join(F.broadcast(c3), p.p_type == F.col("__c3"), "left")
           .join(F.broadcast(c2), F.col("category2_id") == F.col("__c2"), "left")

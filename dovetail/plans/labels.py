@@ -17,6 +17,7 @@ from dovetail.functions import dates as D
 from dovetail.operators.joins import interval_join, overlay
 from dovetail.operators.windows import latest_per_key
 from dovetail.registry import query
+from dovetail.sources.literal import literal_table
 from dovetail.sources.tables import load
 
 BANDS = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
@@ -95,7 +96,7 @@ def score_rows():
 
 
 def scores(spark) -> DataFrame:
-    return spark.createDataFrame(score_rows(), "family string, value string, band string, score decimal(6,3)")
+    return literal_table(spark, score_rows(), "family string, value string, band string, score decimal(6,3)")
 
 
 SCORES_SQL = "SELECT family, value, band, CAST(score AS DECIMAL(6,3)) AS score FROM (VALUES " + ", ".join(

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dovetail.registry import query
+from dovetail.sources.literal import literal_table
 from dovetail.sources.tables import load
 
 # Fixed values (test fixture): the block list. The reference's list is
@@ -21,7 +22,7 @@ _WORDS_SQL = "[" + ", ".join(f"'{w}'" for w in BLOCK_WORDS) + "]"
 
 
 def block_list(spark):
-    return spark.createDataFrame([(w,) for w in BLOCK_WORDS], "word string")
+    return literal_table(spark, [(w,) for w in BLOCK_WORDS], "word string")
 
 
 def comments(spark, sf_dir):

@@ -44,7 +44,8 @@ def _m(**cols: Column) -> Column:
     return F.create_map(*[x for k, v in cols.items() for x in (F.lit(k), v.cast("string"))])
 
 
-NULL_MAP = F.lit(None).cast("map<string,string>")
+def _null_map() -> Column:
+    return F.lit(None).cast("map<string,string>")
 
 
 def _events(df: DataFrame, table: str, events: list[tuple[Column, Column | str, Column | None, Column | None, Column]]
@@ -54,8 +55,8 @@ def _events(df: DataFrame, table: str, events: list[tuple[Column, Column | str,
     the array is exploded and empty slots dropped. ``source`` is a literal
     added after the explode, so a filter on the table prunes whole groups."""
     arr = F.array(*[F.when(cond, F.struct((op if isinstance(op, Column) else F.lit(op)).alias("op"),
-                                          (before if before is not None else NULL_MAP).alias("before"),
-                                          (after if after is not None else NULL_MAP).alias("after"),
+                                          (before if before is not None else _null_map()).alias("before"),
+                                          (after if after is not None else _null_map()).alias("after"),
                                           ts.cast("bigint").alias("ts_ms")))
                     for cond, op, before, after, ts in events])
     return (df.select(F.explode(arr).alias("e")).where(F.col("e").isNotNull())
@@ -64,7 +65,8 @@ def _events(df: DataFrame, table: str, events: list[tuple[Column, Column | str,
                       "e.ts_ms"))
 
 
-ALWAYS = F.lit(True)
+def _always() -> Column:
+    return F.lit(True)
 
 
 def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +84,7 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cancelled = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
     urgent = paid & (F.col("o_orderpriority") == "1-URGENT")
     info = _events(o, "order_info", [
-        (ALWAYS, "r", None, st("1001"), t),
+        (_always(), "r", None, st("1001"), t),
         (paid, "u", was("1001"), st("1002"), t + MIN),
         (cancelled, "u", was("1001"), st("1003"), t + 2 * MIN),
         (urgent, "u", was("1002"), st("1005"), t + 3 * MIN),
@@ -104,7 +106,7 @@ def line_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = epoch_ms(F.col("o_orderdate")) + F.col("l_linenumber") * 1000
     line_id = F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey")
     qty = F.col("l_quantity").cast("int")
-    detail = _events(j, "order_detail", [(ALWAYS, "r", None, _m(
+    detail = _events(j, "order_detail", [(_always(), "r", None, _m(
         id=line_id, order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"), sku_num=qty,
         order_price=F.col("l_extendedprice").cast("decimal(16,2)"),
         split_activity_amount=(F.col("l_extendedprice").cast("decimal(16,2)")
@@ -116,7 +118,7 @@ def line_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cart_after = dict(id=line_id, user_id=F.col("o_custkey"), sku_id=F.col("l_partkey"), sku_num=qty,
                       sku_name=F.concat(F.lit("sku-"), "l_partkey"))
     cart = _events(j, "cart_info", [
-        (ALWAYS, F.when(F.col("l_linestatus") == "F", "r").otherwise("c"), None, _m(**cart_after), t),
+        (_always(), F.when(F.col("l_linestatus") == "F", "r").otherwise("c"), None, _m(**cart_after), t),
         (F.col("l_returnflag") == "R", "u", _m(**cart_after),
          _m(**{**cart_after, "sku_num": qty + F.col("l_linenumber")}), t + MIN),
         ((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F"), "d", _m(**cart_after), None, t + 2 * MIN),
@@ -141,7 +143,7 @@ def comment_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = load(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = d.join(o, d.doc_id == o.o_orderkey)
-    return _events(j, "comment_info", [(ALWAYS, "c", None, _m(
+    return _events(j, "comment_info", [(_always(), "c", None, _m(
         id=F.col("doc_id"), user_id=F.col("o_custkey"), order_id=F.col("o_orderkey"),
         appraise=F.concat(F.lit("120"), (F.least(F.col("n_chars") / 2000, F.lit(3)).cast("int") + 1).cast("string")),
         comment_txt=F.col("text")), epoch_ms(F.col("o_orderdate")) + 30000)])

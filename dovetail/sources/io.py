@@ -24,10 +24,13 @@ def write_partitions(df: DataFrame, path: str, fmt: str = "parquet", partition_c
     df.write.mode("overwrite").partitionBy(partition_col).format(fmt).save(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", partition_col: str = "dt") -> DataFrame:
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", partition_col: str = "dt",
+               schema=None) -> DataFrame:
     """Read a partitioned table; the partition value comes back as the text
-    it was written as (discovery would otherwise infer a date)."""
-    t = spark.read.format(fmt).load(path)
+    it was written as (discovery would otherwise infer a date). With a
+    ``schema`` an empty table reads as zero rows instead of failing."""
+    r = spark.read.format(fmt)
+    t = (r.schema(schema) if schema is not None else r).load(path)
     return t.withColumn(partition_col, F.col(partition_col).cast("string")) if partition_col in t.columns else t
 
 
@@ -41,6 +44,14 @@ def partition_exists(spark: SparkSession, path: str, dt: str, partition_col: str
     return not t.where(F.col(partition_col) == dt).limit(1).isEmpty()
 
 
+def count_partition(spark: SparkSession, path: str, dt: str, partition_col: str = "dt") -> int:
+    """Rows in one partition; 0 when the table holds no file yet."""
+    try:
+        return read_table(spark, path, partition_col=partition_col).where(F.col(partition_col) == dt).count()
+    except AnalysisException:
+        return 0
+
+
 def load_if_absent(spark: SparkSession, path: str, dt: str, build: Callable[[], DataFrame]) -> str:
     """Build and write a day only when its partition is missing; returns
     ``loaded`` or ``skipped``. Re-running a load changes nothing."""

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dovetail.functions.dates import epoch_ms
+from dovetail.sources.literal import literal_table
 from dovetail.sources.tables import load
 
 # The day the daily jobs run for: inside the order / ship date range of every scale.
@@ -49,7 +50,7 @@ DIC_ROWS = [
 
 
 def dic(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DIC_ROWS, "id string, name string")
+    return literal_table(spark, DIC_ROWS, "id string, name string")
 
 
 def status_code(orderstatus, priority):
