@@ -28,16 +28,18 @@ def _day_bounds(col: str, days: tuple[str, str] | None):
 
 def order_detail(spark: SparkSession, sf_dir: str, time_col: str = "create_time",
                  excluded: list[str] | None = None, only: list[str] | None = None,
-                 days: tuple[str, str] | None = None) -> DataFrame:
+                 days: tuple[str, str] | None = None, lean: bool = False) -> DataFrame:
     """Cargo lines joined to their order and decoded.
 
     ``excluded``/``only`` select milestone status codes; ``time_col`` is the
     event time that dates the row (``create_time`` of the order or
     ``update_time`` of the line); ``days`` restricts event days and is pushed
-    to the parquet scan of the table holding that time column.
+    to the parquet scan of the table holding that time column. ``lean``
+    keeps only what the order-grain roll-ups read (no part / supplier joins,
+    no decodes).
     """
     o = model.order_info(spark, sf_dir)
-    c = model.order_cargo(spark, sf_dir)
+    c = model.order_cargo(spark, sf_dir, with_type=not lean, with_city=not lean)
     if time_col == "create_time":
         o = o.where(_day_bounds("create_time", days))
     else:
@@ -46,13 +48,16 @@ def order_detail(spark: SparkSession, sf_dir: str, time_col: str = "create_time"
         o = o.where(~F.col("status").isin(*excluded))
     if only:
         o = o.where(F.col("status").isin(*only))
-    d = model.dic(spark)
     j = c.join(o, "order_id", "inner")
+    ev = F.col(time_col)
+    if lean:
+        return j.select("order_id", "line_no", "status", "sender_district_id", "amount",
+                        F.date_format(ev, "yyyy-MM-dd").alias("dt"))
+    d = model.dic(spark)
     j = decode(j, "cargo_type", d, "cargo_type_name")
     j = decode(j, "status", d, "status_name")
     j = decode(j, "collect_type", d, "collect_type_name")
     j = decode(j, "payment_type", d, "payment_type_name")
-    ev = F.col(time_col)
     return j.select(*FACT_COLS, F.date_format(ev, "yyyy-MM-dd HH:mm:ss").alias("event_time"),
                     F.date_format(ev, "yyyy-MM-dd").alias("dt"))
 
@@ -103,8 +108,8 @@ MILESTONES = {
 }
 
 
-def by_milestone(spark, sf_dir, excluded, days=None):
-    return order_detail(spark, sf_dir, time_col="update_time", excluded=excluded, days=days)
+def by_milestone(spark, sf_dir, excluded, days=None, lean=False):
+    return order_detail(spark, sf_dir, time_col="update_time", excluded=excluded, days=days, lean=lean)
 
 
 def _register_milestone(name, codes):

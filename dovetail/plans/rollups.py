@@ -104,7 +104,7 @@ def _area(df, spark, sf_dir, district_col):
 
 
 def receive_1d(spark, sf_dir, days=None):
-    d = by_milestone(spark, sf_dir, MILESTONES["receive"], days=days)
+    d = by_milestone(spark, sf_dir, MILESTONES["receive"], days=days, lean=True)
     a = _area(d, spark, sf_dir, "sender_district_id")
     keys = ["org_id", "org_name", "city_id", "city_name", "province_id", "province_name", "dt"]
     g = order_grain(a, ["order_id", *keys], "amount")
@@ -155,7 +155,7 @@ def rollup_receive_nd(spark, sf_dir):
 
 
 def deliver_1d(spark, sf_dir, days=None):
-    d = by_milestone(spark, sf_dir, MILESTONES["deliver"], days=days)
+    d = by_milestone(spark, sf_dir, MILESTONES["deliver"], days=days, lean=True)
     distinct = d.select("order_id", "sender_district_id", "dt").distinct()
     a = _area(distinct, spark, sf_dir, "sender_district_id")
     keys = ["org_id", "org_name", "city_id", "city_name", "province_id", "province_name", "dt"]
@@ -184,7 +184,7 @@ def rollup_deliver_nd(spark, sf_dir):
 # -- dispatch: day grain ------------------------------------------------------------------------
 
 def dispatch_1d(spark, sf_dir, days=None):
-    d = by_milestone(spark, sf_dir, MILESTONES["dispatch"], days=days)
+    d = by_milestone(spark, sf_dir, MILESTONES["dispatch"], days=days, lean=True)
     g = order_grain(d, ["order_id", "dt"], "amount")
     return g.groupBy("dt").agg(F.count("order_id").alias("order_count"), F.sum("amount").alias("order_amount"))
 
@@ -231,7 +231,7 @@ def rollup_dispatch_td(spark, sf_dir):
           WHERE CAST(dt AS DATE) <= {R} GROUP BY order_id) g""", *FACT_MODEL))
 def rollup_finish_td(spark, sf_dir):
     """Order grain first (an order finishing on several lines counts once)."""
-    d = by_milestone(spark, sf_dir, MILESTONES["bound_finish"], days=("1900-01-01", RUN_DATE))
+    d = by_milestone(spark, sf_dir, MILESTONES["bound_finish"], days=("1900-01-01", RUN_DATE), lean=True)
     g = order_grain(d, ["order_id"], "amount")
     return g.agg(F.count("order_id").alias("order_count"), F.sum("amount").alias("order_amount")) \
         .withColumn("dt", F.lit(RUN_DATE))

@@ -73,22 +73,29 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_cargo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cargo lines with their part type and sender district / city."""
+def order_cargo(spark: SparkSession, sf_dir: str, with_type: bool = True, with_city: bool = True) -> DataFrame:
+    """Cargo lines with their part type and sender district / city.
+
+    ``with_type`` / ``with_city`` add the part and supplier joins only when a
+    job uses those columns (a left join Catalyst cannot drop by itself).
+    """
     li = load(spark, sf_dir, "lineitem")
-    p = load(spark, sf_dir, "part").select("p_partkey", "p_type")
-    s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return (li.join(p, li.l_partkey == p.p_partkey, "left")
-              .join(s, li.l_suppkey == s.s_suppkey, "left")
-              .select(
-                  F.col("l_orderkey").alias("order_id"),
-                  F.col("l_linenumber").alias("line_no"),
-                  F.col("p_type").alias("cargo_type"),
-                  F.col("l_quantity").cast("decimal(16,2)").alias("weight"),
-                  (F.col("l_suppkey") + 10000).alias("sender_district_id"),
-                  (F.col("s_nationkey") + 100).alias("sender_city_id"),
-                  F.col("l_shipdate").alias("update_time"),
-              ))
+    out = li
+    if with_type:
+        p = load(spark, sf_dir, "part").select("p_partkey", "p_type")
+        out = out.join(p, li.l_partkey == p.p_partkey, "left")
+    if with_city:
+        s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        out = out.join(s, li.l_suppkey == s.s_suppkey, "left")
+    return out.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_no"),
+        (F.col("p_type") if with_type else F.lit(None).cast("string")).alias("cargo_type"),
+        F.col("l_quantity").cast("decimal(16,2)").alias("weight"),
+        (F.col("l_suppkey") + 10000).alias("sender_district_id"),
+        ((F.col("s_nationkey") + 100) if with_city else F.lit(None).cast("long")).alias("sender_city_id"),
+        F.col("l_shipdate").alias("update_time"),
+    )
 
 
 def region_info(spark: SparkSession, sf_dir: str) -> DataFrame:
