@@ -49,9 +49,9 @@ def write_dynamic_partition(spark, sf_dir):
     re-written: dynamic overwrite replaces only those partitions."""
     path = scratch_dir(spark, "dynamic")
     all_days = orders_by_day(spark, sf_dir)
-    io.write_partitions(all_days.repartition("dt"), path)
+    io.write_partitions(all_days, path)
     recent = all_days.where(F.col("dt") > F.date_format(F.date_sub(F.lit(RUN_DATE).cast("date"), 30), "yyyy-MM-dd"))
-    io.write_partitions(recent.repartition("dt"), path)
+    io.write_partitions(recent, path)
     t = io.read_table(spark, path)
     return t.groupBy("dt").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
 
@@ -94,7 +94,7 @@ def load_if_absent(spark, sf_dir):
 @query("list_partitions", f"SELECT DISTINCT dt FROM ({ORDERS_BY_DAY_SQL}) x")
 def list_partitions(spark, sf_dir):
     path = scratch_dir(spark, "listing")
-    io.write_partitions(orders_by_day(spark, sf_dir).repartition("dt"), path)
+    io.write_partitions(orders_by_day(spark, sf_dir), path)
     return io.list_partitions(spark, path)
 
 
@@ -106,7 +106,7 @@ def copy_partition_redate(spark, sf_dir):
     """Every day of a table copied into one new day (source excludes the target day)."""
     base = scratch_dir(spark, "redate")
     src, dst = os.path.join(base, "orders"), os.path.join(base, "orders_copy")
-    io.write_partitions(orders_by_day(spark, sf_dir).repartition("dt"), src)
+    io.write_partitions(orders_by_day(spark, sf_dir), src)
     io.copy_redate(spark, src, dst, NEW_DT)
     return io.read_table(spark, dst).where(F.col("dt") == NEW_DT).select("order_id", "user_id", "status", "amount", "dt")
 

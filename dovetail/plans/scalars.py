@@ -39,10 +39,9 @@ def scan_live_slice(spark, sf_dir):
                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
                    F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), "1")
                     .otherwise("0").alias("is_deleted"))
-    days = [F.date_format(F.date_sub(F.lit(RUN_DATE).cast("date"), i), "yyyy-MM-dd") for i in range(7)]
-    from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b),
-                  [live_slice(ods, d, ["order_id", "user_id", "amount", "dt"]) for d in days])
+    from datetime import date, timedelta
+    days = [str(date.fromisoformat(RUN_DATE) - timedelta(days=i)) for i in range(7)]
+    return live_slice(ods, days, ["order_id", "user_id", "amount", "dt"])
 
 
 @query("fn_string", with_model("""

@@ -17,6 +17,7 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 

@@ -12,16 +12,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
+LISTING_PARALLELISM = "64"
+
+
 def _dynamic(spark: SparkSession):
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
+def _listing(spark: SparkSession):
+    """Daily tables hold thousands of partition folders: list them with a
+    bounded number of listing tasks (each task lists many folders) unless the
+    session already chose a value."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, LISTING_PARALLELISM)
+
+
 def write_partitions(df: DataFrame, path: str, fmt: str = "parquet", partition_col: str = "dt") -> None:
     """Overwrite exactly the ``dt`` partitions present in ``df`` (dynamic
     partition overwrite: other days stay as they are). A static-partition
     write is the same call with a one-day frame."""
     _dynamic(df.sparkSession)
-    df.write.mode("overwrite").partitionBy(partition_col).format(fmt).save(path)
+    # rebalance: rows of a day go to the same tasks (few files per day), and
+    # AQE splits a day that holds far more rows than the others
+    df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).format(fmt).save(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", partition_col: str = "dt",
@@ -29,6 +43,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", partition_c
     """Read a partitioned table; the partition value comes back as the text
     it was written as (discovery would otherwise infer a date). With a
     ``schema`` an empty table reads as zero rows instead of failing."""
+    _listing(spark)
     r = spark.read.format(fmt)
     t = (r.schema(schema) if schema is not None else r).load(path)
     return t.withColumn(partition_col, F.col(partition_col).cast("string")) if partition_col in t.columns else t

@@ -22,13 +22,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path(sf_dir, name))
 
 
-def live_slice(df: DataFrame, run_date: str | Column, cols: list[str] | None = None,
+def live_slice(df: DataFrame, run_date: str | list[str] | Column, cols: list[str] | None = None,
                dt_col: str = "dt", deleted_col: str = "is_deleted") -> DataFrame:
-    """One daily partition, live rows only, optionally pruned to ``cols``.
+    """Daily partition(s), live rows only, optionally pruned to ``cols``.
 
-    On a table partitioned by ``dt`` the equality becomes a partition filter;
-    the soft-delete test is pushed to the file scan.
+    ``run_date`` is one day or a list of days (one scan either way). On a
+    table partitioned by ``dt`` the test becomes a partition filter; the
+    soft-delete test is pushed to the file scan.
     """
-    d = run_date if isinstance(run_date, Column) else F.lit(run_date)
-    out = df.where((F.col(dt_col) == d) & (F.col(deleted_col) == F.lit("0")))
+    if isinstance(run_date, list):
+        day_ok = F.col(dt_col).isin(*run_date)
+    else:
+        day_ok = F.col(dt_col) == (run_date if isinstance(run_date, Column) else F.lit(run_date))
+    out = df.where(day_ok & (F.col(deleted_col) == F.lit("0")))
     return out.select(*cols) if cols else out
