@@ -17,13 +17,16 @@ user_info           customer: phone / e-mail / birthday derived, some invalid
 page behaviour      events (page = event_type, module = props.k)
 ==================  ===========================================================
 
-Every function takes the loaded driver tables so that Catalyst prunes columns
-and pushes filters into the parquet scans. Each has a SQL twin in
+Every function reads the driver tables lazily, so that Catalyst prunes columns
+and pushes filters into the parquet scans; each derived table is built once
+per session and shared by the plans that use it. Each has a SQL twin in
 :mod:`dovetail.sources.model_sql` that the oracle statements embed.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +52,7 @@ DIC_ROWS = [
 ]
 
 
+@lru_cache(maxsize=256)
 def dic(spark: SparkSession) -> DataFrame:
     return literal_table(spark, DIC_ROWS, "id string, name string")
 
@@ -58,6 +62,7 @@ def status_code(orderstatus, priority):
             .otherwise(F.concat(F.lit("600"), F.substring(priority, 1, 1), F.lit("0"))))
 
 
+@lru_cache(maxsize=256)
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
     return o.select(
@@ -73,6 +78,7 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=256)
 def order_cargo(spark: SparkSession, sf_dir: str, with_type: bool = True, with_city: bool = True) -> DataFrame:
     """Cargo lines with their part type and sender district / city.
 
@@ -98,6 +104,7 @@ def order_cargo(spark: SparkSession, sf_dir: str, with_type: bool = True, with_c
     )
 
 
+@lru_cache(maxsize=256)
 def region_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = load(spark, sf_dir, "region").select(
         (F.col("r_regionkey") + 1).cast("long").alias("id"), F.lit(0).cast("long").alias("parent_id"),
@@ -112,6 +119,7 @@ def region_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.unionByName(n).unionByName(s)
 
 
+@lru_cache(maxsize=256)
 def organ(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load(spark, sf_dir, "supplier")
     level = F.when(F.col("s_acctbal") >= 5000, 1).otherwise(2)
@@ -124,6 +132,7 @@ def organ(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=256)
 def transport_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
     start_ms = epoch_ms(F.col("l_shipdate"))
@@ -142,6 +151,7 @@ def transport_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=256)
 def order_org_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
     t = epoch_ms(F.col("l_shipdate"))
@@ -154,6 +164,7 @@ def order_org_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=256)
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
     key = F.col("c_custkey").cast("string")
