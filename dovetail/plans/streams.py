@@ -208,8 +208,18 @@ def stream_log_split(spark, sf_dir):
 # -- stream joins -------------------------------------------------------------------------------------
 
 def _envelope_streams(spark, sf_dir, tables):
-    path = stage(spark, E.envelopes(spark, sf_dir, tables), "envelopes")
-    return lambda: S.with_event_time(staged_stream(spark, path), F.col("ts_ms"), "5 seconds")
+    """Envelopes of ``tables`` as a watermarked stream, derived inside the
+    stream from file streams over ``orders`` / ``lineitem`` (no staging copy)."""
+    # only the requested groups are built: a streaming union keeps reading
+    # every branch's source even when a filter empties the branch
+    want = set(tables)
+    parts = []
+    if {"order_info", "payment_info"} & want:
+        parts.append(E.order_envelopes(spark, sf_dir, orders=table_stream(spark, sf_dir, "orders"), tables=want))
+    if {"order_detail", "cart_info", "order_refund_info", "refund_payment"} & want:
+        parts.append(E.line_envelopes(spark, sf_dir, lineitem=table_stream(spark, sf_dir, "lineitem"), tables=want))
+    env = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return S.with_event_time(env, F.col("ts_ms"), "5 seconds")
 
 
 @query("stream_cancel_join", f"""
@@ -220,13 +230,12 @@ def stream_cancel_join(spark, sf_dir):
     """Cancellations (status 1001 -> 1003) ⋈ order details, both watermarked;
     details within [cancel - 30 min, cancel + 5 s], which also bounds the
     join state (the reference's 30 min + 5 s idle retention)."""
-    src = _envelope_streams(spark, sf_dir, ["order_info", "order_detail"])
     a = F.col("after")
-    cancel = E.of_table(src(), "order_info").where(
+    cancel = E.of_table(_envelope_streams(spark, sf_dir, ["order_info"]), "order_info").where(
         (F.col("op") == "u") & (F.col("before")["order_status"] == "1001") & (a["order_status"] == "1003")) \
         .select(a["id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"), F.col("ts_ms").alias("cancel_ts"),
                 F.col("event_time").alias("ct"))
-    detail = E.of_table(src(), "order_detail").select(
+    detail = E.of_table(_envelope_streams(spark, sf_dir, ["order_detail"]), "order_detail").select(
         a["order_id"].alias("k"), a["id"].alias("id"), a["sku_id"].cast("bigint").alias("sku_id"),
         a["sku_num"].cast("int").alias("sku_num"), F.col("event_time").alias("dt_"))
     j = interval_join(cancel, detail, "k", "ct", "dt_", "-30 minutes", "5 seconds")
@@ -245,12 +254,11 @@ def stream_cancel_join(spark, sf_dir):
 def stream_pay_interval_join(spark, sf_dir):
     """Successful payments ⋈ details in [pay - 30 min, pay + 5 s] (asymmetric
     interval join on watermarked streams) + stream-static payment-type lookup."""
-    src = _envelope_streams(spark, sf_dir, ["payment_info", "order_detail"])
     a = F.col("after")
-    pay = E.of_table(src(), "payment_info").where(a["payment_status"] == "1602").select(
+    pay = E.of_table(_envelope_streams(spark, sf_dir, ["payment_info"]), "payment_info").where(a["payment_status"] == "1602").select(
         a["order_id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"), a["payment_type"].alias("payment_type"),
         a["callback_time"].alias("callback_time"), F.col("event_time").alias("pt"))
-    detail = E.of_table(src(), "order_detail").select(
+    detail = E.of_table(_envelope_streams(spark, sf_dir, ["order_detail"]), "order_detail").select(
         a["order_id"].alias("k"), a["id"].alias("id"), a["sku_id"].cast("bigint").alias("sku_id"),
         F.col("event_time").alias("dt_"))
     j = interval_join(pay, detail, "k", "pt", "dt_", "-30 minutes", "5 seconds")
@@ -352,7 +360,7 @@ def stream_dim_routing(spark, sf_dir):
     key): an upsert store that never rewrites old files."""
     cfg_path = stage(spark, spark.createDataFrame(
         ROUTING, "source_table string, sink_table string, sink_row_key string, sink_columns string"), "routing")
-    env = staged_stream(spark, stage(spark, E.envelopes(spark, sf_dir, [r[0] for r in ROUTING]), "routing-envelopes"))
+    env = _envelope_streams(spark, sf_dir, [r[0] for r in ROUTING])
 
     def write(batch: DataFrame, bid: int, out: str):
         cfg = F.broadcast(spark.read.parquet(cfg_path))  # config changes apply from the next batch

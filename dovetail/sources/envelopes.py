@@ -69,8 +69,16 @@ def _always() -> Column:
     return F.lit(True)
 
 
-def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = load(spark, sf_dir, "orders")
+def _pick(groups: dict[str, DataFrame], tables) -> DataFrame:
+    chosen = [df for t, df in groups.items() if tables is None or t in tables]
+    return reduce(DataFrame.unionByName, chosen)
+
+
+def order_envelopes(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None,
+                    tables: set[str] | None = None) -> DataFrame:
+    """Order and payment envelopes; ``orders`` may be a streaming frame over
+    the same table (the derivation is a stateless projection)."""
+    o = orders if orders is not None else load(spark, sf_dir, "orders")
     t = epoch_ms(F.col("o_orderdate"))
     base = dict(id=F.col("o_orderkey"), user_id=F.col("o_custkey"),
                 total_amount=F.col("o_totalprice").cast("decimal(16,2)"))
@@ -95,11 +103,14 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
                              payment_type=F.lit("1103"), payment_status=F.lit("1602"),
                              callback_time=F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 1 MINUTE"),
                                                          "yyyy-MM-dd HH:mm:ss")), t + MIN + 5000)])
-    return info.unionByName(payment)
+    return _pick({"order_info": info, "payment_info": payment}, tables)
 
 
-def line_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem")
+def line_envelopes(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None,
+                   tables: set[str] | None = None) -> DataFrame:
+    """Detail, cart and refund envelopes; ``lineitem`` may be a streaming frame
+    (the order attributes then come from a stream-static join)."""
+    li = lineitem if lineitem is not None else load(spark, sf_dir, "lineitem")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                             "o_orderpriority")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
@@ -136,7 +147,8 @@ def line_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         total_amount=F.col("l_extendedprice").cast("decimal(16,2)"), refund_status=F.lit("1602"),
         callback_time=F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 4 MINUTE"), "yyyy-MM-dd HH:mm:ss")),
         t0 + 4 * MIN + F.col("l_linenumber") * 1000)])
-    return reduce(DataFrame.unionByName, [detail, cart, refund, rpay])
+    return _pick({"order_detail": detail, "cart_info": cart, "order_refund_info": refund, "refund_payment": rpay},
+                 tables)
 
 
 def comment_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
