@@ -67,7 +67,8 @@ def dim_complex_full(spark, sf_dir):
     cour = pairs.groupBy("complex_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_set("l_suppkey")), lambda x: x.cast("string")), ",")
         .alias("courier_emp_ids"))
-    base = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
+    base = (c.join(maybe_broadcast(n), c.c_nationkey == n.n_nationkey)
+            .join(maybe_broadcast(r), n.n_regionkey == r.r_regionkey))
     return base.join(cour, base.c_custkey == cour.complex_id, "left").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("complex_name"),
         (F.col("r_regionkey") + 1).alias("province_id"), F.col("r_name").alias("province_name"),
@@ -352,7 +353,7 @@ def dim_activity_full(spark, sf_dir):
 def dim_province_full(spark, sf_dir):
     n = load(spark, sf_dir, "nation")
     r = load(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
+    return n.join(maybe_broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").alias("id"), F.col("n_name").alias("province_name"),
         F.concat(F.lit("AC"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("area_code"),
         F.concat(F.lit("ISO-"), F.col("n_nationkey").cast("string")).alias("iso_code"),

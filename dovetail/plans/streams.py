@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dovetail.functions.dates import epoch_ms
-from dovetail.operators.joins import interval_join, prefixed
+from dovetail.operators.joins import interval_join, maybe_broadcast, prefixed
 from dovetail.plans.cdc import (LINES, RDIC_SQL, REFUND_LINES, T_ORDER, rdic)  # noqa: F401
 from dovetail.registry import query
 from dovetail.sources import applog
@@ -360,10 +360,12 @@ def stream_dim_routing(spark, sf_dir):
     key): an upsert store that never rewrites old files."""
     cfg_path = stage(spark, spark.createDataFrame(
         ROUTING, "source_table string, sink_table string, sink_row_key string, sink_columns string"), "routing")
-    env = _envelope_streams(spark, sf_dir, [r[0] for r in ROUTING])
+    # the relay topic: envelopes of the routed tables, staged once and read as a file stream
+    env = staged_stream(spark, stage(spark, E.envelopes(spark, sf_dir, [r[0] for r in ROUTING]),
+                                     "routing-envelopes"))
 
     def write(batch: DataFrame, bid: int, out: str):
-        cfg = F.broadcast(spark.read.parquet(cfg_path))  # config changes apply from the next batch
+        cfg = maybe_broadcast(spark.read.parquet(cfg_path))  # re-read per batch: config changes apply live
         j = batch.where(F.col("op") != "d").join(cfg, F.col("source")["table"] == cfg.source_table)
         a = F.col("after")
         rows = j.select("sink_table", F.md5(F.element_at(a, F.col("sink_row_key"))).alias("row_key"),
