@@ -166,6 +166,6 @@ def report_merge(spark, sf_dir):
     new = report_orders(spark, sf_dir)
     stale = new.withColumn("order_count", F.col("order_count") - 1)
     io.stage_and_swap(spark, prev.unionByName(stale), table)
-    stored = spark.read.parquet(io.current_version(table))
+    stored = spark.read.parquet(io.current_version(spark, table))
     io.stage_and_swap(spark, io.merge_report(stored, new, ["dt", "recent_days"]), table)
-    return spark.read.parquet(io.current_version(table)).select("dt", "recent_days", "order_count", "order_amount")
+    return spark.read.parquet(io.current_version(spark, table)).select("dt", "recent_days", "order_count", "order_amount")

@@ -100,26 +100,38 @@ def merge_report(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem for ``path`` (HDFS, object stores, local): the
+    shared folder is never touched through the driver's local filesystem."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _versions(spark: SparkSession, table_dir: str) -> list[tuple[int, str, bool]]:
+    fs, root = _fs(spark, os.path.join(table_dir, "versions"))
+    if not fs.exists(root):
+        return []
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
+            done = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+            out.append((int(name[1:]), st.getPath().toString(), done))
+    return sorted(out)
+
+
 def stage_and_swap(spark: SparkSession, df: DataFrame, table_dir: str) -> str:
     """Spark will not overwrite a table it is reading: write the merged
-    version to a new folder and move the ``_CURRENT`` pointer to it."""
-    versions = os.path.join(table_dir, "versions")
-    n = 0
-    if os.path.isdir(versions):
-        n = len([d for d in os.listdir(versions) if d.startswith("v")])
-    target = os.path.join(versions, f"v{n:05d}")
+    version to a new numbered folder. The job commit's ``_SUCCESS`` marker
+    is the swap -- readers take the newest committed version, so a failed
+    or half-written version is never read."""
+    vs = _versions(spark, table_dir)
+    n = (vs[-1][0] + 1) if vs else 0
+    target = os.path.join(table_dir, "versions", f"v{n:05d}")
     df.write.mode("overwrite").parquet(target)
-    ptr = os.path.join(table_dir, "_CURRENT")
-    tmp = ptr + ".tmp"
-    with open(tmp, "w") as fh:
-        fh.write(target)
-    os.replace(tmp, ptr)
     return target
 
 
-def current_version(table_dir: str) -> str | None:
-    ptr = os.path.join(table_dir, "_CURRENT")
-    if not os.path.exists(ptr):
-        return None
-    with open(ptr) as fh:
-        return fh.read().strip()
+def current_version(spark: SparkSession, table_dir: str) -> str | None:
+    done = [p for _, p, ok in _versions(spark, table_dir) if ok]
+    return done[-1] if done else None
