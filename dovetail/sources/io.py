@@ -32,10 +32,19 @@ def write_partitions(df: DataFrame, path: str, fmt: str = "parquet", partition_c
     """Overwrite exactly the ``dt`` partitions present in ``df`` (dynamic
     partition overwrite: other days stay as they are). A static-partition
     write is the same call with a one-day frame."""
-    _dynamic(df.sparkSession)
-    # rebalance: rows of a day go to the same tasks (few files per day), and
-    # AQE splits a day that holds far more rows than the others
-    df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).format(fmt).save(path)
+    spark = df.sparkSession
+    _dynamic(spark)
+    # rebalance: rows of a day go to the same task (few files per day) and
+    # AQE splits a day that holds far more rows than the others. Coalescing
+    # is paused for this write so the files of many small days are written
+    # by spark.sql.shuffle.partitions tasks, not funnelled into one.
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    prev = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).format(fmt).save(path)
+    finally:
+        spark.conf.set(key, prev)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", partition_col: str = "dt",
