@@ -338,13 +338,20 @@ def day_bucket(epoch_text):
                           ELSE CAST(epoch_us(ts) // 1000 AS VARCHAR) END AS f FROM events) e) b
     GROUP BY bucket""")
 def sink_day_bucket(spark, sf_dir):
-    """Rows per day bucket of a file sink (``partitionBy('day')`` when written)."""
+    """Day-bucketed file sink: records are written partitioned by a ``day``
+    computed from their epoch field (seconds or millis; unparsable text to
+    ``error_bucket``); the key reports the rows found in each bucket folder."""
+    from dovetail.session import scratch_dir
+    from dovetail.sources import io
     e = load(spark, sf_dir, "events")
     ms = epoch_ms(F.col("ts"))
     f = (F.when(F.col("event_type") == "view", (ms / 1000).cast("bigint").cast("string"))
           .when(F.col("event_type") == "error", F.concat(F.lit("n/a-"), F.col("event_id").cast("string")))
           .otherwise(ms.cast("string")))
-    return e.select(day_bucket(f).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    out = scratch_dir(spark, "day-bucket-sink")
+    io.write_partitions(e.select("event_id", f.alias("epoch"), day_bucket(f).alias("day")), out, partition_col="day")
+    written = io.read_table(spark, out, partition_col="day")
+    return written.groupBy(F.col("day").alias("bucket")).agg(F.count("*").alias("n"))
 
 
 def config_changes(spark, sf_dir) -> DataFrame:

@@ -39,8 +39,12 @@ def event_stream(spark, sf_dir, delay="3 seconds"):
 def stream_watermark(spark, sf_dir):
     """Hourly counts per event type with a 3 s out-of-order bound; append mode
     emits a window once the watermark passes its end, later rows for it are
-    dropped as late."""
-    s = event_stream(spark, sf_dir)
+    dropped as late. Error records carry no millisecond field: their time
+    falls back to the first item of a list of epoch seconds."""
+    e = table_stream(spark, sf_dir, "events")
+    ms = F.when(F.col("event_type") != "error", epoch_ms(F.col("ts")))
+    seconds_list = F.array((epoch_ms(F.col("ts")) / 1000).cast("bigint"))
+    s = S.with_event_time(e, ms, "3 seconds", fallback=F.element_at(seconds_list, 1), fallback_in_seconds=True)
     agg = s.groupBy(F.window("event_time", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"))
     out = run_to_table(spark, agg.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                                          "event_type", "n"), "watermark")
