@@ -10,7 +10,7 @@ from dovetail.functions.strings import mask_name
 from dovetail.operators.joins import decode
 from dovetail.registry import query
 from dovetail.sources import model
-from dovetail.sources.model_sql import MODEL, with_model
+from dovetail.sources.model_sql import with_model
 
 FACT_COLS = ["order_id", "line_no", "cargo_type", "cargo_type_name", "weight", "order_no", "status",
              "status_name", "collect_type", "collect_type_name", "payment_type", "payment_type_name",
@@ -224,4 +224,4 @@ def fact_bound_outbound(spark, sf_dir):
     return _bound(spark, sf_dir, "outbound_time")
 
 
-__all__ = ["order_detail", "order_detail_sql", "by_milestone", "trans_finish", "MODEL"]
+__all__ = ["order_detail", "order_detail_sql", "by_milestone", "trans_finish"]

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from dovetail.plans.reports import report_orders, windows, windows_sql
+from dovetail.plans.reports import report_orders, windows_sql
 from dovetail.plans import rollups as R_
 from dovetail.registry import query
 from dovetail.session import scratch_dir

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dovetail.functions.dates import epoch_ms
 from dovetail.operators.joins import interval_join, maybe_broadcast, prefixed
-from dovetail.plans.cdc import (LINES, RDIC_SQL, REFUND_LINES, T_ORDER, rdic)  # noqa: F401
+from dovetail.plans.cdc import LINES, RDIC_SQL, T_ORDER, rdic
 from dovetail.registry import query
 from dovetail.sources import applog
 from dovetail.sources import envelopes as E

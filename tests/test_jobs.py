@@ -4,8 +4,6 @@ import os
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from dovetail.plans import cdc, pages, text
 from dovetail.session import scratch_dir
 from dovetail.sources import applog, io
