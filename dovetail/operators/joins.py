@@ -53,18 +53,19 @@ def hierarchy(df: DataFrame, key: str, tree: DataFrame, levels: list[str],
     """Walk a parent chain a fixed number of steps.
 
     ``levels = ["city", "province"]`` adds ``city_id, city_name, province_id,
-    province_name``: the parent of ``key``, then its parent. Each step is a
-    left join against the (small, broadcast when bounded) tree.
+    province_name``: the parent of ``key``, then its parent. The node row of
+    ``key`` gives the first parent id; each level's own row gives its name and
+    the next parent id -- ``1 + len(levels)`` left joins against the (small,
+    broadcast when bounded) tree.
     """
     t = maybe_broadcast(tree.select(id_col, parent_col, name_col))
-    cur = key
-    out = df
-    for lvl in levels:
-        step = t.select(F.col(id_col).alias(f"__c_{lvl}"), F.col(parent_col).alias(f"{lvl}_id"))
-        out = out.join(step, F.col(cur) == F.col(f"__c_{lvl}"), "left").drop(f"__c_{lvl}")
-        names = t.select(F.col(id_col).alias(f"__n_{lvl}"), F.col(name_col).alias(f"{lvl}_name"))
-        out = out.join(names, F.col(f"{lvl}_id") == F.col(f"__n_{lvl}"), "left").drop(f"__n_{lvl}")
-        cur = f"{lvl}_id"
+    first = t.select(F.col(id_col).alias("__k0"), F.col(parent_col).alias(f"{levels[0]}_id"))
+    out = df.join(first, F.col(key) == F.col("__k0"), "left").drop("__k0")
+    for i, lvl in enumerate(levels):
+        cols = [F.col(id_col).alias(f"__n_{lvl}"), F.col(name_col).alias(f"{lvl}_name")]
+        if i + 1 < len(levels):
+            cols.append(F.col(parent_col).alias(f"{levels[i + 1]}_id"))
+        out = out.join(t.select(*cols), F.col(f"{lvl}_id") == F.col(f"__n_{lvl}"), "left").drop(f"__n_{lvl}")
     return out
 
 
