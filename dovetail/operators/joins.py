@@ -32,16 +32,20 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFr
 
 
 def decode(df: DataFrame, code: str | Column, dic: DataFrame, out: str, how: str = "left",
-           key: str = "id", name: str = "name", default: str | None = None) -> DataFrame:
+           key: str = "id", name: str = "name", default: str | None = None, unique: bool = False) -> DataFrame:
     """Look a code up in a dictionary ``dic(key, name)`` and add column ``out``.
 
     The dictionary is de-duplicated on ``key`` first (first-match semantics),
-    so a decode never multiplies rows. Repeated calls with the same ``dic``
-    decode the same dictionary under different roles.
+    so a decode never multiplies rows; ``unique=True`` skips that step for
+    dictionaries whose keys are distinct by construction. Repeated calls with
+    the same ``dic`` decode the same dictionary under different roles.
     """
     code_col = F.col(code) if isinstance(code, str) else code
     k = f"__k_{out}"
-    d = (dic.groupBy(F.col(key).alias(k)).agg(F.min(name).alias(out)))
+    if unique:
+        d = dic.select(F.col(key).alias(k), F.col(name).alias(out))
+    else:
+        d = dic.groupBy(F.col(key).alias(k)).agg(F.min(name).alias(out))
     res = df.join(maybe_broadcast(d), code_col.cast("string") == F.col(k), how).drop(k)
     if default is not None:
         res = res.withColumn(out, F.coalesce(F.col(out), F.lit(default)))

@@ -18,6 +18,7 @@ from dovetail.sources.tables import load
 # Retail code dictionary (dic_code, dic_name); names descriptive.
 RETAIL_DIC = [("1103", "card payment"), ("1502", "refund only"), ("1301", "quality issue"),
               ("1302", "changed mind"), ("1201", "good"), ("1202", "average"), ("1203", "poor")]
+assert len({k for k, _ in RETAIL_DIC}) == len(RETAIL_DIC)
 RDIC_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in RETAIL_DIC) + ") AS t(id, name)"
 
 
@@ -236,8 +237,8 @@ def cdc_refund(spark, sf_dir):
     o = status_moves(env, "1002", "1005")
     j = r.join(o, r["__oid"] == o.order_id)
     d = rdic(spark)
-    j = decode(j, "refund_type", d, "refund_type_name")
-    j = decode(j, "refund_reason_type", d, "refund_reason_name")
+    j = decode(j, "refund_type", d, "refund_type_name", unique=True)
+    j = decode(j, "refund_reason_type", d, "refund_reason_name", unique=True)
     return j.select("id", "order_id", "user_id", "sku_id", "refund_type", "refund_type_name", "refund_reason_type",
                     "refund_reason_name", "refund_num", "refund_amount")
 
@@ -261,7 +262,7 @@ def cdc_refund_pay(spark, sf_dir):
         a["refund_amount"].cast("decimal(16,2)").alias("refund_amount"))
     o = status_moves(env, "1005", "1006").select("order_id", "user_id")
     j = p.join(r, ["order_id", "sku_id"]).join(o, "order_id")
-    j = decode(j, "payment_type", rdic(spark), "payment_type_name")
+    j = decode(j, "payment_type", rdic(spark), "payment_type_name", unique=True)
     return j.select("id", "order_id", "user_id", F.col("sku_id").cast("bigint").alias("sku_id"), "payment_type",
                     "payment_type_name", "refund_num", "refund_amount", "callback_time")
 
@@ -410,7 +411,7 @@ def comment_fact(spark, sf_dir):
     """Comments: appraise code decoded with ``N/A`` on a miss (left lookup),
     interval-joined (±1 min) to the order snapshot, order columns prefixed
     ``info_``, plus a day column."""
-    c = decode(comments(spark, sf_dir), "appraise", rdic(spark), "appraise_name", default="N/A")
+    c = decode(comments(spark, sf_dir), "appraise", rdic(spark), "appraise_name", unique=True, default="N/A")
     a = F.col("after")
     o = E.of_table(E.order_envelopes(spark, sf_dir), "order_info").where(F.col("op") == "r").select(
         a["id"].alias("order_id"), a["order_status"].alias("order_status"),

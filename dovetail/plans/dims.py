@@ -93,7 +93,7 @@ def dim_courier_full(spark, sf_dir):
                  S.md5_if_valid(F.col("phone_num"), S.PHONE_RE).alias("working_phone"),
                  F.when(F.col("gender") == "F", "66001").otherwise("66002").alias("express_type"))
     j = c.join(o, F.col("__org") == F.col("org_id")).drop("__org")
-    return decode(j, "express_type", model.dic(spark), "express_type_name", how="inner") \
+    return decode(j, "express_type", model.dic(spark), "express_type_name", unique=True, how="inner") \
         .withColumn("dt", F.lit(RUN_DATE))
 
 
@@ -124,7 +124,7 @@ def dim_shift_full(spark, sf_dir):
     s = p.select(F.col("p_partkey").alias("id"), F.col("p_size").cast("long").alias("__line"),
                  F.concat(F.lpad((F.col("p_size") % 24).cast("string"), 2, "0"), F.lit(":00")).alias("start_time"))
     j = s.join(maybe_broadcast(lines(spark, sf_dir)), F.col("__line") == F.col("line_id")).drop("__line")
-    return decode(j, "transport_line_type_id", model.dic(spark), "transport_line_type_name", how="inner") \
+    return decode(j, "transport_line_type_id", model.dic(spark), "transport_line_type_name", unique=True, how="inner") \
         .withColumn("dt", F.lit(RUN_DATE))
 
 
@@ -184,8 +184,8 @@ def dim_truck_full(spark, sf_dir):
           .join(maybe_broadcast(models), F.col("__model") == F.col("model_id"))
           .join(o, F.col("team_id") == F.col("org_id")))
     dic = model.dic(spark)
-    j = decode(j, "model_type", dic, "model_type_name", how="inner")
-    j = decode(j, "truck_line_type", dic, "truck_line_type_name", how="inner")
+    j = decode(j, "model_type", dic, "model_type_name", unique=True, how="inner")
+    j = decode(j, "truck_line_type", dic, "truck_line_type_name", unique=True, how="inner")
     return j.select("id", "truck_no", "team_id", "team_name", "model_id", "model_type", "model_type_name",
                     "model_parts", "org_id", "org_name", "truck_line_type", "truck_line_type_name",
                     F.lit(RUN_DATE).alias("dt"))
@@ -302,8 +302,8 @@ def dim_coupon_full(spark, sf_dir):
     c = coupons(spark, sf_dir).withColumn(
         "range_type", F.when(F.col("condition_num") > 2, "67001").otherwise("67002"))
     d = model.dic(spark)
-    c = decode(c, "coupon_type", d, "coupon_type_name")
-    c = decode(c, "range_type", d, "range_type_name")
+    c = decode(c, "coupon_type", d, "coupon_type_name", unique=True)
+    c = decode(c, "range_type", d, "range_type_name", unique=True)
     return c.select("id", "coupon_type", "coupon_type_name", "condition_amount", "condition_num", "benefit_amount",
                     "benefit_discount", rule_text("coupon").alias("benefit_rule"), "range_type", "range_type_name",
                     F.lit(RUN_DATE).alias("dt"))
@@ -339,7 +339,7 @@ def dim_activity_full(spark, sf_dir):
                     F.concat(F.lit("Activity "), (F.col("p_partkey") / 100).cast("bigint").cast("string"))
                     .alias("activity_name")).distinct()
     j = r.join(info, r.activity_id == F.col("__aid"), "left")
-    j = decode(j, "activity_type", model.dic(spark), "activity_type_name")
+    j = decode(j, "activity_type", model.dic(spark), "activity_type_name", unique=True)
     return j.select("rule_id", "activity_id", "activity_name", "activity_type", "activity_type_name",
                     "condition_amount", "condition_num", "benefit_amount", "benefit_discount",
                     rule_text("activity").alias("benefit_rule"), F.lit(RUN_DATE).alias("dt"))

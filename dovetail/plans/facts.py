@@ -54,10 +54,10 @@ def order_detail(spark: SparkSession, sf_dir: str, time_col: str = "create_time"
         return j.select("order_id", "line_no", "status", "sender_district_id", "amount",
                         F.date_format(ev, "yyyy-MM-dd").alias("dt"))
     d = model.dic(spark)
-    j = decode(j, "cargo_type", d, "cargo_type_name")
-    j = decode(j, "status", d, "status_name")
-    j = decode(j, "collect_type", d, "collect_type_name")
-    j = decode(j, "payment_type", d, "payment_type_name")
+    j = decode(j, "cargo_type", d, "cargo_type_name", unique=True)
+    j = decode(j, "status", d, "status_name", unique=True)
+    j = decode(j, "collect_type", d, "collect_type_name", unique=True)
+    j = decode(j, "payment_type", d, "payment_type_name", unique=True)
     return j.select(*FACT_COLS, F.date_format(ev, "yyyy-MM-dd HH:mm:ss").alias("event_time"),
                     F.date_format(ev, "yyyy-MM-dd").alias("dt"))
 

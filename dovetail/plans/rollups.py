@@ -241,7 +241,7 @@ def rollup_finish_td(spark, sf_dir):
 
 def truck_dim(spark, sf_dir):
     p = model_part(spark, sf_dir)
-    return decode(p, "truck_model_type", model.dic(spark), "truck_model_type_name")
+    return decode(p, "truck_model_type", model.dic(spark), "truck_model_type_name", unique=True)
 
 
 def model_part(spark, sf_dir):

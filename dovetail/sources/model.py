@@ -50,6 +50,7 @@ DIC_ROWS = [
     ("MEDIUM", "medium parcel"), ("LARGE", "large freight"),
     ("67001", "trunk line"), ("67002", "branch line"),
 ]
+assert len({k for k, _ in DIC_ROWS}) == len(DIC_ROWS)  # codes are unique: decodes need no de-duplication
 
 
 @lru_cache(maxsize=256)
