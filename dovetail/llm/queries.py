@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dovetail.llm import (external_shuffle, license_dice, link_graph, quality_ledger, rank_merge, secret_ledger,
-                          vector_packing)
+from dovetail.llm import (external_shuffle, license_dice, link_graph, odd_sketch, positional_index,
+                          quality_ledger, rank_merge, secret_ledger, suffix_trees, vector_packing)
 from dovetail.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,15 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_dice.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.deduplicate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positional_index.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ledger.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -41,6 +50,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_merge.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.report(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack(table(spark, sf_dir, "documents"))
 
@@ -147,9 +160,60 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (bit
     (bits & {quality_ledger.POLICIES[quality_ledger.CURRENT].mask}) = 0 as kept, bits::bigint as fail_bits from b"""
 
 
+def _repeats_sql() -> str:
+    n = suffix_trees.WINDOW
+    return rf"""with d as (select doc_id, {SQL_WORDS} as w from documents),
+g as (select doc_id, unnest(range(1, len(w) - {n - 2})) as i,
+    unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: md5(array_to_string(w[i:i + {n - 1}], ' ')))) as h from d where len(w) >= {n}),
+f as (select h, min(doc_id) as m from g group by h),
+cov as (select doc_id, unnest(range(i, i + {n})) as p from g join f using (h) where doc_id > m),
+c as (select doc_id, list(distinct p) as ps from cov group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(len(ps), 0)::bigint as n_removed,
+    sha256(array_to_string(case when ps is null then w else list_filter(w, lambda x, i: not list_contains(ps, i)) end, ' ')) as kept_sha256
+from d left join c using (doc_id)"""
+
+
+def _leak_sql() -> str:
+    m, az = positional_index.WINDOW, link_graph.A_TO_Z
+    toks = rf"""list_filter(string_split_regex(translate(coalesce(text, ''), '{az}', '{az.lower()}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+    return rf"""with d as (select doc_id, {toks} as w from documents),
+b as (select coalesce(item_id::varchar, '') as item_id, {toks} as w from benchmark),
+iw as (select distinct item_id, least(len(w), {m}) as m, unnest(list_transform(range(1, len(w) - least(len(w), {m}) + 2),
+    lambda i: array_to_string(w[i:i + least(len(w), {m}) - 1], ' '))) as g from b where len(w) > 0),
+ms as (select distinct m from iw),
+dw as (select doc_id, m, unnest(range(1, len(w) - m + 2)) as i, unnest(list_transform(range(1, len(w) - m + 2),
+    lambda i: array_to_string(w[i:i + m - 1], ' '))) as g from d, ms where len(w) >= m),
+hit as (select doc_id, item_id, i, m from dw join iw using (m, g)),
+n as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + m)) as p from hit) group by doc_id),
+l as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids from (select distinct doc_id, item_id from hit) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join n using (doc_id) left join l using (doc_id)"""
+
+
+def _near_sql() -> str:
+    k, t = odd_sketch.SHINGLE, odd_sketch.THRESHOLD
+    low = SQL_WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{link_graph.A_TO_Z}', '{link_graph.A_TO_Z.lower()}')")
+    return rf"""with recursive d as materialized (select doc_id, {low} as w from documents),
+s as materialized (select distinct doc_id, unnest(case when len(w) between 1 and {k - 1} then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' ')) end) as g from d),
+n as materialized (select doc_id, count(*) as n from s group by doc_id),
+sets as (select doc_id, md5(string_agg(g, chr(10) order by g)) as h from s group by doc_id),
+rep as materialized (select doc_id, min(doc_id) over (partition by h) as r from sets),
+rs as materialized (select s.doc_id, g from s join rep using (doc_id) where r = s.doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as i from rs a join rs b on a.g = b.g and a.doc_id < b.doc_id group by all),
+links as materialized (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= {t} * (x.n + y.n - i)),
+e as materialized (select a as x, b as y from links union select b, a from links),
+walk(x, y) as (select distinct r, r from rep union select w.x, e.y from walk w join e on e.x = w.y),
+comp as (select x, min(y) as c from walk group by x)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(c, d.doc_id) as component_id, d.doc_id = coalesce(c, d.doc_id) as kept
+from d left join n using (doc_id) left join rep using (doc_id) left join comp on comp.x = r"""
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
-    op1_secret_scan, op2_url_filter, op3_license_scan, op6_quality_rules, op7_token_counts, op9_best_fit_packing,
-    op10_sharding)}
+    op1_secret_scan, op2_url_filter, op3_license_scan, op4_substring_dedup, op5_decontamination, op6_quality_rules,
+    op7_token_counts, op8_near_duplicates, op9_best_fit_packing, op10_sharding)}
 ORACLES: dict[str, str] = {
     "op1_secret_scan": _secret_sql(), "op2_url_filter": _url_sql(), "op3_license_scan": _license_sql(),
-    "op6_quality_rules": _quality_sql()}
+    "op4_substring_dedup": _repeats_sql(), "op5_decontamination": _leak_sql(),
+    "op6_quality_rules": _quality_sql(), "op8_near_duplicates": _near_sql()}
