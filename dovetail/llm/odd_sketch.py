@@ -5,7 +5,7 @@ serve twice: in bands of ROWS they make the bucket keys that find candidates,
 and folded into a bitmap, each toggling one bit, they make its odd sketch. The
 XOR of two odd sketches is the odd sketch of the samples in which the sets
 differ, so its population count p estimates the similarity: ``1 + n ln(1 - 2 p
-/ n) / (2 k)`` for n bits and k samples, most precisely where it is high. A
+/ n) / (4 k)`` for n bits and k samples, most precisely where it is high. A
 candidate pair whose estimate is far below the threshold goes no further; the
 others are confirmed on their full sets.
 
@@ -50,7 +50,7 @@ MINHASHES = ROWS * BANDS
 BITS = 512
 THRESHOLD = 75  # per cent
 #: Estimates below this are no candidates: 0.75 less six standard deviations
-#: of the sample (0.031 for 192) .
+#: of the sample (0.031 for 192) and the sketch's own noise.
 DOUBTFUL = 0.55
 LAST = (1 << 63) - 1
 _SKETCH = "did bigint, key bigint, n bigint, set1 bigint, set2 bigint, bands array<bigint>, odd array<bigint>"
@@ -143,7 +143,7 @@ def sketch_rows(docs: DataFrame) -> DataFrame:
 def estimate(a: Column, b: Column) -> Column:
     """Similarity that two odd sketches point to."""
     p = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return 1 + BITS / (2.0 * MINHASHES) * F.log(F.greatest(1 - 2.0 * p / BITS, F.lit(1e-3)))
+    return 1 + BITS / (4.0 * MINHASHES) * F.log(F.greatest(1 - 2.0 * p / BITS, F.lit(1e-3)))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
