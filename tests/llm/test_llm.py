@@ -204,18 +204,24 @@ def test_links_are_found_at_the_threshold(spark):
     assert got == Counter(brute.near_duplicates(rows))
 
 
-def test_sketch_estimate(spark):
-    rng = random.Random(4)
-    a = [str(rng.randrange(10**7)) for _ in range(1000)]
-    for swap in (0, 5, 20):
+@pytest.mark.parametrize("n", [60, 900, 1100, 9000])
+def test_sketch_estimate(n):
+    """Estimates are near the truth, and pairs above the threshold always pass."""
+    rng = random.Random(n)
+    a = [str(rng.randrange(10**9)) for _ in range(n)]
+    for share in (0, 0.01, 0.025, 0.05, 0.1):
         b = list(a)
-        for i in range(swap):
-            b[i * 40] = "new"
-        s = odd_sketch.sketches(*odd_sketch.shingle_sets([" ".join(a).encode(), " ".join(b).encode()]))[2]
-        x, y = brute.shingles(" ".join(a)), brute.shingles(" ".join(b))
-        df = spark.createDataFrame([(s[0].tolist(), s[1].tolist())], "a array<bigint>, b array<bigint>")
-        est = df.select(odd_sketch.estimate(F.col("a"), F.col("b"))).first()[0]
-        assert abs(est - len(x & y) / len(x | y)) < 0.12
+        for i in rng.sample(range(n), int(share * n)):
+            b[i] = "new"
+        f, k = odd_sketch.shingle_sets([" ".join(a).encode(), " ".join(b).encode()])
+        level = np.full(2, odd_sketch.levels(k).max())
+        odd, size = odd_sketch.odd_sketches(f, k, level)
+        p = np.bitwise_count((odd[0] ^ odd[1]).view(np.uint64)).sum()
+        est, x, y = odd_sketch.similarity(p, size.sum()), brute.shingles(" ".join(a)), brute.shingles(" ".join(b))
+        true, floor = len(x & y) / len(x | y), odd_sketch.least_estimate(size.sum(), level[0], 75)
+        if true > 0.5:
+            assert abs(est - true) < 0.1
+        assert est >= floor or true < 0.75
 
 
 def check_packing(got, rows, most=1024):
