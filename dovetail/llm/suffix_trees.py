@@ -38,15 +38,15 @@ from dovetail.llm.word_arrays import byte_portions, combined, hashed_words, mixe
 
 WINDOW = 13
 DEPTHS = (1, 2, 4, 8, WINDOW)
-MOST = 3 << 20   # suffixes of a group
-PORTION = 2 << 20  # suffixes a task merges at a time
+MOST = 2 << 20   # suffixes of a group
+PORTION = 1 << 20  # suffixes a task merges at a time
 LAST = (1 << 63) - 1
 _BLOB = "grp int, dids binary, keys binary, counts binary, places binary, labels binary, settled binary"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     d = documents_core(docs)
-    return d.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("did"), row_key(F.col("text")).alias("key"), "text")
+    return d.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("did"), F.hash(row_key(F.col("text"))).alias("key"), "text")
 
 
 def prefix_counts(d: DataFrame, bits: int) -> list[tuple[int, int, int]]:
@@ -101,6 +101,17 @@ def _widen(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
+def _steps(ids: np.ndarray) -> bytes:
+    """Document ids as steps from one to the next, in eight planes of bytes:
+    ids of one portion are close together, so nearly all planes are constant."""
+    step = np.r_[ids[:1], np.diff(ids)].astype("<i8")
+    return np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _ids(b: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<i8").ravel())
+
+
 def _gaps(place: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Places as distances within a document (sorted by document, place)."""
     new = np.r_[True, doc[1:] != doc[:-1]]
@@ -141,7 +152,7 @@ def _deal(portion: list, group: np.ndarray, bits: int):
         some, first_, counts = np.unique(doc[mine], return_index=True, return_counts=True)
         del first_
         free = mine[~settled[mine]]
-        yield (int(grp[mine[0]]), dids[some].tobytes(), keys[some].tobytes(), _narrow(counts),
+        yield (int(grp[mine[0]]), _steps(dids[some]), keys[some].astype("<i4").tobytes(), _narrow(counts),
                _narrow(_gaps(place[mine], doc[mine])), label[free].astype("<u8").tobytes(),
                np.packbits(settled[mine]).tobytes())
 
@@ -179,8 +190,8 @@ def _subtree(t):
     dids, keys, counts, places, labels, settled = [], [], [], [], [], []
     for r in t.select(["dids", "keys", "counts", "places", "labels", "settled"]).to_pylist():
         c = _widen(r["counts"])
-        dids.append(np.frombuffer(r["dids"], np.int64))
-        keys.append(np.frombuffer(r["keys"], np.int64))
+        dids.append(_ids(r["dids"]))
+        keys.append(np.frombuffer(r["keys"], "<i4"))
         counts.append(c)
         places.append(_places(_widen(r["places"]), c))
         settled.append(np.unpackbits(np.frombuffer(r["settled"], np.uint8), count=len(places[-1])).astype(bool))
@@ -198,19 +209,19 @@ def _subtree(t):
     marked, n = np.unique(doc[some], return_counts=True)
     ends = np.cumsum(n)
     place = places[some].astype("<u4")
-    return pa.table({"did": pa.array(dids[marked]), "key": pa.array(keys[marked]),
+    return pa.table({"did": pa.array(dids[marked]), "key": pa.array(keys[marked].astype(np.int32)),
                      "places": pa.array([place[e - m:e].tobytes() for e, m in zip(ends.tolist(), n.tolist())], pa.binary())})
 
 
 def repeats(d: DataFrame, most: int = MOST) -> DataFrame:
-    """did, key, places (array of packed 32-bit places): where windows start
-    that a smaller document has too. ``d`` as from :func:`_keyed`."""
+    """did, key (tells texts of one doc_id apart), places (array of packed
+    32-bit places): where windows start that a smaller document has too. ``d`` as from :func:`_keyed`."""
     chars = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     suffixes = chars // 6 + 1  # only the number of groups depends on this
     most = int(min(most, max(1 << 14, suffixes // 64)))
     bits = int(min(22, max(10, np.ceil(np.log2(16 * suffixes / most + 1)))))
     group = plan_groups(prefix_counts(d, bits), bits, most)
-    found = deal(d, group, bits).groupBy("grp").applyInArrow(_subtree, "did bigint, key bigint, places binary")
+    found = deal(d, group, bits).groupBy("grp").applyInArrow(_subtree, "did bigint, key int, places binary")
     return found.groupBy("did", "key").agg(F.collect_list("places").alias("places"))
 
 
