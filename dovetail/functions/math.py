@@ -32,11 +32,30 @@ def hash_bucket(c: Column, n: int, overrides: dict[str, str] | None = None) -> C
     return out
 
 
-def hex_or_decimal(text: Column, divide_1e18: bool = False) -> Column:
-    """``0x``-prefixed hex (up to 16 digits) or decimal text -> decimal(38,18)
-    number; optionally scaled by 1e-18 (wei -> ether)."""
-    as_hex = F.conv(F.substring(text, 3, 64), 16, 10).cast("decimal(38,0)")
-    n = F.when(text.startswith("0x"), as_hex).otherwise(text.try_cast("decimal(38,0)"))
-    if divide_1e18:
-        n = n.cast("decimal(38,18)") / F.lit(10 ** 18).cast("decimal(19,0)")
-    return n.cast("decimal(38,18)")
+def _hex_value(digits: Column) -> Column:
+    """Hexadecimal digits -> decimal(38,0), exact up to 31 digits; more (than
+    leading zeros) are an error, not a wrong number."""
+    d = F.regexp_replace(digits, "^0+", "")
+    padded = F.lpad(d, 32, "0")
+    part = lambda i: F.conv(F.substring(padded, i, 16), 16, 10).cast("decimal(20,0)")
+    value = (part(1) * F.lit(str(2 ** 64)).cast("decimal(20,0)")).cast("decimal(38,0)") + part(17).cast("decimal(38,0)")
+    return F.when(F.length(d) > 31, F.raise_error(F.concat(F.lit("hexadecimal value beyond 31 digits: "), digits))
+                  .cast("decimal(38,0)")).otherwise(value.cast("decimal(38,0)"))
+
+
+def hex_or_decimal(text: Column) -> Column:
+    """``0x``-prefixed hexadecimal or decimal text -> decimal text, exact;
+    null and text that is no number give ``0``."""
+    decimal = F.when(text.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), text)
+    return F.when(F.lower(text).startswith("0x"), _hex_value(F.substring(text, 3, 256)).cast("string")) \
+        .otherwise(F.coalesce(decimal, F.lit("0")))
+
+
+def wei_to_ether(text: Column) -> Column:
+    """Whole wei, as hexadecimal or decimal text -> decimal(38,18) ether,
+    exact (digits are placed, nothing is divided); a fraction of a wei is cut."""
+    whole = F.regexp_replace(F.split(hex_or_decimal(text), r"\.")[0], "^[+-]", "")
+    digits = F.when(F.length(whole) > 38, F.raise_error(F.concat(F.lit("more than 38 digits: "), text)).cast("string")) \
+        .otherwise(F.lpad(whole, 38, "0"))
+    value = F.concat(F.substring(digits, 1, 20), F.lit("."), F.substring(digits, 21, 18)).cast("decimal(38,18)")
+    return F.when(text.startswith("-"), -value).otherwise(value)

@@ -5,29 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast only below this estimated in-memory size. Plan statistics of file
-# scans are compressed bytes; the factor turns them into an in-memory bound.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-SCAN_EXPANSION = 4
 
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df`` (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no plan access
-        return None
-
-
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only when the planner's size bound is under ``limit``.
-
-    Beyond it the join stays a shuffle join (sort-merge), which AQE may still
-    turn into a broadcast at run time from real shuffle sizes.
-    """
-    size = estimated_bytes(df)
-    if size is not None and size * SCAN_EXPANSION <= limit:
-        return F.broadcast(df)
+def maybe_broadcast(df: DataFrame) -> DataFrame:
+    """A side that is usually small. Whether it is broadcast is left to the
+    session's ``autoBroadcastJoinThreshold`` (by its size in the plan) and to
+    adaptive execution (by its size in the shuffle); no hint overrides them."""
     return df
 
 

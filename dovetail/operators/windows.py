@@ -18,20 +18,27 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
 
 
 def zipper_merge(history: DataFrame, changes: DataFrame, key: str, run_date: str,
-                 start: str = "start_date", end: str = "end_date", open_end: str = "9999-12-31") -> DataFrame:
-    """Daily SCD2 merge.
+                 start: str = "start_date", end: str = "end_date", open_end: str = "9999-12-31",
+                 order: list[str] | None = None) -> DataFrame:
+    """Daily SCD2 merge; running it again for the same day changes nothing.
 
     ``history`` holds versions with [start, end]; ``changes`` the rows that are
-    new or changed on ``run_date``. Open versions of changed keys close the day
-    before ``run_date``; changed rows open on ``run_date``. Expressed as one
-    left join on the key against the day's change set (no per-key sort), so a
-    key with many versions does not serialise into one task.
+    new or changed on ``run_date``, of which each key keeps the last by
+    ``order`` (all columns by default). What an earlier run for the day opened
+    is taken back first, and what it closed is open again. Then open versions
+    of changed keys close the day before ``run_date`` and the changed rows
+    open on it. One left join on the key against the day's change set (no
+    per-key sort), so a key with many versions does not serialise into one task.
     """
-    changed = changes.select(F.col(key).alias("__ck")).distinct().withColumn("__chg", F.lit(True))
-    h = history.join(changed, history[key] == F.col("__ck"), "left")
-    close = (F.col(end) == F.lit(open_end)) & F.col("__chg").isNotNull()
-    closed = h.select(*[F.when(close, F.date_format(F.date_sub(F.lit(run_date).cast("date"), 1), "yyyy-MM-dd"))
-                         .otherwise(F.col(end)).alias(end) if c == end else F.col(c) for c in history.columns])
-    opened = changes.select(*[F.lit(run_date).alias(start) if c == start else
-                              F.lit(open_end).alias(end) if c == end else F.col(c) for c in history.columns])
+    before = F.date_format(F.date_sub(F.lit(run_date).cast("date"), 1), "yyyy-MM-dd")
+    last = latest_per_key(changes, [key], order or [c for c in changes.columns if c not in (key, start, end)])
+    changed = last.select(F.col(key).alias("__ck"), F.lit(True).alias("__chg"))
+    undone = history.where(F.col(start) == run_date).select(F.col(key).alias("__ck"), F.lit(True).alias("__undo"))
+    touched = changed.join(undone.distinct(), "__ck", "full_outer")
+    h = history.where(~F.col(start).eqNullSafe(F.lit(run_date))).join(touched, F.col(key) == F.col("__ck"), "left")
+    was = F.when(F.col("__undo") & (F.col(end) == before), F.lit(open_end)).otherwise(F.col(end))
+    now = F.when((was == open_end) & F.col("__chg"), before).otherwise(was)
+    closed = h.select(*[now.alias(end) if c == end else F.col(c) for c in history.columns])
+    opened = last.select(*[F.lit(run_date).alias(start) if c == start else
+                           F.lit(open_end).alias(end) if c == end else F.col(c) for c in history.columns])
     return closed.unionByName(opened)

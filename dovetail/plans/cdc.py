@@ -4,6 +4,8 @@ day-bucket sinks. The streaming versions live in ``plans.streams``."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from dovetail.registry import query
 from dovetail.sources import envelopes as E
 from dovetail.sources.literal import literal_table
 from dovetail.sources.tables import load
+from dovetail.streaming.runner import Topic, current, merge_batch, run_foreach_batch
 
 # Retail code dictionary (dic_code, dic_name); names descriptive.
 RETAIL_DIC = [("1103", "card payment"), ("1502", "refund only"), ("1301", "quality issue"),
@@ -104,7 +107,7 @@ def cdc_normalise(spark, sf_dir):
                   WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND l_returnflag = 'R'
         UNION ALL SELECT 'refund_payment' FROM ({LINES}) r
                   WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND l_returnflag = 'R'
-        UNION ALL SELECT 'comment_info' FROM documents JOIN orders ON doc_id = o_orderkey) u
+        UNION ALL SELECT 'comment_info' FROM documents) u
     GROUP BY tbl""")
 def cdc_route_table(spark, sf_dir):
     """Route every envelope by ``source.table``, keep rows with a non-empty
@@ -278,12 +281,18 @@ def cdc_refund_pay(spark, sf_dir):
                 WHEN o_orderstatus = 'F' THEN 60000
                 WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 120000 ELSE 0 END AS ts_ms
     FROM orders""")
-def sink_upsert_latest(spark, sf_dir):
-    """Upsert topic semantics: the last value per primary key wins
-    (``max_by`` on event time; partial aggregation map-side)."""
+def sink_upsert_latest(spark, sf_dir, **how):
+    """Upsert sink: a stream of order changes, each micro-batch merged into
+    the stored table, where the last value per primary key wins (``max_by`` on
+    event time; partial aggregation map-side)."""
     o = E.of_table(E.order_envelopes(spark, sf_dir), "order_info").select(
         F.col("after")["id"].alias("id"), F.col("after")["order_status"].alias("order_status"), "ts_ms")
-    return latest_per_key(o, ["id"], ["ts_ms"])
+
+    def write(batch: DataFrame, bid: int, out: str):
+        merge_batch(os.path.join(out, "table"), batch, bid, lambda rows: latest_per_key(rows, ["id"], ["ts_ms"]))
+
+    out = run_foreach_batch(spark, [Topic("orders", o, F.col("ts_ms"))], lambda x: x, "upsert", write, **how)
+    return spark.read.parquet(current(spark, os.path.join(out, "table")))
 
 
 def cart_rows(env: DataFrame) -> DataFrame:
@@ -299,13 +308,13 @@ def cart_rows(env: DataFrame) -> DataFrame:
                     F.when(~upd, a["sku_name"]).alias("sku_name"), "ts_ms")
 
 
-def partial_update(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """Per key, each column takes its latest non-null value by ``seq``
-    (max of ``struct(seq, value)`` over non-null values: one aggregate)."""
-    vals = [c for c in rows.columns if c not in keys and c != seq]
-    aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(seq).alias("s"), F.col(c).alias("v"))))["v"].alias(c)
-            for c in vals]
-    return rows.groupBy(*keys).agg(*aggs, F.max(seq).alias(seq))
+def partial_update(rows: DataFrame, keys: list[str], values: list[str], seq: str) -> DataFrame:
+    """Per key, each column takes its latest non-null value by the number in
+    its own ``<column>_at`` (max of ``struct(at, value)``: one aggregate). The
+    numbers stay with the values, so the result can be merged again."""
+    best = [F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}_at").alias("at"), F.col(c).alias("v")))).alias(c) for c in values]
+    g = rows.groupBy(*keys).agg(*best, F.max(seq).alias(seq))
+    return g.select(*keys, *[F.col(c)["v"].alias(c) for c in values], *[F.col(c)["at"].alias(f"{c}_at") for c in values], seq)
 
 
 @query("sink_partial_update", f"""
@@ -318,8 +327,18 @@ def partial_update(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:
                  sku_num, CASE WHEN op <> 'u' THEN 'sku-' || CAST(sku_id AS VARCHAR) END AS sku_name, ts_ms
           FROM ({CART_SQL}) x WHERE op <> 'd') r
     GROUP BY id, ds""")
-def sink_partial_update(spark, sf_dir):
-    return partial_update(cart_rows(E.line_envelopes(spark, sf_dir)), ["id", "ds"], "ts_ms")
+def sink_partial_update(spark, sf_dir, **how):
+    """Partial-update sink: cart changes as a stream, each micro-batch merged
+    column by column into the stored rows."""
+    values = ["user_id", "sku_id", "sku_num", "sku_name"]
+    rows = cart_rows(E.line_envelopes(spark, sf_dir, tables={"cart_info"}))
+    rows = rows.select("id", "ds", *values, *[F.col("ts_ms").alias(f"{c}_at") for c in values], "ts_ms")
+
+    def write(batch: DataFrame, bid: int, out: str):
+        merge_batch(os.path.join(out, "table"), batch, bid, lambda r: partial_update(r, ["id", "ds"], values, "ts_ms"))
+
+    out = run_foreach_batch(spark, [Topic("cart", rows, F.col("ts_ms"))], lambda x: x, "partial_update", write, **how)
+    return spark.read.parquet(current(spark, os.path.join(out, "table"))).select("id", "ds", *values, "ts_ms")
 
 
 def day_bucket(epoch_text):
@@ -357,26 +376,27 @@ def sink_day_bucket(spark, sf_dir):
 
 def config_changes(spark, sf_dir) -> DataFrame:
     """Routing-config change log derived from part types: every type creates
-    its sink at its first part key, types with more than 330 parts update it
-    at their last key, the PROMO sink is deleted after that."""
+    its sink at its first part key, types with a large part (size over 45)
+    update it at the last such part, the PROMO sink is deleted at the end.
+    Times are part keys, doubled so that two changes never coincide."""
     p = load(spark, sf_dir, "part")
-    g = p.groupBy("p_type").agg(F.min("p_partkey").alias("lo"), F.max("p_partkey").alias("hi"),
-                                F.count("*").alias("n"))
+    g = p.groupBy("p_type").agg((2 * F.min("p_partkey")).alias("lo"), (2 * F.max("p_partkey")).alias("hi"),
+                                (2 * F.max(F.when(F.col("p_size") > 45, F.col("p_partkey"))) + 1).alias("large"))
     sink = F.concat(F.lit("dim_"), F.lower("p_type"))
     c = g.select(sink.alias("sink_table"), F.lit("c").alias("op"), F.col("lo").alias("ts"),
                  F.lit("id,name").alias("sink_columns"))
-    u = g.where(F.col("n") > 330).select(sink.alias("sink_table"), F.lit("u").alias("op"), F.col("hi").alias("ts"),
+    u = g.where("large is not null").select(sink.alias("sink_table"), F.lit("u").alias("op"), F.col("large").alias("ts"),
                                          F.lit("id,name,size").alias("sink_columns"))
     d = g.where(F.col("p_type") == "PROMO").select(sink.alias("sink_table"), F.lit("d").alias("op"),
-                                                   (F.col("hi") + 1).alias("ts"), F.lit(None).cast("string").alias("sink_columns"))
+                                                   (F.col("hi") + 2).alias("ts"), F.lit(None).cast("string").alias("sink_columns"))
     return c.unionByName(u).unionByName(d)
 
 
 @query("dim_sink_lifecycle", """
-    WITH g AS (SELECT 'dim_' || lower(p_type) AS sink_table, min(p_partkey) AS lo, max(p_partkey) AS hi,
-                      count(*) AS n, p_type FROM part GROUP BY p_type)
-    SELECT sink_table, CASE WHEN n > 330 THEN 'id,name,size' ELSE 'id,name' END AS sink_columns,
-           CASE WHEN n > 330 THEN 2 ELSE 1 END AS version
+    WITH g AS (SELECT 'dim_' || lower(p_type) AS sink_table, count(*) FILTER (WHERE p_size > 45) AS large, p_type
+               FROM part GROUP BY p_type)
+    SELECT sink_table, CASE WHEN large > 0 THEN 'id,name,size' ELSE 'id,name' END AS sink_columns,
+           CASE WHEN large > 0 THEN 2 ELSE 1 END AS version
     FROM g WHERE p_type <> 'PROMO'""")
 def dim_sink_lifecycle(spark, sf_dir):
     """Active sinks from the config change log: latest op per sink decides;
@@ -403,14 +423,14 @@ def comments(spark, sf_dir) -> DataFrame:
     SELECT doc_id AS id, o_custkey AS user_id, '120' || CAST(CAST(trunc(least(n_chars / 2000, 3)) AS INTEGER) + 1 AS VARCHAR)
                AS appraise,
            coalesce(d.name, 'N/A') AS appraise_name, CAST(o_orderkey AS VARCHAR) AS info_order_id,
-           '1001' AS info_order_status, CAST(o_totalprice AS DECIMAL(16,2)) AS info_total_amount,
+           CASE WHEN o_orderkey IS NOT NULL THEN '1001' END AS info_order_status, CAST(o_totalprice AS DECIMAL(16,2)) AS info_total_amount,
            strftime(o_orderdate, '%Y-%m-%d') AS ds
-    FROM documents JOIN orders ON doc_id = o_orderkey
+    FROM documents LEFT JOIN orders ON doc_id = o_orderkey
     LEFT JOIN d ON d.id = '120' || CAST(CAST(trunc(least(n_chars / 2000, 3)) AS INTEGER) + 1 AS VARCHAR)""")
 def comment_fact(spark, sf_dir):
     """Comments: appraise code decoded with ``N/A`` on a miss (left lookup),
-    interval-joined (±1 min) to the order snapshot, order columns prefixed
-    ``info_``, plus a day column."""
+    left interval-joined (±1 min) to the order snapshot, order columns
+    prefixed ``info_``, plus a day column."""
     c = decode(comments(spark, sf_dir), "appraise", rdic(spark), "appraise_name", unique=True, default="N/A")
     a = F.col("after")
     o = E.of_table(E.order_envelopes(spark, sf_dir), "order_info").where(F.col("op") == "r").select(
@@ -419,7 +439,7 @@ def comment_fact(spark, sf_dir):
     info = prefixed(o, "info_")
     left = c.withColumnRenamed("order_id", "k")
     right = info.withColumnRenamed("info_order_id", "k").withColumn("info_order_id", F.col("k"))
-    j = interval_join(left, right, "k", "ts", "info_ots", "-1 minutes", "1 minutes")
+    j = interval_join(left, right, "k", "ts", "info_ots", "-1 minutes", "1 minutes", how="left")
     return j.select(F.col("l.id").alias("id"), F.col("l.user_id").alias("user_id"), F.col("l.appraise").alias("appraise"),
                     F.col("l.appraise_name").alias("appraise_name"), F.col("r.info_order_id").alias("info_order_id"),
                     F.col("r.info_order_status").alias("info_order_status"),

@@ -259,14 +259,13 @@ def dim_sku_full(spark, sf_dir):
     (``collect_set`` of structs, sorted, serialised as JSON text)."""
     p = load(spark, sf_dir, "part")
     li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus")
-    attr = li.groupBy(F.col("l_partkey").alias("__a")).agg(F.to_json(F.array_sort(F.collect_set(F.struct(
-        F.lit("returnflag").alias("attr_id"), F.col("l_returnflag").alias("value_id"),
-        F.lit("return flag").alias("attr_name"), F.concat(F.lit("flag "), "l_returnflag").alias("value_name")))))
-        .alias("attrs"))
-    sale = li.groupBy(F.col("l_partkey").alias("__s")).agg(F.to_json(F.array_sort(F.collect_set(F.struct(
-        F.lit("linestatus").alias("sale_attr_id"), F.col("l_linestatus").alias("sale_attr_value_id"),
-        F.lit("line status").alias("sale_attr_name"),
-        F.concat(F.lit("status "), "l_linestatus").alias("sale_attr_value_name"))))).alias("sale_attrs"))
+    attr = F.struct(F.lit("returnflag").alias("attr_id"), F.col("l_returnflag").alias("value_id"),
+                    F.lit("return flag").alias("attr_name"), F.concat(F.lit("flag "), "l_returnflag").alias("value_name"))
+    sale = F.struct(F.lit("linestatus").alias("sale_attr_id"), F.col("l_linestatus").alias("sale_attr_value_id"),
+                    F.lit("line status").alias("sale_attr_name"),
+                    F.concat(F.lit("status "), "l_linestatus").alias("sale_attr_value_name"))
+    sets = li.groupBy(F.col("l_partkey").alias("__a")).agg(F.to_json(F.array_sort(F.collect_set(attr))).alias("attrs"),
+                                                           F.to_json(F.array_sort(F.collect_set(sale))).alias("sale_attrs"))
     c3 = literal_table(spark, CATEGORY3, "__c3 string, category3_name string, category2_id string")
     c2 = literal_table(spark, CATEGORY2, "__c2 string, category2_name string, category1_id string")
     c1 = literal_table(spark, CATEGORY1, "__c1 string, category1_name string")
@@ -274,8 +273,7 @@ def dim_sku_full(spark, sf_dir):
     j = (p.join(F.broadcast(c3), p.p_type == F.col("__c3"), "left")
           .join(F.broadcast(c2), F.col("category2_id") == F.col("__c2"), "left")
           .join(F.broadcast(c1), F.col("category1_id") == F.col("__c1"), "left")
-          .join(attr, p.p_partkey == F.col("__a"), "left")
-          .join(sale, p.p_partkey == F.col("__s"), "left"))
+          .join(sets, p.p_partkey == F.col("__a"), "left"))
     return j.select(
         F.col("p_partkey").alias("id"), F.col("p_retailprice").cast("decimal(16,2)").alias("price"),
         F.col("p_name").alias("sku_name"), F.col("p_size").cast("decimal(16,2)").alias("weight"),

@@ -14,7 +14,8 @@ from dovetail.sources.model_sql import with_model
 
 FACT_COLS = ["order_id", "line_no", "cargo_type", "cargo_type_name", "weight", "order_no", "status",
              "status_name", "collect_type", "collect_type_name", "payment_type", "payment_type_name",
-             "user_id", "sender_district_id", "sender_city_id", "amount"]
+             "user_id", "sender_district_id", "sender_city_id", "receiver_district_id", "amount", "volume",
+             "distance"]
 
 
 def _day_bounds(col: str, days: tuple[str, str] | None):
@@ -28,7 +29,7 @@ def _day_bounds(col: str, days: tuple[str, str] | None):
 
 def order_detail(spark: SparkSession, sf_dir: str, time_col: str = "create_time",
                  excluded: list[str] | None = None, only: list[str] | None = None,
-                 days: tuple[str, str] | None = None, lean: bool = False) -> DataFrame:
+                 days: tuple[str, str] | None = None, lean: bool = False, with_city: bool = True) -> DataFrame:
     """Cargo lines joined to their order and decoded.
 
     ``excluded``/``only`` select milestone status codes; ``time_col`` is the
@@ -39,7 +40,7 @@ def order_detail(spark: SparkSession, sf_dir: str, time_col: str = "create_time"
     no decodes).
     """
     o = model.order_info(spark, sf_dir)
-    c = model.order_cargo(spark, sf_dir, with_type=not lean, with_city=not lean)
+    c = model.order_cargo(spark, sf_dir, with_type=not lean, with_city=with_city and not lean)
     if time_col == "create_time":
         o = o.where(_day_bounds("create_time", days))
     else:
@@ -51,14 +52,17 @@ def order_detail(spark: SparkSession, sf_dir: str, time_col: str = "create_time"
     j = c.join(o, "order_id", "inner")
     ev = F.col(time_col)
     if lean:
-        return j.select("order_id", "line_no", "status", "sender_district_id", "amount",
+        return j.select("order_id", "line_no", "status", "sender_district_id", "receiver_district_id", "amount",
                         F.date_format(ev, "yyyy-MM-dd").alias("dt"))
     d = model.dic(spark)
     j = decode(j, "cargo_type", d, "cargo_type_name", unique=True)
     j = decode(j, "status", d, "status_name", unique=True)
     j = decode(j, "collect_type", d, "collect_type_name", unique=True)
     j = decode(j, "payment_type", d, "payment_type_name", unique=True)
-    return j.select(*FACT_COLS, F.date_format(ev, "yyyy-MM-dd HH:mm:ss").alias("event_time"),
+    return j.select(*FACT_COLS, mask_name(F.col("receiver_name")).alias("receiver_name"),
+                    F.date_format("create_time", "yyyy-MM-dd HH:mm:ss").alias("order_time"),
+                    F.date_format("estimate_arrive_date", "yyyy-MM-dd").alias("estimate_arrive_date"),
+                    F.date_format(ev, "yyyy-MM-dd HH:mm:ss").alias("event_time"),
                     F.date_format(ev, "yyyy-MM-dd").alias("dt"))
 
 
@@ -68,7 +72,10 @@ def order_detail_sql(time_col: str = "create_time", where: str = "TRUE") -> str:
         SELECT c.order_id, c.line_no, c.cargo_type, d1.name AS cargo_type_name, c.weight, o.order_no,
                o.status, d2.name AS status_name, o.collect_type, d3.name AS collect_type_name,
                o.payment_type, d4.name AS payment_type_name, o.user_id, c.sender_district_id,
-               c.sender_city_id, o.amount,
+               c.sender_city_id, o.receiver_district_id, o.amount, c.volume, c.distance,
+               substr(o.receiver_name, 1, 1) || '*' AS receiver_name,
+               strftime(o.create_time, '%Y-%m-%d %H:%M:%S') AS order_time,
+               strftime(o.estimate_arrive_date, '%Y-%m-%d') AS estimate_arrive_date,
                strftime({time_col}, '%Y-%m-%d %H:%M:%S') AS event_time,
                strftime({time_col}, '%Y-%m-%d') AS dt
         FROM order_cargo c JOIN order_info o ON c.order_id = o.order_id
@@ -93,7 +100,7 @@ def fact_order_detail(spark, sf_dir):
 def dict_decode(spark, sf_dir):
     """Same dictionary decoded under four roles (cargo, status, collect, payment),
     each a left join on its own code column."""
-    return order_detail(spark, sf_dir).select("order_id", "line_no", "cargo_type_name", "status_name",
+    return order_detail(spark, sf_dir, with_city=False).select("order_id", "line_no", "cargo_type_name", "status_name",
                                               "collect_type_name", "payment_type_name")
 
 
@@ -135,7 +142,10 @@ def fact_order_cancel(spark, sf_dir):
 
 
 @query("fact_order_process", with_model("""
-    SELECT c.order_id, c.line_no, c.cargo_type, o.status,
+    SELECT c.order_id, c.line_no, c.cargo_type, o.status, o.order_no, o.collect_type, o.payment_type, o.user_id,
+           c.sender_district_id, o.receiver_district_id, substr(o.receiver_name, 1, 1) || '*' AS receiver_name,
+           o.amount, c.weight, c.volume, c.distance,
+           strftime(o.estimate_arrive_date, '%Y-%m-%d') AS estimate_arrive_date,
            strftime(o.create_time, '%Y-%m-%d') AS start_date,
            CASE WHEN o.status IN ('60020', '60030') THEN strftime(c.update_time, '%Y-%m-%d')
                 ELSE '9999-12-31' END AS end_date,
@@ -146,11 +156,14 @@ def fact_order_process(spark, sf_dir):
     """Accumulating snapshot: closed rows land in their end-day partition,
     open rows in ``9999-12-31`` (re-written when they close)."""
     o = model.order_info(spark, sf_dir)
-    c = model.order_cargo(spark, sf_dir)
+    c = model.order_cargo(spark, sf_dir, with_city=False)
     end = F.when(F.col("status").isin("60020", "60030"), F.date_format("update_time", "yyyy-MM-dd")) \
         .otherwise(F.lit("9999-12-31"))
     return (c.join(o, "order_id").select(
-        "order_id", "line_no", "cargo_type", "status",
+        "order_id", "line_no", "cargo_type", "status", "order_no", "collect_type", "payment_type", "user_id",
+        "sender_district_id", "receiver_district_id", mask_name(F.col("receiver_name")).alias("receiver_name"),
+        "amount", "weight", "volume", "distance",
+        F.date_format("estimate_arrive_date", "yyyy-MM-dd").alias("estimate_arrive_date"),
         F.date_format("create_time", "yyyy-MM-dd").alias("start_date"),
         end.alias("end_date"), end.alias("dt")))
 
@@ -174,8 +187,9 @@ def fact_trans_finish(spark, sf_dir):
     return trans_finish(spark, sf_dir)
 
 
-def trans_finish(spark, sf_dir):
-    t = model.transport_task(spark, sf_dir).where(F.col("actual_end_time").isNotNull())
+def trans_finish(spark, sf_dir, days=None):
+    """``days``: the window of end days the caller keeps (pushed to the scan)."""
+    t = model.transport_task(spark, sf_dir, days).where(F.col("actual_end_time").isNotNull())
     fmt = "yyyy-MM-dd HH:mm:ss"
     start, end = millis_to_ts(F.col("actual_start_time")), millis_to_ts(F.col("actual_end_time"))
     utc = F.current_timezone()
@@ -193,8 +207,8 @@ def trans_finish(spark, sf_dir):
     )
 
 
-def _bound(spark, sf_dir, time_col):
-    b = model.order_org_bound(spark, sf_dir).where(F.col(time_col).isNotNull())
+def _bound(spark, sf_dir, time_col, days=None):
+    b = model.order_org_bound(spark, sf_dir, days).where(F.col(time_col).isNotNull())
     ts = F.to_utc_timestamp(millis_to_ts(F.col(time_col)), F.current_timezone())
     return b.select("order_id", "org_id", F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias(time_col),
                     F.date_format(ts, "yyyy-MM-dd").alias("dt"))

@@ -30,11 +30,12 @@ def gps_envelopes(spark, sf_dir):
     return e.select(F.when(F.col("event_type") == "purchase", "c").otherwise("r").alias("op"), after.alias("after"))
 
 
-def flatten(env):
+def flatten(env, live: bool = False):
+    """Lift the nested location; snapshot rows only, or with the live ones."""
     a = F.col("after")
     loc = a["upexgmsgreallocation"]
     reg = a["upexgmsgregister"].isNotNull()
-    return env.where(F.col("op") == "r").select(
+    return (env if live else env.where(F.col("op") == "r")).select(
         a["vehicle_id"].alias("vehicle_id"), loc["msgId"].alias("msg_id"), loc["lon"].alias("lon"),
         loc["lat"].alias("lat"), loc["direction"].alias("direction"), loc["dateTime"].alias("date_time"),
         F.when(reg, F.lit(0).cast("bigint")).otherwise(compact_to_millis(loc["dateTime"])).alias("ts_ms"),
@@ -67,18 +68,16 @@ def gps_flatten(spark, sf_dir):
 
 @query("track_length")
 def track_length(spark, sf_dir):
-    """Distance driven per vehicle and day: consecutive fixes paired with
-    ``lag`` inside (vehicle, day) partitions -- a day bounds each window
-    partition even for a vehicle holding a third of the fixes -- then the
-    ellipsoid distance as an Arrow UDF and a sum. Rows-only check: the
-    iterative geodesic has no SQL twin."""
-    pts = flatten(gps_envelopes(spark, sf_dir)).where((F.col("day") != "99991231") & (F.col("ts_ms") > 0))
+    """Distance driven per vehicle and day, over snapshot and live fixes:
+    consecutive fixes paired with ``lag`` inside (vehicle, day) partitions --
+    a day bounds each window partition even for a vehicle holding a third of
+    the fixes -- then the ellipsoid distance as an Arrow UDF, and one
+    aggregate for count and sum (the first fix of a day adds no distance).
+    Rows-only check: the iterative geodesic has no SQL twin."""
+    pts = flatten(gps_envelopes(spark, sf_dir), live=True).where((F.col("day") != "99991231") & (F.col("ts_ms") > 0))
     w = Window.partitionBy("vehicle_id", "day").orderBy("ts_ms", "msg_id")
-    pairs = pts.select("vehicle_id", "day", "lon", "lat", F.lag("lon").over(w).alias("plon"),
-                       F.lag("lat").over(w).alias("plat"))
-    seg = pairs.where(F.col("plon").isNotNull()).select(
-        "vehicle_id", "day", vincenty_m(F.col("plon"), F.col("plat"), F.col("lon"), F.col("lat")).alias("m"))
-    fixes = pts.groupBy("vehicle_id", "day").agg(F.count("*").alias("n_fixes"))
-    dist = seg.groupBy("vehicle_id", "day").agg(F.sum("m").alias("track_m"))
-    return fixes.join(dist, ["vehicle_id", "day"], "left").select(
-        "vehicle_id", "day", "n_fixes", F.coalesce("track_m", F.lit(0.0)).alias("track_m"))
+    lon, lat = F.col("lon"), F.col("lat")
+    pairs = pts.select("vehicle_id", "day", "lon", "lat", F.coalesce(F.lag("lon").over(w), lon).alias("plon"),
+                       F.coalesce(F.lag("lat").over(w), lat).alias("plat"))
+    return pairs.groupBy("vehicle_id", "day").agg(
+        F.count("*").alias("n_fixes"), F.sum(vincenty_m(F.col("plon"), F.col("plat"), lon, lat)).alias("track_m"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from dovetail.plans.reports import report_orders, windows_sql
@@ -128,10 +129,10 @@ def copy_reconcile(spark, sf_dir):
         src, dst = os.path.join(base, name), os.path.join(base, name + "_copy")
         try:
             t = load(spark, sf_dir, name).withColumn("dt", F.lit("2000-01-01"))
-            io.write_partitions(t, src)
-        except (KeyError, Exception):  # noqa: BLE001 - unreadable source
+        except (KeyError, AnalysisException):  # no such table, or no such path
             rows.append((name, None, None, "failed"))
             continue
+        io.write_partitions(t, src)
         if name == "supplier":   # target day present before the copy
             io.write_partitions(t.withColumn("dt", F.lit(NEW_DT)), dst)
         if io.partition_exists(spark, dst, NEW_DT):

@@ -115,7 +115,8 @@ def apply_scores(df: DataFrame, families: dict[str, "F.Column"], keys: list[str]
     gives unknown values no score rows (the reference leaves them unset)."""
     known = F.create_map(*[F.lit(x) for f, v, _ in FACTORS if v != "*" for x in (f"{f}|{v}", True)])
     pairs = F.array(*[F.struct(F.lit(f).alias("family"), c.cast("string").alias("value")) for f, c in families.items()])
-    ex = df.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.family", "p.value")
+    # a value that is not there scores nothing, not even by the family's '*' row
+    ex = df.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.family", "p.value").where("value is not null")
     key = F.when(known[F.concat_ws("|", "family", "value")].isNotNull(), F.col("value")).otherwise(F.lit("*"))
     s = F.broadcast(scores(spark).select(F.col("family").alias("__f"), F.col("value").alias("__v"), "band", "score"))
     return ex.withColumn("__key", key).join(s, (F.col("family") == F.col("__f")) & (F.col("__key") == F.col("__v"))) \
@@ -134,7 +135,8 @@ def _score_sql(src: str, family: str, value_expr: str, keys: str) -> str:
     known = ", ".join(f"'{v}'" for v in _known(family))
     return f"""SELECT {keys}, '{family}' AS family, {value_expr} AS value, s.band, s.score
                FROM ({src}) x JOIN ({SCORES_SQL}) s ON s.family = '{family}'
-                AND s.value = CASE WHEN {value_expr} IN ({known}) THEN {value_expr} ELSE '*' END"""
+                AND s.value = CASE WHEN {value_expr} IN ({known}) THEN {value_expr} ELSE '*' END
+               WHERE {value_expr} IS NOT NULL"""
 
 
 # -- device & search (base2) ----------------------------------------------------------------------
@@ -207,9 +209,11 @@ def order_scores(spark, sf_dir):
                    (F.col("o_orderdate") + F.make_interval(hours=(F.col("o_totalprice").cast("bigint") % 24)
                                                            .cast("int"))).alias("pay_time"))
     det = li.select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    # a detail line is created l_linenumber seconds after its order's payment:
-    # the +-2 minute bound of the interval join is one residual predicate
-    detail_time = F.col("l.pay_time") + F.make_interval(secs=F.col("r.l_linenumber").cast("decimal(18,6)"))
+    # a detail line is created l_linenumber seconds after its order's payment, a
+    # large one (quantity over 44) ten minutes later: outside the +-2 minute
+    # bound of the interval join, which is one residual predicate
+    late = F.when(F.col("r.l_quantity") > 44, F.lit(600)).otherwise(F.lit(0))
+    detail_time = F.col("l.pay_time") + F.make_interval(secs=(F.col("r.l_linenumber") + late).cast("decimal(18,6)"))
     j = pay.alias("l").join(det.alias("r"), (F.col("l.k") == F.col("r.k"))
                             & detail_time.between(F.col("l.pay_time") - F.expr("INTERVAL 2 MINUTES"),
                                                   F.col("l.pay_time") + F.expr("INTERVAL 2 MINUTES")))
@@ -237,7 +241,7 @@ ORDER_BASE_SQL = f"""
         SELECT o_custkey AS user_id, o_orderkey AS order_id, o_totalprice / 100 AS total_amount,
                o_orderdate + to_hours(CAST(trunc(o_totalprice) AS BIGINT) % 24) AS pay_time,
                l_linenumber AS line_no, l_partkey AS sku_id, l_suppkey AS supp, l_quantity AS qty
-        FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey AND l_quantity <= 44),
     latest AS (SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY user_id
                ORDER BY pay_time DESC, order_id DESC, line_no DESC, sku_id DESC, supp DESC, qty DESC) = 1)
     SELECT user_id, {_SLOT_SQL} AS slot,

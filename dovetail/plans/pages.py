@@ -47,20 +47,24 @@ def payments(spark, sf_dir) -> DataFrame:
                     F.get_json_object("props", "$.k").cast("int").alias("product_id"))
 
 
-def guided(clicks: DataFrame, pays: DataFrame) -> DataFrame:
-    """(click, payment) pairs: same user, payment in [click, click + 24 h].
-
-    Equi-join on (user, day) with the click side fanned out to its own day
-    and the next one, then the exact range as residual: each user's
-    candidate payments are limited to two days, so a hot user does not
-    produce a cross product of its whole history; AQE splits skewed keys.
+def guided(clicks: DataFrame, pays: DataFrame, by: tuple[str, ...] = ("page_id", "module_id")) -> DataFrame:
+    """Payments within 24 hours after one of the user's clicks, for every
+    ``by``; a payment comes at most twice for one of them (make it distinct).
+
+    Clicks are first reduced to the first and last of a user, ``by`` and day.
+    A payment follows one of its own day's clicks if it follows the first, and
+    one of the day before by at most 24 hours if it does so for the last: the
+    same answer as all (click, payment) pairs, none of which are made. Equi-join
+    on (user, day); adaptive execution splits skewed keys.
     """
-    c = clicks.withColumn("__day", F.explode(F.array(F.to_date("click_time"),
-                                                     F.date_add(F.to_date("click_time"), 1))))
+    day = F.to_date("click_time")
+    c = clicks.groupBy("user_id", *by, day.alias("__of")).agg(F.min("click_time").alias("__first"), F.max("click_time").alias("__last"))
+    c = c.withColumn("__day", F.explode(F.array(F.col("__of"), F.date_add("__of", 1))))
     p = pays.withColumn("__pday", F.to_date("pay_time"))
-    cond = ((c.user_id == p.pay_user) & (c["__day"] == p["__pday"]) & (p.pay_time >= c.click_time)
-            & (p.pay_time <= c.click_time + F.expr("INTERVAL 1 DAY")))
-    return c.join(p, cond).drop("__day", "__pday")
+    cond = ((c.user_id == p.pay_user) & (c["__day"] == p["__pday"])
+            & F.when(F.col("__day") == F.col("__of"), p.pay_time >= F.col("__first"))
+               .otherwise(p.pay_time <= F.col("__last") + F.expr("INTERVAL 1 DAY")))
+    return c.join(p, cond).drop("__of", "__day", "__pday", "__first", "__last")
 
 
 GUIDED_SQL = f"""
@@ -176,7 +180,7 @@ def page_guide_detail(spark, sf_dir):
     and amount (each payment once per page). Pages without any guided
     payment stay, with a null product."""
     b = behaviour(spark, sf_dir)
-    g = guided(b.select("page_id", "user_id", "click_time"), payments(spark, sf_dir))
+    g = guided(b.select("page_id", "user_id", "click_time"), payments(spark, sf_dir), by=("page_id",))
     agg = (g.select("page_id", "product_id", "pay_id", "pay_user", "pay_amount").distinct()
             .groupBy("page_id", "product_id").agg(F.countDistinct("pay_user").alias("guide_visitor_count"),
                                                   F.count("pay_id").alias("guide_pay_count"),

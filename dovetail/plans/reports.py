@@ -126,7 +126,7 @@ _TRIPS = ("trans_finish_count", "trans_finish_distance", "trans_finish_dur_sec")
 
 @query("report_trans_stats", with_model(windows_sql(R_.TRIPS_1D_SQL, "", _TRIP_MEASURES), *_MT))
 def report_trans_stats(spark, sf_dir):
-    return windows(R_.trips_1d(spark, sf_dir), [], _sum(*_TRIPS))
+    return windows(R_.trips_1d(spark, sf_dir, days=_days()), [], _sum(*_TRIPS))
 
 
 def _avg_cols():
@@ -143,7 +143,7 @@ _AVG_SQL = ("CAST(trans_finish_distance AS DOUBLE) / NULLIF(CAST(trans_finish_co
     SELECT *, {_AVG_SQL} FROM ({windows_sql(R_.TRIPS_1D_SQL, 'truck_model_type, truck_model_type_name',
                                             _TRIP_MEASURES)}) x""", *_MT))
 def report_truck_stats(spark, sf_dir):
-    w = windows(R_.trips_1d(spark, sf_dir), ["truck_model_type", "truck_model_type_name"], _sum(*_TRIPS))
+    w = windows(R_.trips_1d(spark, sf_dir, days=_days()), ["truck_model_type", "truck_model_type_name"], _sum(*_TRIPS))
     return w.select("*", *_avg_cols())
 
 
@@ -180,19 +180,18 @@ def report_line_stats(spark, sf_dir):
     GROUP BY dt, recent_days, driver_id""", "transport_task", "organ", "dic"))
 def report_driver_stats(spark, sf_dir):
     """Single-driver trips count fully; a two-driver trip gives each driver
-    one trip and half its distance and duration (``explode`` of a struct
-    array). UNION ALL: equal trips must not collapse before the sum."""
+    one trip and half its distance and duration."""
     s = R_.shift_nd(spark, sf_dir)
-    single = s.where(F.col("driver2_emp_id").isNull()).select(
-        "dt", "recent_days", F.col("driver1_emp_id").alias("driver_id"), "trans_finish_count",
-        F.col("trans_finish_distance").cast("decimal(38,3)").alias("trans_finish_distance"),
-        F.col("trans_finish_dur_sec").cast("decimal(38,1)").alias("trans_finish_dur_sec"))
-    pair = s.where(F.col("driver2_emp_id").isNotNull()).select(
-        "dt", "recent_days", F.explode(F.array("driver1_emp_id", "driver2_emp_id")).alias("driver_id"),
-        "trans_finish_count",
-        (F.col("trans_finish_distance") * F.lit(HALF)).cast("decimal(38,3)").alias("trans_finish_distance"),
-        (F.col("trans_finish_dur_sec") * F.lit(HALF)).cast("decimal(38,1)").alias("trans_finish_dur_sec"))
-    g = single.unionByName(pair).groupBy("dt", "recent_days", "driver_id").agg(*[F.sum(c).alias(c) for c in _TRIPS])
+    # one pass: a row gives its driver the whole trip, or each of two drivers half of it
+    shared = F.col("driver2_emp_id").isNotNull()
+    drivers = F.when(shared, F.array("driver1_emp_id", "driver2_emp_id")).otherwise(F.array("driver1_emp_id"))
+
+    def part(c: str, kind: str):
+        return F.when(shared, (F.col(c) * F.lit(HALF)).cast(kind)).otherwise(F.col(c).cast(kind)).alias(c)
+
+    g = s.select("dt", "recent_days", F.explode(drivers).alias("driver_id"), "trans_finish_count",
+                 part("trans_finish_distance", "decimal(38,3)"), part("trans_finish_dur_sec", "decimal(38,1)"))
+    g = g.groupBy("dt", "recent_days", "driver_id").agg(*[F.sum(c).alias(c) for c in _TRIPS])
     return g.select("*", *_avg_cols())
 
 
@@ -200,7 +199,7 @@ def report_driver_stats(spark, sf_dir):
 
 def _trips_area_1d(spark, sf_dir):
     """Trips per org with the org's city (district -> city walk)."""
-    t = R_.trips_1d(spark, sf_dir)
+    t = R_.trips_1d(spark, sf_dir, days=_days())
     org = model.organ(spark, sf_dir).select(F.col("id").alias("__oid"), "region_id")
     j = t.join(maybe_broadcast(org), t.org_id == F.col("__oid"), "left")
     return hierarchy(j, "region_id", model.region_info(spark, sf_dir), ["city"])
@@ -239,7 +238,7 @@ def report_org_stats(spark, sf_dir):
 
 def _express(spark, sf_dir, keys):
     parts = [windows(R_.deliver_1d(spark, sf_dir, days=_days()), keys, {"deliver_suc_count": F.sum("order_count")}),
-             windows(R_.org_sort_1d(spark, sf_dir), keys, {"sort_count": F.sum("sort_count")})]
+             windows(R_.org_sort_1d(spark, sf_dir, days=_days()), keys, {"sort_count": F.sum("sort_count")})]
     if keys:
         parts.append(windows(R_.receive_1d(spark, sf_dir, days=_days()), keys,
                              {"receive_order_count": F.sum("order_count"),

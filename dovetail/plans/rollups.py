@@ -156,16 +156,17 @@ def rollup_receive_nd(spark, sf_dir):
 
 def deliver_1d(spark, sf_dir, days=None):
     d = by_milestone(spark, sf_dir, MILESTONES["deliver"], days=days, lean=True)
-    distinct = d.select("order_id", "sender_district_id", "dt").distinct()
-    a = _area(distinct, spark, sf_dir, "sender_district_id")
+    # delivered where the receiver is
+    distinct = d.select("order_id", "receiver_district_id", "dt").distinct()
+    a = _area(distinct, spark, sf_dir, "receiver_district_id")
     keys = ["org_id", "org_name", "city_id", "city_name", "province_id", "province_name", "dt"]
     return a.groupBy(*keys).agg(F.count("order_id").alias("order_count"))
 
 
 DELIVER_1D_SQL = f"""
     SELECT {_AREA}, count(order_id) AS order_count, dt
-    FROM ({_area_sql(f"SELECT DISTINCT order_id, sender_district_id, dt FROM ({milestone_sql('deliver')})",
-                     'sender_district_id')}) a
+    FROM ({_area_sql(f"SELECT DISTINCT order_id, receiver_district_id, dt FROM ({milestone_sql('deliver')})",
+                     'receiver_district_id')}) a
     GROUP BY {_AREA}, dt"""
 
 
@@ -250,8 +251,8 @@ def model_part(spark, sf_dir):
                                               F.col("p_type").alias("truck_model_type"))
 
 
-def trips_1d(spark, sf_dir):
-    t = trans_finish(spark, sf_dir)
+def trips_1d(spark, sf_dir, days=None):
+    t = trans_finish(spark, sf_dir, days)
     org = _org(spark, sf_dir, ("id", "org_name")).withColumnRenamed("id", "org_id")
     j = t.join(org, t.start_org_id == org.org_id, "left") \
          .join(truck_dim(spark, sf_dir), t.truck_id == F.col("truck_dim_id"), "left")
@@ -286,9 +287,9 @@ def rollup_trips_1d(spark, sf_dir):
 
 # -- sorting by org with level-dependent area ----------------------------------------------------
 
-def org_sort_1d(spark, sf_dir):
+def org_sort_1d(spark, sf_dir, days=None):
     from dovetail.plans.facts import _bound
-    s = _bound(spark, sf_dir, "sort_time").groupBy("org_id", "dt").agg(F.count("*").alias("sort_count"))
+    s = _bound(spark, sf_dir, "sort_time", days).groupBy("org_id", "dt").agg(F.count("*").alias("sort_count"))
     org = model.organ(spark, sf_dir).select(F.col("id").alias("__oid"), "org_name", "org_level", "region_id")
     tree = maybe_broadcast(model.region_info(spark, sf_dir).select("id", "name", "parent_id"))
     r1, r2, r3 = (tree.select(*[F.col(c).alias(f"{a}_{c}") for c in ("id", "name", "parent_id")])
@@ -332,7 +333,7 @@ def rollup_org_sort_1d(spark, sf_dir):
 @query("rollup_sort_nd", with_model(_nd_sql(ORG_SORT_1D_SQL, _AREA, "sum(sort_count) AS sort_count"),
                                     "order_org_bound", "organ", "region_info"))
 def rollup_sort_nd(spark, sf_dir):
-    one = org_sort_1d(spark, sf_dir)
+    one = org_sort_1d(spark, sf_dir, days=_window_days())
     return recent_days(one, _AREA.split(", "), {"sort_count": F.sum("sort_count")}, RUN_DATE) \
         .withColumn("dt", F.lit(RUN_DATE))
 
@@ -340,7 +341,7 @@ def rollup_sort_nd(spark, sf_dir):
 # -- shift x drivers x truck, n days -------------------------------------------------------------
 
 def shift_nd(spark, sf_dir):
-    t = trans_finish(spark, sf_dir)
+    t = trans_finish(spark, sf_dir, days=_window_days())
     keys = ["shift_id", "line_id", "driver1_emp_id", "driver2_emp_id", "truck_id"]
     nd = recent_days(t, keys, {"trans_finish_count": F.count("*"),
                                "trans_finish_distance": F.sum("actual_distance"),

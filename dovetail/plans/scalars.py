@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from dovetail.functions import dates as D
 from dovetail.functions import strings as S
-from dovetail.functions.math import BUCKET_OVERRIDES, hash_bucket, hex_or_decimal
+from dovetail.functions.math import BUCKET_OVERRIDES, hash_bucket, hex_or_decimal, wei_to_ether
 from dovetail.registry import query
 from dovetail.sources import model
 from dovetail.sources.model import RUN_DATE
@@ -135,8 +135,10 @@ def fn_date(spark, sf_dir):
            round(CAST(l_extendedprice AS DECIMAL(16,2)) / 7, 3) AS per_day,
            CAST(floor(l_extendedprice / 1000) AS BIGINT) AS thousands,
            (l_linenumber + 3) * 2 - 1 AS arith,
-           CAST(('0x' || lower(printf('%x', l_orderkey)))::BIGINT AS DECIMAL(38,18)) AS from_hex,
-           CAST(CAST(l_orderkey AS DECIMAL(38,0)) * 1000000000000 / 1000000000000000000 AS DECIMAL(38,18)) AS ether
+           CASE WHEN l_linenumber = 7 THEN '0' WHEN l_linenumber = 6 THEN CAST(l_orderkey AS VARCHAR) || '.5'
+                ELSE CAST(CAST(l_orderkey AS HUGEINT) * CAST(pow(2, 16 * l_linenumber) AS HUGEINT) AS VARCHAR)
+           END AS from_hex,
+           CAST(CAST(l_orderkey AS DECIMAL(38,18)) * l_linenumber / 1000000 AS DECIMAL(38,18)) AS ether
     FROM lineitem""")
 def fn_math(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
@@ -148,9 +150,12 @@ def fn_math(spark, sf_dir):
         F.round(price / F.lit(7), 3).alias("per_day"),
         F.floor(F.col("l_extendedprice") / 1000).cast("bigint").alias("thousands"),
         ((F.col("l_linenumber") + 3) * 2 - 1).alias("arith"),
-        hex_or_decimal(F.concat(F.lit("0x"), F.lower(F.hex("l_orderkey")))).alias("from_hex"),
-        hex_or_decimal((F.col("l_orderkey").cast("decimal(38,0)") * F.lit(10 ** 12)).cast("decimal(38,0)")
-                       .cast("string"), divide_1e18=True).alias("ether"),
+        # up to 4 * linenumber zeros behind the key's own digits, then a fraction, then null
+        hex_or_decimal(F.when(F.col("l_linenumber") < 6, F.concat(
+            F.lit("0x"), F.lower(F.hex("l_orderkey")), F.expr("repeat('0', 4 * cast(l_linenumber as int))")))
+            .when(F.col("l_linenumber") == 6, F.concat(F.col("l_orderkey").cast("string"), F.lit(".5")))).alias("from_hex"),
+        wei_to_ether((F.col("l_orderkey").cast("decimal(38,0)") * F.col("l_linenumber") * F.lit(10 ** 12)).cast("decimal(38,0)")
+                     .cast("string")).alias("ether"),
     )
 
 
@@ -360,11 +365,15 @@ def hex_chunks(spark, sf_dir):
     """Split a ``0x``-prefixed hex payload into 64-character words."""
     o = load(spark, sf_dir, "orders")
     data = F.concat(F.lit("0x"), F.sha2(F.col("o_orderkey").cast("string"), 256), F.sha2("o_orderpriority", 256))
-    t = o.select("o_orderkey", data.alias("data"))
-    idx = F.sequence(F.lit(0), (F.length("data") / 64).cast("int") - 1)
-    return t.select("o_orderkey", "data", F.explode(idx).alias("chunk_no")).select(
-        "o_orderkey", "chunk_no",
-        F.concat(F.lit("0x"), F.expr("substring(data, 3 + 64 * chunk_no, 64)")).alias("chunk"))
+    return hex_words(o.select("o_orderkey", data.alias("data")), "o_orderkey")
+
+
+def hex_words(t, key):
+    """64-character words of ``data``; none in a payload shorter than one word."""
+    words = (F.length("data") / 64).cast("int")
+    idx = F.when(words > 0, F.sequence(F.lit(0), words - 1))
+    return t.select(key, "data", F.explode(idx).alias("chunk_no")).select(
+        key, "chunk_no", F.concat(F.lit("0x"), F.expr("substring(data, 3 + 64 * chunk_no, 64)")).alias("chunk"))
 
 
 @query("dim_date", """

@@ -7,26 +7,32 @@ has closed are emitted, and the SQL keeps exactly those."""
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dovetail.functions.dates import epoch_ms
-from dovetail.operators.joins import interval_join, maybe_broadcast, prefixed
+from dovetail.operators.joins import interval_join, prefixed
 from dovetail.plans.cdc import LINES, RDIC_SQL, T_ORDER, rdic
 from dovetail.registry import query
 from dovetail.sources import applog
 from dovetail.sources import envelopes as E
 from dovetail.sources.tables import load
 from dovetail.streaming import operators as S
-from dovetail.streaming.runner import (run_foreach_batch, run_to_table, stage, staged_stream, table_stream)
+from dovetail.streaming.runner import (SLICES, Topic, current, run_foreach_batch, run_to_table, slice_sql,
+                                       version_before)
 
 TS_MS = "(epoch_us(ts) // 1000)"
 
 
-def event_stream(spark, sf_dir, delay="3 seconds"):
-    e = table_stream(spark, sf_dir, "events")
-    return S.with_event_time(e.withColumn("ts_ms", epoch_ms(F.col("ts"))), F.col("ts_ms"), delay)
+def event_topic(spark, sf_dir, *cols):
+    e = load(spark, sf_dir, "events").withColumn("ts_ms", epoch_ms(F.col("ts")))
+    return Topic("events", e.select(*cols, "ts_ms") if cols else e, F.col("ts_ms"))
+
+
+def timed(s, delay="3 seconds"):
+    return S.with_event_time(s, F.col("ts_ms"), delay)
 
 
 # -- watermark / windows / dedup -------------------------------------------------------------------
@@ -36,19 +42,48 @@ def event_stream(spark, sf_dir, delay="3 seconds"):
     SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM w
     WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 3 SECOND
     GROUP BY ws, event_type""")
-def stream_watermark(spark, sf_dir):
+def stream_watermark(spark, sf_dir, **how):
     """Hourly counts per event type with a 3 s out-of-order bound; append mode
     emits a window once the watermark passes its end, later rows for it are
     dropped as late. Error records carry no millisecond field: their time
     falls back to the first item of a list of epoch seconds."""
-    e = table_stream(spark, sf_dir, "events")
-    ms = F.when(F.col("event_type") != "error", epoch_ms(F.col("ts")))
-    seconds_list = F.array((epoch_ms(F.col("ts")) / 1000).cast("bigint"))
-    s = S.with_event_time(e, ms, "3 seconds", fallback=F.element_at(seconds_list, 1), fallback_in_seconds=True)
+    def plan(e):
+        ms = F.when(F.col("event_type") != "error", epoch_ms(F.col("ts")))
+        seconds_list = F.array((epoch_ms(F.col("ts")) / 1000).cast("bigint"))
+        s = S.with_event_time(e, ms, "3 seconds", fallback=F.element_at(seconds_list, 1), fallback_in_seconds=True)
+        return hourly(s)
+
+    return run_to_table(spark, [event_topic(spark, sf_dir, "ts", "event_type")], plan, "watermark", **how)
+
+
+def hourly(s):
     agg = s.groupBy(F.window("event_time", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"))
-    out = run_to_table(spark, agg.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                                         "event_type", "n"), "watermark")
-    return out
+    return agg.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")
+
+
+# Every 20th event reaches the topic four days late: in a later slice, or in
+# its own where that slice has not ended by then.
+LATE_MS = 4 * 86_400_000
+
+
+@query("stream_late_rows", f"""
+    WITH e AS (SELECT {TS_MS} AS t, event_type, ts, event_id FROM events),
+    a AS (SELECT *, CASE WHEN event_id % 20 = 0 THEN t + {LATE_MS} ELSE t END AS arrives FROM e),
+    b AS (SELECT min(arrives) AS lo, max(arrives) AS hi FROM a),
+    s AS (SELECT a.*, {slice_sql('arrives', 'lo', 'hi')} AS sl FROM a, b),
+    marks AS (SELECT sl, max(t) OVER (ORDER BY sl) - 3000 AS mark FROM (SELECT sl, max(t) AS t FROM s GROUP BY sl)),
+    kept AS (SELECT s.*, t // 3600000 * 3600000 AS ws FROM s LEFT JOIN marks ON marks.sl = s.sl - 1
+             WHERE mark IS NULL OR t // 3600000 * 3600000 + 3600000 > mark)
+    SELECT strftime(epoch_ms(ws), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM kept
+    WHERE ws + 3600000 <= (SELECT max(mark) FROM marks) GROUP BY ws, event_type""")
+def stream_late_rows(spark, sf_dir, **how):
+    """Hourly counts where some events arrive days late: a row whose window
+    the watermark has closed by the end of the slice before is dropped, every
+    other row counts."""
+    e = event_topic(spark, sf_dir, "ts", "event_type", "event_id")
+    late = F.col("ts_ms") + F.when(F.col("event_id") % 20 == 0, LATE_MS).otherwise(0)
+    topic = Topic("events", e.rows, e.at, arrives=late)
+    return run_to_table(spark, [topic], lambda s: hourly(timed(s)), "late_rows", **how)
 
 
 @query("stream_tumble_last", f"""
@@ -56,24 +91,30 @@ def stream_watermark(spark, sf_dir):
     SELECT strftime(epoch_ms(ws), '%Y-%m-%d %H:%M:%S') AS window_start, user_id, event_id, event_type, value
     FROM b WHERE ws + 120000 <= (SELECT {TS_MS} - 3000 FROM events ORDER BY ts DESC LIMIT 1)
     QUALIFY row_number() OVER (PARTITION BY ws, user_id ORDER BY ts DESC, event_id DESC) = 1""")
-def stream_tumble_last(spark, sf_dir):
+def stream_tumble_last(spark, sf_dir, **how):
     """Last event per user in each 2-minute tumbling window (event time)."""
-    s = event_stream(spark, sf_dir).select("user_id", "event_id", "event_type", "value", "event_time")
-    t = S.tumble_last(s, "user_id", "event_time", "2 minutes")
-    return run_to_table(spark, t.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                                        "user_id", "event_id", "event_type", "value"), "tumble_last")
+    def plan(s):
+        t = S.tumble_last(timed(s).select("user_id", "event_id", "event_type", "value", "event_time"),
+                          "user_id", "event_time", "2 minutes")
+        return t.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                        "user_id", "event_id", "event_type", "value")
+
+    return run_to_table(spark, [event_topic(spark, sf_dir, "user_id", "event_id", "event_type", "value")], plan,
+                        "tumble_last", **how)
 
 
 @query("stream_dedup_exact", "SELECT DISTINCT event_id, user_id, event_type, value FROM events")
-def stream_dedup_exact(spark, sf_dir):
+def stream_dedup_exact(spark, sf_dir, **how):
     """Full-record duplicates (purchases are replayed by a second source)
-    dropped per user by a hash of the whole record, within the watermark."""
+    dropped per user by a hash of the whole record, over a horizon of a day."""
     cols = ["event_id", "user_id", "event_type", "value"]
-    a = event_stream(spark, sf_dir)
-    b = event_stream(spark, sf_dir).where(F.col("event_type") == "purchase")
-    u = a.unionByName(b).withColumn("rec_hash", S.record_hash(a, cols))
-    d = S.dedup(u, ["user_id", "rec_hash"]).select(*cols)
-    return run_to_table(spark, d, "dedup_exact")
+
+    def plan(s):
+        a = timed(s, "1 day")
+        u = a.unionByName(a.where(F.col("event_type") == "purchase")).withColumn("rec_hash", S.record_hash(a, cols))
+        return S.dedup(u, ["user_id", "rec_hash"]).select(*cols)
+
+    return run_to_table(spark, [event_topic(spark, sf_dir, *cols)], plan, "dedup_exact", **how)
 
 
 @query("stream_dedup_composite", f"""
@@ -86,34 +127,54 @@ def stream_dedup_exact(spark, sf_dir):
                   WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
         UNION ALL SELECT o_orderkey, {T_ORDER} + 240000, '1006' FROM orders
                   WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') x""")
-def stream_dedup_composite(spark, sf_dir):
+def stream_dedup_composite(spark, sf_dir, **how):
     """Order envelopes delivered twice (at-least-once relay) de-duplicated on
-    (id, ts_ms) within the watermark: exact, where the reference's per-key
-    Bloom filter is approximate."""
+    (id, ts_ms) over a horizon of an hour: exact, where the reference's
+    per-key Bloom filter is approximate."""
     env = E.of_table(E.order_envelopes(spark, sf_dir), "order_info").select(
         F.col("after")["id"].alias("id"), "ts_ms", F.col("after")["order_status"].alias("status"))
-    path = stage(spark, env, "order-envelopes")
-    a = S.with_event_time(staged_stream(spark, path), F.col("ts_ms"), "5 seconds")
-    b = S.with_event_time(staged_stream(spark, path), F.col("ts_ms"), "5 seconds")
-    d = S.dedup(a.unionByName(b), ["id", "ts_ms"]).select("id", "ts_ms", "status")
-    return run_to_table(spark, d, "dedup_composite")
+
+    def plan(s):
+        a = timed(s, "1 hour")
+        return S.dedup(a.unionByName(a), ["id", "ts_ms"]).select("id", "ts_ms", "status")
+
+    return run_to_table(spark, [Topic("orders", env, F.col("ts_ms"))], plan, "dedup_composite", **how)
 
 
 # -- keyed state ---------------------------------------------------------------------------------------
 
-@query("stream_monotonic_filter", """
-    SELECT event_id, user_id, value FROM (
-        SELECT event_id, user_id, value,
-               max(value) OVER (PARTITION BY user_id ORDER BY event_id
+def _with_state(spark, topic, name, step, **how):
+    """Drain a topic through ``step(batch, state) -> (rows, next state)``; the
+    state is stored by batch, rows are returned as written."""
+    def write(batch: DataFrame, bid: int, out: str):
+        stored = version_before(spark, os.path.join(out, "state"), bid)
+        rows, state = step(batch, None if stored is None else spark.read.parquet(stored))
+        rows.write.mode("overwrite").parquet(os.path.join(out, "rows", f"batch={bid}"))
+        state.write.mode("overwrite").parquet(os.path.join(out, "state", f"batch={bid}"))
+
+    out = run_foreach_batch(spark, [topic], lambda s: s, name, write, **how)
+    return spark.read.parquet(os.path.join(out, "rows")).drop("batch")
+
+
+# An event's time as its device has it: every third clock is up to an hour slow.
+CLOCK = "(ts_ms - CASE WHEN event_id % 3 = 0 THEN (event_id * 7919) % 3600000 ELSE 0 END)"
+
+
+@query("stream_monotonic_filter", f"""
+    WITH e AS (SELECT event_id, user_id, {CLOCK} AS clock FROM (SELECT event_id, user_id, {TS_MS} AS ts_ms FROM events))
+    SELECT event_id, user_id, clock FROM (
+        SELECT event_id, user_id, clock,
+               max(clock) OVER (PARTITION BY user_id ORDER BY event_id
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
-        FROM events) x
-    WHERE prior IS NULL OR value > prior""")
-def stream_monotonic_filter(spark, sf_dir):
-    """Per user, pass an event only when its value beats every earlier one
-    (newest-only filter with keyed value state)."""
-    s = table_stream(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    m = S.monotonic_filter(s, "user_id", "event_id", "value", "event_id long, user_id long, value double")
-    return run_to_table(spark, m, "monotonic")
+        FROM e) x
+    WHERE prior IS NULL OR clock > prior""")
+def stream_monotonic_filter(spark, sf_dir, **how):
+    """Per user, pass an event only when its time is later than that of every
+    event that arrived before it (newest-only filter with keyed state)."""
+    e = event_topic(spark, sf_dir, "event_id", "user_id")
+    topic = Topic("events", e.rows.select("event_id", "user_id", "ts_ms", F.expr(CLOCK).cast("bigint").alias("clock")), e.at)
+    return _with_state(spark, topic, "monotonic", lambda b, st: S.newest_only(
+        b.select("event_id", "user_id", "clock"), st, "user_id", "event_id", "clock"), **how)
 
 
 @query("log_fix_is_new", f"""
@@ -126,14 +187,13 @@ def stream_monotonic_filter(spark, sf_dir):
            CASE WHEN e.is_new = '1' AND strftime(epoch_ms(e.ts_ms), '%Y-%m-%d') <> f.first_day THEN '0'
                 ELSE e.is_new END AS fixed_is_new
     FROM e JOIN f ON e.mid = f.mid""")
-def log_fix_is_new(spark, sf_dir):
+def log_fix_is_new(spark, sf_dir, **how):
     """New-visitor flag repair on the log stream, keyed by device."""
-    s = table_stream(spark, sf_dir, "events").select(
+    e = load(spark, sf_dir, "events").select(
         "event_id", F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
         F.when(F.col("event_type") == "signup", "1").otherwise("0").alias("is_new"),
         epoch_ms(F.col("ts")).alias("ts_ms"))
-    r = S.repair_is_new(s, out_schema="event_id long, mid string, is_new string, ts_ms long, fixed_is_new string")
-    return run_to_table(spark, r, "is_new").select("event_id", "mid", "is_new", "fixed_is_new")
+    return _with_state(spark, Topic("log", e, F.col("ts_ms")), "is_new", S.repair_is_new, **how).drop("ts_ms")
 
 
 # -- log split ------------------------------------------------------------------------------------------
@@ -178,18 +238,24 @@ def log_dirty(spark, sf_dir):
     return split_batch(spark, sf_dir)["dirty"]
 
 
+_PAGE_OK = "FROM events WHERE value >= 0.5 AND event_type"
+
+
 @query("stream_log_split", f"""
-    SELECT 'err' AS kind, count(*) AS n FROM events WHERE event_type = 'error' AND value >= 0.5
-    UNION ALL SELECT 'start', count(*) FROM events WHERE event_type = 'signup' AND value >= 0.5
-    UNION ALL SELECT 'display', count(*) FROM ({DISPLAY_SQL}) d
-    UNION ALL SELECT 'action', count(*) FROM ({ACTION_SQL}) a
-    UNION ALL SELECT 'page', count(*) FROM events WHERE event_type <> 'signup' AND value >= 0.5
-    UNION ALL SELECT 'dirty', count(*) FROM events WHERE value < 0.5""")
-def stream_log_split(spark, sf_dir):
+    SELECT 'err' AS kind, event_id, 'failure ' || json_extract_string(props, '$.k') AS a, json_extract_string(props, '$.k') AS b
+    {_PAGE_OK} = 'error'
+    UNION ALL SELECT 'start', event_id, 'mid_' || CAST(user_id AS VARCHAR), 'icon' {_PAGE_OK} = 'signup'
+    UNION ALL SELECT 'display', event_id, item, CAST(pos_id AS VARCHAR) FROM ({DISPLAY_SQL}) d
+    UNION ALL SELECT 'action', event_id, item, action_id FROM ({ACTION_SQL}) a
+    UNION ALL SELECT 'page', event_id, event_type, json_extract_string(props, '$.k') {_PAGE_OK} <> 'signup'
+    UNION ALL SELECT 'dirty', event_id, raw, NULL FROM ({DIRTY_SQL}) x""")
+def stream_log_split(spark, sf_dir, **how):
     """Log stream split into six outputs inside one ``foreachBatch``: the
     micro-batch is parsed once, persisted, and each output is written to its
-    own folder keyed by batch id (a replayed batch overwrites itself)."""
-    lines = applog.log_lines(table_stream(spark, sf_dir, "events"))
+    own folder keyed by batch id (a replayed batch overwrites itself). Returns
+    two columns of content from each output."""
+    e = load(spark, sf_dir, "events")
+    lines = applog.log_lines(e, epoch_ms(F.col("ts")).alias("ts_ms"))
 
     def write(batch: DataFrame, bid: int, out: str):
         parsed = applog.parse(batch).persist()
@@ -199,54 +265,56 @@ def stream_log_split(spark, sf_dir):
         finally:
             parsed.unpersist()
 
-    out = run_foreach_batch(spark, lines, "log_split", write)
-    parts = []
-    for kind in ("err", "start", "display", "action", "page", "dirty"):
-        p = os.path.join(out, kind)
-        parts.append(spark.read.parquet(p).groupBy().agg(F.count("*").alias("n"))
-                     .select(F.lit(kind).alias("kind"), "n"))
-    from functools import reduce
+    out = run_foreach_batch(spark, [Topic("log", lines, F.col("ts_ms"))], lambda s: s, "log_split", write, **how)
+    shown = {"err": ("msg", "error_code"), "start": ("mid", "entry"), "display": ("item", "pos_id"),
+             "action": ("item", "action_id"), "page": ("page_id", "item"), "dirty": ("raw", None)}
+    parts = [spark.read.parquet(os.path.join(out, kind)).select(
+        F.lit(kind).alias("kind"), "event_id", F.col(a).cast("string").alias("a"),
+        (F.col(b) if b else F.lit(None)).cast("string").alias("b")) for kind, (a, b) in shown.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
 # -- stream joins -------------------------------------------------------------------------------------
 
-def _envelope_streams(spark, sf_dir, tables):
-    """Envelopes of ``tables`` as a watermarked stream, derived inside the
-    stream from file streams over ``orders`` / ``lineitem`` (no staging copy)."""
-    # only the requested groups are built: a streaming union keeps reading
-    # every branch's source even when a filter empties the branch
-    want = set(tables)
-    parts = []
-    if {"order_info", "payment_info"} & want:
-        parts.append(E.order_envelopes(spark, sf_dir, orders=table_stream(spark, sf_dir, "orders"), tables=want))
-    if {"order_detail", "cart_info", "order_refund_info", "refund_payment"} & want:
-        parts.append(E.line_envelopes(spark, sf_dir, lineitem=table_stream(spark, sf_dir, "lineitem"), tables=want))
-    env = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return S.with_event_time(env, F.col("ts_ms"), "5 seconds")
+def _order_topic(spark, sf_dir, table, *cols, where=None):
+    """Rows of one order-side change table, typed and cut to what a join reads."""
+    env = E.of_table(E.order_envelopes(spark, sf_dir, tables={table}), table)
+    return Topic(table, (env.where(where) if where is not None else env).select(*cols, "ts_ms"), F.col("ts_ms"))
+
+
+def _detail_topic(spark, sf_dir):
+    a = F.col("after")
+    env = E.of_table(E.line_envelopes(spark, sf_dir, tables={"order_detail"}), "order_detail")
+    return Topic("order_detail", env.select(
+        a["order_id"].alias("k"), a["id"].alias("id"), a["sku_id"].cast("bigint").alias("sku_id"),
+        a["sku_num"].cast("int").alias("sku_num"), "ts_ms"), F.col("ts_ms"))
+
+
+def _timed_as(s, name):
+    return timed(s, "5 seconds").withColumnRenamed("event_time", name)
 
 
 @query("stream_cancel_join", f"""
     SELECT line_id AS id, CAST(l_orderkey AS VARCHAR) AS order_id, o_custkey AS user_id, l_partkey AS sku_id,
            CAST(l_quantity AS INTEGER) AS sku_num, {T_ORDER} + 120000 AS cancel_ts
     FROM ({LINES}) x WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'""")
-def stream_cancel_join(spark, sf_dir):
+def stream_cancel_join(spark, sf_dir, **how):
     """Cancellations (status 1001 -> 1003) ⋈ order details, both watermarked;
     details within [cancel - 30 min, cancel + 5 s], which also bounds the
-    join state (the reference's 30 min + 5 s idle retention)."""
+    join state (the reference's 30 min + 5 s idle retention). The topics hold
+    typed rows of the events the join reads, written once."""
     a = F.col("after")
-    cancel = E.of_table(_envelope_streams(spark, sf_dir, ["order_info"]), "order_info").where(
-        (F.col("op") == "u") & (F.col("before")["order_status"] == "1001") & (a["order_status"] == "1003")) \
-        .select(a["id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"), F.col("ts_ms").alias("cancel_ts"),
-                F.col("event_time").alias("ct"))
-    detail = E.of_table(_envelope_streams(spark, sf_dir, ["order_detail"]), "order_detail").select(
-        a["order_id"].alias("k"), a["id"].alias("id"), a["sku_id"].cast("bigint").alias("sku_id"),
-        a["sku_num"].cast("int").alias("sku_num"), F.col("event_time").alias("dt_"))
-    j = interval_join(cancel, detail, "k", "ct", "dt_", "-30 minutes", "5 seconds")
-    out = j.select(F.col("r.id").alias("id"), F.col("l.k").alias("order_id"), F.col("l.user_id").alias("user_id"),
-                   F.col("r.sku_id").alias("sku_id"), F.col("r.sku_num").alias("sku_num"),
-                   F.col("l.cancel_ts").alias("cancel_ts"))
-    return run_to_table(spark, out, "cancel_join")
+    cancel = _order_topic(spark, sf_dir, "order_info", a["id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"),
+                          where=(F.col("op") == "u") & (F.col("before")["order_status"] == "1001") & (a["order_status"] == "1003"))
+
+    def plan(c, d):
+        j = interval_join(_timed_as(c, "ct").withColumnRenamed("ts_ms", "cancel_ts"), _timed_as(d, "dt_"), "k", "ct", "dt_",
+                          "-30 minutes", "5 seconds")
+        return j.select(F.col("r.id").alias("id"), F.col("l.k").alias("order_id"), F.col("l.user_id").alias("user_id"),
+                        F.col("r.sku_id").alias("sku_id"), F.col("r.sku_num").alias("sku_num"),
+                        F.col("l.cancel_ts").alias("cancel_ts"))
+
+    return run_to_table(spark, [cancel, _detail_topic(spark, sf_dir)], plan, "cancel_join", **how)
 
 
 @query("stream_pay_interval_join", f"""
@@ -255,23 +323,23 @@ def stream_cancel_join(spark, sf_dir):
            '1103' AS payment_type, d.name AS payment_type_name,
            strftime(o_orderdate + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') AS callback_time
     FROM ({LINES}) x LEFT JOIN d ON d.id = '1103' WHERE o_orderstatus = 'F'""")
-def stream_pay_interval_join(spark, sf_dir):
+def stream_pay_interval_join(spark, sf_dir, **how):
     """Successful payments ⋈ details in [pay - 30 min, pay + 5 s] (asymmetric
     interval join on watermarked streams) + stream-static payment-type lookup."""
     a = F.col("after")
-    pay = E.of_table(_envelope_streams(spark, sf_dir, ["payment_info"]), "payment_info").where(a["payment_status"] == "1602").select(
-        a["order_id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"), a["payment_type"].alias("payment_type"),
-        a["callback_time"].alias("callback_time"), F.col("event_time").alias("pt"))
-    detail = E.of_table(_envelope_streams(spark, sf_dir, ["order_detail"]), "order_detail").select(
-        a["order_id"].alias("k"), a["id"].alias("id"), a["sku_id"].cast("bigint").alias("sku_id"),
-        F.col("event_time").alias("dt_"))
-    j = interval_join(pay, detail, "k", "pt", "dt_", "-30 minutes", "5 seconds")
+    pay = _order_topic(spark, sf_dir, "payment_info", a["order_id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"),
+                       a["payment_type"].alias("payment_type"), a["callback_time"].alias("callback_time"),
+                       where=a["payment_status"] == "1602")
     d = rdic(spark).select(F.col("id").alias("__code"), F.col("name").alias("payment_type_name"))
-    out = (j.select(F.col("r.id").alias("id"), F.col("l.k").alias("order_id"), F.col("l.user_id").alias("user_id"),
-                    F.col("r.sku_id").alias("sku_id"), F.col("l.payment_type").alias("payment_type"),
-                    F.col("l.callback_time").alias("callback_time"))
-             .join(F.broadcast(d), F.col("payment_type") == F.col("__code"), "left").drop("__code"))
-    return run_to_table(spark, out, "pay_join")
+
+    def plan(p, det):
+        j = interval_join(_timed_as(p, "pt"), _timed_as(det, "dt_"), "k", "pt", "dt_", "-30 minutes", "5 seconds")
+        return (j.select(F.col("r.id").alias("id"), F.col("l.k").alias("order_id"), F.col("l.user_id").alias("user_id"),
+                         F.col("r.sku_id").alias("sku_id"), F.col("l.payment_type").alias("payment_type"),
+                         F.col("l.callback_time").alias("callback_time"))
+                 .join(F.broadcast(d), F.col("payment_type") == F.col("__code"), "left").drop("__code"))
+
+    return run_to_table(spark, [pay, _detail_topic(spark, sf_dir)], plan, "pay_join", **how)
 
 
 @query("interval_join_symmetric", """
@@ -279,108 +347,120 @@ def stream_pay_interval_join(spark, sf_dir):
     FROM events p JOIN events c ON p.user_id = c.user_id AND c.event_type = 'click'
      AND c.ts >= p.ts - INTERVAL 5 MINUTE AND c.ts <= p.ts + INTERVAL 5 MINUTE
     WHERE p.event_type = 'purchase'""")
-def interval_join_symmetric(spark, sf_dir):
+def interval_join_symmetric(spark, sf_dir, **how):
     """Purchases ⋈ the same user's clicks within ±5 minutes, right columns
     merged under an ``info_`` prefix. Both sides watermarked: state older
     than the bound is evicted."""
-    pur = event_stream(spark, sf_dir).where(F.col("event_type") == "purchase") \
-        .select(F.col("user_id").alias("k"), "event_id", "event_time")
-    clk = prefixed(event_stream(spark, sf_dir).where(F.col("event_type") == "click")
-                   .select(F.col("user_id").alias("k"), "event_id", "value", "event_time"), "info_", keep=["k"])
-    j = interval_join(pur, clk, "k", "event_time", "info_event_time", "-5 minutes", "5 minutes")
-    out = j.select(F.col("l.event_id").alias("event_id"), F.col("l.k").alias("user_id"),
-                   F.col("r.info_event_id").alias("info_event_id"), F.col("r.info_value").alias("info_value"))
-    return run_to_table(spark, out, "interval_sym")
+    def plan(e):
+        s = timed(e)
+        pur = s.where(F.col("event_type") == "purchase").select(F.col("user_id").alias("k"), "event_id", "event_time")
+        clk = prefixed(s.where(F.col("event_type") == "click")
+                       .select(F.col("user_id").alias("k"), "event_id", "value", "event_time"), "info_", keep=["k"])
+        j = interval_join(pur, clk, "k", "event_time", "info_event_time", "-5 minutes", "5 minutes")
+        return j.select(F.col("l.event_id").alias("event_id"), F.col("l.k").alias("user_id"),
+                        F.col("r.info_event_id").alias("info_event_id"), F.col("r.info_value").alias("info_value"))
 
+    return run_to_table(spark, [event_topic(spark, sf_dir, "user_id", "event_id", "event_type", "value")], plan,
+                        "interval_sym", **how)
 
-def _comment_stream(spark, sf_dir):
+
+def _comment_topic(spark, sf_dir):
     a = F.col("after")
-    c = E.comment_envelopes(spark, sf_dir).select(a["id"].cast("bigint").alias("id"), a["appraise"].alias("appraise"),
-                                                  "ts_ms")
-    return staged_stream(spark, stage(spark, c, "comments"))
+    c = E.comment_envelopes(spark, sf_dir).select(a["id"].cast("bigint").alias("id"), a["appraise"].alias("appraise"), "ts_ms")
+    return Topic("comments", c, F.col("ts_ms"))
 
 
 _COMMENT_CODES = """SELECT doc_id AS id, '120' || CAST(CAST(trunc(least(n_chars / 2000, 3)) AS INTEGER) + 1 AS VARCHAR)
-                           AS appraise FROM documents JOIN orders ON doc_id = o_orderkey"""
+                           AS appraise FROM documents"""
 
 
 @query("stream_lookup_join", f"""
     WITH d AS ({RDIC_SQL})
     SELECT c.id, c.appraise, d.name AS appraise_name FROM ({_COMMENT_CODES}) c JOIN d ON md5(c.appraise) = md5(d.id)""")
-def stream_lookup_join(spark, sf_dir):
+def stream_lookup_join(spark, sf_dir, **how):
     """Comments ⋈ appraise dictionary at processing time (stream-static inner
     join). The dictionary is keyed by ``md5(code)`` as in the row store; the
     stream hashes its code for the join and keeps the plain code."""
-    s = _comment_stream(spark, sf_dir)
     d = rdic(spark).select(F.md5("id").alias("row_key"), F.col("name").alias("appraise_name"))
-    j = s.join(F.broadcast(d), F.md5("appraise") == F.col("row_key")).select("id", "appraise", "appraise_name")
-    return run_to_table(spark, j, "lookup_inner")
+    return run_to_table(spark, [_comment_topic(spark, sf_dir)], lambda s: s.join(
+        F.broadcast(d), F.md5("appraise") == F.col("row_key")).select("id", "appraise", "appraise_name"), "lookup_inner", **how)
 
 
 @query("stream_lookup_left", f"""
     WITH d AS ({RDIC_SQL})
     SELECT c.id, c.appraise, coalesce(d.name, 'N/A') AS appraise_name FROM ({_COMMENT_CODES}) c
     LEFT JOIN d ON c.appraise = d.id""")
-def stream_lookup_left(spark, sf_dir):
+def stream_lookup_left(spark, sf_dir, **how):
     """Cached asynchronous lookup re-expressed as a broadcast left join: a miss
     yields ``N/A``; no per-row remote call, no cache to expire."""
-    s = _comment_stream(spark, sf_dir)
     d = rdic(spark).select(F.col("id").alias("__code"), F.col("name").alias("appraise_name"))
-    j = s.join(F.broadcast(d), F.col("appraise") == F.col("__code"), "left").select(
-        "id", "appraise", F.coalesce("appraise_name", F.lit("N/A")).alias("appraise_name"))
-    return run_to_table(spark, j, "lookup_left")
+    return run_to_table(spark, [_comment_topic(spark, sf_dir)], lambda s: s.join(
+        F.broadcast(d), F.col("appraise") == F.col("__code"), "left").select(
+        "id", "appraise", F.coalesce("appraise_name", F.lit("N/A")).alias("appraise_name")), "lookup_left", **how)
 
 
-# Routing config (source table -> sink table, row-key column, sink columns).
-ROUTING = [("order_info", "dim_order_status", "id", "id,order_status"),
-           ("cart_info", "dim_cart", "id", "sku_id,sku_num")]
+# Routing config (source table -> sink table, row-key column,
+# sink columns) as it stands while each slice arrives: orders are created,
+# then updated to fewer columns; carts are created, then deleted.
+ROUTING = [
+    [("order_info", "dim_order_status", "id", "id,order_status"), ("cart_info", "dim_cart", "id", "sku_id,sku_num")],
+    [("order_info", "dim_order_status", "id", "order_status"), ("cart_info", "dim_cart", "id", "sku_id,sku_num")],
+    [("order_info", "dim_order_status", "id", "order_status")],
+]
+assert len(ROUTING) == SLICES
 
 
 @query("stream_dim_routing", f"""
     WITH o AS (
-        SELECT 'dim_order_status' AS sink_table, md5(CAST(o_orderkey AS VARCHAR)) AS row_key,
-               CAST(o_orderkey AS VARCHAR) || ',' ||
-               CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN '1006'
-                    WHEN o_orderstatus = 'F' THEN '1002'
-                    WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '1003' ELSE '1001' END AS payload
-        FROM orders),
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, status, {T_ORDER} + plus AS t FROM orders, (VALUES ('1001', 0), ('1002', 60000),
+            ('1003', 120000), ('1005', 180000), ('1006', 240000)) AS v(status, plus)
+        WHERE status = '1001' OR (status = '1002' AND o_orderstatus = 'F')
+           OR (status = '1003' AND o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
+           OR (status IN ('1005', '1006') AND o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')),
     c AS (
-        SELECT 'dim_cart' AS sink_table, md5(line_id) AS row_key,
-               CAST(l_partkey AS VARCHAR) || ',' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS payload, t AS ts
+        SELECT line_id, CAST(l_partkey AS VARCHAR) || ',' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS payload, t, TRUE AS live
         FROM ({LINES}) x
         UNION ALL
-        SELECT 'dim_cart', md5(line_id), CAST(l_partkey AS VARCHAR) || ',' ||
-               CAST(CAST(l_quantity AS INTEGER) + l_linenumber AS VARCHAR), t + 60000
-        FROM ({LINES}) y WHERE l_returnflag = 'R'),
-    cl AS (SELECT sink_table, row_key, payload FROM c
-           QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY ts DESC, payload DESC) = 1)
-    SELECT * FROM o UNION ALL SELECT * FROM cl""")
-def stream_dim_routing(spark, sf_dir):
+        SELECT line_id, CAST(l_partkey AS VARCHAR) || ',' || CAST(CAST(l_quantity AS INTEGER) + l_linenumber AS VARCHAR),
+               t + 60000, TRUE
+        FROM ({LINES}) y WHERE l_returnflag = 'R'
+        UNION ALL
+        SELECT line_id, NULL, t + 120000, FALSE FROM ({LINES}) z WHERE l_returnflag = 'A' AND l_linestatus = 'F'),
+    b AS (SELECT min(t) AS lo, max(t) AS hi FROM (SELECT t FROM o UNION ALL SELECT t FROM c)),
+    r AS (
+        SELECT 'dim_order_status' AS sink_table, md5(id) AS row_key, t,
+               CASE WHEN {slice_sql('t', 'lo', 'hi')} = 0 THEN id || ',' || status ELSE status END AS payload FROM o, b
+        UNION ALL
+        SELECT 'dim_cart', md5(line_id), t, payload FROM c, b WHERE live AND {slice_sql('t', 'lo', 'hi')} < 2)
+    SELECT sink_table, row_key, payload FROM r
+    QUALIFY row_number() OVER (PARTITION BY sink_table, row_key ORDER BY t DESC, payload DESC) = 1""")
+def stream_dim_routing(spark, sf_dir, **how):
     """Config-driven dimension routing. Each micro-batch joins the envelopes
-    to the (re-read, broadcast) routing config on the source table, builds
-    row key ``md5(after[key])`` and the configured columns, keeps the latest
-    row per sink key within the batch and writes it keyed by batch id.
-    Deletes of data rows are ignored. Reading merges the batches (latest per
-    key): an upsert store that never rewrites old files."""
-    cfg_path = stage(spark, spark.createDataFrame(
-        ROUTING, "source_table string, sink_table string, sink_row_key string, sink_columns string"), "routing")
-    # the relay topic: envelopes of the routed tables, staged once and read as a file stream
-    env = staged_stream(spark, stage(spark, E.envelopes(spark, sf_dir, [r[0] for r in ROUTING]),
-                                     "routing-envelopes"))
+    to the routing config as it is then (re-read, bounded), builds row key
+    ``md5(after[key])`` and the configured columns, keeps the latest row per
+    sink key and writes it keyed by batch id. Deletes of data rows are
+    ignored; a deleted route drops what arrives later. Reading merges the
+    batches (latest per key): an upsert store that never rewrites old files."""
+    from dovetail.operators.windows import latest_per_key
+    from dovetail.session import scratch_dir
+    config = scratch_dir(spark, "routing")
+    env = E.envelopes(spark, sf_dir, ["order_info", "cart_info"])
+
+    def change(i: int):
+        spark.createDataFrame(ROUTING[i], "source_table string, sink_table string, sink_row_key string, sink_columns string") \
+            .coalesce(1).write.mode("overwrite").parquet(os.path.join(config, f"batch={i}"))
 
     def write(batch: DataFrame, bid: int, out: str):
-        cfg = maybe_broadcast(spark.read.parquet(cfg_path))  # re-read per batch: config changes apply live
+        cfg = spark.read.parquet(current(spark, config))  # re-read per batch: config changes apply live
         j = batch.where(F.col("op") != "d").join(cfg, F.col("source")["table"] == cfg.source_table)
         a = F.col("after")
         rows = j.select("sink_table", F.md5(F.element_at(a, F.col("sink_row_key"))).alias("row_key"),
                         F.array_join(F.transform(F.split("sink_columns", ","), lambda c: F.element_at(a, c)), ",")
                         .alias("payload"), "ts_ms")
-        from dovetail.operators.windows import latest_per_key
         latest_per_key(rows, ["sink_table", "row_key"], ["ts_ms", "payload"]).write.mode("overwrite") \
             .partitionBy("sink_table").parquet(os.path.join(out, f"batch={bid}"))
 
-    out = run_foreach_batch(spark, env, "dim_routing", write)
-    from dovetail.operators.windows import latest_per_key
+    out = run_foreach_batch(spark, [Topic("relay", env, F.col("ts_ms"))], lambda s: s, "dim_routing", write, before=change, **how)
     store = spark.read.option("basePath", out).parquet(os.path.join(out, "batch=*"))
     return latest_per_key(store.select("sink_table", "row_key", "payload", "ts_ms"), ["sink_table", "row_key"],
                           ["ts_ms", "payload"]).select("sink_table", "row_key", "payload")

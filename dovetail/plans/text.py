@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dovetail.operators.windows import latest_per_key
 from dovetail.registry import query
 from dovetail.sources.literal import literal_table
 from dovetail.sources.tables import load
@@ -28,14 +29,14 @@ def block_list(spark):
 def comments(spark, sf_dir):
     d = load(spark, sf_dir, "documents").select("doc_id", "text")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return d.join(o, d.doc_id == o.o_orderkey).select(
-        F.col("doc_id").alias("id"), F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
-        F.col("text").alias("msg"), F.date_format("o_orderdate", "yyyyMMdd").alias("ds"))
+    return d.join(o, d.doc_id == o.o_orderkey, "left").select(
+        F.col("doc_id").alias("id"), F.col("doc_id").alias("order_id"), F.col("o_custkey").alias("user_id"),
+        F.col("text").alias("msg"), F.col("o_orderdate").alias("ts"))
 
 
 @query("moderate_comments", f"""
     WITH c AS (SELECT doc_id AS id, o_custkey AS user_id, text AS msg, strftime(o_orderdate, '%Y%m%d') AS ds
-               FROM documents JOIN orders ON doc_id = o_orderkey),
+               FROM documents LEFT JOIN orders ON doc_id = o_orderkey),
          w AS (SELECT *, regexp_replace(msg, ',+$', '') AS trimmed FROM c),
          l AS (SELECT *, CASE WHEN contains(trimmed, ',') THEN regexp_extract(trimmed, '[^,]*$') ELSE trimmed END
                          AS last_part FROM w),
@@ -50,12 +51,17 @@ def comments(spark, sf_dir):
                 WHEN len(found) > 0 THEN array_to_string(found, ', ') ELSE '' END AS violation_msg
     FROM f""")
 def moderate_comments(spark, sf_dir):
-    """De-duplicate comments per order, then: last comma-separated part on the
-    block list -> P0 (``is_violation=1``); else every listed word contained in
-    the whole text -> P1 with the words in order of appearance, joined by
-    ', ' (``is_violation`` stays 0 as in the reference). The list is a literal
-    array: a projection, no join, no per-row lookup service."""
-    c = comments(spark, sf_dir).dropDuplicates(["order_id"])
+    """Comments de-duplicated on order and time, moderated: last
+    comma-separated part on the block list -> P0 (``is_violation=1``); else
+    every listed word contained in the whole text -> P1 with the words in
+    order of appearance, joined by ', ' (``is_violation`` stays 0 as in the
+    reference). The list is a literal array: a projection, no join, no
+    per-row lookup service."""
+    return moderate(comments(spark, sf_dir))
+
+
+def moderate(c):
+    """Flags first, then the de-duplication: ids and flags move, texts do not."""
     words = F.array(*[F.lit(w) for w in BLOCK_WORDS])
     trimmed = F.regexp_replace("msg", ",+$", "")
     last = F.element_at(F.split(trimmed, ","), -1)
@@ -63,10 +69,13 @@ def moderate_comments(spark, sf_dir):
                                                  lambda w: F.struct(F.instr("msg", w).alias("pos"), w.alias("w")))),
                         lambda s: s["w"])
     p0 = F.array_contains(words, last)
-    return c.select(
-        "id", "user_id", "ds", F.when(p0, 1).otherwise(0).alias("is_violation"),
-        F.when(p0, "P0").when(F.size(found) > 0, "P1").otherwise("").alias("violation_grade"),
-        F.when(p0, last).when(F.size(found) > 0, F.array_join(found, ", ")).otherwise("").alias("violation_msg"))
+    flagged = c.select("id", "order_id", "user_id", "ts", F.when(p0, last).alias("p0"), F.array_join(found, ", ").alias("p1"))
+    one = latest_per_key(flagged, ["order_id", "ts"], ["id", "p0", "p1"])
+    is_p0 = F.col("p0").isNotNull()
+    return one.select(
+        "id", "user_id", F.date_format("ts", "yyyyMMdd").alias("ds"), F.when(is_p0, 1).otherwise(0).alias("is_violation"),
+        F.when(is_p0, "P0").when(F.col("p1") != "", "P1").otherwise("").alias("violation_grade"),
+        F.when(is_p0, F.col("p0")).otherwise(F.coalesce("p1", F.lit(""))).alias("violation_msg"))
 
 
 @query("blocklist_membership", f"""

@@ -17,7 +17,6 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
@@ -39,15 +38,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The checkpoint directory is read from the session (``spark.checkpoint.dir``
-    or the SparkContext's checkpoint dir). Only when neither is set -- local
-    tests -- a private folder is created and registered as checkpoint dir.
+    or the SparkContext's checkpoint dir). Where neither is set, a session in
+    local mode gets a private folder, registered as its checkpoint dir; on a
+    cluster executors could not see one, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = jdir.get() if jdir.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="dovetail-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(str(base), "dovetail", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def job_dir(spark: SparkSession, name: str, run: str | None = None) -> str:
+    """The folder of a job: the same one for the same ``run`` (a stopped job
+    finds its checkpoint and outputs there), a fresh one without."""
+    fresh = scratch_dir(spark, name)
+    return fresh if run is None else os.path.join(os.path.dirname(fresh), "jobs", name, run)

@@ -29,8 +29,8 @@ LOG = T.StructType([
 ])
 
 
-def log_lines(events: DataFrame) -> DataFrame:
-    """``(event_id, line)`` for a batch or streaming events frame."""
+def log_lines(events: DataFrame, *more) -> DataFrame:
+    """``(event_id, line)`` and ``more`` columns for a batch or streaming events frame."""
     k = F.get_json_object("props", "$.k")
     ms = epoch_ms(F.col("ts"))
     et = F.col("event_type")
@@ -51,7 +51,7 @@ def log_lines(events: DataFrame) -> DataFrame:
                    start.alias("start"), err.alias("err"), ms.alias("ts"))
     dirty = F.concat(F.lit('{"common":{"mid":"mid_'), F.col("user_id").cast("string"), F.lit('"'))
     line = F.when(F.col("value") < 0.5, dirty).otherwise(F.to_json(rec))
-    return events.select("event_id", line.alias("line"))
+    return events.select("event_id", line.alias("line"), *more)
 
 
 def parse(lines: DataFrame) -> DataFrame:

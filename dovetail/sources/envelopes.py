@@ -54,15 +54,19 @@ def _events(df: DataFrame, table: str, events: list[tuple[Column, Column | str,
     ``(condition, op, before, after, ts)`` becomes an optional array element;
     the array is exploded and empty slots dropped. ``source`` is a literal
     added after the explode, so a filter on the table prunes whole groups."""
+    literal = F.create_map(F.lit("db"), F.lit("retail"), F.lit("table"), F.lit(table)).alias("source")
+    if len(events) == 1:  # one event: a plain projection, which lets Catalyst fold the maps away
+        cond, op, before, after, ts = events[0]
+        return df.where(cond).select(
+            (op if isinstance(op, Column) else F.lit(op)).alias("op"), (before if before is not None else _null_map()).alias("before"),
+            (after if after is not None else _null_map()).alias("after"), literal, ts.cast("bigint").alias("ts_ms"))
     arr = F.array(*[F.when(cond, F.struct((op if isinstance(op, Column) else F.lit(op)).alias("op"),
                                           (before if before is not None else _null_map()).alias("before"),
                                           (after if after is not None else _null_map()).alias("after"),
                                           ts.cast("bigint").alias("ts_ms")))
                     for cond, op, before, after, ts in events])
     return (df.select(F.explode(arr).alias("e")).where(F.col("e").isNotNull())
-              .select("e.op", "e.before", "e.after",
-                      F.create_map(F.lit("db"), F.lit("retail"), F.lit("table"), F.lit(table)).alias("source"),
-                      "e.ts_ms"))
+              .select("e.op", "e.before", "e.after", literal, "e.ts_ms"))
 
 
 def _always() -> Column:
@@ -154,9 +158,9 @@ def line_envelopes(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None
 def comment_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = load(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = d.join(o, d.doc_id == o.o_orderkey)
+    j = d.join(o, d.doc_id == o.o_orderkey, "left")  # a comment whose order is not there stays
     return _events(j, "comment_info", [(_always(), "c", None, _m(
-        id=F.col("doc_id"), user_id=F.col("o_custkey"), order_id=F.col("o_orderkey"),
+        id=F.col("doc_id"), user_id=F.col("o_custkey"), order_id=F.col("doc_id"),
         appraise=F.concat(F.lit("120"), (F.least(F.col("n_chars") / 2000, F.lit(3)).cast("int") + 1).cast("string")),
         comment_txt=F.col("text")), epoch_ms(F.col("o_orderdate")) + 30000)])
 

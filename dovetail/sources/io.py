@@ -9,42 +9,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
-
-
-LISTING_PARALLELISM = "64"
-
-
-def _dynamic(spark: SparkSession):
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-
-
-def _listing(spark: SparkSession):
-    """Daily tables hold thousands of partition folders: list them with a
-    bounded number of listing tasks (each task lists many folders) unless the
-    session already chose a value."""
-    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, LISTING_PARALLELISM)
 
 
 def write_partitions(df: DataFrame, path: str, fmt: str = "parquet", partition_col: str = "dt") -> None:
     """Overwrite exactly the ``dt`` partitions present in ``df`` (dynamic
-    partition overwrite: other days stay as they are). A static-partition
-    write is the same call with a one-day frame."""
-    spark = df.sparkSession
-    _dynamic(spark)
+    partition overwrite, asked for by this write: other days stay as they
+    are). A static-partition write is the same call with a one-day frame."""
     # rebalance: rows of a day go to the same task (few files per day) and
-    # AQE splits a day that holds far more rows than the others. Coalescing
-    # is paused for this write so the files of many small days are written
-    # by spark.sql.shuffle.partitions tasks, not funnelled into one.
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    prev = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).format(fmt).save(path)
-    finally:
-        spark.conf.set(key, prev)
+    # AQE splits a day that holds far more rows than the others
+    df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(partition_col).format(fmt).save(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", partition_col: str = "dt",
@@ -52,28 +26,39 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", partition_c
     """Read a partitioned table; the partition value comes back as the text
     it was written as (discovery would otherwise infer a date). With a
     ``schema`` an empty table reads as zero rows instead of failing."""
-    _listing(spark)
     r = spark.read.format(fmt)
     t = (r.schema(schema) if schema is not None else r).load(path)
     return t.withColumn(partition_col, F.col(partition_col).cast("string")) if partition_col in t.columns else t
 
 
+def _folders(spark: SparkSession, path: str, partition_col: str) -> list[str]:
+    """Partition values by the names of the table's folders; no file is opened."""
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{partition_col}="))
+
+
+def _partition(spark: SparkSession, path: str, dt: str, partition_col: str) -> DataFrame | None:
+    """The rows of one partition, from its folder alone; None where there is none."""
+    fs, folder = _fs(spark, os.path.join(path, f"{partition_col}={dt}"))
+    if not fs.exists(folder) or not any(st.isFile() and not st.getPath().getName().startswith(("_", "."))
+                                        for st in fs.listStatus(folder)):
+        return None
+    return spark.read.parquet(folder.toString())
+
+
 def partition_exists(spark: SparkSession, path: str, dt: str, partition_col: str = "dt") -> bool:
-    """Probe one row of one partition (partition pruning: only that folder is
-    listed and opened)."""
-    try:
-        t = read_table(spark, path, partition_col=partition_col)
-    except AnalysisException:
-        return False
-    return not t.where(F.col(partition_col) == dt).limit(1).isEmpty()
+    """Whether one partition holds a row (only its folder is listed)."""
+    t = _partition(spark, path, dt, partition_col)
+    return t is not None and not t.isEmpty()
 
 
 def count_partition(spark: SparkSession, path: str, dt: str, partition_col: str = "dt") -> int:
-    """Rows in one partition; 0 when the table holds no file yet."""
-    try:
-        return read_table(spark, path, partition_col=partition_col).where(F.col(partition_col) == dt).count()
-    except AnalysisException:
-        return 0
+    """Rows in one partition; 0 when there is none yet."""
+    t = _partition(spark, path, dt, partition_col)
+    return 0 if t is None else t.count()
 
 
 def load_if_absent(spark: SparkSession, path: str, dt: str, build: Callable[[], DataFrame]) -> str:
@@ -86,18 +71,24 @@ def load_if_absent(spark: SparkSession, path: str, dt: str, build: Callable[[],
 
 
 def list_partitions(spark: SparkSession, path: str, partition_col: str = "dt") -> DataFrame:
-    """Distinct partition values (no data column is read)."""
-    return read_table(spark, path, partition_col=partition_col).select(partition_col).distinct()
+    """Partition values, from the folder names (one listing, no file is opened)."""
+    return spark.createDataFrame([(v,) for v in _folders(spark, path, partition_col)], f"{partition_col} string")
 
 
 def copy_redate(spark: SparkSession, src: str, dst: str, new_dt: str) -> DataFrame:
     """Copy every partition of ``src`` except ``new_dt`` into partition
     ``new_dt`` of ``dst`` (overwrite of that partition only) and return the
-    reconciliation row (source rows, target rows, status)."""
+    reconciliation row (source rows, target rows, status). One target day:
+    each task writes what it reads, nothing is shuffled."""
     s = read_table(spark, src).where(F.col("dt") != new_dt)
-    write_partitions(s.withColumn("dt", F.lit(new_dt)), dst)
-    n_src = s.count()
-    n_dst = read_table(spark, dst).where(F.col("dt") == new_dt).count()
+    s.drop("dt").write.mode("overwrite").parquet(os.path.join(dst, f"dt={new_dt}"))
+    return reconcile(spark, src, dst, new_dt)
+
+
+def reconcile(spark: SparkSession, src: str, dst: str, new_dt: str) -> DataFrame:
+    """Rows of ``src`` outside ``new_dt`` against rows of that day in ``dst``."""
+    n_src = read_table(spark, src).where(F.col("dt") != new_dt).count()
+    n_dst = count_partition(spark, dst, new_dt)
     return spark.createDataFrame([(os.path.basename(src.rstrip("/")), n_src, n_dst,
                                    "success" if n_src == n_dst else "mismatch")],
                                  "table string, source_rows long, target_rows long, status string")

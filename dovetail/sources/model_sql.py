@@ -20,13 +20,18 @@ MODEL = {
                CASE WHEN o_orderstatus = 'O' THEN '66001' WHEN o_orderstatus = 'F' THEN '66002'
                     ELSE '66003' END AS payment_type,
                o_custkey AS user_id, CAST(o_totalprice AS DECIMAL(16,2)) AS amount,
-               o_orderdate AS create_time
+               o_orderdate AS create_time,
+               CAST(10000 + o_custkey % 10 AS BIGINT) AS receiver_district_id,
+               'Customer' || CAST(o_custkey AS VARCHAR) AS receiver_name,
+               CAST(o_orderdate AS DATE) + 7 AS estimate_arrive_date
         FROM orders""",
     "order_cargo": """
         SELECT l_orderkey AS order_id, l_linenumber AS line_no, p_type AS cargo_type,
                CAST(l_quantity AS DECIMAL(16,2)) AS weight,
                l_suppkey + 10000 AS sender_district_id, s_nationkey + 100 AS sender_city_id,
-               l_shipdate AS update_time
+               l_shipdate AS update_time,
+               CAST(l_quantity * l_linenumber AS DECIMAL(16,2)) AS volume,
+               CAST(l_quantity * 10 AS DECIMAL(16,2)) AS distance
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
                       LEFT JOIN supplier ON l_suppkey = s_suppkey""",
     "region_info": """

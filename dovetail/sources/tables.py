@@ -15,23 +15,12 @@ def path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_LOADED: dict[tuple, DataFrame] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table. Column pruning and filters reach the scan later.
-
-    The relation is built once per session and path (file listing and footer
-    reads happen once); every plan that uses the table shares it, which also
-    lets Spark reuse identical scans and exchanges within a plan.
-    """
+    """Read one driver table as it is now (files are listed anew on every
+    call). Column pruning and filters reach the scan later."""
     if name not in TABLES:
         raise KeyError(name)
-    key = (spark.sparkContext.applicationId, id(spark), path(sf_dir, name))
-    df = _LOADED.get(key)
-    if df is None:
-        df = _LOADED[key] = spark.read.parquet(path(sf_dir, name))
-    return df
+    return spark.read.parquet(path(sf_dir, name))
 
 
 def live_slice(df: DataFrame, run_date: str | list[str] | Column, cols: list[str] | None = None,

@@ -1,21 +1,16 @@
 """Streaming operators: event time, last-per-window, de-duplication and the
-two keyed-state processors (monotonic filter, new-visitor repair).
+two keyed-state filters (newest-only, new-visitor repair).
 
-The state processors run through ``applyInPandasWithState``: Spark shuffles
-by key, hands each key's rows to Python as Arrow batches (never the whole
-group at once) and keeps O(1) state per key in the state store; the per-batch
-logic is vectorised with numpy.
+The keyed filters work on one micro-batch and the state stored by the batches
+before it, with joins, aggregations and windows: rows of a key are put in
+order by Spark, so neither batch nor buffer sizes change the answer, and a key
+with many rows is worked on in pieces.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def with_event_time(df: DataFrame, ms: Column, delay: str = "3 seconds", fallback: Column | None = None,
@@ -41,9 +36,11 @@ def tumble_last(df: DataFrame, key: str, ts: str, size: str) -> DataFrame:
 
 
 def dedup(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop repeats of ``keys`` seen within the watermark delay: exact and
-    bounded (state expires with the watermark), where a Bloom filter would be
-    approximate and can drop genuinely new rows."""
+    """Drop repeats of ``keys`` seen within the watermark delay, which is the
+    de-duplication horizon: exact and bounded (state expires with the
+    watermark), where a Bloom filter would be approximate and can drop
+    genuinely new rows. Rows up to the horizon late are not dropped, so give
+    the horizon here and not the usual lateness."""
     return df.dropDuplicatesWithinWatermark(keys)
 
 
@@ -54,57 +51,46 @@ def record_hash(df: DataFrame, cols: list[str]) -> Column:
 
 # -- keyed state ------------------------------------------------------------------------------------
 
-def monotonic_filter(df: DataFrame, key: str, order: str, value: str, out_schema: str,
-                     ttl_ms: int | None = None) -> DataFrame:
-    """Emit a row only when ``value`` is larger than every earlier value of its
-    key (arrival order = ``order``). State: the running maximum, expired after
-    ``ttl_ms`` without data when set."""
-    def fn(k, batches: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else -np.inf
-        for pdf in batches:
-            pdf = pdf.sort_values(order, kind="stable")
-            v = pdf[value].to_numpy(dtype="float64")
-            prior = np.maximum.accumulate(np.concatenate([[last], v]))[:-1]
-            keep = v > prior
-            if len(v):
-                last = float(max(last, v.max()))
-            if keep.any():
-                yield pdf.loc[keep]
-        state.update((float(last),))
-        if ttl_ms:
-            state.setTimeoutDuration(ttl_ms)
-
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
-    return df.groupBy(key).applyInPandasWithState(fn, out_schema, "last double", "append", timeout)
-
-
-def repair_is_new(df: DataFrame, key: str = "mid", order: tuple[str, ...] = ("ts_ms", "event_id"),
-                  out_schema: str = "", ttl_ms: int | None = None) -> DataFrame:
-    """New-visitor repair per device. State = first visit day. The first
-    record sets it (its own day when ``is_new='1'``, else the day before);
-    later ``is_new='1'`` records on another day become ``'0'``. No TTL by
-    default: a short TTL forgets devices and re-marks old visitors as new."""
-    def fn(k, batches: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        first = state.get[0] if state.exists else None
-        for pdf in batches:
-            pdf = pdf.sort_values(list(order), kind="stable")
-            day = pd.to_datetime(pdf["ts_ms"], unit="ms").dt.strftime("%Y-%m-%d")
-            if first is None and len(pdf):
-                r0 = pdf.iloc[0]
-                d0 = pd.Timestamp(int(r0["ts_ms"]), unit="ms")
-                first = (d0 if r0["is_new"] == "1" else d0 - pd.Timedelta(days=1)).strftime("%Y-%m-%d")
-            fixed = np.where((pdf["is_new"] == "1") & (day != first), "0", pdf["is_new"])
-            yield pdf.assign(fixed_is_new=fixed)
-        if first is not None:
-            state.update((first,))
-        if ttl_ms:
-            state.setTimeoutDuration(ttl_ms)
-
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
-    return df.groupBy(key).applyInPandasWithState(fn, out_schema, "first_day string", "append", timeout)
+def newest_only(batch: DataFrame, state: DataFrame | None, key: str, order: str, time: str,
+                ttl_ms: int | None = None, piece: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``time`` is later than that of every earlier arrival of their
+    key, and the next state (key, newest time). Arrival order = ``order``, a
+    whole number; ``state``: what the batches before have seen. With ``ttl_ms``
+    a key's state is forgotten if this batch's times are all that much later.
+
+    The running maximum is taken in two steps, over pieces of ``piece`` orders
+    of a key and inside each, so that no window holds a key's whole history."""
+    p = F.floor(F.col(order) / piece)
+    parts = batch.groupBy(F.col(key).alias("__k"), p.alias("__p")).agg(F.max(time).alias("__t"), F.min(time).alias("__lo"))
+    if state is not None:
+        known = state.select(F.col(key).alias("__k"), F.lit(None).cast("bigint").alias("__p"), F.col(time).alias("__t"),
+                             F.lit(None).cast("bigint").alias("__lo"))
+        if ttl_ms is not None:
+            first = parts.groupBy("__k").agg(F.min("__lo").alias("__first"))
+            known = known.join(first, "__k", "left").where(
+                F.col("__first").isNull() | (F.col("__first") - F.col("__t") <= ttl_ms)).drop("__first")
+        parts = parts.unionByName(known)
+    earlier = Window.partitionBy("__k").orderBy(F.col("__p").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    prior = parts.select("__k", "__p", F.max("__t").over(earlier).alias("__prior")).where("__p is not null")
+    rows = batch.withColumn("__p", p).join(prior, (F.col(key) == F.col("__k")) & (prior["__p"] == p), "left").drop(prior["__p"])
+    inside = Window.partitionBy(key, "__p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.greatest(F.col("__prior"), F.max(time).over(inside))
+    out = rows.withColumn("__seen", seen).where(F.col("__seen").isNull() | (F.col(time) > F.col("__seen")))
+    return out.select(*batch.columns), parts.groupBy(F.col("__k").alias(key)).agg(F.max("__t").alias(time))
+
+
+def repair_is_new(batch: DataFrame, state: DataFrame | None, key: str = "mid",
+                  order: tuple[str, ...] = ("ts_ms", "event_id")) -> tuple[DataFrame, DataFrame]:
+    """New-visitor repair per device, and the next state (key, first day). The
+    first record of a device sets its day (its own when ``is_new='1'``, else
+    the day before); later ``is_new='1'`` records of another day become
+    ``'0'``. State does not expire: a device that is forgotten would be new again."""
+    day = F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd")
+    before = F.date_format(F.timestamp_millis(F.col("ts_ms") - 86_400_000), "yyyy-MM-dd")
+    first = F.min_by(F.when(F.col("is_new") == "1", day).otherwise(before), F.struct(*order))
+    here = batch.groupBy(key).agg(first.alias("first_day"))
+    if state is not None:
+        here = here.join(state.select(F.col(key), F.col("first_day").alias("__was")), key, "full_outer").select(
+            key, F.coalesce("__was", "first_day").alias("first_day"))
+    fixed = F.when((F.col("is_new") == "1") & (day != F.col("first_day")), "0").otherwise(F.col("is_new"))
+    return batch.join(here, key).select(*batch.columns, fixed.alias("fixed_is_new")), here

@@ -1,77 +1,175 @@
-"""Run a streaming plan to completion into a fault-tolerant sink.
-
-Sources are file streams over the driver tables (or over data Spark staged
-from them); sinks are parquet directories with a checkpoint, both under the
-cluster's shared checkpoint folder, so a lost executor or a restarted driver
-resumes from the last committed micro-batch instead of recomputing.
+"""Feed a streaming plan its input in time order and drain it into a sink.
+
+A *topic* is a derived table, written once to the shared folder in slices of
+event time. Slices land one after the other; after each one the query runs to
+the end of what is there (``availableNow``) and stops, and the next run
+resumes from its checkpoint, the way a daily job works. What a run sees
+depends on the slices' time bounds alone: not on the number, size or names of
+files, nor on the order of rows in them. A run that is stopped between two
+slices, or inside one, is carried on by calling it again under the same name.
+
+Sinks are Parquet folders with a checkpoint, below the cluster's shared
+checkpoint folder.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dovetail.session import scratch_dir
-from dovetail.sources.tables import path
+from dovetail.session import job_dir, scratch_dir
 
+SLICES = 3
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A file stream over one driver table (schema taken from the batch read).
 
-    The glob keeps the stream on that one table's files inside the folder.
-    """
-    schema = spark.read.parquet(path(sf_dir, name)).schema
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(os.path.join(sf_dir, f"[{name[0]}]{name[1:]}.parquet"))
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
-    """Write derived rows once to the shared folder and return the path (the
-    'topic' a stream then reads)."""
-    out = scratch_dir(spark, f"stage-{name}")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(out)
-    return out
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+@dataclass
+class Topic:
+    """``rows`` by ``at``, epoch millis (null: with the first slice);
+    ``arrives`` (default ``at``): when a row is delivered."""
+    name: str
+    rows: DataFrame
+    at: Column
+    arrives: Column | None = None
+
+
+def bounds(topics: list[Topic]) -> tuple[int, int]:
+    """First and last delivery time over all topics (one small job each)."""
+    lo, hi = [], []
+    for t in topics:
+        c = t.at if t.arrives is None else t.arrives
+        a, b = t.rows.agg(F.min(c), F.max(c)).first()
+        lo.append(a), hi.append(b)
+    lo, hi = [x for x in lo if x is not None], [x for x in hi if x is not None]
+    return (int(min(lo)), int(max(hi))) if lo else (0, 0)
+
+
+def slice_of(at: Column, lo: int, hi: int, slices: int) -> Column:
+    """Number of the slice a time falls into: equal spans from lo to hi."""
+    return F.coalesce(F.floor((at - lo) * slices / (hi - lo + 1)), F.lit(0)).cast("int")
+
+
+def slice_sql(at: str, lo: str, hi: str, slices: int = SLICES) -> str:
+    return f"CAST(floor(CAST(({at} - {lo}) AS DOUBLE) * {slices} / ({hi} - {lo} + 1)) AS INTEGER)"
+
+
+def _stage(spark: SparkSession, base: str, topics: list[Topic], slices: int) -> None:
+    """Write every topic in slices, unless an earlier run under this name has."""
+    if all(_exists(spark, os.path.join(base, "staged", t.name, "_SUCCESS")) for t in topics):
+        return
+    lo, hi = bounds(topics)
+    for t in topics:
+        at = t.at if t.arrives is None else t.arrives
+        t.rows.withColumn("__slice", slice_of(at, lo, hi, slices)).write.mode("overwrite").partitionBy("__slice") \
+            .parquet(os.path.join(base, "staged", t.name))
+
+
+def _land(spark: SparkSession, base: str, topics: list[Topic], i: int) -> None:
+    """Deliver slice ``i`` of every topic (a slice already delivered stays)."""
+    for t in topics:
+        target = os.path.join(base, "landing", t.name)
+        fs, to = _fs(spark, os.path.join(target, f"{i:05d}"))
+        _, src = _fs(spark, os.path.join(base, "staged", t.name, f"__slice={i}"))
+        fs.mkdirs(to.getParent())
+        if fs.exists(src) and not fs.exists(to):
+            fs.rename(src, to)
+
 
+def _sources(spark: SparkSession, base: str, topics: list[Topic]) -> list[DataFrame]:
+    return [spark.readStream.schema(t.rows.schema).option("recursiveFileLookup", "true")
+            .parquet(os.path.join(base, "landing", t.name)) for t in topics]
 
-def staged_stream(spark: SparkSession, out: str, max_files: int | None = None) -> DataFrame:
-    schema = spark.read.parquet(out).schema
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(out)
 
+def _drain(spark: SparkSession, base: str, topics: list[Topic], start: Callable[[], object], slices: int,
+           until: int | None, before: Callable[[int], None] | None) -> None:
+    _stage(spark, base, topics, slices)
+    for i in range(slices if until is None else until):
+        if before:
+            before(i)
+        _land(spark, base, topics, i)
+        start().awaitTermination()
 
-def run_to_table(spark: SparkSession, sdf: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
-    """Drain ``sdf`` with ``availableNow`` into a parquet sink (exactly-once
-    file sink + checkpoint) and return the sink as a batch DataFrame."""
-    base = scratch_dir(spark, f"stream-{name}")
-    q = (sdf.writeStream.format("parquet").outputMode(output_mode)
-            .option("path", os.path.join(base, "out"))
-            .option("checkpointLocation", os.path.join(base, "checkpoint"))
-            .trigger(availableNow=True).queryName(f"{name}_{os.path.basename(base)}".replace("-", "_"))
-            .start())
-    q.awaitTermination()
-    return spark.read.schema(sdf.schema).parquet(os.path.join(base, "out"))
 
+def run_to_table(spark: SparkSession, topics: list[Topic], build: Callable[..., DataFrame], name: str,
+                 output_mode: str = "append", slices: int = SLICES, run: str | None = None,
+                 until: int | None = None) -> DataFrame:
+    """``build(*streams)`` over the topics, drained slice by slice into a
+    Parquet sink (exactly-once file sink + checkpoint); the sink as a batch
+    DataFrame. ``run``: a fixed name, under which a stopped run is resumed;
+    ``until``: stop after so many slices."""
+    base = job_dir(spark, f"stream-{name}", run)
+    schema = []
 
-def run_foreach_batch(spark: SparkSession, sdf: DataFrame, name: str,
-                      fn: Callable[[DataFrame, int, str], None]) -> str:
-    """Drain ``sdf`` through ``fn(batch_df, batch_id, out_dir)``; returns out_dir.
+    def start():
+        out = build(*_sources(spark, base, topics))
+        schema[:] = [out.schema]
+        return (out.writeStream.format("parquet").outputMode(output_mode).option("path", os.path.join(base, "out"))
+                .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(availableNow=True).start())
 
-    ``fn`` must be idempotent per batch id (it writes ``out_dir/<...>/batch=<id>``
-    with overwrite), so a replayed batch after a failure rewrites, never
-    duplicates."""
-    base = scratch_dir(spark, f"foreach-{name}")
+    _drain(spark, base, topics, start, slices, until, None)
+    return spark.read.schema(schema[0]).parquet(os.path.join(base, "out"))
+
+
+def run_foreach_batch(spark: SparkSession, topics: list[Topic], build: Callable[..., DataFrame], name: str,
+                      fn: Callable[[DataFrame, int, str], None], slices: int = SLICES, run: str | None = None,
+                      until: int | None = None, before: Callable[[int], None] | None = None) -> str:
+    """Drain through ``fn(batch_df, batch_id, out_dir)``; returns out_dir.
+
+    ``fn`` must be idempotent per batch id (it writes folders that carry the
+    id, with overwrite), so a replayed batch after a failure rewrites, never
+    duplicates. ``before(i)`` is called before slice i is delivered."""
+    base = job_dir(spark, f"foreach-{name}", run)
     out = os.path.join(base, "out")
-    q = (sdf.writeStream.foreachBatch(lambda df, bid: fn(df, bid, out))
-            .option("checkpointLocation", os.path.join(base, "checkpoint"))
-            .trigger(availableNow=True).start())
-    q.awaitTermination()
+
+    def start():
+        return (build(*_sources(spark, base, topics)).writeStream.foreachBatch(lambda df, bid: fn(df, bid, out))
+                .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(availableNow=True).start())
+
+    _drain(spark, base, topics, start, slices, until, before)
+    return out
+
+
+# -- stored state and tables, one version per batch ---------------------------------------------------
+
+def version_before(spark: SparkSession, table: str, batch: int) -> str | None:
+    """The newest complete version written by a batch before ``batch``."""
+    fs, root = _fs(spark, table)
+    if not fs.exists(root):
+        return None
+    ids = [int(n.split("=")[1]) for n in (st.getPath().getName() for st in fs.listStatus(root)) if n.startswith("batch=")]
+    done = [i for i in ids if i < batch and _exists(spark, os.path.join(table, f"batch={i}", "_SUCCESS"))]
+    return os.path.join(table, f"batch={max(done)}") if done else None
+
+
+def current(spark: SparkSession, table: str) -> str | None:
+    return version_before(spark, table, 1 << 62)
+
+
+def merge_batch(table: str, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Merge a batch into a stored table: ``merge`` of the stored rows and the
+    batch's becomes the next version. A replayed batch starts from the same
+    stored version, so it writes the same rows again."""
+    spark = batch.sparkSession
+    stored = version_before(spark, table, batch_id)
+    rows = batch if stored is None else spark.read.schema(batch.schema).parquet(stored).unionByName(batch)
+    merge(rows).select(*batch.columns).write.mode("overwrite").parquet(os.path.join(table, f"batch={batch_id}"))
+
+
+def stage(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Write derived rows once to the shared folder and return the path."""
+    out = scratch_dir(spark, f"stage-{name}")
+    df.write.mode("overwrite").parquet(out)
     return out

@@ -2,13 +2,15 @@
 
 import hashlib
 from datetime import date, datetime
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from dovetail.functions import dates as D
 from dovetail.functions import strings as S
 from dovetail.functions.geo import vincenty_np
-from dovetail.functions.math import BUCKET_OVERRIDES, hash_bucket
+from dovetail.functions.math import BUCKET_OVERRIDES, hash_bucket, hex_or_decimal, wei_to_ether
 from dovetail.plans.cdc import day_bucket
 
 
@@ -73,3 +75,22 @@ def test_vincenty_known_distance():
     d = vincenty_np(*[__import__("numpy").array([x]) for x in (116.4074, 39.9042, 121.4737, 31.2304)])[0]
     assert 1.06e6 < d < 1.075e6
     assert vincenty_np(*[__import__("numpy").array([x]) for x in (1.0, 1.0, 1.0, 1.0)])[0] == 0.0
+
+
+def test_hex_values_of_any_length(spark):
+    values = ["0x1158e460913d00000", "0x0", "0x" + "f" * 31, "0x000" + "f" * 16, "1.5", "-12", None, "x", "0XfF"]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    got = [r[0] for r in df.select(hex_or_decimal(F.col("t"))).collect()]
+    assert got == ["20000000000000000000", "0", str(16 ** 31 - 1), str(16 ** 16 - 1), "1.5", "-12", "0", "0", "255"]
+    ether = [r[0] for r in df.limit(1).select(wei_to_ether(F.col("t"))).collect()]
+    assert ether[0] == 20
+    assert one(spark, wei_to_ether(F.col("t")), "-1500000000000000000", "t string") == Decimal("-1.5")
+    with pytest.raises(Exception, match="beyond 31 digits"):
+        one(spark, hex_or_decimal(F.col("t")), "0x" + "f" * 32, "t string")
+
+
+def test_short_payload_has_no_chunks(spark, tmp_path):
+    from dovetail.plans.scalars import hex_words
+    df = spark.createDataFrame([(1, "0x" + "a" * 10), (2, "0x" + "b" * 130)], "k int, data string")
+    assert sorted((r.k, r.chunk_no, r.chunk) for r in hex_words(df, "k").collect()) == [
+        (2, 0, "0x" + "b" * 64), (2, 1, "0x" + "b" * 64)]

@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from dovetail.operators.aggregates import order_grain, ratio, recent_days, union_group
-from dovetail.operators.joins import decode, hierarchy, interval_join, maybe_broadcast, overlay, prefixed
+from dovetail.operators.joins import decode, hierarchy, interval_join, overlay, prefixed
 from dovetail.operators.windows import latest_per_key, zipper_merge
 
 
@@ -105,9 +105,25 @@ def test_zipper_merge_closes_and_opens(spark):
         assert a[3] < b[2]
 
 
-def test_maybe_broadcast_only_when_small(spark):
-    from dovetail.sources.literal import literal_table
-    small = literal_table(spark, [(1, "a")], "id int, name string")
-    assert "broadcast" in maybe_broadcast(small)._jdf.queryExecution().logical().toString().lower()
-    big = spark.range(0, 10 ** 10)   # planner bound far above the limit
-    assert "broadcast" not in maybe_broadcast(big)._jdf.queryExecution().logical().toString().lower()
+def test_zipper_merge_twice_changes_nothing(spark):
+    schema = "id int, v string, start_date string, end_date string"
+    hist = spark.createDataFrame([(1, "a", "2024-01-01", "9999-12-31"), (2, "b", "2024-01-01", "9999-12-31")], schema)
+    chg = spark.createDataFrame([(1, "a2", None, None), (1, "a3", None, None), (3, "c", None, None)], schema)
+    once = zipper_merge(hist, chg, "id", "2024-01-05", order=["v"])
+    # of two changes on one day the last stays
+    assert rows(once, "id", "start_date") == [
+        (1, "a", "2024-01-01", "2024-01-04"), (1, "a3", "2024-01-05", "9999-12-31"), (2, "b", "2024-01-01", "9999-12-31"),
+        (3, "c", "2024-01-05", "9999-12-31")]
+    assert rows(zipper_merge(once, chg, "id", "2024-01-05", order=["v"]), "id", "start_date") == rows(once, "id", "start_date")
+    # a corrected change set takes back what the first run did
+    fixed = zipper_merge(once, chg.where("id = 3"), "id", "2024-01-05")
+    assert rows(fixed, "id", "start_date") == [(1, "a", "2024-01-01", "9999-12-31"), (2, "b", "2024-01-01", "9999-12-31"),
+                                               (3, "c", "2024-01-05", "9999-12-31")]
+
+
+def test_a_value_that_is_not_there_scores_nothing(spark):
+    from dovetail.plans.labels import FACTORS, apply_scores
+    family = next(f for f, v, _ in FACTORS if v == "*")
+    df = spark.createDataFrame([(1, None), (2, "no such value")], "user_id int, c string")
+    out = apply_scores(df, {family: F.col("c")}, ["user_id"], spark)
+    assert {r.user_id for r in out.collect()} == {2}

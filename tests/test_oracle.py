@@ -15,7 +15,9 @@ from tools.check_oracle import _rows  # noqa: E402
 
 import os
 
-ALL_KEYS = sorted(E.queries())
+from dovetail.registry import load_all  # noqa: E402
+
+ALL_KEYS = sorted(load_all())
 SQL = E.oracle_sql()
 # One or two keys per family by default (about two minutes); set
 # DOVETAIL_FULL_ORACLE=1 for every key (tools/check_oracle.py does the same at sf0.01).

@@ -8,7 +8,7 @@ from tests.conftest import SF
 Q = load_all()
 # streaming and I/O keys run their jobs while building; their plans are covered elsewhere
 BATCH = sorted(k for k, q in Q.items() if q.family not in ("streams", "io_jobs")
-               and k not in ("sink_day_bucket",))
+               and k not in ("sink_day_bucket", "sink_upsert_latest", "sink_partial_update"))
 
 
 def plan(df) -> str:
@@ -26,6 +26,27 @@ def test_day_window_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in p
 
 
+WINDOWED = ["rollup_shift_nd", "rollup_sort_nd", "report_trans_stats", "report_truck_stats", "report_shift_stats", "report_line_stats",
+            "report_driver_stats", "report_city_stats", "report_org_stats", "report_express_stats", "report_express_province",
+            "report_express_city", "report_express_org"]
+
+
+@pytest.mark.parametrize("key", WINDOWED)
+def test_every_lineitem_scan_of_a_window_is_pruned(spark, key):
+    import re
+    scans = re.findall(r"FileScan parquet \[[^\]]*l_[^\n]*", plan(Q[key].build(spark, SF)))
+    assert scans
+    for s in scans:
+        pushed = s[s.index("PushedFilters"):]
+        # orders of a window are pruned on the order side, their lines by the join
+        assert "l_shipdate," in pushed or "l_shipdate)" in pushed or "o_orderdate" in plan(Q[key].build(spark, SF)), s
+
+
+def test_one_lineitem_scan(spark):
+    for key in ("report_driver_stats", "dim_sku_full"):
+        assert plan(Q[key].build(spark, SF)).count("lineitem.parquet") == 1, key
+
+
 def test_fixed_dictionary_decodes_broadcast(spark):
     p = plan(Q["fact_order_detail"].build(spark, SF))
     assert p.count("BroadcastHashJoin") >= 4            # the four code decodes
