@@ -62,26 +62,30 @@ class Encoder:
         self.lib = Tokenizer.from_file(path)
         self.special = special_strings(path)
         self._clear()
-        self.memo = Memo(self._resolve, room=1_000_000, longest=1 << 62)
+        self.memo = Memo(self._resolve, room=600_000, longest=1 << 62)
 
     def _clear(self) -> None:
-        self.flat, self.at, self.size = np.zeros(1 << 16, np.uint32), [], []
-        self.used = 0
+        # of unit u: ids flat[at[u] : at[u] + size[u]]
+        self.flat, self.at, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.used = self.units = 0
+
+    @staticmethod
+    def _room(x: np.ndarray, n: int) -> np.ndarray:
+        return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
 
     def _resolve(self, us: list[str]) -> list[int]:
         encode = getattr(self.lib, "encode_batch_fast", self.lib.encode_batch)
-        first = len(self.at)
+        first = self.units
+        self.at, self.size = self._room(self.at, first + len(us)), self._room(self.size, first + len(us))
         for i in range(0, len(us), 4096):
             ids = [e.ids for e in encode(us[i:i + 4096], add_special_tokens=False)]
-            n = [len(x) for x in ids]
-            total = sum(n)
-            if self.used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.uint32)])
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            total = int(n.sum())
+            self.flat = self._room(self.flat, self.used + total)
             self.flat[self.used:self.used + total] = np.fromiter((y for x in ids for y in x), np.uint32, total)
-            ends = np.cumsum(n)
-            self.at.extend((self.used + ends - n).tolist())
-            self.size.extend(n)
-            self.used += total
+            here = slice(self.units, self.units + len(n))
+            self.at[here], self.size[here] = self.used + np.cumsum(n) - n, n
+            self.used, self.units = self.used + total, self.units + len(n)
         return list(range(first, first + len(us)))
 
     def __call__(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,18 +94,17 @@ class Encoder:
         for t in texts:
             parts = self.special.split(t) if self.special else [t]
             lists.append([u for i, p in enumerate(parts) for u in ([p] if i % 2 else units(p))])
-        if len(self.memo.known) > self.memo.room or self.used > 32 << 20:
+        if len(self.memo.known) > self.memo.room or self.used > 8 << 20:
             self.memo.known.clear()
             self._clear()
         known = self.memo.look(lists)
         counts = np.array([len(x) for x in lists], np.int64)
         which = np.fromiter((known[u] for us in lists for u in us), np.int64, int(counts.sum()))
-        at, size = np.asarray(self.at, np.int64), np.asarray(self.size, np.int64)
         # after each text's units, one more part that is the end id
         slot = np.arange(len(which)) + np.repeat(np.arange(len(lists)), counts)
         part_at = np.full(len(which) + len(lists), -1, np.int64)
         part_n = np.ones(len(which) + len(lists), np.int64)
-        part_at[slot], part_n[slot] = at[which], size[which]
+        part_at[slot], part_n[slot] = self.at[which], self.size[which]
         begin = np.cumsum(part_n) - part_n
         idx = np.arange(int(part_n.sum())) + np.repeat(part_at - begin, part_n)
         closing = begin[part_at < 0]
