@@ -15,6 +15,8 @@ from collections.abc import Callable
 #: The Unicode White_Space characters.
 WS = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Fixed value: the published pre-token pattern of byte-level BPE.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for a library whose white space is another set of characters.
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + WS + r"\p{L}\p{N}]+"
             r"|[" + WS + r"]+(?![^" + WS + r"])|[" + WS + r"]+")
 _RUN_THEN_SPACE = re.compile(f"[{WS}] ")
