@@ -15,7 +15,9 @@ full sets.
 
 Links are looked for in rounds, so that no group is expanded into its pairs:
 
-1. Documents with equal sets are one class, named by its smallest doc_id.
+1. Documents with equal sets are one class, named by one of its rows: no two
+   classes share a name, whatever doc_ids are null or repeated. A component's
+   name, its smallest doc_id, is taken only at the end.
 2. In every bucket each class is paired with the bucket's most central one.
    Confirmed pairs make components.
 3. Classes of one bucket that are in different components are compared block
@@ -35,8 +37,9 @@ Defined cases: null, empty and blank texts have the empty set, link with
 nothing, and are their own component; fewer than five words are one shingle;
 a doc_id names one text (rows that share it and differ in text each get the
 component of their own set); a null doc_id counts as larger than any other (its
-component_id is null where nothing smaller is linked); repeated rows get the
-same result each; an empty table gives an empty result;
+component_id is null where nothing smaller is linked); of a component's rows with
+the smallest doc_id, the texts of one are kept (those with the smallest row key);
+repeated rows get the same result each; an empty table gives an empty result;
 columns beside doc_id and text are ignored.
 """
 
@@ -273,13 +276,16 @@ def _confirmed(near: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
     near = materialise(near, "near-pairs")
     # the texts of these classes, by the document that stands for each
     ends = near.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    owners = materialise(classes.select("rep", F.col("rep").alias("did"), "key").join(ends, "rep").distinct(), "near-ends")
+    owners = materialise(classes.select("rep", "did", "key").join(ends, "rep"), "near-ends")
     # (the list of classes grows with the input: no broadcast, whatever its size here)
     texts = docs.join(owners.hint("shuffle_hash"), ["did", "key"]).select("rep", "text")
 
     def sets(batches):
         import pyarrow as pa
+        had = set()  # rows repeated in full bring the same set: one a task is enough
         for batch in batches:
+            new = [i for i, x in enumerate(batch.column("rep").to_pylist()) if not (x in had or had.add(x))]
+            batch = batch.take(pa.array(new, pa.int64()))
             for a, t in byte_portions(batch.column("text")):
                 f, n = shingle_sets(t)
                 yield pa.RecordBatch.from_arrays([batch.column("rep")[a:a + len(t)], pa.ListArray.from_arrays(
@@ -289,7 +295,7 @@ def _confirmed(near: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
     both = near.join(full.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a").join(
         full.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
     both = once(both.select("a", "b", "sa", "sb"), i=F.size(F.array_intersect("sa", "sb")).cast("bigint"))
-    # distinct: a row repeated in full has brought its set more than once
+    # distinct: a row repeated in full may have brought its set in more than one task
     return both.where(100 * F.col("i") >= threshold * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b").distinct()
 
 
@@ -328,13 +334,15 @@ def _with_hubs(members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """did, key, n_shingles, component (smallest did reachable) of every row."""
+    """did, key, n_shingles, component (smallest did reachable), kept (the row
+    stands for its component) of every row."""
     d = documents_core(docs).select(F.coalesce("doc_id", F.lit(LAST)).alias("did"), row_key(F.col("text")).alias("key"), "text")
-    rows = materialise(sketch_rows(d), "sketches")
-    # classes of equal sets, named by the smallest document; its row brings bands and sketch
-    named = materialise(rows.where("n > 0").groupBy("set1", "set2").agg(F.min("did").alias("rep")), "class-names")
-    classes = materialise(rows.withColumnRenamed("did", "rep").join(named, ["set1", "set2", "rep"]).select(
-        "rep", "key", "bands", *SIDE), "classes")
+    rows = materialise(sketch_rows(d).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # classes of equal sets, named by a row, which brings bands and sketch; first: its smallest document
+    named = materialise(rows.where("n > 0").groupBy("set1", "set2").agg(
+        F.min("row").alias("rep"), F.min(F.struct("did", "key")).alias("first")), "class-names")
+    classes = materialise(rows.withColumnRenamed("row", "rep").join(named.select("rep"), "rep").select(
+        "rep", "did", "key", "bands", *SIDE), "classes")
     buckets = classes.select(F.explode("bands").alias("bucket"), "rep")
     sizes = buckets.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("size"))
     members = materialise(buckets.join(sizes.where("lo <> hi").select("bucket", "size"), "bucket"), "buckets")
@@ -350,12 +358,18 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     across = _across(placed, classes, threshold).distinct()
     more = materialise(_confirmed(across, classes, d, threshold), "links-2")
     comp = components(links.unionByName(more)) if not more.isEmpty() else comp
-    of_class = named.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "set1", "set2", F.coalesce("comp", "rep").alias("component"))
+    # the first document of every component with a link, for each of its classes
+    linked = materialise(comp.withColumnRenamed("node", "rep").join(named.select("rep", "first"), "rep"), "linked")
+    least = linked.groupBy("comp").agg(F.min("first").alias("least"))
+    of_class = named.join(linked.select("rep", "comp").join(least, "comp").select("rep", "least"), "rep", "left").select(
+        "set1", "set2", F.coalesce("least", "first").alias("least"))
     of_class = materialise(of_class, "class-components")
+    # texts without words are in no class, and stand for themselves
     return rows.select("did", "key", "n", "set1", "set2").join(of_class, ["set1", "set2"], "left").select(
         "did", "key", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("did")).alias("component"))
+        F.when(F.col("n") > 0, F.col("least.did")).otherwise(F.col("did")).alias("component"),
+        F.when(F.col("n") > 0, (F.col("did") == F.col("least.did")) & (F.col("key") == F.col("least.key"))).otherwise(
+            F.lit(True)).alias("kept"))
 
 
 def report(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -363,13 +377,13 @@ def report(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     found = near_duplicates(docs, threshold)
     null = lambda c: F.when(F.col(c) != LAST, F.col(c))
     return found.select(null("did").alias("doc_id"), "n_shingles", null("component").alias("component_id"),
-                        (F.col("did") == F.col("component")).alias("kept"))
+                        "kept")
 
 
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The documents that stand for their component, with all their columns;
     of a row repeated in full, one stays."""
-    kept = near_duplicates(docs, threshold).where("did = component").select("did", "key").distinct()
+    kept = near_duplicates(docs, threshold).where("kept").select("did", "key").distinct()
     own = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
     core = docs.select(own, F.coalesce(docs["doc_id"].cast("bigint"), F.lit(LAST)).alias("did"),
                        row_key(docs["text"].cast("string")).alias("key"))

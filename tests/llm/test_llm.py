@@ -189,6 +189,28 @@ def test_near_duplicates(docs):
     assert rows_of(one, "doc_id") == Counter((None if d == odd_sketch.LAST else d,) for d, w in want.items() if w[2])
 
 
+def test_null_and_shared_ids_stay_apart(spark):
+    """Null-id texts and texts of one doc_id have the components of their own sets."""
+    rng = random.Random(17)
+    text = lambda: ["w" + str(rng.randrange(10**6)) for _ in range(100)]
+    a, b, c, e, f = (text() for _ in range(5))
+    near = lambda ws: " ".join(ws[:50] + ["other"] + ws[51:])
+    a1, b1, c1, e1, f1 = map(" ".join, (a, b, c, e, f))
+    rows = [(5, a1), (None, near(a)), (None, b1), (None, c1), (None, near(c)), (None, c1), (7, e1), (7, near(f)), (8, f1), (9, e1.upper()),
+            (None, None), (None, "")]
+    got = Counter((t, c, k) for t, c, k in [
+        (r["text"], r["component"], r["kept"]) for r in odd_sketch.near_duplicates(frame(spark, rows)).join(
+            frame(spark, rows).select("text", odd_sketch.row_key(F.col("text")).alias("key")).distinct(), "key").collect()])
+    last = odd_sketch.LAST
+    of = {t: {(c, k) for u, c, k in got if u == t} for _, t in rows}
+    assert of[a1] == {(5, True)} and of[near(a)] == {(5, False)} and of[b1] == {(last, True)}
+    assert {k for _, k in of[c1] | of[near(c)]} == {True, False} and {c for c, _ in of[c1] | of[near(c)]} == {last}
+    assert of[e1] == {(7, True)} and of[near(f)] == {(7, True)} and of[f1] == {(7, False)} and of[e1.upper()] == {(7, False)}
+    kept = Counter(r["text"] for r in odd_sketch.keep_one(frame(spark, rows)).collect())
+    some = kept.pop(c1, 0), kept.pop(near(c), 0)
+    assert sorted(some) == [0, 1] and kept == Counter([a1, b1, e1, near(f), None, ""])
+
+
 def test_links_are_found_at_the_threshold(spark):
     """Chains and stars of copies that share just 75 per cent or more."""
     rng = random.Random(3)
