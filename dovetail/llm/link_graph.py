@@ -9,9 +9,11 @@ a threshold. A page no rule fits gets the verdict of its host.
 
 Edges: absolute and protocol-relative links between different hosts, one row
 per pair with a count (relative links stay on the host and say nothing about
-another one). Hosts without edges keep their seed score. A walk takes a fixed
-number of steps; each is two joins and one aggregation with map-side combine,
-written out so that lineage stays short.
+another one). Hosts without edges keep their seed score. A walk goes on until
+what all later steps together can change is below a tolerance and below every
+host's distance from the threshold: the sum of changes shrinks by the damping
+with each step, so it bounds the rest. A step is two joins and one aggregation
+with map-side combine, written out so that lineage stays short.
 
 Scale: pages are cut to (page_id, url, links) at the scan; a host with a third
 of the pages is one row per task after the first partial aggregation.
@@ -47,7 +49,10 @@ class Rule:
 RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"),
          Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/"))
 DAMPING = 0.85
-STEPS = 8
+STEPS = 8  # steps the SQL statement writes out: it agrees where they settle all scores
+TOLERANCE = 1e-3  # pages
+FINEST = 1e-9  # pages; a host closer to the threshold than this is on it
+ROUNDING = 1e-12  # of the whole seed mass: no tolerance is below it
 THRESHOLD = 0.5
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -91,12 +96,14 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").cast("double").alias("w")))
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def propagate(hosts: DataFrame, edges: DataFrame, threshold: float = THRESHOLD, damping: float = DAMPING) -> DataFrame:
     """hosts (host, n, t0, d0: seed masses) -> host, n, trust, distrust.
 
     ``x <- (1 - c) * seed + c * (what edges bring; all of it stays where a host
     has no edge to give it to)``, for trust along and for distrust against the
-    links; hosts known only as link targets take part with no pages."""
+    links; hosts known only as link targets take part with no pages.
+
+    Scores are within TOLERANCE of their limit, and on its side of the threshold."""
     steps_in = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"), "w", F.lit(0).alias("kind")).unionByName(
         edges.select(F.col("dst").alias("a"), F.col("src").alias("b"), "w", F.lit(1).alias("kind")))
     total = steps_in.groupBy("a", "kind").agg(F.sum("w").alias("out"))
@@ -112,7 +119,11 @@ def propagate(hosts: DataFrame, edges: DataFrame, steps: int = STEPS, damping: f
         F.coalesce("gives_d", F.lit(False)).alias("gives_d"), F.col("t0").alias("trust"), F.col("d0").alias("distrust")), "host-scores")
     if moves.isEmpty():  # no links between hosts: every walk stays where it starts
         return now.select("host", "n", "trust", "distrust")
-    for _ in range(steps):
+    mass = now.agg(F.sum(F.col("t0") + F.col("d0"))).first()[0]
+    per = F.greatest(F.col("n"), F.lit(1))
+    # pages by which a host's balance misses the threshold
+    margin = F.abs(F.col("distrust") - F.col("trust") - threshold * per)
+    while True:
         carried = now.select(F.col("host").alias("a"), "trust", "distrust").join(moves, "a").groupBy(F.col("b").alias("host")).agg(
             F.sum(F.when(F.col("kind") == 0, F.col("p") * F.col("trust")).otherwise(0.0)).alias("in_t"),
             F.sum(F.when(F.col("kind") == 1, F.col("p") * F.col("distrust")).otherwise(0.0)).alias("in_d"))
@@ -124,8 +135,14 @@ def propagate(hosts: DataFrame, edges: DataFrame, steps: int = STEPS, damping: f
         now = materialise(now.join(carried, "host", "left").select(
             "host", "n", "t0", "d0", "gives_t", "gives_d",
             score("t0", "trust", "gives_t", "in_t").alias("trust"),
-            score("d0", "distrust", "gives_d", "in_d").alias("distrust")), "host-scores")
-    return now.select("host", "n", "trust", "distrust")
+            score("d0", "distrust", "gives_d", "in_d").alias("distrust"),
+            F.col("trust").alias("old_t"), F.col("distrust").alias("old_d")), "host-scores")
+        changed, nearest = now.agg(F.sum(F.abs(F.col("trust") - F.col("old_t")) + F.abs(F.col("distrust") - F.col("old_d"))),
+                                   F.min(margin)).first()
+        now = now.drop("old_t", "old_d")
+        rest = changed * damping / (1 - damping)
+        if rest <= max(TOLERANCE, ROUNDING * mass) and (nearest > rest or rest <= max(FINEST, ROUNDING * mass)):
+            return now.select("host", "n", "trust", "distrust")
 
 
 def host_verdicts(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -136,7 +153,7 @@ def host_verdicts(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.count("*").alias("n"),
         F.sum(F.when(F.col("verdict") == "allow", 1.0).otherwise(0.0)).alias("t0"),
         F.sum(F.when(F.col("verdict") == "block", 1.0).otherwise(0.0)).alias("d0"))
-    s = propagate(seeds, host_edges(pages))
+    s = propagate(seeds, host_edges(pages), threshold)
     per = F.greatest(F.col("n"), F.lit(1))
     return s.select("host", (F.col("trust") / per).alias("trust"), (F.col("distrust") / per).alias("distrust")).withColumn(
         "host_verdict", F.when(F.col("distrust") - F.col("trust") >= threshold, "block").otherwise("allow"))

@@ -327,6 +327,16 @@ def test_trust_and_distrust_follow_links(spark):
     assert out[3]["distrust"] > 0.5 and out[3]["verdict"] == "block"
 
 
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    """Nine one-page hosts in a row before a host with 100 refused pages: the
+    last has 100 * 0.85^9 = 23 in the limit."""
+    pages = [(i, f"http://bad.net/{i}", "") for i in range(100)]
+    pages += [(200 + k, f"http://h{k}.com/", f"<a href='//{'bad.net' if k == 1 else f'h{k - 1}.com'}/'>") for k in range(1, 10)]
+    out = {r["page_id"]: r for r in link_graph.filter_urls(spark.createDataFrame(pages, "page_id int, url string, html string")).collect()}
+    assert abs(out[209]["distrust"] - 100 * 0.85 ** 9) < 0.01 and out[209]["verdict"] == "block"
+    assert abs(out[201]["distrust"] - 100 * 0.85 * 0.15) < 0.01
+
+
 def test_empty_tables(spark):
     d = frame(spark, [])
     bench = spark.createDataFrame([], "item_id bigint, text string")
