@@ -54,8 +54,18 @@ BASE = (
     Rule("access", 1, r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", 1, r"[0-9a-f]{16,}"),
 )
+# A private key: from its BEGIN line to the END line that is its next five dashes;
+# where there is none, to the end of the header and base64 lines that follow (of
+# these, all but the last have 16 characters or more). Loops that Java's search
+# takes by recursion are bounded: dashes before END, indented or quoted lines.
+_KEY = r"[A-Z ]{0,32}PRIVATE KEY(?: BLOCK)?-----"
+_BASE64 = "[A-Za-z0-9+/=]"
+_BETWEEN = r"""(?:[\s>|#*"',+]|\\[nr])*"""
+_PEM = (r"-----BEGIN " + _KEY + r"(?:[^-]*(?:--?-?-?[^-]+){0,1000}-----END " + _KEY
+        + rf"|(?:{_BETWEEN}[A-Za-z][A-Za-z0-9-]*: [^\r\n]*){{0,20}}"
+        + rf"(?:(?:{_BETWEEN}{_BASE64 * 16}(?:[A-Za-z0-9+/=\r\n]*{_BASE64})?){{1,500}}(?:(?:[\r\n]|\\[nr]){_BETWEEN}{_BASE64}+)?)?)")
 MORE = (
-    Rule("pem", 1, r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
+    Rule("pem", 2, _PEM, hint=r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY"),
     Rule("github", 1, r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )

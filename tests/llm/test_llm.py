@@ -96,6 +96,26 @@ def test_redaction(spark, awkward):
     assert len(secret_ledger.redact(frame(spark, awkward)).collect()) == len(awkward)
 
 
+def test_private_keys_are_masked_whole(spark):
+    rng = random.Random(11)
+    body = lambda n: "\n".join("".join(rng.choice("ABCDwxyz0189+/") for _ in range(64)) for _ in range(n)) + "\nQk9E=="
+    rsa, pgp, cut, long = body(25), body(40), body(5), body(3000)
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    quoted = "\n".join("> " + x for x in cut.split("\n"))
+    rows = [(1, f"see\n-----BEGIN RSA PRIVATE KEY-----\n{head}{rsa}\n-----END RSA PRIVATE KEY-----\nthe end"),
+            (2, f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2 (a-b)\n\n{pgp}\n-----END PGP PRIVATE KEY BLOCK-----"),
+            (3, f"-----BEGIN PRIVATE KEY-----\n{cut}\n\nall of this text stays"),
+            (4, "a -----BEGIN PRIVATE KEY----- line opens a key, and some prose follows it"),
+            (5, f"-----BEGIN PRIVATE KEY-----\n{cut}\n- this stays\n-----BEGIN EC PRIVATE KEY-----\n{rsa}\n-----END EC PRIVATE KEY-----"),
+            (6, f"> -----BEGIN PRIVATE KEY-----\n{quoted}"), (7, f"-----BEGIN PRIVATE KEY-----\n{long}"),
+            (8, "k = '-----BEGIN PRIVATE KEY-----\\n" + cut.replace("\n", "\\n") + "\\n-----END PRIVATE KEY-----\\n'")]
+    out = {r["doc_id"]: r["text"] for r in secret_ledger.redact(frame(spark, rows)).collect()}
+    assert out[1] == "see\n[SECRET]\nthe end" and out[2] == "[SECRET]" and out[7] == "[SECRET]"
+    assert out[3].startswith("[SECRET]") and out[3].endswith("of this text stays")
+    assert out[4] == "a [SECRET] line opens a key, and some prose follows it"
+    assert out[5] == "[SECRET]\n- this stays\n[SECRET]" and out[6] == "> [SECRET]" and out[8] == "k = '[SECRET]\\n'"
+
+
 def test_quality(docs):
     rows, df = docs
     led = quality_ledger.judge(df)
