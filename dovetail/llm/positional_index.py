@@ -111,21 +111,50 @@ def exact_matches(docs: DataFrame, items: DataFrame, found: DataFrame) -> DataFr
     return rows.select("doc_id", "doc", "item_id", places.alias("places"))
 
 
+def proximity_terms(items: DataFrame, index: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
+    """Known places (item, p, term, wanted: words a match holds), and of these
+    the rarest (item, p, term, need): enough that a match holds ``need`` of them
+    whichever words it lacks. Items of which too many words are unknown to the
+    index have none, as no document can hold them."""
+    at = items.select("item", F.size("w").alias("size"), F.posexplode("w").alias("p", "word")).select(
+        "item", "p", F.xxhash64("word").alias("term"), F.ceil(F.col("size") * share - 1e-9).alias("wanted"))
+    terms = materialise(at.select("term").distinct(), "near-terms")
+    df = materialise(index.select("term").join(terms, "term").groupBy("term").agg(F.count("*").alias("df")), "near-df")
+    w = Window.partitionBy("item")
+    known = at.join(df, "term").select("*", F.count("*").over(w).alias("k"), F.row_number().over(w.orderBy("df", "p")).alias("r"))
+    known = materialise(known.where("k >= wanted"), "near-places")
+    need = F.least(F.lit(RAREST), F.col("wanted"))
+    rare = known.where(F.col("r") <= F.col("k") - F.col("wanted") + need).select("item", "p", "term", need.alias("need"))
+    return known.select("item", "p", "term", "wanted"), rare
+
+
 def proximity_matches(index: DataFrame, items: DataFrame, slack: int = 5, share: float = 0.8) -> DataFrame:
     """(doc, item_id, terms): documents that hold at least ``share`` of an
-    item's distinct rare places with shifts at most ``slack`` apart, words
-    inserted or left out between them notwithstanding. Shifts are met in
-    overlapping bands of twice the slack, so no match falls between two."""
-    rare = rare_terms(items, index)
-    total = rare.groupBy("item").agg(F.count("*").alias("total"))
-    met = index.join(rare, "term").select("doc", "item", "p", (F.col("pos") - F.col("p")).alias("shift"))
-    band = F.floor(F.col("shift") / (slack + 1))
-    met = met.select("doc", "item", "p", F.explode(F.array(band, band + 1)).alias("band")).distinct()
-    n = met.groupBy("doc", "item", "band").agg(F.count("*").alias("terms")).groupBy("doc", "item").agg(F.max("terms").alias("terms"))
-    near = n.join(total, "item").where(F.col("terms") >= F.ceil(share * F.col("total")))
+    item's words with shifts at most ``slack`` apart, words inserted, replaced or
+    left out between them notwithstanding. Shifts are met in overlapping bands
+    of twice the slack, so no match falls between two. The rarest places find
+    candidates; all known places are then counted in these."""
+    known, rare = proximity_terms(items, index, share)
+    low = F.floor((F.col("pos") - F.col("p")) / (slack + 1))
+    met = index.join(rare, "term").select("doc", "item", "p", "need", F.explode(F.array(low, low + 1)).alias("band")).distinct()
+    found = materialise(met.groupBy("doc", "item", "band", "need").agg(F.count("*").alias("n")).where("n >= need").select(
+        "doc", "item", "band"), "near-candidates")
+    held = index.join(found, "doc").join(known, ["item", "term"]).where(low.isin(F.col("band"), F.col("band") - 1))
+    n = held.select("doc", "item", "band", "p", "wanted").distinct().groupBy("doc", "item", "band", "wanted").agg(
+        F.count("*").alias("terms")).where("terms >= wanted")
+    near = n.groupBy("doc", "item").agg(F.max("terms").alias("terms"))
     return near.join(items.select("item", "item_id"), "item").select("doc", "item_id", "terms")
 
 
+def near_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, n_near, near_items (item_ids by :func:`proximity_matches`, sorted) of every row."""
+    near = proximity_matches(build_index(docs), test_items(benchmark))
+    listed = near.select("doc", "item_id").distinct().groupBy("doc").agg(F.sort_array(F.collect_list("item_id")).alias("ids"))
+    out = _docs(docs).select("doc_id", "doc").join(materialise(listed, "near-hits"), "doc", "left")
+    ids = F.coalesce("ids", F.array().cast("array<string>"))
+    return out.select("doc_id", F.size(ids).cast(LONG).alias("n_near"), F.array_join(ids, ",").alias("near_items"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """:func:`exact_matches`, from an index built for the occasion."""
     index = build_index(docs)

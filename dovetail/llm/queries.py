@@ -40,6 +40,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positional_index.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positional_index.near_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ledger.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -211,7 +215,7 @@ from d left join n using (doc_id) left join rep using (doc_id) left join comp on
 
 
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
-    op1_secret_scan, op2_url_filter, op3_license_scan, op4_substring_dedup, op5_decontamination, op6_quality_rules,
+    op1_secret_scan, op2_url_filter, op3_license_scan, op4_substring_dedup, op5_decontamination, op5_proximity, op6_quality_rules,
     op7_token_counts, op8_near_duplicates, op9_best_fit_packing, op10_sharding)}
 ORACLES: dict[str, str] = {
     "op1_secret_scan": _secret_sql(), "op2_url_filter": _url_sql(), "op3_license_scan": _license_sql(),

@@ -185,6 +185,17 @@ def test_proximity(spark):
     assert {r["doc_id"] for r in exact.collect()} == {3}
 
 
+def test_proximity_with_a_word_the_corpus_lacks(spark):
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    long = " ".join(f"w{i}" for i in range(15))
+    rows = [(1, "x " * 30 + text.replace("epsilon", "other")), (2, text.replace(" epsilon", "")), (3, "y " + long.replace("w7", "new")),
+            (4, "alpha beta gamma delta and no more"), (5, None), (6, "kappa beta rare"), (6, "kappa beta rare"), (None, "w1 w2 w3 " * 9)]
+    b = spark.createDataFrame([(7, text), (8, long), (9, "one two three four five six"), (None, None)], "item_id bigint, text string")
+    got = rows_of(positional_index.near_report(frame(spark, rows), b))
+    near = {1: "7", 2: "7", 3: "8"}
+    assert got == Counter((d, int(d in near), near.get(d, "")) for d, _ in rows)
+
+
 def test_token_counts(docs):
     rows, df = docs
     want = Counter((d, len((t or "").encode()), len(i), len(i) > 1024) for (d, t), i in zip(rows, brute.token_ids([t for _, t in rows])))
