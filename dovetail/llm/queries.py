@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dovetail.llm import (external_shuffle, license_dice, link_graph, odd_sketch, positional_index,
-                          quality_ledger, rank_merge, secret_ledger, suffix_trees, vector_packing)
+from dovetail.llm import (external_shuffle, filter_audit, grammar_repair, license_dice, link_graph, odd_sketch, positional_index,
+                          quality_ledger, rank_array, rank_merge, secret_ledger, suffix_trees, vector_packing)
 from dovetail.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return external_shuffle.report(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_array.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grammar_repair.report(table(spark, sf_dir, "conversations"))
+
+
 # ---------------------------------------------------------------- SQL
 
 def _q(s: str) -> str:
@@ -214,10 +226,37 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(c, d.doc_id) a
 from d left join n using (doc_id) left join rep using (doc_id) left join comp on comp.x = r"""
 
 
+def _audit_sql() -> str:
+    f = filter_audit.FILTERS
+    orders = ", ".join(f"('{o}', {s}, {b}, {e})" for o, s, b, e in filter_audit.steps())
+    return rf"""with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, {SQL_WORDS} as w from documents),
+b as (select doc_id, part, t, case when len(w) < 200 then {1 << f.index('A')} else 0 end
+    + case when 100 * len(list_distinct(w)) < 50 * len(w) then {1 << f.index('B')} else 0 end
+    + case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) then {1 << f.index('C')} else 0 end
+    + case when regexp_matches(t, '[#$%&*|]') then {1 << f.index('D')} else 0 end
+    + case when min(doc_id) over (partition by t) < doc_id then {1 << f.index('E')} else 0 end as mask from d),
+l as (select doc_id, max((quality is not distinct from 1)::int) as good, max((toxic is not distinct from 1)::int) as toxic
+    from labels where doc_id is not null group by doc_id),
+c as (select part, mask, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+    from b left join l using (doc_id) group by part, mask),
+o(filter_order, step, bit, before) as (values {orders})
+select part, filter_order, step::int as step,
+    coalesce(sum(n) filter (mask & (before | bit) = 0), 0)::bigint as kept,
+    coalesce(sum(n) filter (mask & bit <> 0 and mask & before = 0), 0)::bigint as removed,
+    coalesce(sum(n) filter (mask & bit <> 0 and mask & before <> 0), 0)::bigint as redundant,
+    coalesce(sum(n) filter (mask = bit), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (mask & bit <> 0 and mask & before = 0), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (mask & bit <> 0 and mask & before = 0), 0)::bigint as toxic_lost,
+    sum(coalesce(sum(n) filter (mask & bit <> 0 and mask & before = 0), 0)) over (partition by part, bit)::bigint as shapley
+from c, o group by part, filter_order, step, bit, before"""
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_secret_scan, op2_url_filter, op3_license_scan, op4_substring_dedup, op5_decontamination, op5_proximity, op6_quality_rules,
-    op7_token_counts, op8_near_duplicates, op9_best_fit_packing, op10_sharding)}
+    op7_token_counts, op8_near_duplicates, op9_best_fit_packing, op10_sharding, op11_filter_audit, op12_bpe_round_trip,
+    op13_conversation_repair)}
 ORACLES: dict[str, str] = {
     "op1_secret_scan": _secret_sql(), "op2_url_filter": _url_sql(), "op3_license_scan": _license_sql(),
     "op4_substring_dedup": _repeats_sql(), "op5_decontamination": _leak_sql(),
-    "op6_quality_rules": _quality_sql(), "op8_near_duplicates": _near_sql()}
+    "op6_quality_rules": _quality_sql(), "op8_near_duplicates": _near_sql(),
+    "op11_filter_audit": _audit_sql()}

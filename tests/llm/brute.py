@@ -122,3 +122,149 @@ def pieces(doc_id, ids, most=1024):
     head = len(ids) % most or most
     cuts = [(0, head)] + [(s, most) for s in range(head, len(ids), most)]
     return [(doc_id, k, s, n, zlib.crc32(np.array(ids[s:s + n], "<u4").tobytes())) for k, (s, n) in enumerate(cuts)]
+
+
+def filter_audit(rows, labels):
+    """rows: (doc_id, text, source); labels: (doc_id, quality, toxic) -> Counter of result rows."""
+    from itertools import permutations
+    ids = defaultdict(set)
+    for d, t, _ in rows:
+        if d is not None:
+            ids[t or ""].add(d)
+    good = {d for d, q, _ in labels if d is not None and q == 1}
+    bad = {d for d, _, x in labels if d is not None and x == 1}
+    parts = defaultdict(list)
+    for d, t, source in rows:
+        t = t or ""
+        w = WORD.findall(t)
+        fails = {"A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 2 * len(t),
+                 "D": bool(re.search(r"[#$%&*|]", t)), "E": d is not None and min(ids[t]) < d}
+        parts[source or ""].append((d, {f for f, x in fails.items() if x}))
+    out = []
+    for part, docs in parts.items():
+        found, shapley = [], Counter()
+        for order in permutations("ABCDE"):
+            left = list(docs)
+            for k, f in enumerate(order):
+                gone = [d for d, x in left if f in x]
+                redundant = sum(f in x and bool(x & set(order[:k])) for _, x in docs)
+                left = [(d, x) for d, x in left if f not in x]
+                shapley[f] += len(gone)
+                found.append(("".join(order), k + 1, len(left), len(gone), redundant, sum(x == {f} for _, x in docs),
+                              sum(d in good for d in gone), sum(d in bad for d in gone)))
+        out += [(part, *x, shapley[x[0][x[1] - 1]]) for x in found]
+    return Counter(out)
+
+
+def damaged(rows):
+    """rows: (conv_id, turn, role, text) -> the same after damage, in order."""
+    out = []
+    for c, n, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if n is None else n}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(c, n, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    md5 = lambda r: hashlib.md5(f"{len(r[2])}:{r[2]}{r[3]}".encode()).digest()
+    return sorted(out, key=lambda r: (r[1] is not None, r[1] or 0, md5(r)))
+
+
+def faults(rows):
+    """Faults of one conversation's rows: b, d, t or none."""
+    seen, out = set(), []
+    for _, _, role, text in rows:
+        last = re.findall(r"[^\x20\x09-\x0D]", text)
+        out.append("b" if not last else "d" if (role, text) in seen else "t" if last[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+ROLES = re.compile(r"(s?(ua)+)?")
+
+
+def every_repair(initials, found):
+    """Cheapest audit of a short conversation by trying all edits."""
+    best = None
+
+    def go(i, roles, audit, cost):
+        nonlocal best
+        if best is not None and cost > best[0]:
+            return
+        if i == len(found):
+            for more in ("", "u", "a", "ua", "au"):
+                if ROLES.fullmatch(roles + more):
+                    new = (cost + 3 * len(more), audit + "I" * len(more))
+                    best = new if best is None or new < best else best
+            return
+        for front in ("", "u", "a", "ua", "au"):
+            r, a, c = roles + front, audit + "I" * len(front), cost + 3 * len(front)
+            go(i + 1, r, a + "D", c + 4)
+            if found[i] not in ("b", "d"):
+                extra = 3 if found[i] == "t" else 0
+                if initials[i] in ("s", "u", "a"):
+                    go(i + 1, r + initials[i], a + "K", c + extra)
+                for x in "ua":
+                    go(i + 1, r + x, a + "R", c + 3 + extra)
+
+    go(0, "", "", 0)
+    return best
+
+
+def repair(initials, found):
+    """Cheapest audit by states: nothing (n), s, u, a."""
+    states = {"n": (0, "")}
+
+    def after(state, x):
+        return x if (state, x) in {("n", "s"), ("n", "u"), ("s", "u"), ("u", "a"), ("a", "u")} else None
+
+    def inserted(states):
+        for _ in range(3):
+            for st, (c, a) in list(states.items()):
+                for x in "ua":
+                    if (n := after(st, x)) and (n not in states or (c + 3, a + "I") < states[n]):
+                        states[n] = (c + 3, a + "I")
+        return states
+
+    for i, f in zip(initials, found):
+        new = {}
+        for st, (c, a) in inserted(dict(states)).items():
+            ways = [(st, 4, "D")]
+            if f not in ("b", "d"):
+                extra = 3 if f == "t" else 0
+                ways += [(after(st, i), extra, "K")] + [(after(st, x), 3 + extra, "R") for x in "ua"]
+            for n, k, letter in ways:
+                if n and (n not in new or (c + k, a + letter) < new[n]):
+                    new[n] = (c + k, a + letter)
+        states = new
+    ends = inserted(dict(states))
+    return min(ends[k] for k in ("n", "a") if k in ends)
+
+
+def repaired(rows, audit):
+    """Lines of the repaired conversation."""
+    it, out, roles = iter(rows), [], ""
+    for letter in audit:
+        row = next(it) if letter != "I" else None
+        if letter == "D":
+            continue
+        want = "a" if roles[-1:] == "u" else "u"
+        role = row[2] if letter == "K" else {"u": "user", "a": "assistant"}[want]
+        roles += role[:1]
+        out.append(f"{role}:{row[3] if row else ''}")
+    assert ROLES.fullmatch(roles)
+    return out
+
+
+def conversations(rows):
+    """Result rows of the conversation query."""
+    by = {c: [] for c, *_ in rows}
+    for r in damaged(rows):
+        by[r[0]].append(r)
+    out = []
+    for c, rs in by.items():
+        f, initials = faults(rs), [r[2][:1] for r in rs]
+        cost, audit = repair(initials, f)
+        turns = {r[1] for r in rs} - {None}
+        out.append((c, max(turns) - min(turns) + 1 - len(turns) if turns else 0, f.count("b"), f.count("d"), f.count("t"),
+                    sum(x + y not in ("su", "ua", "au") for x, y in zip(initials, initials[1:])), cost, audit,
+                    sha("\n".join(repaired(rs, audit)))))
+    return out
