@@ -88,7 +88,7 @@ def _secret_sql() -> str:
     parts = []
     for k, r in enumerate(secret_ledger.RULES):
         # (?i:...) groups count as in the Spark pattern
-        p = _q(r.pattern)
+        p = _q(r.plain or r.pattern)
         parts.append(f"""
   select doc_id, {k} as k, '{r.kind}' as kind,
     unnest(list_transform(regexp_extract_all(t, '{p}', 0), lambda x: length(x))) as m,

@@ -13,10 +13,13 @@ k-th match starts at the summed lengths of k+1 gaps and k matches. Positions
 count code points, ends are exclusive.
 
 Scale: blobs are grouped by hash with map-side combine (a hot blob costs a row
-per task), texts move once, spread by doc_id, and the join back to paths can be
-split at a hot blob by adaptive execution.
+per task), texts move once, spread by doc_id, and spans are written before they
+are joined back, so that adaptive execution can split a hot blob's paths.
+``commit`` keeps which blob stood at which path in which version; ``history``
+joins findings back to all of them.
 
-Defined cases: a null text is the empty text; a null doc_id is kept; rows
+Defined cases: a text of any length and content is scanned whole (no pattern
+recurses with it); a null text is the empty text; a null doc_id is kept; rows
 repeated in full each get their row; an empty table gives an empty result;
 columns beside doc_id and text are ignored.
 """
@@ -38,13 +41,15 @@ BUFFER = 256
 @dataclass(frozen=True)
 class Rule:
     """A pattern; where ``group`` is set, the match counts if that group has
-    ``least`` characters. ``hint``: a cheaper pattern every match contains."""
+    ``least`` characters. ``hint``: a cheaper pattern every match contains;
+    ``plain``: the pattern in the common syntax, where it uses Java's own."""
     kind: str
     version: int
     pattern: str
     group: int = 0
     least: int = 0
     hint: str = ""
+    plain: str = ""
 
 
 # The three base kinds (order as listed), then kinds of this method.
@@ -56,16 +61,19 @@ BASE = (
 )
 # A private key: from its BEGIN line to the END line that is its next five dashes;
 # where there is none, to the end of the header and base64 lines that follow (of
-# these, all but the last have 16 characters or more). Loops that Java's search
-# takes by recursion are bounded: dashes before END, indented or quoted lines.
-_KEY = r"[A-Z ]{0,32}PRIVATE KEY(?: BLOCK)?-----"
+# these, all but the last have 16 characters or more). Loops over groups are
+# possessive: Java runs them as loops, not by recursion, so no length overflows
+# the stack, and none needs a bound.
+_KEY = r"[A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
 _BASE64 = "[A-Za-z0-9+/=]"
-_BETWEEN = r"""(?:[\s>|#*"',+]|\\[nr])*"""
-_PEM = (r"-----BEGIN " + _KEY + r"(?:[^-]*(?:--?-?-?[^-]+){0,1000}-----END " + _KEY
-        + rf"|(?:{_BETWEEN}[A-Za-z][A-Za-z0-9-]*: [^\r\n]*){{0,20}}"
-        + rf"(?:(?:{_BETWEEN}{_BASE64 * 16}(?:[A-Za-z0-9+/=\r\n]*{_BASE64})?){{1,500}}(?:(?:[\r\n]|\\[nr]){_BETWEEN}{_BASE64}+)?)?)")
+_BETWEEN = r"""(?:[\s>|#*"',+]|\\[nr])*+"""
+_TAIL = (rf"(?:{_BETWEEN}[A-Za-z][A-Za-z0-9-]*: [^\r\n]*)*+"
+         rf"(?:(?:{_BETWEEN}{_BASE64 * 16}(?:[A-Za-z0-9+/=\r\n]*{_BASE64})?)++(?:(?:[\r\n]|\\[nr]){_BETWEEN}{_BASE64}+)?)?")
+_PEM = rf"-----BEGIN {_KEY}(?:(?:[^-]++|-(?!----))*+-----END {_KEY}|{_TAIL})"
+#: The same for engines without possessive loops and look-ahead, which do not recurse either.
+PEM_PLAIN = (rf"-----BEGIN {_KEY}(?:[^-]*(?:-{{1,4}}[^-]+)*-----END {_KEY}|" + _TAIL.replace("*+", "*").replace("++(?:", "+(?:") + ")")
 MORE = (
-    Rule("pem", 2, _PEM, hint=r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY"),
+    Rule("pem", 3, _PEM, hint=r"-----BEGIN [A-Z ]*PRIVATE KEY", plain=PEM_PLAIN),
     Rule("github", 1, r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
@@ -135,16 +143,42 @@ def scan(docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) ->
     return spark.read.schema(LEDGER).parquet(ledger_path)
 
 
-def findings(docs: DataFrame, ledger_rows: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Every path (row) with all spans of its blob under the current rule versions."""
+def located(paths: DataFrame, ledger_rows: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``paths`` (with a blob) and the spans of their blobs under the current rule versions."""
     current = F.lit(False)
     for r in rules:
         current = current | ((F.col("kind") == r.kind) & (F.col("version") == r.version))
+    # the same pair may stand in the ledger twice (runs that overlapped, a retried append): its spans are equal
     by_blob = ledger_rows.where(current & (F.size("spans") > 0)).groupBy("blob").agg(
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    paths = documents_core(docs).select("doc_id", blob(F.col("text")).alias("blob"))
-    return paths.join(by_blob, "blob", "left").withColumn(
-        "spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+    # written before it is joined: the rows of a hot blob can then be split
+    by_blob = materialise(by_blob, "secret-spans").withColumnRenamed("blob", "b")
+    out = paths.join(by_blob, F.col("blob") == F.col("b"), "left").drop("b")
+    return out.withColumn("spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")))
+
+
+def findings(docs: DataFrame, ledger_rows: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Every path (row) with all spans of its blob under the current rule versions."""
+    return located(documents_core(docs).select("doc_id", blob(F.col("text")).alias("blob")), ledger_rows, rules)
+
+
+_PATHS = "doc_id bigint, blob binary, version bigint"
+
+
+def commit(docs: DataFrame, store: str, version: int, rules: tuple[Rule, ...] = RULES) -> None:
+    """Record one version of the corpus in ``store``: which blob stands at which
+    path, and the spans of blobs no earlier version had. Committing a version
+    again writes the same."""
+    paths = documents_core(docs).select("doc_id", blob(F.col("text")).alias("blob")).distinct()
+    paths.write.mode("overwrite").parquet(f"{store}/paths/version={int(version)}")
+    scan(docs, f"{store}/ledger", rules)
+
+
+def history(spark: SparkSession, store: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """doc_id, version, spans of every path in every committed version that held a secret."""
+    paths = spark.read.schema(_PATHS).option("basePath", f"{store}/paths").parquet(f"{store}/paths")
+    found = located(paths, spark.read.schema(LEDGER).parquet(f"{store}/ledger"), rules)
+    return found.where(F.size("spans") > 0).select("doc_id", "version", "spans")
 
 
 def _joined(spans_: Column) -> Column:
@@ -176,7 +210,7 @@ def redact(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
     spark = docs.sparkSession
     path = ledger_path or scratch_dir(spark, "secret-ledger")
     rows = scan(docs, path).where(F.size("spans") > 0).groupBy("blob").agg(
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("sp"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("sp"))
     own = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
     d = docs.select(own, blob(docs["text"].cast("string")).alias("b"))
     hit = d.join(materialise(rows, "secret-spans").withColumnRenamed("blob", "b"), "b", "left")
