@@ -21,7 +21,7 @@ Prefix counts come from a pass over all texts, summed in Spark; the driver sees
 a table whose size is set by the number of groups.
 
 Defined cases: null, empty and short texts (under 13 words) lose nothing; a
-null doc_id counts as larger than any other; rows with equal doc_id are the
+null doc_id counts as larger than any other (and 2^63 - 1 as null); rows with equal doc_id are the
 same document, so they do not remove each other's words; rows repeated in full
 get the same result each; an empty table gives an empty result; columns beside
 doc_id and text are ignored.
@@ -46,7 +46,7 @@ _BLOB = "grp int, dids binary, keys binary, counts binary, places binary, labels
 
 def _keyed(docs: DataFrame) -> DataFrame:
     d = documents_core(docs)
-    return d.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("did"), F.hash(row_key(F.col("text"))).alias("key"), "text")
+    return d.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("did"), row_key(F.col("text")).alias("key"), "text")
 
 
 def prefix_counts(d: DataFrame, bits: int) -> list[tuple[int, int, int]]:
@@ -152,7 +152,7 @@ def _deal(portion: list, group: np.ndarray, bits: int):
         some, first_, counts = np.unique(doc[mine], return_index=True, return_counts=True)
         del first_
         free = mine[~settled[mine]]
-        yield (int(grp[mine[0]]), _steps(dids[some]), keys[some].astype("<i4").tobytes(), _narrow(counts),
+        yield (int(grp[mine[0]]), _steps(dids[some]), keys[some].astype("<i8").tobytes(), _narrow(counts),
                _narrow(_gaps(place[mine], doc[mine])), label[free].astype("<u8").tobytes(),
                np.packbits(settled[mine]).tobytes())
 
@@ -191,7 +191,7 @@ def _subtree(t):
     for r in t.select(["dids", "keys", "counts", "places", "labels", "settled"]).to_pylist():
         c = _widen(r["counts"])
         dids.append(_ids(r["dids"]))
-        keys.append(np.frombuffer(r["keys"], "<i4"))
+        keys.append(np.frombuffer(r["keys"], "<i8"))
         counts.append(c)
         places.append(_places(_widen(r["places"]), c))
         settled.append(np.unpackbits(np.frombuffer(r["settled"], np.uint8), count=len(places[-1])).astype(bool))
@@ -209,7 +209,7 @@ def _subtree(t):
     marked, n = np.unique(doc[some], return_counts=True)
     ends = np.cumsum(n)
     place = places[some].astype("<u4")
-    return pa.table({"did": pa.array(dids[marked]), "key": pa.array(keys[marked].astype(np.int32)),
+    return pa.table({"did": pa.array(dids[marked]), "key": pa.array(keys[marked]),
                      "places": pa.array([place[e - m:e].tobytes() for e, m in zip(ends.tolist(), n.tolist())], pa.binary())})
 
 
@@ -221,7 +221,7 @@ def repeats(d: DataFrame, most: int = MOST) -> DataFrame:
     most = int(min(most, max(1 << 14, suffixes // 64)))
     bits = int(min(22, max(10, np.ceil(np.log2(16 * suffixes / most + 1)))))
     group = plan_groups(prefix_counts(d, bits), bits, most)
-    found = deal(d, group, bits).groupBy("grp").applyInArrow(_subtree, "did bigint, key int, places binary")
+    found = deal(d, group, bits).groupBy("grp").applyInArrow(_subtree, "did bigint, key bigint, places binary")
     return found.groupBy("did", "key").agg(F.collect_list("places").alias("places"))
 
 
@@ -249,7 +249,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                 ws = t.split() if t else []
                 gone = 0
                 if ps and ws:
-                    # rows that share this row's keys share its marks, so places are inside
+                    # marks come by doc_id and 64-bit key of the text: rows that share them have this text
                     at = np.concatenate([np.frombuffer(p, "<u4") for p in ps]).astype(np.int64)
                     out = covered(at, len(ws))
                     gone = int(out.sum())
