@@ -1,6 +1,6 @@
 """Report tables (ADS layer): 1 / 7 / 30-day figures for ``run_date``.
 
-Each report reads only the last 30 days of its 1-day table, fans rows out to
+Each report reads the last 30 day folders of its stored 1-day tables, fans rows out to
 the 1-, 7- and 30-day windows in one pass (``recent_days``) and merges metric
 sets with ``union_group`` -- one shuffle where the reference chains full
 outer joins.
@@ -43,10 +43,6 @@ def windows_sql(one_sql, keys, measures, wins=WIN):
     GROUP BY {k}w.recent_days"""
 
 
-def _days():
-    return R_._window_days()
-
-
 def _sum(*cols, prefix=""):
     return {f"{prefix}{c}": F.sum(c) for c in cols}
 
@@ -56,14 +52,14 @@ def _sum(*cols, prefix=""):
 @query("report_orders", with_model(windows_sql(R_.ORDER_CARGO_1D_SQL, "",
        "sum(order_count) AS order_count, sum(order_amount) AS order_amount"), *_M1))
 def report_orders(spark, sf_dir):
-    one = R_.order_cargo_1d(spark, sf_dir, days=_days())
+    one = R_.stored(spark, sf_dir, "order_cargo")
     return windows(one, [], _sum("order_count", "order_amount"))
 
 
 @query("report_cargo_type", with_model(windows_sql(R_.ORDER_CARGO_1D_SQL, "cargo_type, cargo_type_name",
        "sum(order_count) AS order_count, sum(order_amount) AS order_amount"), *_M1))
 def report_cargo_type(spark, sf_dir):
-    one = R_.order_cargo_1d(spark, sf_dir, days=_days())
+    one = R_.stored(spark, sf_dir, "order_cargo")
     return windows(one, ["cargo_type", "cargo_type_name"], _sum("order_count", "order_amount"))
 
 
@@ -87,9 +83,9 @@ def _union_group_sql(parts: list[tuple[str, list[str]]], keys: str) -> str:
                  "sum(order_amount) AS dispatch_order_amount"), ["dispatch_order_count", "dispatch_order_amount"]),
 ], "dt, recent_days"), *_M1))
 def report_order_stats(spark, sf_dir):
-    rec = windows(R_.receive_1d(spark, sf_dir, days=_days()), [],
+    rec = windows(R_.stored(spark, sf_dir, "receive"), [],
                   {"receive_order_count": F.sum("order_count"), "receive_order_amount": F.sum("order_amount")})
-    dis = windows(R_.dispatch_1d(spark, sf_dir, days=_days()), [],
+    dis = windows(R_.stored(spark, sf_dir, "dispatch"), [],
                   {"dispatch_order_count": F.sum("order_count"), "dispatch_order_amount": F.sum("order_amount")})
     return union_group([rec, dis], ["dt", "recent_days"])
 
@@ -126,7 +122,7 @@ _TRIPS = ("trans_finish_count", "trans_finish_distance", "trans_finish_dur_sec")
 
 @query("report_trans_stats", with_model(windows_sql(R_.TRIPS_1D_SQL, "", _TRIP_MEASURES), *_MT))
 def report_trans_stats(spark, sf_dir):
-    return windows(R_.trips_1d(spark, sf_dir, days=_days()), [], _sum(*_TRIPS))
+    return windows(R_.stored(spark, sf_dir, "trips"), [], _sum(*_TRIPS))
 
 
 def _avg_cols():
@@ -143,7 +139,7 @@ _AVG_SQL = ("CAST(trans_finish_distance AS DOUBLE) / NULLIF(CAST(trans_finish_co
     SELECT *, {_AVG_SQL} FROM ({windows_sql(R_.TRIPS_1D_SQL, 'truck_model_type, truck_model_type_name',
                                             _TRIP_MEASURES)}) x""", *_MT))
 def report_truck_stats(spark, sf_dir):
-    w = windows(R_.trips_1d(spark, sf_dir, days=_days()), ["truck_model_type", "truck_model_type_name"], _sum(*_TRIPS))
+    w = windows(R_.stored(spark, sf_dir, "trips"), ["truck_model_type", "truck_model_type_name"], _sum(*_TRIPS))
     return w.select("*", *_avg_cols())
 
 
@@ -199,7 +195,7 @@ def report_driver_stats(spark, sf_dir):
 
 def _trips_area_1d(spark, sf_dir):
     """Trips per org with the org's city (district -> city walk)."""
-    t = R_.trips_1d(spark, sf_dir, days=_days())
+    t = R_.stored(spark, sf_dir, "trips")
     org = model.organ(spark, sf_dir).select(F.col("id").alias("__oid"), "region_id")
     j = t.join(maybe_broadcast(org), t.org_id == F.col("__oid"), "left")
     return hierarchy(j, "region_id", model.region_info(spark, sf_dir), ["city"])
@@ -212,7 +208,7 @@ _TRIPS_AREA_SQL = f"""
 
 
 def _order_trip_report(spark, sf_dir, keys):
-    orders = windows(R_.order_cargo_1d(spark, sf_dir, days=_days()), keys, _sum("order_count", "order_amount"))
+    orders = windows(R_.stored(spark, sf_dir, "order_cargo"), keys, _sum("order_count", "order_amount"))
     trips = windows(_trips_area_1d(spark, sf_dir), keys, _sum(*_TRIPS))
     return union_group([orders, trips], ["dt", "recent_days", *keys]).select("*", *_avg_cols())
 
@@ -237,10 +233,10 @@ def report_org_stats(spark, sf_dir):
 
 
 def _express(spark, sf_dir, keys):
-    parts = [windows(R_.deliver_1d(spark, sf_dir, days=_days()), keys, {"deliver_suc_count": F.sum("order_count")}),
-             windows(R_.org_sort_1d(spark, sf_dir, days=_days()), keys, {"sort_count": F.sum("sort_count")})]
+    parts = [windows(R_.stored(spark, sf_dir, "deliver"), keys, {"deliver_suc_count": F.sum("order_count")}),
+             windows(R_.stored(spark, sf_dir, "org_sort"), keys, {"sort_count": F.sum("sort_count")})]
     if keys:
-        parts.append(windows(R_.receive_1d(spark, sf_dir, days=_days()), keys,
+        parts.append(windows(R_.stored(spark, sf_dir, "receive"), keys,
                              {"receive_order_count": F.sum("order_count"),
                               "receive_order_amount": F.sum("order_amount")}))
     return union_group(parts, ["dt", "recent_days", *keys])

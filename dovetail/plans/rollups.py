@@ -17,6 +17,7 @@ from dovetail.plans.facts import FACT_MODEL, MILESTONES, by_milestone, order_det
     order_detail_sql, trans_finish
 from dovetail.registry import query
 from dovetail.sources import model
+from dovetail.sources.daily import Daily, read_days
 from dovetail.sources.model import RUN_DATE
 from dovetail.sources.model_sql import with_model
 
@@ -71,7 +72,7 @@ def _window_days():
 
 
 def order_cargo_nd(spark, sf_dir):
-    one = order_cargo_1d(spark, sf_dir, days=_window_days())
+    one = stored(spark, sf_dir, "order_cargo")
     keys = ["org_id", "org_name", "city_id", "city_name", "cargo_type", "cargo_type_name"]
     nd = recent_days(one, keys, {"order_count": F.sum("order_count"),
                                  "order_amount": F.sum("order_amount")}, RUN_DATE)
@@ -148,7 +149,7 @@ def rollup_receive_1d(spark, sf_dir):
 @query("rollup_receive_nd", with_model(_nd_sql(RECEIVE_1D_SQL, _AREA,
        "sum(order_count) AS order_count, sum(order_amount) AS order_amount"), *_M1))
 def rollup_receive_nd(spark, sf_dir):
-    one = receive_1d(spark, sf_dir, days=_window_days())
+    one = stored(spark, sf_dir, "receive")
     return recent_days(one, _AREA.split(", "), {"order_count": F.sum("order_count"),
                                                 "order_amount": F.sum("order_amount")}, RUN_DATE) \
         .withColumn("dt", F.lit(RUN_DATE))
@@ -177,7 +178,7 @@ def rollup_deliver_1d(spark, sf_dir):
 
 @query("rollup_deliver_nd", with_model(_nd_sql(DELIVER_1D_SQL, _AREA, "sum(order_count) AS order_count"), *_M1))
 def rollup_deliver_nd(spark, sf_dir):
-    one = deliver_1d(spark, sf_dir, days=_window_days())
+    one = stored(spark, sf_dir, "deliver")
     return recent_days(one, _AREA.split(", "), {"order_count": F.sum("order_count")}, RUN_DATE) \
         .withColumn("dt", F.lit(RUN_DATE))
 
@@ -209,7 +210,7 @@ def rollup_dispatch_1d(spark, sf_dir):
     WHERE CAST(one.dt AS DATE) > {R} - w.recent_days AND CAST(one.dt AS DATE) <= {R}
     GROUP BY w.recent_days""", *FACT_MODEL))
 def rollup_dispatch_nd(spark, sf_dir):
-    one = dispatch_1d(spark, sf_dir, days=_window_days())
+    one = stored(spark, sf_dir, "dispatch")
     return recent_days(one, [], {"order_count": F.sum("order_count"), "order_amount": F.sum("order_amount")},
                        RUN_DATE).withColumn("dt", F.lit(RUN_DATE))
 
@@ -333,19 +334,25 @@ def rollup_org_sort_1d(spark, sf_dir):
 @query("rollup_sort_nd", with_model(_nd_sql(ORG_SORT_1D_SQL, _AREA, "sum(sort_count) AS sort_count"),
                                     "order_org_bound", "organ", "region_info"))
 def rollup_sort_nd(spark, sf_dir):
-    one = org_sort_1d(spark, sf_dir, days=_window_days())
+    one = stored(spark, sf_dir, "org_sort")
     return recent_days(one, _AREA.split(", "), {"sort_count": F.sum("sort_count")}, RUN_DATE) \
         .withColumn("dt", F.lit(RUN_DATE))
 
 
 # -- shift x drivers x truck, n days -------------------------------------------------------------
 
+_SHIFT = ["shift_id", "line_id", "driver1_emp_id", "driver2_emp_id", "truck_id"]
+
+
+def shift_1d(spark, sf_dir, days=None):
+    return trans_finish(spark, sf_dir, days).groupBy(*_SHIFT, "dt").agg(
+        F.count("*").alias("trans_finish_count"), F.sum("actual_distance").alias("trans_finish_distance"),
+        F.sum("finish_dur_sec").alias("trans_finish_dur_sec"))
+
+
 def shift_nd(spark, sf_dir):
-    t = trans_finish(spark, sf_dir, days=_window_days())
-    keys = ["shift_id", "line_id", "driver1_emp_id", "driver2_emp_id", "truck_id"]
-    nd = recent_days(t, keys, {"trans_finish_count": F.count("*"),
-                               "trans_finish_distance": F.sum("actual_distance"),
-                               "trans_finish_dur_sec": F.sum("finish_dur_sec")}, RUN_DATE)
+    nd = recent_days(stored(spark, sf_dir, "shift"), _SHIFT,
+                     {c: F.sum(c) for c in ("trans_finish_count", "trans_finish_distance", "trans_finish_dur_sec")}, RUN_DATE)
     return (nd.join(truck_dim(spark, sf_dir), nd.truck_id == F.col("truck_dim_id"), "left")
               .drop("truck_dim_id").withColumn("dt", F.lit(RUN_DATE)))
 
@@ -363,3 +370,21 @@ SHIFT_ND_SQL = f"""
 @query("rollup_shift_nd", with_model(SHIFT_ND_SQL, "transport_task", "organ", "dic"))
 def rollup_shift_nd(spark, sf_dir):
     return shift_nd(spark, sf_dir)
+
+
+# -- the stored 1-day tables ---------------------------------------------------------------------------
+
+_AREAS = ("supplier", "nation", "region")
+DAILY = {t.name: t for t in (
+    Daily("order_cargo", order_cargo_1d, ("lineitem", "orders", "part", *_AREAS)),
+    Daily("receive", receive_1d, ("lineitem", "orders", *_AREAS)),
+    Daily("deliver", deliver_1d, ("lineitem", "orders", *_AREAS)),
+    Daily("dispatch", dispatch_1d, ("lineitem", "orders")),
+    Daily("trips", trips_1d, ("lineitem", "part", "supplier")),
+    Daily("org_sort", org_sort_1d, ("lineitem", *_AREAS)),
+    Daily("shift", shift_1d, ("lineitem",)))}
+
+
+def stored(spark, sf_dir, name: str) -> DataFrame:
+    """The days of the widest window from a stored 1-day table."""
+    return read_days(spark, sf_dir, DAILY[name], *_window_days())

@@ -55,6 +55,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(str(base), "dovetail", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def shared_dir(spark: SparkSession, *names: str) -> str:
+    """A folder under the shared checkpoint directory that is the same one for
+    the same names, in this session and later ones."""
+    return os.path.join(os.path.dirname(scratch_dir(spark, "x")), *names)
+
+
 def job_dir(spark: SparkSession, name: str, run: str | None = None) -> str:
     """The folder of a job: the same one for the same ``run`` (a stopped job
     finds its checkpoint and outputs there), a fresh one without."""

@@ -2,6 +2,7 @@
 
 import pytest
 
+from dovetail.plans.rollups import DAILY
 from dovetail.registry import load_all
 from tests.conftest import SF
 
@@ -21,30 +22,31 @@ def test_no_cartesian_or_nested_loop_join(spark, key):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
 
 
-def test_day_window_reaches_the_scan(spark):
-    p = plan(Q["rollup_receive_nd"].build(spark, SF))
-    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in p
+STORED = ["rollup_order_cargo_nd", "rollup_receive_nd", "rollup_deliver_nd", "rollup_dispatch_nd", "rollup_sort_nd", "rollup_shift_nd",
+          "report_orders", "report_cargo_type", "report_order_stats", "report_trans_stats", "report_truck_stats", "report_shift_stats",
+          "report_line_stats", "report_driver_stats", "report_city_stats", "report_org_stats", "report_express_stats",
+          "report_express_province", "report_express_city", "report_express_org"]
 
 
-WINDOWED = ["rollup_shift_nd", "rollup_sort_nd", "report_trans_stats", "report_truck_stats", "report_shift_stats", "report_line_stats",
-            "report_driver_stats", "report_city_stats", "report_org_stats", "report_express_stats", "report_express_province",
-            "report_express_city", "report_express_org"]
+@pytest.mark.parametrize("key", STORED)
+def test_reports_read_stored_days_only(spark, key):
+    """No n-day table or report scans the lines or orders again."""
+    p = plan(Q[key].build(spark, SF))
+    assert "lineitem.parquet" not in p and "orders.parquet" not in p and "/daily/" in p, key
 
 
-@pytest.mark.parametrize("key", WINDOWED)
-def test_every_lineitem_scan_of_a_window_is_pruned(spark, key):
+@pytest.mark.parametrize("name", sorted(DAILY))
+def test_building_a_day_prunes_the_source_scan(spark, name):
+    """Each scan of the fact tables has the day window, or is joined to one that has (order day)."""
     import re
-    scans = re.findall(r"FileScan parquet \[[^\]]*l_[^\n]*", plan(Q[key].build(spark, SF)))
-    assert scans
-    for s in scans:
-        pushed = s[s.index("PushedFilters"):]
-        # orders of a window are pruned on the order side, their lines by the join
-        assert "l_shipdate," in pushed or "l_shipdate)" in pushed or "o_orderdate" in plan(Q[key].build(spark, SF)), s
+    p = plan(DAILY[name].build(spark, SF, ("1998-07-04", "1998-08-02")))
+    scans = dict(re.findall(r"Location:[^\n]*/(lineitem|orders)\.parquet[^\n]*?PushedFilters: (\[[^\n]*)", p))
+    dated = "o_orderdate" if name == "order_cargo" else "l_shipdate"
+    assert f"GreaterThanOrEqual({dated}" in scans["orders" if name == "order_cargo" else "lineitem"] or f"({dated}" in str(scans), p
 
 
 def test_one_lineitem_scan(spark):
-    for key in ("report_driver_stats", "dim_sku_full"):
-        assert plan(Q[key].build(spark, SF)).count("lineitem.parquet") == 1, key
+    assert plan(Q["dim_sku_full"].build(spark, SF)).count("lineitem.parquet") == 1
 
 
 def test_fixed_dictionary_decodes_broadcast(spark):
