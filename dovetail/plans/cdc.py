@@ -16,7 +16,7 @@ from dovetail.registry import query
 from dovetail.sources import envelopes as E
 from dovetail.sources.literal import literal_table
 from dovetail.sources.tables import load
-from dovetail.streaming.runner import Topic, current, merge_batch, run_foreach_batch
+from dovetail.streaming.runner import BucketTable, Topic, run_foreach_batch
 
 # Retail code dictionary (dic_code, dic_name); names descriptive.
 RETAIL_DIC = [("1103", "card payment"), ("1502", "refund only"), ("1301", "quality issue"),
@@ -283,16 +283,17 @@ def cdc_refund_pay(spark, sf_dir):
     FROM orders""")
 def sink_upsert_latest(spark, sf_dir, **how):
     """Upsert sink: a stream of order changes, each micro-batch merged into
-    the stored table, where the last value per primary key wins (``max_by`` on
-    event time; partial aggregation map-side)."""
+    the key-hash buckets it touches, where the last value per primary key wins
+    (``max_by`` on event time; partial aggregation map-side)."""
     o = E.of_table(E.order_envelopes(spark, sf_dir), "order_info").select(
         F.col("after")["id"].alias("id"), F.col("after")["order_status"].alias("order_status"), "ts_ms")
 
     def write(batch: DataFrame, bid: int, out: str):
-        merge_batch(os.path.join(out, "table"), batch, bid, lambda rows: latest_per_key(rows, ["id"], ["ts_ms"]))
+        BucketTable(os.path.join(out, "table"), ("id",)).merge(batch, bid, lambda rows: latest_per_key(rows, ["id"], ["ts_ms"]))
 
-    out = run_foreach_batch(spark, [Topic("orders", o, F.col("ts_ms"))], lambda x: x, "upsert", write, **how)
-    return spark.read.parquet(current(spark, os.path.join(out, "table")))
+    topic = Topic("order-status", o, F.col("ts_ms"), source=(sf_dir, ("orders",)))
+    out = run_foreach_batch(spark, [topic], lambda x: x, "upsert", write, **how)
+    return BucketTable(os.path.join(out, "table"), ("id",)).read(spark, o.schema)
 
 
 def cart_rows(env: DataFrame) -> DataFrame:
@@ -329,16 +330,18 @@ def partial_update(rows: DataFrame, keys: list[str], values: list[str], seq: str
     GROUP BY id, ds""")
 def sink_partial_update(spark, sf_dir, **how):
     """Partial-update sink: cart changes as a stream, each micro-batch merged
-    column by column into the stored rows."""
+    column by column into the stored rows of the key-hash buckets it touches."""
     values = ["user_id", "sku_id", "sku_num", "sku_name"]
     rows = cart_rows(E.line_envelopes(spark, sf_dir, tables={"cart_info"}))
     rows = rows.select("id", "ds", *values, *[F.col("ts_ms").alias(f"{c}_at") for c in values], "ts_ms")
 
     def write(batch: DataFrame, bid: int, out: str):
-        merge_batch(os.path.join(out, "table"), batch, bid, lambda r: partial_update(r, ["id", "ds"], values, "ts_ms"))
+        BucketTable(os.path.join(out, "table"), ("id", "ds")).merge(
+            batch, bid, lambda r: partial_update(r, ["id", "ds"], values, "ts_ms"))
 
-    out = run_foreach_batch(spark, [Topic("cart", rows, F.col("ts_ms"))], lambda x: x, "partial_update", write, **how)
-    return spark.read.parquet(current(spark, os.path.join(out, "table"))).select("id", "ds", *values, "ts_ms")
+    topic = Topic("cart-rows", rows, F.col("ts_ms"), source=(sf_dir, ("lineitem", "orders")))
+    out = run_foreach_batch(spark, [topic], lambda x: x, "partial_update", write, **how)
+    return BucketTable(os.path.join(out, "table"), ("id", "ds")).read(spark, rows.schema).select("id", "ds", *values, "ts_ms")
 
 
 def day_bucket(epoch_text):

@@ -20,15 +20,14 @@ from dovetail.sources import applog
 from dovetail.sources import envelopes as E
 from dovetail.sources.tables import load
 from dovetail.streaming import operators as S
-from dovetail.streaming.runner import (SLICES, Topic, current, run_foreach_batch, run_to_table, slice_sql,
-                                       version_before)
+from dovetail.streaming.runner import SLICES, KeyedState, Topic, current, run_foreach_batch, run_to_table, slice_sql
 
 TS_MS = "(epoch_us(ts) // 1000)"
 
 
 def event_topic(spark, sf_dir, *cols):
     e = load(spark, sf_dir, "events").withColumn("ts_ms", epoch_ms(F.col("ts")))
-    return Topic("events", e.select(*cols, "ts_ms") if cols else e, F.col("ts_ms"))
+    return Topic("events", e.select(*cols, "ts_ms") if cols else e, F.col("ts_ms"), source=(sf_dir, ("events",)))
 
 
 def timed(s, delay="3 seconds"):
@@ -82,7 +81,7 @@ def stream_late_rows(spark, sf_dir, **how):
     other row counts."""
     e = event_topic(spark, sf_dir, "ts", "event_type", "event_id")
     late = F.col("ts_ms") + F.when(F.col("event_id") % 20 == 0, LATE_MS).otherwise(0)
-    topic = Topic("events", e.rows, e.at, arrives=late)
+    topic = Topic("events-late", e.rows, e.at, arrives=late, source=e.source)
     return run_to_table(spark, [topic], lambda s: hourly(timed(s)), "late_rows", **how)
 
 
@@ -138,25 +137,28 @@ def stream_dedup_composite(spark, sf_dir, **how):
         a = timed(s, "1 hour")
         return S.dedup(a.unionByName(a), ["id", "ts_ms"]).select("id", "ts_ms", "status")
 
-    return run_to_table(spark, [Topic("orders", env, F.col("ts_ms"))], plan, "dedup_composite", **how)
+    topic = Topic("order-moves", env, F.col("ts_ms"), source=(sf_dir, ("orders",)))
+    return run_to_table(spark, [topic], plan, "dedup_composite", **how)
 
 
 # -- keyed state ---------------------------------------------------------------------------------------
 
-def _with_state(spark, topic, name, step, **how):
-    """Drain a topic through ``step(batch, state) -> (rows, next state)``; the
-    state is stored by batch, rows are returned as written."""
+def _with_state(spark, topic, name, key, step, drop=None, **how):
+    """Drain a topic through ``step(batch, state) -> (rows, state of the batch's
+    keys)``; state is stored as changes by batch, rows are returned as written."""
     def write(batch: DataFrame, bid: int, out: str):
-        stored = version_before(spark, os.path.join(out, "state"), bid)
-        rows, state = step(batch, None if stored is None else spark.read.parquet(stored))
+        store = KeyedState(os.path.join(out, "state"), key, drop=drop)
+        stored = store.read(spark, bid)
+        rows, state = step(batch, None if stored is None else stored.drop("__at"))
         rows.write.mode("overwrite").parquet(os.path.join(out, "rows", f"batch={bid}"))
-        state.write.mode("overwrite").parquet(os.path.join(out, "state", f"batch={bid}"))
+        store.write(state, bid)
 
     out = run_foreach_batch(spark, [topic], lambda s: s, name, write, **how)
     return spark.read.parquet(os.path.join(out, "rows")).drop("batch")
 
 
 # An event's time as its device has it: every third clock is up to an hour slow.
+CLOCK_TTL_MS = 3_600_000
 CLOCK = "(ts_ms - CASE WHEN event_id % 3 = 0 THEN (event_id * 7919) % 3600000 ELSE 0 END)"
 
 
@@ -170,11 +172,19 @@ CLOCK = "(ts_ms - CASE WHEN event_id % 3 = 0 THEN (event_id * 7919) % 3600000 EL
     WHERE prior IS NULL OR clock > prior""")
 def stream_monotonic_filter(spark, sf_dir, **how):
     """Per user, pass an event only when its time is later than that of every
-    event that arrived before it (newest-only filter with keyed state)."""
+    event that arrived before it (newest-only filter with keyed state). State
+    is forgotten an hour after a user's newest time: clocks are at most that
+    slow, so whatever arrives then is newer anyway and passes."""
     e = event_topic(spark, sf_dir, "event_id", "user_id")
-    topic = Topic("events", e.rows.select("event_id", "user_id", "ts_ms", F.expr(CLOCK).cast("bigint").alias("clock")), e.at)
-    return _with_state(spark, topic, "monotonic", lambda b, st: S.newest_only(
-        b.select("event_id", "user_id", "clock"), st, "user_id", "event_id", "clock"), **how)
+    topic = Topic("events-clock", e.rows.select("event_id", "user_id", "ts_ms", F.expr(CLOCK).cast("bigint").alias("clock")), e.at,
+                  source=e.source)
+
+    def forget(state: DataFrame) -> DataFrame:
+        newest = state.agg(F.max("clock").alias("__now"))
+        return state.join(F.broadcast(newest), F.col("clock") >= F.col("__now") - CLOCK_TTL_MS).drop("__now")
+
+    return _with_state(spark, topic, "monotonic", "user_id", lambda b, st: S.newest_only(
+        b.select("event_id", "user_id", "clock"), st, "user_id", "event_id", "clock", ttl_ms=CLOCK_TTL_MS), drop=forget, **how)
 
 
 @query("log_fix_is_new", f"""
@@ -193,7 +203,8 @@ def log_fix_is_new(spark, sf_dir, **how):
         "event_id", F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
         F.when(F.col("event_type") == "signup", "1").otherwise("0").alias("is_new"),
         epoch_ms(F.col("ts")).alias("ts_ms"))
-    return _with_state(spark, Topic("log", e, F.col("ts_ms")), "is_new", S.repair_is_new, **how).drop("ts_ms")
+    topic = Topic("log-visits", e, F.col("ts_ms"), source=(sf_dir, ("events",)))
+    return _with_state(spark, topic, "is_new", "mid", S.repair_is_new, **how).drop("ts_ms")
 
 
 # -- log split ------------------------------------------------------------------------------------------
@@ -265,7 +276,8 @@ def stream_log_split(spark, sf_dir, **how):
         finally:
             parsed.unpersist()
 
-    out = run_foreach_batch(spark, [Topic("log", lines, F.col("ts_ms"))], lambda s: s, "log_split", write, **how)
+    out = run_foreach_batch(spark, [Topic("log-lines", lines, F.col("ts_ms"), source=(sf_dir, ("events",)))], lambda s: s, "log_split",
+                            write, **how)
     shown = {"err": ("msg", "error_code"), "start": ("mid", "entry"), "display": ("item", "pos_id"),
              "action": ("item", "action_id"), "page": ("page_id", "item"), "dirty": ("raw", None)}
     parts = [spark.read.parquet(os.path.join(out, kind)).select(
@@ -276,18 +288,19 @@ def stream_log_split(spark, sf_dir, **how):
 
 # -- stream joins -------------------------------------------------------------------------------------
 
-def _order_topic(spark, sf_dir, table, *cols, where=None):
+def _order_topic(spark, sf_dir, name, table, *cols, where=None):
     """Rows of one order-side change table, typed and cut to what a join reads."""
     env = E.of_table(E.order_envelopes(spark, sf_dir, tables={table}), table)
-    return Topic(table, (env.where(where) if where is not None else env).select(*cols, "ts_ms"), F.col("ts_ms"))
+    return Topic(name, (env.where(where) if where is not None else env).select(*cols, "ts_ms"), F.col("ts_ms"),
+                 source=(sf_dir, ("orders",)))
 
 
 def _detail_topic(spark, sf_dir):
     a = F.col("after")
     env = E.of_table(E.line_envelopes(spark, sf_dir, tables={"order_detail"}), "order_detail")
-    return Topic("order_detail", env.select(
+    return Topic("order-detail", env.select(
         a["order_id"].alias("k"), a["id"].alias("id"), a["sku_id"].cast("bigint").alias("sku_id"),
-        a["sku_num"].cast("int").alias("sku_num"), "ts_ms"), F.col("ts_ms"))
+        a["sku_num"].cast("int").alias("sku_num"), "ts_ms"), F.col("ts_ms"), source=(sf_dir, ("lineitem", "orders")))
 
 
 def _timed_as(s, name):
@@ -304,7 +317,7 @@ def stream_cancel_join(spark, sf_dir, **how):
     join state (the reference's 30 min + 5 s idle retention). The topics hold
     typed rows of the events the join reads, written once."""
     a = F.col("after")
-    cancel = _order_topic(spark, sf_dir, "order_info", a["id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"),
+    cancel = _order_topic(spark, sf_dir, "order-cancels", "order_info", a["id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"),
                           where=(F.col("op") == "u") & (F.col("before")["order_status"] == "1001") & (a["order_status"] == "1003"))
 
     def plan(c, d):
@@ -327,7 +340,7 @@ def stream_pay_interval_join(spark, sf_dir, **how):
     """Successful payments ⋈ details in [pay - 30 min, pay + 5 s] (asymmetric
     interval join on watermarked streams) + stream-static payment-type lookup."""
     a = F.col("after")
-    pay = _order_topic(spark, sf_dir, "payment_info", a["order_id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"),
+    pay = _order_topic(spark, sf_dir, "payments-done", "payment_info", a["order_id"].alias("k"), a["user_id"].cast("bigint").alias("user_id"),
                        a["payment_type"].alias("payment_type"), a["callback_time"].alias("callback_time"),
                        where=a["payment_status"] == "1602")
     d = rdic(spark).select(F.col("id").alias("__code"), F.col("name").alias("payment_type_name"))
@@ -367,7 +380,7 @@ def interval_join_symmetric(spark, sf_dir, **how):
 def _comment_topic(spark, sf_dir):
     a = F.col("after")
     c = E.comment_envelopes(spark, sf_dir).select(a["id"].cast("bigint").alias("id"), a["appraise"].alias("appraise"), "ts_ms")
-    return Topic("comments", c, F.col("ts_ms"))
+    return Topic("comment-codes", c, F.col("ts_ms"), source=(sf_dir, ("documents", "orders")))
 
 
 _COMMENT_CODES = """SELECT doc_id AS id, '120' || CAST(CAST(trunc(least(n_chars / 2000, 3)) AS INTEGER) + 1 AS VARCHAR)

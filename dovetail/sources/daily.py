@@ -23,6 +23,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dovetail.session import shared_dir
 from dovetail.sources.io import write_partitions
@@ -40,6 +41,16 @@ class Daily:
     sources: tuple[str, ...]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def _schema(spark: SparkSession, sf_dir: str, table: Daily) -> T.StructType:
+    if table.name not in _SCHEMAS:
+        day = "1970-01-01"
+        _SCHEMAS[table.name] = table.build(spark, sf_dir, (day, day)).schema
+    return _SCHEMAS[table.name]
+
+
 def day_list(first: str, last: str) -> list[str]:
     a, b = date.fromisoformat(first), date.fromisoformat(last)
     return [str(a + timedelta(days=i)) for i in range((b - a).days + 1)]
@@ -101,7 +112,7 @@ def read_days(spark: SparkSession, sf_dir: str, table: Daily, first: str, last:
     missing = sorted(set(days) - stored_days(spark, store))
     if missing:
         _write(spark, sf_dir, store, table, missing)
-    schema = table.build(spark, sf_dir, (first, last)).schema
+    schema = _schema(spark, sf_dir, table)
     rows = os.path.join(store, "rows")
     folders = [p for p in (os.path.join(rows, f"dt={d}") for d in days) if _exists(spark, p)]
     if not folders:

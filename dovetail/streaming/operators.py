@@ -54,7 +54,7 @@ def record_hash(df: DataFrame, cols: list[str]) -> Column:
 def newest_only(batch: DataFrame, state: DataFrame | None, key: str, order: str, time: str,
                 ttl_ms: int | None = None, piece: int = 4096) -> tuple[DataFrame, DataFrame]:
     """Rows whose ``time`` is later than that of every earlier arrival of their
-    key, and the next state (key, newest time). Arrival order = ``order``, a
+    key, and the next state (key, newest time) of the batch's keys. Arrival order = ``order``, a
     whole number; ``state``: what the batches before have seen. With ``ttl_ms``
     a key's state is forgotten if this batch's times are all that much later.
 
@@ -63,6 +63,7 @@ def newest_only(batch: DataFrame, state: DataFrame | None, key: str, order: str,
     p = F.floor(F.col(order) / piece)
     parts = batch.groupBy(F.col(key).alias("__k"), p.alias("__p")).agg(F.max(time).alias("__t"), F.min(time).alias("__lo"))
     if state is not None:
+        state = state.join(batch.select(key).distinct(), key, "left_semi")
         known = state.select(F.col(key).alias("__k"), F.lit(None).cast("bigint").alias("__p"), F.col(time).alias("__t"),
                              F.lit(None).cast("bigint").alias("__lo"))
         if ttl_ms is not None:
@@ -81,7 +82,7 @@ def newest_only(batch: DataFrame, state: DataFrame | None, key: str, order: str,
 
 def repair_is_new(batch: DataFrame, state: DataFrame | None, key: str = "mid",
                   order: tuple[str, ...] = ("ts_ms", "event_id")) -> tuple[DataFrame, DataFrame]:
-    """New-visitor repair per device, and the next state (key, first day). The
+    """New-visitor repair per device, and the next state (key, first day) of the batch's devices. The
     first record of a device sets its day (its own when ``is_new='1'``, else
     the day before); later ``is_new='1'`` records of another day become
     ``'0'``. State does not expire: a device that is forgotten would be new again."""
@@ -90,7 +91,7 @@ def repair_is_new(batch: DataFrame, state: DataFrame | None, key: str = "mid",
     first = F.min_by(F.when(F.col("is_new") == "1", day).otherwise(before), F.struct(*order))
     here = batch.groupBy(key).agg(first.alias("first_day"))
     if state is not None:
-        here = here.join(state.select(F.col(key), F.col("first_day").alias("__was")), key, "full_outer").select(
+        here = here.join(state.select(F.col(key), F.col("first_day").alias("__was")), key, "left").select(
             key, F.coalesce("__was", "first_day").alias("first_day"))
     fixed = F.when((F.col("is_new") == "1") & (day != F.col("first_day")), "0").otherwise(F.col("is_new"))
     return batch.join(here, key).select(*batch.columns, fixed.alias("fixed_is_new")), here

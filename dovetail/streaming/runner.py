@@ -1,12 +1,15 @@
 """Feed a streaming plan its input in time order and drain it into a sink.
 
-A *topic* is a derived table, written once to the shared folder in slices of
-event time. Slices land one after the other; after each one the query runs to
-the end of what is there (``availableNow``) and stops, and the next run
-resumes from its checkpoint, the way a daily job works. What a run sees
-depends on the slices' time bounds alone: not on the number, size or names of
-files, nor on the order of rows in them. A run that is stopped between two
-slices, or inside one, is carried on by calling it again under the same name.
+A *topic* is a derived table, stored in slices of event time. A topic that is
+a fixed projection of source tables is stored once for a state of their files
+and read by every job that needs it, like a log that is kept; jobs only read
+its folders. Slices become visible one after the other; after each one the
+query runs to the end of what is there (``availableNow``) and stops, and the
+next run resumes from its checkpoint, the way a daily job works. What a run
+sees depends on the slices' time bounds alone: not on the number, size or
+names of files, nor on the order of rows in them. A run that is stopped
+between two slices, or inside one, is carried on by calling it again under the
+same name.
 
 Sinks are Parquet folders with a checkpoint, below the cluster's shared
 checkpoint folder.
@@ -14,6 +17,7 @@ checkpoint folder.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -21,7 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dovetail.session import job_dir, scratch_dir
+from dovetail.session import job_dir, scratch_dir, shared_dir
+from dovetail.sources.daily import source_state
 
 SLICES = 3
 
@@ -39,20 +44,40 @@ def _exists(spark: SparkSession, path: str) -> bool:
 @dataclass
 class Topic:
     """``rows`` by ``at``, epoch millis (null: with the first slice);
-    ``arrives`` (default ``at``): when a row is delivered."""
+    ``arrives`` (default ``at``): when a row is delivered. ``source``: (sf_dir,
+    tables) where ``rows`` is what ``name`` says of these tables and nothing
+    else, so that jobs can share the stored topic."""
     name: str
     rows: DataFrame
     at: Column
     arrives: Column | None = None
+    source: tuple[str, tuple[str, ...]] | None = None
 
+    def order(self) -> Column:
+        return self.at if self.arrives is None else self.arrives
 
-def bounds(topics: list[Topic]) -> tuple[int, int]:
-    """First and last delivery time over all topics (one small job each)."""
+    def digest(self, spark: SparkSession) -> str | None:
+        if self.source is None:
+            return None
+        what = (self.name, self.rows.schema.simpleString(), str(self.order()), source_state(spark, *self.source))
+        return hashlib.sha256(repr(what).encode()).hexdigest()[:16]
+
+
+_BOUNDS: dict[str, tuple] = {}
+
+
+def bounds(spark: SparkSession, topics: list[Topic]) -> tuple[int, int]:
+    """First and last delivery time over all topics (one small job each, once
+    for a stored topic)."""
     lo, hi = [], []
     for t in topics:
-        c = t.at if t.arrives is None else t.arrives
-        a, b = t.rows.agg(F.min(c), F.max(c)).first()
-        lo.append(a), hi.append(b)
+        key = t.digest(spark)
+        found = _BOUNDS.get(key) if key else None
+        if found is None:
+            found = tuple(t.rows.agg(F.min(t.order()), F.max(t.order())).first())
+            if key:
+                _BOUNDS[key] = found
+        lo.append(found[0]), hi.append(found[1])
     lo, hi = [x for x in lo if x is not None], [x for x in hi if x is not None]
     return (int(min(lo)), int(max(hi))) if lo else (0, 0)
 
@@ -66,41 +91,38 @@ def slice_sql(at: str, lo: str, hi: str, slices: int = SLICES) -> str:
     return f"CAST(floor(CAST(({at} - {lo}) AS DOUBLE) * {slices} / ({hi} - {lo} + 1)) AS INTEGER)"
 
 
-def _stage(spark: SparkSession, base: str, topics: list[Topic], slices: int) -> None:
-    """Write every topic in slices, unless an earlier run under this name has."""
-    if all(_exists(spark, os.path.join(base, "staged", t.name, "_SUCCESS")) for t in topics):
-        return
-    lo, hi = bounds(topics)
+def _stage(spark: SparkSession, base: str, topics: list[Topic], slices: int) -> list[str]:
+    """Folders of the topics in slices, written unless they are there already
+    (from an earlier run under this name, or by another job)."""
+    lo, hi = bounds(spark, topics)
+    out = []
     for t in topics:
-        at = t.at if t.arrives is None else t.arrives
-        t.rows.withColumn("__slice", slice_of(at, lo, hi, slices)).write.mode("overwrite").partitionBy("__slice") \
-            .parquet(os.path.join(base, "staged", t.name))
-
-
-def _land(spark: SparkSession, base: str, topics: list[Topic], i: int) -> None:
-    """Deliver slice ``i`` of every topic (a slice already delivered stays)."""
-    for t in topics:
-        target = os.path.join(base, "landing", t.name)
-        fs, to = _fs(spark, os.path.join(target, f"{i:05d}"))
-        _, src = _fs(spark, os.path.join(base, "staged", t.name, f"__slice={i}"))
-        fs.mkdirs(to.getParent())
-        if fs.exists(src) and not fs.exists(to):
-            fs.rename(src, to)
+        key = t.digest(spark)
+        path = shared_dir(spark, "topics", f"{t.name}-{key}", f"{lo}-{hi}-{slices}") if key else os.path.join(base, "staged", t.name)
+        if not _exists(spark, os.path.join(path, "_SUCCESS")):
+            t.rows.withColumn("__slice", slice_of(t.order(), lo, hi, slices)).write.mode("overwrite").partitionBy("__slice") \
+                .parquet(path)
+        for i in range(slices):
+            fs, p = _fs(spark, os.path.join(path, f"__slice={i}"))
+            fs.mkdirs(p)
+        out.append(path)
+    return out
 
 
-def _sources(spark: SparkSession, base: str, topics: list[Topic]) -> list[DataFrame]:
+def _sources(spark: SparkSession, paths: list[str], topics: list[Topic], last: int) -> list[DataFrame]:
+    """The topics as streams of slices 0 to ``last``; the checkpoint knows which files were read before."""
+    seen = ",".join(str(i) for i in range(last + 1))
     return [spark.readStream.schema(t.rows.schema).option("recursiveFileLookup", "true")
-            .parquet(os.path.join(base, "landing", t.name)) for t in topics]
+            .parquet(os.path.join(p, f"__slice={{{seen}}}")) for p, t in zip(paths, topics)]
 
 
-def _drain(spark: SparkSession, base: str, topics: list[Topic], start: Callable[[], object], slices: int,
+def _drain(spark: SparkSession, base: str, topics: list[Topic], start: Callable[[list[DataFrame]], object], slices: int,
            until: int | None, before: Callable[[int], None] | None) -> None:
-    _stage(spark, base, topics, slices)
+    paths = _stage(spark, base, topics, slices)
     for i in range(slices if until is None else until):
         if before:
             before(i)
-        _land(spark, base, topics, i)
-        start().awaitTermination()
+        start(_sources(spark, paths, topics, i)).awaitTermination()
 
 
 def run_to_table(spark: SparkSession, topics: list[Topic], build: Callable[..., DataFrame], name: str,
@@ -113,8 +135,8 @@ def run_to_table(spark: SparkSession, topics: list[Topic], build: Callable[...,
     base = job_dir(spark, f"stream-{name}", run)
     schema = []
 
-    def start():
-        out = build(*_sources(spark, base, topics))
+    def start(streams):
+        out = build(*streams)
         schema[:] = [out.schema]
         return (out.writeStream.format("parquet").outputMode(output_mode).option("path", os.path.join(base, "out"))
                 .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(availableNow=True).start())
@@ -134,38 +156,122 @@ def run_foreach_batch(spark: SparkSession, topics: list[Topic], build: Callable[
     base = job_dir(spark, f"foreach-{name}", run)
     out = os.path.join(base, "out")
 
-    def start():
-        return (build(*_sources(spark, base, topics)).writeStream.foreachBatch(lambda df, bid: fn(df, bid, out))
+    def start(streams):
+        return (build(*streams).writeStream.foreachBatch(lambda df, bid: fn(df, bid, out))
                 .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(availableNow=True).start())
 
     _drain(spark, base, topics, start, slices, until, before)
     return out
 
 
-# -- stored state and tables, one version per batch ---------------------------------------------------
+def current(spark: SparkSession, table: str) -> str | None:
+    """The newest complete version of a folder of ``batch=`` versions."""
+    done = _committed(spark, table)
+    return os.path.join(table, f"batch={max(done)}") if done else None
 
-def version_before(spark: SparkSession, table: str, batch: int) -> str | None:
-    """The newest complete version written by a batch before ``batch``."""
+
+def _committed(spark: SparkSession, table: str, before: int = 1 << 62, kind: str = "batch") -> list[int]:
+    """Batches below ``before`` whose folder is complete, in order."""
     fs, root = _fs(spark, table)
     if not fs.exists(root):
-        return None
-    ids = [int(n.split("=")[1]) for n in (st.getPath().getName() for st in fs.listStatus(root)) if n.startswith("batch=")]
-    done = [i for i in ids if i < batch and _exists(spark, os.path.join(table, f"batch={i}", "_SUCCESS"))]
-    return os.path.join(table, f"batch={max(done)}") if done else None
+        return []
+    ids = [int(n.split("=")[1]) for n in (st.getPath().getName() for st in fs.listStatus(root)) if n.startswith(f"{kind}=")]
+    return sorted(i for i in ids if i < before and _exists(spark, os.path.join(table, f"{kind}={i}", "_SUCCESS")))
 
 
-def current(spark: SparkSession, table: str) -> str | None:
-    return version_before(spark, table, 1 << 62)
+# -- a stored table of key-hash buckets -----------------------------------------------------------------
 
+@dataclass
+class BucketTable:
+    """A table merged batch by batch. Rows lie in ``buckets`` folders by the
+    hash of their key; a batch rewrites the buckets its keys fall into and no
+    others. ``batch=n/__bucket=b`` is the state of a bucket after batch n, its
+    newest committed version counts. A replayed batch starts from the versions
+    before it, so it writes the same rows again; two versions of a bucket are
+    kept, older ones are removed. Choose ``buckets`` so that one is a few
+    hundred MB; the number is part of the table."""
+    path: str
+    keys: tuple[str, ...]
+    buckets: int = 32
+
+    def _versions(self, spark: SparkSession, before: int = 1 << 62) -> dict[int, list[int]]:
+        """bucket -> batches that wrote it, in order."""
+        out: dict[int, list[int]] = {}
+        for i in _committed(spark, self.path, before):
+            fs, p = _fs(spark, os.path.join(self.path, f"batch={i}"))
+            for st in fs.listStatus(p):
+                name = st.getPath().getName()
+                if name.startswith("__bucket="):
+                    out.setdefault(int(name.split("=")[1]), []).append(i)
+        return out
+
+    def _folder(self, batch: int, bucket: int) -> str:
+        return os.path.join(self.path, f"batch={batch}", f"__bucket={bucket}")
+
+    def merge(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame], DataFrame]) -> None:
+        """``merge`` of the stored rows of the touched buckets and the batch's
+        becomes their next version."""
+        spark = batch.sparkSession
+        number = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        rows = batch.withColumn("__bucket", number)
+        touched = {r[0] for r in rows.select("__bucket").distinct().collect()}  # at most ``buckets`` numbers
+        stored = [self._folder(v[-1], b) for b, v in self._versions(spark, batch_id).items() if b in touched]
+        both = batch
+        if stored:
+            both = spark.read.schema(batch.schema).parquet(*stored).unionByName(batch)
+        # one task a bucket (adaptive execution splits a large one): few files a folder
+        out = merge(both).select(*batch.columns).withColumn("__bucket", number).hint("rebalance", "__bucket")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("__bucket") \
+            .parquet(os.path.join(self.path, f"batch={batch_id}"))
+        for b, v in self._versions(spark).items():
+            for old in v[:-2]:
+                fs, p = _fs(spark, self._folder(old, b))
+                fs.delete(p, True)
+
+    def read(self, spark: SparkSession, schema) -> DataFrame:
+        folders = [self._folder(v[-1], b) for b, v in self._versions(spark).items()]
+        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+# -- keyed state ------------------------------------------------------------------------------------------
 
-def merge_batch(table: str, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame], DataFrame]) -> None:
-    """Merge a batch into a stored table: ``merge`` of the stored rows and the
-    batch's becomes the next version. A replayed batch starts from the same
-    stored version, so it writes the same rows again."""
-    spark = batch.sparkSession
-    stored = version_before(spark, table, batch_id)
-    rows = batch if stored is None else spark.read.schema(batch.schema).parquet(stored).unionByName(batch)
-    merge(rows).select(*batch.columns).write.mode("overwrite").parquet(os.path.join(table, f"batch={batch_id}"))
+@dataclass
+class KeyedState:
+    """State by key over batches, stored as changes: a batch writes the keys it
+    saw. A read gives the newest row of each key; every ``compact`` batches the
+    changes are merged into one full version (``drop``: rows that count no
+    more, given the newest batch's rows), and what it replaces is removed two
+    versions later. A replayed batch reads what was before it."""
+    path: str
+    key: str
+    compact: int = 16
+    drop: Callable[[DataFrame], DataFrame] | None = None
+
+    def read(self, spark: SparkSession, before: int) -> DataFrame | None:
+        full = _committed(spark, self.path, before, "full")
+        first = full[-1] if full else -1
+        folders = [os.path.join(self.path, f"full={first}")] if full else []
+        folders += [os.path.join(self.path, f"batch={i}") for i in _committed(spark, self.path, before) if i > first]
+        if not folders:
+            return None
+        rows = spark.read.parquet(*folders)
+        rest = [c for c in rows.columns if c not in (self.key, "__at")]
+        best = rows.groupBy(self.key).agg(F.max_by(F.struct(*rest), F.col("__at")).alias("s"), F.max("__at").alias("__at"))
+        return best.select(self.key, "s.*", "__at")
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        rows.withColumn("__at", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
+            os.path.join(self.path, f"batch={batch_id}"))
+        full = _committed(spark, self.path, kind="full")
+        changes = [i for i in _committed(spark, self.path) if not full or i > full[-1]]
+        if len(changes) >= self.compact:
+            whole = self.read(spark, batch_id + 1)
+            (self.drop(whole) if self.drop else whole).write.mode("overwrite").parquet(os.path.join(self.path, f"full={batch_id}"))
+            if full:  # the version before stays for a replay of this batch
+                for kind, old in [("full", i) for i in full[:-1]] + [("batch", i) for i in _committed(spark, self.path) if i <= full[-1]]:
+                    fs, p = _fs(spark, os.path.join(self.path, f"{kind}={old}"))
+                    fs.delete(p, True)
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str) -> str:

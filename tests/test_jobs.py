@@ -13,7 +13,7 @@ from dovetail.sources import applog, io
 from dovetail.sources.envelopes import ENVELOPE
 from dovetail.sources.tables import load
 from dovetail.streaming import operators as S
-from dovetail.streaming.runner import current, merge_batch
+from dovetail.streaming.runner import BucketTable, KeyedState
 from tests.conftest import SF
 
 
@@ -54,11 +54,43 @@ def test_partial_update_merges_into_stored_rows(spark):
     for i, r in [(0, rows[0]), (1, rows[1]), (1, rows[1]), (2, rows[2])]:
         b = spark.createDataFrame(r, "id string, a int, b int, ts long").select(
             "id", "a", "b", F.col("ts").alias("a_at"), F.col("ts").alias("b_at"), "ts")
-        merge_batch(table, b, i, lambda x: cdc.partial_update(x, ["id"], values, "ts"))
-    out = spark.read.parquet(current(spark, table)).select("id", "a", "b", "ts")
+        BucketTable(table, ("id",), 4).merge(b, i, lambda x: cdc.partial_update(x, ["id"], values, "ts"))
+    out = BucketTable(table, ("id",), 4).read(spark, b.schema).select("id", "a", "b", "ts")
     assert sorted(tuple(r) for r in out.collect()) == [("k", 1, 7, 20), ("n", 2, 2, 6)]
 
 
+def test_a_batch_writes_the_buckets_it_touches(spark):
+    """One per cent of one bucket's keys: only that bucket has a new version; two versions are kept."""
+    t = BucketTable(scratch_dir(spark, "t-buckets"), ("id",), 8)
+    last = lambda x: x.groupBy("id").agg(F.max("v").alias("v"))
+    whole = spark.range(4000).select("id", F.lit(0).alias("v"))
+    t.merge(whole, 0, last)
+    assert {b: v for b, v in t._versions(spark).items()} == {b: [0] for b in range(8)}
+    of = whole.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(8)))
+    few = of.where("b = 3").orderBy("id").limit(5).select("id", F.lit(1).alias("v"))
+    for n in (1, 2, 2, 3):
+        t.merge(few.withColumn("v", F.lit(n)), n, last)
+    assert {b: v for b, v in t._versions(spark).items()} == {**{b: [0] for b in range(8)}, 3: [2, 3]}
+    got = {r.id: r.v for r in t.read(spark, whole.schema).collect()}
+    assert len(got) == 4000 and sum(v == 3 for v in got.values()) == 5 and set(got.values()) == {0, 3}
+
+
+def test_state_is_stored_as_changes(spark):
+    """A batch stores the keys it saw; changes are merged now and then, old ones removed, forgotten keys dropped."""
+    path = scratch_dir(spark, "t-state")
+    st = KeyedState(path, "k", compact=3, drop=lambda d: d.where("t >= 100"))
+    frame = lambda rows: spark.createDataFrame(rows, "k long, t long")
+    st.write(frame([(i, i) for i in range(200)]), 0)
+    for n in range(1, 8):
+        st.write(frame([(150, 1000 + n)]), n)
+        assert spark.read.parquet(f"{path}/batch={n}").count() == 1
+        now = {r.k: r.t for r in st.read(spark, n + 1).collect()}
+        assert now[150] == 1000 + n and now[199] == 199
+    assert 5 not in now and not os.path.exists(f"{path}/batch=1")
+    # a replay reads what was before it
+    assert {r.k: r.t for r in st.read(spark, 7).collect()}[150] == 1006
+
+
 def test_normalise_uses_before_for_deletes(spark):
     rows = [("d", {"id": "5", "sku_num": "3"}, None, src("cart_info"), 10),
             ("u", {"id": "6"}, {"id": "6", "sku_num": "4"}, src("cart_info"), 11)]
