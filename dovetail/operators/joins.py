@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -73,6 +73,34 @@ def interval_join(left: DataFrame, right: DataFrame, key: str | list[str], l_ts:
     return left.alias("l").join(right.alias("r"), cond & rng, how)
 
 
+def asof_lookup(rows: DataFrame, versions: DataFrame, key: str, at: str, out: str,
+                code: str = "code", name: str = "name", since: str = "since") -> DataFrame:
+    """Each row with the name its code had at its time: of the versions (code,
+    name, since) the last one that is not later. A version holds until the next
+    one of its code, so the lookup is an equi-join on the code with a range:
+    rows are neither sorted nor grouped by code, and a hot code stays spread."""
+    nxt = F.lead(since).over(Window.partitionBy(code).orderBy(since))
+    v = versions.select(F.col(code).alias("__code"), F.col(name).alias(out), F.col(since).alias("__since"), nxt.alias("__until"))
+    now = F.col(at)
+    cond = (F.col(key) == F.col("__code")) & (now >= F.col("__since")) & (F.col("__until").isNull() | (now < F.col("__until")))
+    return rows.join(v, cond, "left").drop("__code", "__since", "__until")
+
+
+def binned_interval_join(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str, before_ms: int, after_ms: int) -> DataFrame:
+    """Rows with equal ``key`` and ``r_ts`` in [l_ts - before_ms, l_ts + after_ms]
+    (both epoch millis), as an equi-join on (key, bin): bins are as wide as the
+    interval, a left row lies in one, a right row is dealt to the one or two
+    whose left rows can reach it. A key with very many rows is spread over its
+    bins instead of meeting in one task."""
+    width = max(before_ms + after_ms, 1)
+    low, high = F.col(r_ts) - after_ms, F.col(r_ts) + before_ms
+    lf = left.withColumn("__bin", F.floor(F.col(l_ts) / width))
+    rt = right.withColumn("__bin", F.explode(F.sequence(F.floor(low / width), F.floor(high / width))))
+    j = lf.alias("l").join(rt.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l.__bin") == F.col("r.__bin"))
+                           & F.col(f"r.{r_ts}").between(F.col(f"l.{l_ts}") - before_ms, F.col(f"l.{l_ts}") + after_ms))
+    return j.select(*[F.col(f"l.`{c}`") for c in left.columns], *[F.col(f"r.`{c}`") for c in right.columns if c != key])
+
+
 def _iv(text: str) -> str:
     """``"-30 minutes"`` -> ``'-30' MINUTE`` (interval literal body)."""
     n, unit = text.split()

@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dovetail.functions.dates import epoch_ms
-from dovetail.operators.joins import interval_join, prefixed
+from dovetail.operators.joins import asof_lookup, interval_join, prefixed
 from dovetail.plans.cdc import LINES, RDIC_SQL, T_ORDER, rdic
 from dovetail.registry import query
 from dovetail.sources import applog
 from dovetail.sources import envelopes as E
 from dovetail.sources.tables import load
 from dovetail.streaming import operators as S
-from dovetail.streaming.runner import SLICES, KeyedState, Topic, current, run_foreach_batch, run_to_table, slice_sql
+from dovetail.streaming.runner import SLICES, KeyedState, Topic, bounds, current, run_foreach_batch, run_to_table, slice_sql
 
 TS_MS = "(epoch_us(ts) // 1000)"
 
@@ -377,6 +377,113 @@ def interval_join_symmetric(spark, sf_dir, **how):
                         "interval_sym", **how)
 
 
+# When the activity and the coupon of an order line are recorded,
+# after the line: usually within seconds, for some lines past the bound.
+_ACT_LATE, _CPN_LATE, _BOUND = "l_linenumber >= 5", "l_quantity > 45", "10 minutes"
+
+
+def _split_topic(spark, sf_dir, name, where, late, value):
+    """Activity or coupon records of order lines, as a topic of their own."""
+    li = load(spark, sf_dir, "lineitem").where(where)
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    ts = epoch_ms(F.col("o_orderdate")) + F.col("l_linenumber") * 1000 + F.when(F.expr(late), 1_200_000).otherwise(4000)
+    rows = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey").alias("k"), F.col(value).cast("bigint").alias("v"),
+        ts.cast("bigint").alias("ts_ms"))
+    return Topic(name, rows, F.col("ts_ms"), source=(sf_dir, ("lineitem", "orders")))
+
+
+def with_heartbeat(spark, topics: list[Topic]) -> list[Topic]:
+    """Each topic with one last record a day after all others, under a key (the
+    first column) of its own: the watermark then passes everything before, so
+    that every outer row comes out. (A null key would not do: joins filter it
+    before the watermark sees the row.)"""
+    _, hi = bounds(spark, topics)
+    out = []
+    for t in topics:
+        known = {"ts_ms": F.lit(hi + 86_400_000), t.rows.columns[0]: F.lit(f"last of {t.name}")}
+        beat = spark.range(1).select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in t.rows.schema.fields])
+        out.append(Topic(f"{t.name}-{hi}", t.rows.unionByName(beat), t.at, t.arrives, t.source))
+    return out
+
+
+@query("stream_order_detail_wide", f"""
+    SELECT x.line_id AS id, CAST(x.l_orderkey AS VARCHAR) AS order_id, x.o_custkey AS user_id, x.l_partkey AS sku_id,
+           CAST(x.l_quantity AS INTEGER) AS sku_num, a.l_suppkey AS activity_id, c.l_partkey AS coupon_id, x.t AS ts_ms
+    FROM ({LINES}) x
+    LEFT JOIN (SELECT * FROM ({LINES}) y WHERE l_discount > 0.05 AND NOT ({_ACT_LATE})) a ON x.line_id = a.line_id
+    LEFT JOIN (SELECT * FROM ({LINES}) z WHERE l_tax > 0.04 AND NOT ({_CPN_LATE})) c ON x.line_id = c.line_id""")
+def stream_order_detail_wide(spark, sf_dir, **how):
+    """Order details ⋈ orders ⟕ activities ⟕ coupons, four streams in a chain,
+    all watermarked. A detail whose activity or coupon has not come within ten
+    minutes comes out once, with null, when the watermark has passed the
+    bound; a record that comes later finds no detail and is dropped. The bounds
+    let each join forget its rows."""
+    a = F.col("after")
+    orders = _order_topic(spark, sf_dir, "orders-read", "order_info", a["id"].alias("k"),
+                          a["user_id"].cast("bigint").alias("user_id"), where=F.col("op") == "r")
+    topics = with_heartbeat(spark, [
+        _detail_topic(spark, sf_dir), orders,
+        _split_topic(spark, sf_dir, "detail-activity", "l_discount > 0.05", _ACT_LATE, "l_suppkey"),
+        _split_topic(spark, sf_dir, "detail-coupon", "l_tax > 0.04", _CPN_LATE, "l_partkey")])
+
+    def plan(det, o, act, cou):
+        d = _timed_as(det, "t_d").withColumnRenamed("k", "order_id")
+        o, act, cou = (_timed_as(x, f"t_{n}").select(*[F.col(c).alias(f"{n}_{c}") for c in x.columns if c != "ts_ms"], f"t_{n}")
+                       for n, x in (("o", o), ("a", act), ("c", cou)))
+        bound = F.expr(f"INTERVAL {_BOUND}")
+        j = d.join(o, (F.col("order_id") == F.col("o_k")) & F.col("t_o").between(F.col("t_d") - bound, F.col("t_d")))
+        for n in ("a", "c"):
+            right = act if n == "a" else cou
+            j = j.join(right, (F.col("id") == F.col(f"{n}_k")) & F.col(f"t_{n}").between(F.col("t_d"), F.col("t_d") + bound), "left")
+        return j.select("id", "order_id", F.col("o_user_id").alias("user_id"), "sku_id", "sku_num",
+                        F.col("a_v").alias("activity_id"), F.col("c_v").alias("coupon_id"), "ts_ms")
+
+    return run_to_table(spark, topics, plan, "detail_wide", **how)
+
+
+# -- snapshot phase -----------------------------------------------------------------------------------
+
+SILENCE = "15 seconds"
+
+
+@query("stream_snapshot_end", f"""
+    WITH e AS (
+        SELECT 'order_info' AS tbl, {T_ORDER} AS t, TRUE AS snap FROM orders
+        UNION ALL SELECT 'order_info', {T_ORDER} + 60000, FALSE FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT 'order_info', {T_ORDER} + 120000, FALSE FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'
+        UNION ALL SELECT 'order_info', {T_ORDER} + 180000, FALSE FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+        UNION ALL SELECT 'order_info', {T_ORDER} + 240000, FALSE FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+        UNION ALL SELECT 'order_detail', t, TRUE FROM ({LINES}) x
+        UNION ALL SELECT 'cart_info', t, l_linestatus = 'F' FROM ({LINES}) x
+        UNION ALL SELECT 'cart_info', t + 60000, FALSE FROM ({LINES}) x WHERE l_returnflag = 'R'
+        UNION ALL SELECT 'cart_info', t + 120000, FALSE FROM ({LINES}) x WHERE l_returnflag = 'A' AND l_linestatus = 'F'),
+    g AS (SELECT *, t - lag(t) OVER (PARTITION BY tbl ORDER BY t) > 15000 AS cut FROM e),
+    n AS (SELECT *, count(*) FILTER (cut) OVER (PARTITION BY tbl ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session FROM g)
+    SELECT tbl, min(t) AS began_ms, coalesce(min(t) FILTER (NOT snap), max(t) + 15000) AS ended_ms,
+           CASE WHEN count(*) FILTER (NOT snap) > 0 THEN 'live row' ELSE 'silence' END AS reason
+    FROM n WHERE session = 0 GROUP BY tbl""")
+def stream_snapshot_end(spark, sf_dir, **how):
+    """End of each table's snapshot phase: its first live row, or 15 seconds
+    without any row. A session window is the silence timer: it stays open while
+    rows keep coming and closes when the watermark is that far past the last
+    one; rows of a task are combined before they meet, so a busy table is no
+    bottleneck. The first session of a table is its snapshot phase."""
+    env = E.envelopes(spark, sf_dir, ["order_info", "order_detail", "cart_info"])
+    rows = env.select(F.col("source")["table"].alias("tbl"), (F.col("op") == "r").alias("snap"), "ts_ms")
+
+    def plan(s):
+        g = timed(s).groupBy("tbl", F.session_window("event_time", SILENCE).alias("w")).agg(
+            F.min("ts_ms").alias("began_ms"), F.min(F.when(~F.col("snap"), F.col("ts_ms"))).alias("live_ms"))
+        return g.select("tbl", "began_ms", "live_ms", F.unix_millis("w.end").alias("silent_ms"))
+
+    sessions = run_to_table(spark, [Topic("table-activity", rows, F.col("ts_ms"), source=(sf_dir, ("lineitem", "orders")))], plan,
+                            "snapshot_end", **how)
+    first = sessions.groupBy("tbl").agg(F.min_by(F.struct("began_ms", "live_ms", "silent_ms"), "began_ms").alias("f"))
+    return first.select("tbl", "f.began_ms", F.coalesce("f.live_ms", "f.silent_ms").alias("ended_ms"),
+                        F.when(F.col("f.live_ms").isNull(), "silence").otherwise("live row").alias("reason"))
+
+
 def _comment_topic(spark, sf_dir):
     a = F.col("after")
     c = E.comment_envelopes(spark, sf_dir).select(a["id"].cast("bigint").alias("id"), a["appraise"].alias("appraise"), "ts_ms")
@@ -412,6 +519,40 @@ def stream_lookup_left(spark, sf_dir, **how):
         "id", "appraise", F.coalesce("appraise_name", F.lit("N/A")).alias("appraise_name")), "lookup_left", **how)
 
 
+# Changes of the appraise dictionary (code, name, from this time, delivered before slice).
+RENAMES = [("1201", "good", 0, 0), ("1202", "average", 0, 0), ("1203", "poor", 0, 0), ("1201", "very good", 820_454_400_000, 1),
+           ("1203", "bad", 915_148_800_000, 2), ("1204", "new code", 915_148_800_000, 2)]
+_RENAMES_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{n}', {t}, {i})" for c, n, t, i in RENAMES) + ") AS v(code, name, since, known)"
+
+
+@query("stream_lookup_asof", f"""
+    WITH v AS ({_RENAMES_SQL}),
+    c AS (SELECT c.*, {T_ORDER} + 30000 AS ts_ms FROM ({_COMMENT_CODES}) c LEFT JOIN orders ON id = o_orderkey),
+    s AS (SELECT c.*, coalesce({slice_sql('ts_ms', 'lo', 'hi')}, 0) AS slice FROM c, (SELECT min(ts_ms) AS lo, max(ts_ms) AS hi FROM c) b)
+    SELECT id, appraise, ts_ms, coalesce(v.name, 'N/A') AS appraise_name FROM s
+    LEFT JOIN v ON appraise = code AND ts_ms >= since AND known <= slice
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY since DESC NULLS LAST) = 1""")
+def stream_lookup_asof(spark, sf_dir, **how):
+    """Comments decoded by the dictionary as it was at their time. Its changes
+    arrive while the stream runs: each micro-batch reads the versions known by
+    then and takes, for every comment, the last one before it."""
+    from dovetail.session import scratch_dir
+    folder = scratch_dir(spark, "dictionary")
+
+    def change(i: int):
+        rows = [(c, n, t) for c, n, t, when in RENAMES if when == i]
+        spark.createDataFrame(rows, "code string, name string, since bigint").coalesce(1).write.mode("overwrite") \
+            .parquet(os.path.join(folder, f"batch={i}"))
+
+    def write(batch: DataFrame, bid: int, out: str):
+        versions = spark.read.parquet(folder).select("code", "name", "since")
+        asof_lookup(batch, versions, "appraise", "ts_ms", "appraise_name").withColumn(
+            "appraise_name", F.coalesce("appraise_name", F.lit("N/A"))).write.mode("overwrite").parquet(os.path.join(out, f"batch={bid}"))
+
+    out = run_foreach_batch(spark, [_comment_topic(spark, sf_dir)], lambda s: s, "lookup_asof", write, before=change, **how)
+    return spark.read.parquet(out).select("id", "appraise", "ts_ms", "appraise_name")
+
+
 # Routing config (source table -> sink table, row-key column,
 # sink columns) as it stands while each slice arrives: orders are created,
 # then updated to fewer columns; carts are created, then deleted.
