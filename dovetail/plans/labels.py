@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dovetail.functions import dates as D
-from dovetail.operators.joins import interval_join, overlay
+from dovetail.operators.joins import binned_interval_join, interval_join
 from dovetail.operators.windows import latest_per_key
 from dovetail.registry import query
 from dovetail.sources.literal import literal_table
@@ -167,6 +167,47 @@ def label_device_profile(spark, sf_dir):
         F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("page_list"))
 
 
+PIECE_MS = 86_400_000
+
+
+def running_sets(df: DataFrame, key: str, order: list[str], ms: str, sets: dict[str, str], count: str,
+                 piece_ms: int = PIECE_MS) -> DataFrame:
+    """Per row, the running number of rows of its key and the running distinct
+    values of columns (``sets``: result name -> column), itself included.
+
+    In two steps: a key's rows are cut into pieces of time; each piece is
+    reduced to its count and sets, a window over the pieces gives what stands
+    before each, and a second window runs inside the pieces only. No window
+    holds a key's whole history, and a key with very many rows is spread over
+    its pieces. ``order`` begins with a column that grows with ``ms``."""
+    cut = df.withColumn("__p", F.floor(F.col(ms) / piece_ms))
+    parts = cut.groupBy(F.col(key).alias("__k"), F.col("__p").alias("__q")).agg(
+        F.count("*").alias("__n"), *[F.collect_set(c).alias(f"__s_{n}") for n, c in sets.items()])
+    earlier = Window.partitionBy("__k").orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select("__k", "__q", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+                          *[F.array_distinct(F.flatten(F.collect_list(f"__s_{n}").over(earlier))).alias(f"__b_{n}") for n in sets])
+    inside = Window.partitionBy(key, "__p").orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = cut.withColumns({"__i": F.row_number().over(inside), **{f"__r_{n}": F.collect_set(c).over(upto) for n, c in sets.items()}})
+    j = rows.join(before, F.col(key).eqNullSafe(F.col("__k")) & F.col("__p").eqNullSafe(F.col("__q")))
+    return j.select(*df.columns, (F.col("__before") + F.col("__i")).cast("bigint").alias(count),
+                    *[F.array_join(F.array_sort(F.array_union(f"__b_{n}", f"__r_{n}")), ",").alias(n) for n in sets])
+
+
+@query("label_device_running", f"""
+    SELECT event_id, uid, count(*) OVER w AS pv, array_to_string(list_sort(list_distinct(list(os) OVER w)), ',') AS os_list,
+           array_to_string(list_sort(list_distinct(list(event_type) OVER w)), ',') AS page_list,
+           array_to_string(list_sort(list_distinct(list(CASE WHEN event_type = 'view' THEN CAST(k AS VARCHAR) END) OVER w)), ',') AS search_list
+    FROM ({LOG_SQL}) l WINDOW w AS (PARTITION BY uid ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def label_device_running(spark, sf_dir):
+    """Per log record, the user's running page views and the distinct device
+    systems, pages and searched items seen so far, comma-joined."""
+    l = _log(spark, sf_dir).withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp"))).withColumn(
+        "searched", F.when(F.col("event_type") == "view", F.col("k").cast("string")))
+    r = running_sets(l, "uid", ["ts", "event_id"], "ms", {"os_list": "os", "page_list": "event_type", "search_list": "searched"}, "pv")
+    return r.select("event_id", "uid", "pv", "os_list", "page_list", "search_list")
+
+
 def device_scores(spark, sf_dir):
     l = _log(spark, sf_dir)
     last = latest_per_key(l.select("uid", "os", "ts", "event_id"), ["uid"], ["ts", "event_id"])
@@ -174,63 +215,64 @@ def device_scores(spark, sf_dir):
     last_view = latest_per_key(views, ["uid"], ["ts", "event_id"]).select(F.col("uid").alias("__u"), "k")
     b1 = F.element_at(F.array(*[F.lit(n) for n in B1_NAMES]), (F.col("k") % len(B1_NAMES) + 1).cast("int"))
     u = last.join(last_view, last.uid == F.col("__u"), "left").select(
-        "uid", F.col("os").alias("judge_os"), F.coalesce(_map_expr(SEARCH_OF_B1, b1), F.lit("unknown"))
+        "uid", F.unix_millis(F.col("ts").cast("timestamp")).alias("made_ms"), F.col("os").alias("judge_os"), F.coalesce(_map_expr(SEARCH_OF_B1, b1), F.lit("unknown"))
         .alias("search_category"))
-    return apply_scores(u, {"device": F.col("judge_os"), "search": F.col("search_category")}, ["uid"], spark)
+    return apply_scores(u, {"device": F.col("judge_os"), "search": F.col("search_category")}, ["uid", "made_ms"], spark)
 
 
 _B1_ARR = "[" + ", ".join(f"'{n}'" for n in B1_NAMES) + "]"
 DEVICE_BASE_SQL = f"""
     WITH l AS ({LOG_SQL}),
-         last AS (SELECT uid, os FROM l QUALIFY row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) = 1),
+         last AS (SELECT uid, os, epoch_us(ts) // 1000 AS made_ms FROM l QUALIFY row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) = 1),
          lv AS (SELECT uid, k FROM l WHERE event_type = 'view'
                 QUALIFY row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) = 1)
-    SELECT last.uid, last.os AS judge_os,
+    SELECT last.uid, last.made_ms, last.os AS judge_os,
            coalesce({_case_sql(SEARCH_OF_B1, f"{_B1_ARR}[lv.k % {len(B1_NAMES)} + 1]")}, 'unknown') AS search_category
     FROM last LEFT JOIN lv ON last.uid = lv.uid"""
-DEVICE_SCORES_SQL = (_score_sql(DEVICE_BASE_SQL, "device", "judge_os", "uid") + " UNION ALL "
-                     + _score_sql(DEVICE_BASE_SQL, "search", "search_category", "uid"))
+DEVICE_SCORES_SQL = (_score_sql(DEVICE_BASE_SQL, "device", "judge_os", "uid, made_ms") + " UNION ALL "
+                     + _score_sql(DEVICE_BASE_SQL, "search", "search_category", "uid, made_ms"))
 
 
-@query("label_device_scores", DEVICE_SCORES_SQL)
+@query("label_device_scores", f"SELECT uid, family, value, band, score FROM ({DEVICE_SCORES_SQL}) x")
 def label_device_scores(spark, sf_dir):
     """Device and search-category scores of each user's latest log record."""
-    return device_scores(spark, sf_dir)
+    return device_scores(spark, sf_dir).drop("made_ms")
 
 
 # -- order scores (base4) ----------------------------------------------------------------------------
 
+# An order label is made on the run day at the time of day its order was paid.
+LABEL_DAY_MS = 1_706_572_800_000
+
+
 def order_scores(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
-    li = load(spark, sf_dir, "lineitem")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    pay = o.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("user_id"),
-                   (F.col("o_totalprice") / 100).alias("total_amount"),
-                   (F.col("o_orderdate") + F.make_interval(hours=(F.col("o_totalprice").cast("bigint") % 24)
-                                                           .cast("int"))).alias("pay_time"))
-    det = li.select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     # a detail line is created l_linenumber seconds after its order's payment, a
     # large one (quantity over 44) ten minutes later: outside the +-2 minute
     # bound of the interval join, which is one residual predicate
-    late = F.when(F.col("r.l_quantity") > 44, F.lit(600)).otherwise(F.lit(0))
-    detail_time = F.col("l.pay_time") + F.make_interval(secs=(F.col("r.l_linenumber") + late).cast("decimal(18,6)"))
-    j = pay.alias("l").join(det.alias("r"), (F.col("l.k") == F.col("r.k"))
-                            & detail_time.between(F.col("l.pay_time") - F.expr("INTERVAL 2 MINUTES"),
-                                                  F.col("l.pay_time") + F.expr("INTERVAL 2 MINUTES")))
-    lines = j.select(F.col("l.user_id").alias("user_id"), F.col("l.k").alias("order_id"),
-                     F.col("l.total_amount").alias("total_amount"), F.col("l.pay_time").alias("pay_time"),
-                     F.col("r.l_linenumber").alias("line_no"), F.col("r.l_partkey").alias("sku_id"),
-                     F.col("r.l_suppkey").alias("supp"), F.col("r.l_quantity").alias("qty"))
-    latest = latest_per_key(lines, ["user_id"], ["pay_time", "order_id", "line_no", "sku_id", "supp", "qty"])
-    d = latest.join(p, latest.sku_id == p.p_partkey, "left").select(
+    late = F.when(F.col("l_quantity") > 44, F.lit(600)).otherwise(F.lit(0))
+    inside = (F.col("l_linenumber") + late).between(-120, 120)
+    best = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    # of each order its last line within the bound, combined before it moves; orders after that
+    lines = load(spark, sf_dir, "lineitem").where(inside).groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.max(F.struct(*best)).alias("line"))
+    pay = o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+                   (F.col("o_totalprice") / 100).alias("total_amount"),
+                   (F.col("o_orderdate") + F.make_interval(hours=(F.col("o_totalprice").cast("bigint") % 24)
+                                                           .cast("int"))).alias("pay_time"))
+    j = pay.join(lines, F.col("order_id") == F.col("k")).select("user_id", "order_id", "total_amount", "pay_time", "line")
+    latest = latest_per_key(j, ["user_id"], ["pay_time", "order_id", "line"])
+    d = latest.join(p, F.col("line.l_partkey") == p.p_partkey, "left").select(
         "user_id", D.time_slot(F.col("pay_time")).alias("slot"),
+        (F.unix_seconds(F.col("pay_time").cast("timestamp")) % 86400 * 1000 + LABEL_DAY_MS).alias("made_ms"),
         F.when(F.col("total_amount") < 1000, "低消费")
          .when((F.col("total_amount") > 1000) & (F.col("total_amount") < 4000), "中消费").otherwise("高消费")
          .alias("spending"),
         F.coalesce(_map_expr(BRAND_NAMES, F.col("p_brand")), F.col("p_brand")).alias("tname"),
         _map_expr(B1_OF_TYPE, F.col("p_type")).alias("b1_name"))
     return apply_scores(d, {"time": F.col("slot"), "amount": F.col("spending"), "brand": F.col("tname"),
-                            "category": F.col("b1_name")}, ["user_id"], spark)
+                            "category": F.col("b1_name")}, ["user_id", "made_ms"], spark)
 
 
 _SLOT_SQL = ("CASE WHEN hour(pay_time) < 6 THEN '凌晨' WHEN hour(pay_time) < 9 THEN '早晨' WHEN hour(pay_time) < 12 "
@@ -244,22 +286,22 @@ ORDER_BASE_SQL = f"""
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey AND l_quantity <= 44),
     latest AS (SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY user_id
                ORDER BY pay_time DESC, order_id DESC, line_no DESC, sku_id DESC, supp DESC, qty DESC) = 1)
-    SELECT user_id, {_SLOT_SQL} AS slot,
+    SELECT user_id, {_SLOT_SQL} AS slot, epoch_us(pay_time) // 1000000 % 86400 * 1000 + {LABEL_DAY_MS} AS made_ms,
            CASE WHEN total_amount < 1000 THEN '低消费' WHEN total_amount > 1000 AND total_amount < 4000 THEN '中消费'
                 ELSE '高消费' END AS spending,
            coalesce({_case_sql(BRAND_NAMES, 'p_brand')}, p_brand) AS tname,
            {_case_sql(B1_OF_TYPE, 'p_type')} AS b1_name
     FROM latest LEFT JOIN part ON sku_id = p_partkey"""
-ORDER_SCORES_SQL = " UNION ALL ".join(_score_sql(ORDER_BASE_SQL, f, v, "user_id") for f, v in
+ORDER_SCORES_SQL = " UNION ALL ".join(_score_sql(ORDER_BASE_SQL, f, v, "user_id, made_ms") for f, v in
                                       [("time", "slot"), ("amount", "spending"), ("brand", "tname"),
                                        ("category", "b1_name")])
 
 
-@query("label_order_scores", ORDER_SCORES_SQL)
+@query("label_order_scores", f"SELECT user_id, family, value, band, score FROM ({ORDER_SCORES_SQL}) x")
 def label_order_scores(spark, sf_dir):
     """Order ⋈ detail within ±2 minutes, newest line per user, then time-slot,
     amount, brand and category scores (first-match dictionaries as maps)."""
-    return order_scores(spark, sf_dir)
+    return order_scores(spark, sf_dir).drop("made_ms")
 
 
 # -- base profile (base6) ----------------------------------------------------------------------------
@@ -279,10 +321,11 @@ def user_base(spark, sf_dir):
                     F.timestamp_millis(t0 + F.col("c_custkey") * 1000
                                        + F.when(F.col("c_acctbal") < 0, 600000).otherwise(60000)).alias("sts"))
     j = interval_join(user, supp, "uid", "ts", "sts", "-5 minutes", "5 minutes")
-    left = j.select(*[F.col(f"l.{c_}").alias(c_) for c_ in user.columns])
-    right = j.select(F.col("l.uid").alias("uid"), F.col("r.height").alias("height"), F.col("r.weight").alias("weight"),
-                     F.col("r.gender").alias("gender"), F.col("r.sts").alias("sts"))
-    m = overlay(left.dropDuplicates(["uid"]), right.dropDuplicates(["uid"]), ["uid"])
+    # the supplement's value wins where it has one; of several pairs of a user the newest supplement counts
+    pairs = j.select(F.col("l.uid").alias("uid"), F.col("l.name").alias("name"), F.coalesce("r.gender", "l.gender").alias("gender"),
+                     F.col("l.birthday").alias("birthday"), F.col("r.height").alias("height"), F.col("r.weight").alias("weight"),
+                     F.col("r.sts").alias("sts"))
+    m = latest_per_key(pairs, ["uid"], ["sts"])
     b = F.col("birthday")
     return m.select("uid", "name", F.coalesce("gender", F.lit("home")).alias("gender"), "birthday",
                     D.age_years(b, F.lit(AS_OF).cast("date")).alias("age"), D.decade(b).alias("decade"),
@@ -320,23 +363,29 @@ def label_user_base(spark, sf_dir):
 
 # -- totals and profile ----------------------------------------------------------------------------
 
+LABEL_BOUND_MS = 6 * 3_600_000
+
+
 def age_totals(spark, sf_dir):
-    dev = device_scores(spark, sf_dir).groupBy(F.col("uid"), "band").agg(F.sum("score").alias("a"))
-    odr = order_scores(spark, sf_dir).groupBy(F.col("user_id").alias("uid"), "band").agg(F.sum("score").alias("b"))
-    return dev.join(odr, ["uid", "band"]).select("uid", "band", (F.col("a") + F.col("b")).alias("total"))
+    dev = device_scores(spark, sf_dir).groupBy("uid", "made_ms", "band").agg(F.sum("score").alias("a"))
+    odr = order_scores(spark, sf_dir).groupBy(F.col("user_id").alias("uid"), F.col("made_ms").alias("ordered"), "band").agg(
+        F.sum("score").alias("b")).withColumnRenamed("band", "band_")
+    j = binned_interval_join(dev, odr, "uid", "made_ms", "ordered", LABEL_BOUND_MS, LABEL_BOUND_MS).where("band = band_")
+    return j.select("uid", "band", (F.col("a") + F.col("b")).alias("total"))
 
 
 AGE_TOTALS_SQL = f"""
     SELECT d.uid, d.band, d.a + o.b AS total
-    FROM (SELECT uid, band, sum(score) AS a FROM ({DEVICE_SCORES_SQL}) x GROUP BY uid, band) d
-    JOIN (SELECT user_id AS uid, band, sum(score) AS b FROM ({ORDER_SCORES_SQL}) y GROUP BY user_id, band) o
-      ON d.uid = o.uid AND d.band = o.band"""
+    FROM (SELECT uid, made_ms, band, sum(score) AS a FROM ({DEVICE_SCORES_SQL}) x GROUP BY uid, made_ms, band) d
+    JOIN (SELECT user_id AS uid, made_ms, band, sum(score) AS b FROM ({ORDER_SCORES_SQL}) y GROUP BY user_id, made_ms, band) o
+      ON d.uid = o.uid AND d.band = o.band AND o.made_ms BETWEEN d.made_ms - {LABEL_BOUND_MS} AND d.made_ms + {LABEL_BOUND_MS}"""
 
 
 @query("label_age_totals", AGE_TOTALS_SQL)
 def label_age_totals(spark, sf_dir):
     """Per user and band, the six family scores summed (all six terms for
-    every band: one naming scheme)."""
+    every band: one naming scheme), where the device label and the order label
+    lie within six hours of each other (interval join in time bins)."""
     return age_totals(spark, sf_dir)
 
 
