@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 
 from dovetail.functions import strings as S
 from dovetail.operators.joins import decode, maybe_broadcast
-from dovetail.operators.windows import latest_per_key, zipper_merge
+from dovetail.operators.windows import latest_per_key
 from dovetail.plans.scalars import COUPONS_SQL, coupons, rule_text
 from dovetail.registry import query
+from dovetail.session import scratch_dir, shared_dir
 from dovetail.sources import model
+from dovetail.sources.daily import source_state
 from dovetail.sources.model import RUN_DATE
 from dovetail.sources.model_sql import with_model
 from dovetail.sources.literal import literal_table
 from dovetail.sources.tables import load
+from dovetail.sources.zipper import ZipperStore
 
 PHONE = S.PHONE_RE
 EMAIL = S.EMAIL_RE
@@ -367,8 +370,8 @@ def dim_copy_redate(spark, sf_dir):
                     F.col("p_type").alias("pos_type"), F.lit(RUN_DATE).alias("dt"))
 
 
-def user_zip_init(spark, sf_dir):
-    u = model.user_info(spark, sf_dir)
+def user_zip_init(spark, sf_dir, where=None):
+    u = model.user_info(spark, sf_dir, where)
     return u.select(
         "id", "login_name", F.md5("real_name").alias("real_name"),
         S.md5_if_valid(F.col("phone_num"), S.PHONE_RE).alias("phone_num"),
@@ -422,9 +425,7 @@ DAY2 = "1998-08-03"
 
 def user_changes(spark, sf_dir):
     """Day-2 change set: customers with a negative balance change level."""
-    z = user_zip_init(spark, sf_dir)
-    c = load(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("__id"))
-    return z.join(c, z.id == c["__id"], "left_semi").withColumn("user_level", F.lit("RECOVERY"))
+    return user_zip_init(spark, sf_dir, F.col("c_acctbal") < 0).withColumn("user_level", F.lit("RECOVERY"))
 
 
 @query("dim_user_zip", with_model(f"""
@@ -438,10 +439,16 @@ def user_changes(spark, sf_dir):
     SELECT id, login_name, real_name, phone_num, email, user_level, birthday, gender,
            '{DAY2}' AS start_date, '9999-12-31' AS end_date FROM chg""", "user_info"))
 def dim_user_zip(spark, sf_dir):
-    """Daily zipper merge: day-1 history + day-2 changes. Changed users get
-    their open version closed on day-2 minus one and a new open version."""
-    hist = user_zip_init(spark, sf_dir)
-    return zipper_merge(hist, user_changes(spark, sf_dir), "id", DAY2)
+    """Daily zipper merge: the stored open versions of day 1 and the changes of
+    day 2. Changed users get their open version closed on day-2 minus one and a
+    new open version."""
+    first = user_zip_init(spark, sf_dir)
+    history = ZipperStore(shared_dir(spark, "zipper", "user", source_state(spark, sf_dir, ("customer",))), "id")
+    if not history.days(spark):
+        history.begin(first, RUN_DATE)
+    merged = ZipperStore(scratch_dir(spark, "user-zip"), "id")
+    history.merge(user_changes(spark, sf_dir), DAY2, into=merged)
+    return history.read(spark, first.schema, merged)
 
 
 @query("latest_per_key", """

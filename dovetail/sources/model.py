@@ -183,8 +183,10 @@ def order_org_bound(spark: SparkSession, sf_dir: str, days: tuple[str, str] | No
     )
 
 
-def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_info(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    """``where``: a test on the source columns (pushed to the scan)."""
     c = load(spark, sf_dir, "customer")
+    c = c if where is None else c.where(where)
     key = F.col("c_custkey").cast("string")
     return c.select(
         F.col("c_custkey").alias("id"),

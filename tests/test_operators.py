@@ -127,3 +127,26 @@ def test_a_value_that_is_not_there_scores_nothing(spark):
     df = spark.createDataFrame([(1, None), (2, "no such value")], "user_id int, c string")
     out = apply_scores(df, {family: F.col("c")}, ["user_id"], spark)
     assert {r.user_id for r in out.collect()} == {2}
+
+
+def test_zipper_store_touches_open_versions_and_one_day(spark):
+    """Three days of changes, the second run twice: as a plain replay in Python."""
+    import os
+
+    from dovetail.session import scratch_dir
+    from dovetail.sources.zipper import ZipperStore
+    schema = "id int, v string, start_date string, end_date string"
+    z = ZipperStore(scratch_dir(spark, "t-zip"), "id")
+    z.begin(spark.createDataFrame([(i, "a", "2024-01-01", "9999-12-31") for i in range(5)], schema), "2024-01-01")
+    days = [("2024-01-02", [(0, "b"), (7, "n")]), ("2024-01-03", [(0, "c"), (1, "c"), (1, "d")]), ("2024-01-03", [(0, "c"), (1, "d")]),
+            ("2024-01-05", [(7, "m")])]
+    for day, rows_ in days:
+        before = {d: set(os.listdir(f"{z.path}/as_of={d}")) for d in z.days(spark) if d != day}
+        z.merge(spark.createDataFrame([(*r, None, None) for r in rows_], schema), day, order=["v"])
+        assert before == {d: set(os.listdir(f"{z.path}/as_of={d}")) for d in before}  # nothing else is written
+    got = sorted(tuple(r) for r in z.read(spark, spark.createDataFrame([], schema).schema).select("id", "v", "start_date", "end_date").collect())
+    o = "9999-12-31"
+    assert got == sorted([(0, "a", "2024-01-01", "2024-01-01"), (0, "b", "2024-01-02", "2024-01-02"), (0, "c", "2024-01-03", o),
+                          (1, "a", "2024-01-01", "2024-01-02"), (1, "d", "2024-01-03", o), (2, "a", "2024-01-01", o),
+                          (3, "a", "2024-01-01", o), (4, "a", "2024-01-01", o), (7, "n", "2024-01-02", "2024-01-04"),
+                          (7, "m", "2024-01-05", o)])
