@@ -373,11 +373,13 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def report(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+    """doc_id, n_shingles, component_id, kept (the doc_id is the component's)
+    of every row. Rows that share their component's doc_id are all kept here;
+    :func:`keep_one` chooses one text."""
     found = near_duplicates(docs, threshold)
     null = lambda c: F.when(F.col(c) != LAST, F.col(c))
     return found.select(null("did").alias("doc_id"), "n_shingles", null("component").alias("component_id"),
-                        "kept")
+                        (F.col("did") == F.col("component")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

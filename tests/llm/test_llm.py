@@ -467,3 +467,12 @@ def test_null_ids_whose_short_hashes_meet(spark):
     rows = [(None, pair["long"]), (None, pair["short"]), (1, tail)]
     got = rows_of(suffix_trees.deduplicate(frame(spark, rows)).select("doc_id", "n_words", "n_removed"))
     assert got == Counter([(None, 41, 40), (None, 2, 0), (1, 40, 0)])
+
+
+def test_kept_says_that_the_id_is_the_components(spark):
+    """Two near-equal texts of one doc_id: both rows have their component's id; keep_one still takes one text."""
+    ws = [f"w{i}" for i in range(60)]
+    rows = [(7, " ".join(ws)), (7, " ".join(ws[:30] + ["other"] + ws[31:])), (9, " ".join(ws))]
+    got = rows_of(odd_sketch.report(frame(spark, rows)), "doc_id", "component_id", "kept")
+    assert got == Counter({(7, 7, True): 2, (9, 7, False): 1})
+    assert odd_sketch.keep_one(frame(spark, rows)).count() == 1
