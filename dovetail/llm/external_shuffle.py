@@ -37,6 +37,7 @@ SHARDS = 8
 SEED = 20240229
 BUCKET_ROWS = 16_384
 BUCKET_CHARS = 32 << 20
+MOST_PARTITIONS = 1 << 15  # beyond that a task takes several buckets, one after the other
 _B, _AT, _RANK, _SHARD, _SLOT = "__bucket", "__before", "__rank", "__shard", "__slot"
 
 
@@ -87,7 +88,8 @@ def ranked(docs: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS, bu
         out = t.select([*cols, _B]).take(pa.array(place))
         return out.append_column(_RANK, pa.array(np.arange(len(t), dtype=np.int64)))
 
-    moved = rows.groupBy(_B).applyInArrow(shuffle, schema)
+    # a partition per bucket: what a task reads does not grow with the input
+    moved = rows.repartition(min(buckets, MOST_PARTITIONS), _B).groupBy(_B).applyInArrow(shuffle, schema)
     return moved.join(before, _B).withColumn(_RANK, F.col(_RANK) + F.col(_AT)).drop(_AT, _B), n
 
 
