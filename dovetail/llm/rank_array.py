@@ -52,10 +52,10 @@ class Codec:
         self.special = special_strings(path)
         self.special_id = {t["content"]: t["id"] for t in doc["added_tokens"]}
         self.bytes_of |= {i: t.encode("utf-8") for t, i in self.special_id.items()}
-        self.merges = {}
-        for rank, m in enumerate(doc["model"]["merges"]):
-            a, b = m if isinstance(m, list) else m.split(" ")
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+        self.size = max(vocab.values()) + 1
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in doc["model"]["merges"]]
+        self.rank = {vocab[a] * self.size + vocab[b]: r for r, (a, b) in enumerate(pairs)}.get  # of a pair
+        self.made = [vocab[a + b] for a, b in pairs]  # by a rank
         self.cut = regex.compile(PRETOKEN).findall
         self.memo = Memo(self._units)
 
@@ -66,39 +66,36 @@ class Codec:
             return parts
         return self._scan(parts) if len(parts) <= SHORT else self._heap(parts)
 
-    def _rank(self, a: int, b: int) -> int:
-        found = self.merges.get((a, b))
-        return NONE if found is None else found[0]
-
     def _scan(self, parts: list[int]) -> list[int]:
         """``ranks[i]`` belongs to the boundary behind ``parts[i]``."""
-        ranks = [self._rank(a, b) for a, b in zip(parts, parts[1:])]
+        rank, size, made = self.rank, self.size, self.made
+        ranks = [rank(a * size + b, NONE) for a, b in zip(parts, parts[1:])]
         while ranks and (least := min(ranks)) != NONE:
             i = ranks.index(least)  # the leftmost of equal ranks
-            parts[i] = self.merges[parts[i], parts[i + 1]][1]
+            parts[i] = new = made[least]
             del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = self._rank(parts[i - 1], parts[i])
+                ranks[i - 1] = rank(parts[i - 1] * size + new, NONE)
             if i < len(ranks):
-                ranks[i] = self._rank(parts[i], parts[i + 1])
+                ranks[i] = rank(new * size + parts[i + 1], NONE)
         return parts
 
     def _heap(self, parts: list[int]) -> list[int]:
-        n = len(parts)
+        rank, size, n = self.rank, self.size, len(parts)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := self._rank(parts[i], parts[i + 1])) != NONE]
+        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank(parts[i] * size + parts[i + 1], NONE)) != NONE]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            least, i, a, b = heapq.heappop(heap)
             j = after[i]
             if parts[i] != a or j < 0 or parts[j] != b:  # one of the two has been merged since
                 continue
-            parts[i], parts[j], after[i] = self.merges[a, b][1], -1, after[j]
+            parts[i], parts[j], after[i] = self.made[least], -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for left in (before[i], i):
                 right = after[left] if left >= 0 else -1
-                if right >= 0 and (r := self._rank(parts[left], parts[right])) != NONE:
+                if right >= 0 and (r := rank(parts[left] * size + parts[right], NONE)) != NONE:
                     heapq.heappush(heap, (r, left, parts[left], parts[right]))
         return [p for p in parts if p >= 0]
 
@@ -107,11 +104,19 @@ class Codec:
 
     def _units(self, us: list[str]) -> list[tuple[int, bytes, bytes]]:
         """Of each unit: number of tokens, their ids as text, decoded bytes."""
+        cut = [(u,) if (u[1:] if u[0] == " " else u).isalpha() else self.cut(u) for u in us]
+        # one pre-token stands in many units, beside other punctuation
+        coded = {}
+        for p in set().union(*cut):
+            ids = self.word(p.encode("utf-8"))
+            coded[p] = len(ids), ",".join(map(str, ids)).encode(), self.decode(ids)
         out = []
-        for u in us:
-            pieces = [u] if (u[1:] if u[0] == " " else u).isalpha() else self.cut(u)
-            ids = [i for p in pieces for i in self.word(p.encode("utf-8"))]
-            out.append((len(ids), ",".join(map(str, ids)).encode(), self.decode(ids)))
+        for ps in cut:
+            if len(ps) == 1:
+                out.append(coded[ps[0]])
+            else:
+                n, ids, text = zip(*map(coded.__getitem__, ps))
+                out.append((sum(n), b",".join(ids), b"".join(text)))
         return out
 
     def __call__(self, texts: list[str]) -> list[list[tuple[int, bytes, bytes]]]:
