@@ -161,12 +161,14 @@ def test_log_split_outputs(spark):
 
 
 def in_batches(spark, rows, schema, step, sizes):
-    """Rows through a stateful step, in batches of the given sizes."""
-    out, state, at = [], None, 0
+    """Rows through a stateful step, in batches of the given sizes; a step
+    returns the state of the keys it saw."""
+    out, state, known, at = [], None, {}, 0
     for n in sizes:
-        got, state = step(spark.createDataFrame(rows[at:at + n], schema), state)
+        got, new = step(spark.createDataFrame(rows[at:at + n], schema), state)
         out += [tuple(r) for r in got.collect()]
-        state = spark.createDataFrame(state.collect(), state.schema)
+        known |= {r[0]: tuple(r) for r in new.collect()}
+        state = spark.createDataFrame(list(known.values()), new.schema)
         at += n
     return sorted(out)
 
