@@ -147,17 +147,33 @@ select page_id, host, path, rule, coalesce(v, hv, 'allow') as verdict from j lef
 
 def _license_sql() -> str:
     t = license_dice.THRESHOLD
-    made = [(i, n, license_dice.grams(license_dice.normal_words(x))) for i, (n, x) in enumerate(license_dice.TEMPLATES)]
-    rows = ", ".join(f"({i}, '{n}', {g!r})" for i, n, g in made)
-    return f"""with l as (select doc_id, text, string_split(text, chr(10)) as ls from documents where text is not null),
-u as (select doc_id, unnest(range(0, len(ls) + 1)) as line, unnest(list_prepend(case when len(ls) > 1 then text else '' end, ls)) as unit from l),
-w as (select doc_id, line, list_filter(string_split_regex(lower(unit), '[^a-z0-9]+'), lambda x: x <> '') as w from u),
-g as (select doc_id, line, case when len(w) = 1 then w else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as g from w),
-tpl(o, license, tg) as (values {rows}),
-s as (select doc_id, line, license, 2.0::double * len(list_intersect(g, tg)) / (len(g) + len(tg)) as dice, o
-    from g join tpl on len(g) * {2 - t}::double >= len(tg) * {t}::double and len(tg) * {2 - t}::double >= len(g) * {t}::double)
-select doc_id, line::bigint as line, license, dice from s where dice >= {t}
-qualify row_number() over (partition by doc_id, line order by dice desc, o) = 1"""
+    made = [(i, x, license_dice.normal_words(x.text)) for i, x in enumerate(license_dice.templates())]
+    texts = ", ".join(f"({i}, '{x.license}', '{x.name}', string_split('{' '.join(w)}', ' '))" for i, x, w in made)
+    lens = ", ".join(f"({i}, {n})" for i, _, w in made for n in license_dice.lengths(len(w) - 1))
+
+    def pairs(w: str) -> str:
+        return f"unnest(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1]))"
+
+    def apart(windows: str) -> str:
+        return f"""list_reduce({windows}, lambda taken, x: case when len(list_filter(taken, lambda y: y.s <= x[1].e and x[1].s <= y.e)) > 0
+        then taken else list_concat(taken, x) end)"""
+    return f"""with d as (select row_number() over () as r, doc_id, list_transform(regexp_extract_all(text, '[A-Za-z0-9]+'), lambda x: lower(x)) as w
+    from documents where text is not null),
+g as (select r, unnest(range(0, len(w) - 1)) as p, {pairs('w')} as g from d where len(w) > 1),
+tw(t, license, template, w) as (values {texts}),
+tl(t, l) as (values {lens}),
+tg as (select distinct t, {pairs('w')} as g from tw),
+ts as (select t, count(*) as size from tg group by t),
+h as (select r, t, p, g from g join tg using (g)),
+able as (select r, t, size from (select r, t, count(distinct g) as c from h group by r, t) join ts using (t) where c >= ceil(size * {t} / {2 - t} - 1e-9)),
+win as (select r, t, p as s, l, size from h join able using (r, t) join tl using (t)),
+sh as (select r, t, s, l, count(distinct g) as k, max(p) as e from win join h using (r, t) where p >= s and p < s + l group by all),
+sz as (select r, t, s, l, size, count(distinct g) as a from win join g using (r) where p >= s and p < s + l group by all),
+q as (select *, 2.0::double * k / (a + size) as dice from sh join sz using (r, t, s, l) where 2.0::double * k / (a + size) >= {t}),
+f1 as (select r, unnest({apart("list([{'s': s, 'e': e, 't': t, 'k': k, 'dice': dice}] order by dice desc, k desc, s, l)")}) as f from q group by r, t),
+f2 as (select r, unnest({apart("list([f] order by f.k desc, f.dice desc, f.t, f.s)")}) as f from f1 group by r)
+select doc_id, license, template, f.s::bigint as start_word, (f.e + 1)::bigint as end_word, f.k::bigint as shared, f.dice as dice
+from f2 join d using (r) join tw on tw.t = f.t"""
 
 
 def _quality_sql() -> str:

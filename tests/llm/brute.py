@@ -268,3 +268,31 @@ def conversations(rows):
                     sum(x + y not in ("su", "ua", "au") for x, y in zip(initials, initials[1:])), cost, audit,
                     sha("\n".join(repaired(rs, audit)))))
     return out
+
+
+def licences(text, made, threshold=0.8):
+    """(template, first word, last word, shared, Dice) by trying every window of every template."""
+    words = [w.lower() for w in re.findall("[A-Za-z0-9]+", text or "")]
+    pairs = list(zip(words, words[1:]))
+
+    def apart(windows, order):
+        out = []
+        for w in sorted(windows, key=order):
+            if all(w[2] < x[1] or x[2] < w[1] for x in out):
+                out.append(w)
+        return out
+    best = []
+    for t, x in enumerate(made):
+        tw = [w.lower() for w in re.findall("[A-Za-z0-9]+", x)]
+        want = set(zip(tw, tw[1:]))
+        n = len(tw) - 1
+        windows = []
+        for length in {max(1, int(n * p / q + 0.5)) for p, q in ((2, 3), (5, 6), (1, 1), (5, 4), (3, 2))}:
+            for s in range(len(pairs)):
+                have = pairs[s:s + length]
+                shared = set(have) & want
+                dice = 2.0 * len(shared) / (len(set(have)) + len(want))
+                if have[0] in want and dice >= threshold:
+                    windows.append((t, s, s + max(i for i, g in enumerate(have) if g in want), len(shared), dice, length))
+        best += apart(windows, lambda w: (-w[4], -w[3], w[1], w[5]))
+    return sorted((t, s, e + 1, k, d) for t, s, e, k, d, _ in apart(best, lambda w: (-w[3], -w[4], w[0], w[1])))

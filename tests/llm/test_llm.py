@@ -331,11 +331,59 @@ def test_shuffle_depends_on_seed_and_records_only(spark, base):
     assert a == b and a != c and sorted(a) == sorted(c)
 
 
+LICENCES = {t.name: t.text for t in license_dice.templates()}
+
+
+def found(spark, rows, *cols):
+    return rows_of(license_dice.scan(frame(spark, rows)).select(*cols))
+
+
 def test_licences(spark):
     rows = [(1, "Some text here.\nreleased under the mit license"), (2, "Licensed under the Apache License, Version 2.0."), (3, None),
-            (4, ""), (5, "the license of the house"), (6, "Released under the MIT License.\n" * 2), (7, "MIT")]
-    got = rows_of(license_dice.scan(frame(spark, rows)).select("doc_id", "line", "license"))
-    assert got == Counter([(1, 2, "MIT"), (2, 1, "Apache-2.0"), (6, 0, "MIT"), (6, 1, "MIT"), (6, 2, "MIT")])
+            (4, ""), (5, "the license of the house"), (6, "Released under the MIT License.\n" * 2), (7, "MIT"), (8, "#!? \n\t"),
+            (None, "licensed under CC BY-NC 4.0"), (2, "Licensed under the Apache License, Version 2.0.")]
+    assert found(spark, rows, "doc_id", "license", "start_word", "end_word") == Counter({
+        (1, "MIT", 4, 7): 1, (2, "Apache-2.0", 0, 7): 2, (6, "MIT", 1, 4): 1, (6, "MIT", 6, 9): 1, (None, "CC-BY-NC-4.0", 0, 6): 1})
+
+
+def test_licence_texts_and_headers_inside_documents(spark):
+    """Every file is found inside prose, as what it is and nothing else; so is a
+    header behind comment signs, one with words changed, and a notice in a sentence."""
+    files = [n for n in LICENCES if " " not in n]
+    before, after = prose(300), prose(200)
+    rows = [(i, f"{before}\nCopyright (c) 2020 Some Body\n{LICENCES[n]}\n{after}") for i, n in enumerate(files)]
+    assert found(spark, rows, "doc_id", "template") == Counter(enumerate(files))
+    wrapped = "".join(f" * {w}\n" if i % 3 else f"// {w} " for i, w in enumerate(LICENCES["GPL-3.0.header"].split()))
+    changed = LICENCES["MIT"].replace("AUTHORS OR COPYRIGHT HOLDERS", "REGENTS OF SOME PLACE").replace("the Software is", "it is")
+    rows = [(1, f"{before}\n{wrapped}\nimport os\n{after}"), (2, f"{before}\n{changed} {after}"),
+            (3, "This was released under the MIT License by the authors of this page, who like licences."),
+            (4, "You may use it under the terms of the GNU General Public License, version 2, and under the GNU licence you like."),
+            (5, f"{LICENCES['BSD-3-Clause']}\n{LICENCES['MIT']}\nLicensed under the ISC License\n{LICENCES['MIT']}")]
+    assert found(spark, rows, "doc_id", "license") == Counter({(1, "GPL-3.0"): 1, (2, "MIT"): 1, (3, "MIT"): 1, (4, "GPL-2.0"): 1,
+                                                               (5, "BSD-3-Clause"): 1, (5, "MIT"): 2, (5, "ISC"): 1})
+
+
+def test_licences_against_brute_force(spark):
+    rng = random.Random(3)
+    made = [license_dice.Template(f"L{i}", f"T{i}", x) for i, x in enumerate(
+        ("a b", "a b c d e", "c d e f", "a b a b a c", "b c d e f g h a b c", "a b c d e x"))]
+    rows = [(i, " ".join(rng.choice(["A", "b", "c", "d", "e,", "F", "é", "x\n"]) for _ in range(rng.randrange(60)))) for i in range(120)]
+    rows += [(200, "a b c d e f g h a b c " * 20), (201, "x " * 3000 + "a b c d e" + " x" * 3000), (202, "ab" * 1_500_000 + " a b c d e")]
+    got = {}
+    for r in license_dice.scan(frame(spark, rows), made).collect():
+        got.setdefault(r["doc_id"], []).append((int(r["template"][1:]), r["start_word"], r["end_word"], r["shared"], r["dice"]))
+    for d, t in rows:
+        assert sorted(got.get(d, [])) == brute.licences(t, [m.text for m in made]), d
+
+
+def test_licence_sql_on_full_texts(spark):
+    import pandas as pd
+    rows = [(1, "Some prose of ours. " + LICENCES["MIT"] + " Licensed under the BSD License. " + LICENCES["GPL-2.0.header"]),
+            (1, "Some prose of ours."), (None, LICENCES["BSD-2-Clause"] * 2), (3, None)]
+    c = duckdb.connect()
+    c.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64"}))
+    df = license_dice.scan(frame(spark, rows))
+    assert Counter(tuple(r) for r in df.collect()) == Counter(c.execute(queries.ORACLES["op3_license_scan"]).fetchall())
 
 
 def test_url_rules(spark):
