@@ -1,60 +1,90 @@
-"""Ellipsoid distance as a vectorised (Arrow) pandas UDF."""
+"""Ellipsoid distance as built-in column functions."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # WGS-84 ellipsoid axes (metres) and flattening.
 WGS84_A = 6378137.0
 WGS84_B = 6356752.314245
 WGS84_F = 1 / 298.257223563
 
+ROUNDS = 99
+BLOCK = 9  # rounds between looks at whether a pair has settled for good
+CLOSE = 1e-12
+
+
+def _let(value: Callable[[], dict[str, Column]], then: Callable[[Column], Column]) -> Column:
+    """``then`` of the named values, each computed once however often it is used."""
+    return F.get(F.transform(F.array(F.struct(*[c.alias(k) for k, c in value().items()])), then), F.lit(0))
+
+
+def _sphere(p: Column, lam: Column, then: Callable[[Column], Column]) -> Column:
+    """Quantities on the auxiliary sphere at longitude difference ``lam``."""
+    def arc(t: Column) -> Column:
+        cross = p.cu1 * p.su2 - p.su1 * p.cu2 * t.cos
+        return _let(lambda: {"ss": F.sqrt((p.cu2 * t.sin) * (p.cu2 * t.sin) + cross * cross),
+                             "cs": p.su1 * p.su2 + p.cu1 * p.cu2 * t.cos, "sin": t.sin}, angle)
+
+    def angle(t: Column) -> Column:
+        return _let(lambda: {"ss": t.ss, "cs": t.cs, "sigma": F.atan2(t.ss, t.cs),
+                             "sa": F.when(t.ss == 0, 0.0).otherwise(p.cu1 * p.cu2 * t.sin / t.ss)}, azimuth)
+
+    def azimuth(t: Column) -> Column:
+        ca2 = 1 - t.sa * t.sa
+        return _let(lambda: {"ss": t.ss, "cs": t.cs, "sigma": t.sigma, "sa": t.sa, "ca2": ca2,
+                             "c2m": F.when(ca2 == 0, 0.0).otherwise(t.cs - 2 * p.su1 * p.su2 / ca2)}, then)
+
+    return _let(lambda: {"sin": F.sin(lam), "cos": F.cos(lam)}, arc)
+
+
+def _next(p: Column, q: Column) -> Column:
+    f = WGS84_F
+    c = f / 16 * q.ca2 * (4 + f * (4 - 3 * q.ca2))
+    return _let(lambda: {"c": c}, lambda k: p.l + (1 - k.c) * f * q.sa * (
+        q.sigma + k.c * q.ss * (q.c2m + k.c * q.cs * (-1 + 2 * q.c2m * q.c2m))))
+
+
+def _length(q: Column) -> Column:
+    def last(k: Column) -> Column:
+        d = k.b * q.ss * (q.c2m + k.b / 4 * (q.cs * (-1 + 2 * q.c2m * q.c2m) - k.b / 6 * q.c2m
+                                             * (-3 + 4 * q.ss * q.ss) * (-3 + 4 * q.c2m * q.c2m)))
+        return WGS84_B * k.a * (q.sigma - d)
+    u = q.ca2 * ((WGS84_A * WGS84_A - WGS84_B * WGS84_B) / (WGS84_B * WGS84_B))
+    return _let(lambda: {"u": u}, lambda t: _let(
+        lambda: {"a": 1 + t.u / 16384 * (4096 + t.u * (-768 + t.u * (320 - 175 * t.u))),
+                 "b": t.u / 1024 * (256 + t.u * (-128 + t.u * (74 - 47 * t.u)))}, last))
+
+
+def significant(x: Column, digits: int = 8) -> Column:
+    """A number of zero or more, rounded to so many significant digits."""
+    return F.when(x > 0, _let(lambda: {"x": x, "scale": F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(x)))},
+                              lambda t: F.rint(t.x * t.scale) / t.scale)).otherwise(x)
+
+
+def vincenty_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+    """Inverse Vincenty distance in metres, 8 significant digits, by a fold over
+    a literal array of rounds; settled pairs pass the rest untouched. Coincident
+    points give 0, pairs that do not settle NaN, nulls null."""
+    def reduced(lat: Column) -> Column:
+        return F.atan((1 - WGS84_F) * F.tan(F.radians(lat)))
+
+    def ends(t: Column) -> Column:
+        return _let(lambda: {"l": t.l, "su1": F.sin(t.u1), "cu1": F.cos(t.u1), "su2": F.sin(t.u2), "cu2": F.cos(t.u2)}, solve)
+
+    def solve(p: Column) -> Column:
+        def again(s: Column, _: Column) -> Column:
+            new = _let(lambda: {"lam": _sphere(p, s.lam, lambda q: _next(p, q))}, lambda n: F.struct(
+                n.lam.alias("lam"), (F.abs(n.lam - s.lam) <= CLOSE).alias("done")))
+            return F.when(s.done, s).otherwise(new)
+        start = F.struct(p.l.alias("lam"), F.lit(False).alias("done"))
+
+        def block(s: Column, _: Column) -> Column:
+            return F.when(s.done, s).otherwise(F.aggregate(F.array(*[F.lit(0)] * BLOCK), s, again))
+        return F.aggregate(F.array(*[F.lit(0)] * (ROUNDS // BLOCK)), start, block, lambda s: F.when(
+            s.done, significant(_sphere(p, s.lam, _length))).when(s.lam.isNotNull(), F.lit(float("nan"))))
 
-def vincenty_np(lon1, lat1, lon2, lat2, max_iter: int = 100) -> np.ndarray:
-    """Inverse Vincenty distance in metres, 8 significant digits, on arrays.
-    Coincident points give 0; non-converging pairs give NaN."""
-    a, b, f = WGS84_A, WGS84_B, WGS84_F
-    L = np.radians(lon2 - lon1)
-    U1 = np.arctan((1 - f) * np.tan(np.radians(lat1)))
-    U2 = np.arctan((1 - f) * np.tan(np.radians(lat2)))
-    sinU1, cosU1, sinU2, cosU2 = np.sin(U1), np.cos(U1), np.sin(U2), np.cos(U2)
-    lam = L.copy()
-    active = np.ones_like(L, dtype=bool)
-    sinSigma = cosSigma = sigma = cosSqAlpha = cos2SigmaM = np.zeros_like(L)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        for _ in range(max_iter - 1):
-            sinLam, cosLam = np.sin(lam), np.cos(lam)
-            sinSigma = np.sqrt((cosU2 * sinLam) ** 2 + (cosU1 * sinU2 - sinU1 * cosU2 * cosLam) ** 2)
-            cosSigma = sinU1 * sinU2 + cosU1 * cosU2 * cosLam
-            sigma = np.arctan2(sinSigma, cosSigma)
-            sinAlpha = np.where(sinSigma == 0, 0.0, cosU1 * cosU2 * sinLam / sinSigma)
-            cosSqAlpha = 1 - sinAlpha ** 2
-            cos2SigmaM = np.where(cosSqAlpha == 0, 0.0, cosSigma - 2 * sinU1 * sinU2 / cosSqAlpha)
-            C = f / 16 * cosSqAlpha * (4 + f * (4 - 3 * cosSqAlpha))
-            new = L + (1 - C) * f * sinAlpha * (sigma + C * sinSigma * (cos2SigmaM + C * cosSigma *
-                                                                         (-1 + 2 * cos2SigmaM ** 2)))
-            done = np.abs(new - lam) <= 1e-12
-            lam = np.where(active, new, lam)
-            active &= ~done
-            if not active.any():
-                break
-        uSq = cosSqAlpha * (a * a - b * b) / (b * b)
-        A = 1 + uSq / 16384 * (4096 + uSq * (-768 + uSq * (320 - 175 * uSq)))
-        B = uSq / 1024 * (256 + uSq * (-128 + uSq * (74 - 47 * uSq)))
-        dSigma = B * sinSigma * (cos2SigmaM + B / 4 * (cosSigma * (-1 + 2 * cos2SigmaM ** 2) - B / 6 * cos2SigmaM
-                                                        * (-3 + 4 * sinSigma ** 2) * (-3 + 4 * cos2SigmaM ** 2)))
-        s = b * A * (sigma - dSigma)
-        s = np.where(sinSigma == 0, 0.0, s)
-        s = np.where(active, np.nan, s)
-        mag = np.where(s > 0, np.floor(np.log10(np.where(s > 0, s, 1.0))) + 1, 0)
-        scale = 10.0 ** (8 - mag)
-        return np.where(s > 0, np.round(s * scale) / scale, s)
-
-
-@F.pandas_udf(T.DoubleType())
-def vincenty_m(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
-    return pd.Series(vincenty_np(lon1.to_numpy(float), lat1.to_numpy(float), lon2.to_numpy(float),
-                                 lat2.to_numpy(float)))
+    return _let(lambda: {"l": F.radians(lon2 - lon1), "u1": reduced(lat1), "u2": reduced(lat2)}, ends)

@@ -1,6 +1,8 @@
 """Column helpers against hand-computed values."""
 
 import hashlib
+import math
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dovetail.functions import dates as D
 from dovetail.functions import strings as S
-from dovetail.functions.geo import vincenty_np
+from dovetail.functions.geo import vincenty_m
 from dovetail.functions.math import BUCKET_OVERRIDES, hash_bucket, hex_or_decimal, wei_to_ether
 from dovetail.plans.cdc import day_bucket
 
@@ -70,11 +72,30 @@ def test_day_bucket_units(spark):
     assert [r[0] for r in df.select(day_bucket(F.col("f"))).collect()] == ["20240101", "20240101", "error_bucket"]
 
 
-def test_vincenty_known_distance():
-    # Beijing -> Shanghai, about 1,067 km on the ellipsoid
-    d = vincenty_np(*[__import__("numpy").array([x]) for x in (116.4074, 39.9042, 121.4737, 31.2304)])[0]
-    assert 1.06e6 < d < 1.075e6
-    assert vincenty_np(*[__import__("numpy").array([x]) for x in (1.0, 1.0, 1.0, 1.0)])[0] == 0.0
+def test_ellipsoid_distance(spark):
+    """Against the scalar formula; a known distance; coincident, polar, near-antipodal and null points."""
+    from tests.test_track_length import vincenty_scalar
+    rng = random.Random(11)
+    pairs = [(116.4074, 39.9042, 121.4737, 31.2304), (1.0, 1.0, 1.0, 1.0), (0.0, 0.0, 90.0, 0.0), (0.0, 0.0, 179.7, 0.5),
+             (5.0, 90.0, 5.0, -90.0), (None, 1.0, 2.0, 3.0), (10.0, 20.0, 10.0000001, 20.0)]
+    pairs += [(rng.uniform(-180, 180), rng.uniform(-80, 80), rng.uniform(-180, 180), rng.uniform(-80, 80)) for _ in range(200)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a double, b double, c double, d double")
+    rows = df.select("i", vincenty_m(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("m"))
+    got = {r["i"]: r["m"] for r in rows.collect()}
+    assert 1.06e6 < got[0] < 1.075e6 and got[1] == 0.0 and math.isnan(got[3]) and got[5] is None
+    for i, p in enumerate(pairs):
+        if i not in (3, 5) and not math.isnan(got[i]):
+            want = vincenty_scalar(*p)
+            assert math.isclose(got[i], want, rel_tol=6e-8, abs_tol=1e-6), (p, got[i], want)
+            assert got[i] == float(f"{got[i]:.8g}")
+    assert sum(math.isnan(m) for i, m in got.items() if m is not None) <= 4
+
+
+def test_track_length_has_no_python_worker(spark):
+    from dovetail.plans.geo import track_length
+    from tests.conftest import SF
+    plan = track_length(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_hex_values_of_any_length(spark):

@@ -1,4 +1,4 @@
-"""track_length has no SQL twin: check it against a brute-force pandas /
+"""track_length beside its SQL: check it against a brute-force pandas /
 scalar implementation on the sf0.001 tables (independent pairing and an
 independent scalar inverse-Vincenty)."""
 
