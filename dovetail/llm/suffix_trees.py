@@ -1,16 +1,16 @@
-"""Substring de-duplication with prefix-partitioned suffix trees.
+"""Substring de-duplication over prefix groups of 13-word windows.
 
 The suffixes of all texts, as sequences of words, are dealt into groups that
 fit a worker's memory by prefixes of variable length: a first word that starts
 few enough suffixes makes (with other such words) a group; suffixes under a
-word too common for that are told apart by two words, then 4, 8 and 13. Each
-group is one subtree of the corpus's suffix tree. Only its nodes at depth 13
-and below matter here: such a node with leaves in several documents is a
-repeat, and every leaf but those of the smallest doc_id is a place where a
-repeated window starts. Maximal repeats are the unions of overlapping windows.
-
-A subtree is held flat, as sorted arrays: the label of the path to depth 13 (a
-64-bit fingerprint of its words; equal labels, equal node), document and place.
+word too common for that are told apart by two words, then 4, 8 and 13. Inside
+a group, suffixes are grouped by their first 13 words, which decide all that is
+removed: a label found in several documents is a repeat, and every place of it
+but those of the smallest doc_id starts a repeated window. Suffixes are not
+ordered beyond 13 words, so no trees are built and no maximal repeats come out.
+
+A group is held as arrays: label (a 64-bit fingerprint of 13 words; equal
+labels are taken as equal words), document and place.
 In a group of g suffixes a false merge has probability g^2 / 2^65, below 10^-6.
 
 Scale: what moves is 8 bytes per suffix and a few for its place, packed. Each
