@@ -12,10 +12,26 @@ from dovetail.registry import query
 from dovetail.sources import model
 from dovetail.sources.model_sql import with_model
 
-FACT_COLS = ["order_id", "line_no", "cargo_type", "cargo_type_name", "weight", "order_no", "status",
-             "status_name", "collect_type", "collect_type_name", "payment_type", "payment_type_name",
-             "user_id", "sender_district_id", "sender_city_id", "receiver_district_id", "amount", "volume",
-             "distance"]
+FACT_COLS = ["id", "order_id", "line_no", "cargo_type", "cargo_type_name", "volume_length", "volume_width",
+             "volume_height", "volume", "weight", "order_no", "status", "status_name", "collect_type",
+             "collect_type_name", "payment_type", "payment_type_name", "user_id", "receiver_complex_id",
+             "receiver_province_id", "receiver_city_id", "receiver_district_id", "sender_complex_id",
+             "sender_province_id", "sender_city_id", "sender_district_id", "cargo_num", "amount", "distance"]
+FACT_COLS_SQL = """c.id, c.order_id, c.line_no, c.cargo_type, d1.name AS cargo_type_name, c.volume_length, c.volume_width,
+               c.volume_height, c.volume, c.weight, o.order_no, o.status, d2.name AS status_name, o.collect_type,
+               d3.name AS collect_type_name, o.payment_type, d4.name AS payment_type_name, o.user_id,
+               o.receiver_complex_id, r.province_id AS receiver_province_id, r.city_id AS receiver_city_id,
+               o.receiver_district_id, c.sender_complex_id, c.sender_province_id, c.sender_city_id,
+               c.sender_district_id, o.cargo_num, o.amount, c.distance,
+               substr(o.receiver_name, 1, 1) || '*' AS receiver_name, substr(c.sender_name, 1, 1) || '*' AS sender_name,
+               strftime(o.create_time, '%Y-%m-%d %H:%M:%S') AS order_time,
+               strftime(o.estimate_arrive_date, '%Y-%m-%d') AS estimate_arrive_date"""
+FACT_FROM_SQL = """order_cargo c JOIN order_info o ON c.order_id = o.order_id
+        LEFT JOIN areas r ON o.receiver_district_id = r.district_id
+        LEFT JOIN dic d1 ON c.cargo_type = d1.id
+        LEFT JOIN dic d2 ON o.status = d2.id
+        LEFT JOIN dic d3 ON o.collect_type = d3.id
+        LEFT JOIN dic d4 ON o.payment_type = d4.id"""
 
 
 def _day_bounds(col: str, days: tuple[str, str] | None):
@@ -54,39 +70,39 @@ def order_detail(spark: SparkSession, sf_dir: str, time_col: str = "create_time"
     if lean:
         return j.select("order_id", "line_no", "status", "sender_district_id", "receiver_district_id", "amount",
                         F.date_format(ev, "yyyy-MM-dd").alias("dt"))
+    return described(spark, sf_dir, j).select(
+        *FACT_COLS, *_texts(), F.date_format(ev, "yyyy-MM-dd HH:mm:ss").alias("event_time"),
+        F.date_format(ev, "yyyy-MM-dd").alias("dt"))
+
+
+def _texts():
+    return [mask_name(F.col("receiver_name")).alias("receiver_name"), mask_name(F.col("sender_name")).alias("sender_name"),
+            F.date_format("create_time", "yyyy-MM-dd HH:mm:ss").alias("order_time"),
+            F.date_format("estimate_arrive_date", "yyyy-MM-dd").alias("estimate_arrive_date")]
+
+
+def described(spark: SparkSession, sf_dir: str, j: DataFrame) -> DataFrame:
+    """Cargo lines with their order: four codes decoded, the receiver's city
+    and province looked up."""
     d = model.dic(spark)
-    j = decode(j, "cargo_type", d, "cargo_type_name", unique=True)
-    j = decode(j, "status", d, "status_name", unique=True)
-    j = decode(j, "collect_type", d, "collect_type_name", unique=True)
-    j = decode(j, "payment_type", d, "payment_type_name", unique=True)
-    return j.select(*FACT_COLS, mask_name(F.col("receiver_name")).alias("receiver_name"),
-                    F.date_format("create_time", "yyyy-MM-dd HH:mm:ss").alias("order_time"),
-                    F.date_format("estimate_arrive_date", "yyyy-MM-dd").alias("estimate_arrive_date"),
-                    F.date_format(ev, "yyyy-MM-dd HH:mm:ss").alias("event_time"),
-                    F.date_format(ev, "yyyy-MM-dd").alias("dt"))
+    for code in ("cargo_type", "status", "collect_type", "payment_type"):
+        j = decode(j, code, d, f"{code}_name", unique=True)
+    r = model.areas(spark, sf_dir).select(F.col("district_id").alias("receiver_district_id"), F.col("city_id").alias("receiver_city_id"),
+                                          F.col("province_id").alias("receiver_province_id"))
+    return j.join(r, "receiver_district_id", "left")
 
 
 def order_detail_sql(time_col: str = "create_time", where: str = "TRUE") -> str:
     """SQL text of :func:`order_detail` as a sub-select (needs the model CTEs)."""
     return f"""
-        SELECT c.order_id, c.line_no, c.cargo_type, d1.name AS cargo_type_name, c.weight, o.order_no,
-               o.status, d2.name AS status_name, o.collect_type, d3.name AS collect_type_name,
-               o.payment_type, d4.name AS payment_type_name, o.user_id, c.sender_district_id,
-               c.sender_city_id, o.receiver_district_id, o.amount, c.volume, c.distance,
-               substr(o.receiver_name, 1, 1) || '*' AS receiver_name,
-               strftime(o.create_time, '%Y-%m-%d %H:%M:%S') AS order_time,
-               strftime(o.estimate_arrive_date, '%Y-%m-%d') AS estimate_arrive_date,
+        SELECT {FACT_COLS_SQL},
                strftime({time_col}, '%Y-%m-%d %H:%M:%S') AS event_time,
                strftime({time_col}, '%Y-%m-%d') AS dt
-        FROM order_cargo c JOIN order_info o ON c.order_id = o.order_id
-        LEFT JOIN dic d1 ON c.cargo_type = d1.id
-        LEFT JOIN dic d2 ON o.status = d2.id
-        LEFT JOIN dic d3 ON o.collect_type = d3.id
-        LEFT JOIN dic d4 ON o.payment_type = d4.id
+        FROM {FACT_FROM_SQL}
         WHERE {where}"""
 
 
-FACT_MODEL = ("dic", "order_info", "order_cargo")
+FACT_MODEL = ("dic", "order_info", "order_cargo", "areas")
 
 
 @query("fact_order_detail", with_model(f"SELECT * FROM ({order_detail_sql()})", *FACT_MODEL))
@@ -141,31 +157,21 @@ def fact_order_cancel(spark, sf_dir):
     return order_detail(spark, sf_dir, time_col="update_time", only=["60020"])
 
 
-@query("fact_order_process", with_model("""
-    SELECT c.order_id, c.line_no, c.cargo_type, o.status, o.order_no, o.collect_type, o.payment_type, o.user_id,
-           c.sender_district_id, o.receiver_district_id, substr(o.receiver_name, 1, 1) || '*' AS receiver_name,
-           o.amount, c.weight, c.volume, c.distance,
-           strftime(o.estimate_arrive_date, '%Y-%m-%d') AS estimate_arrive_date,
-           strftime(o.create_time, '%Y-%m-%d') AS start_date,
+@query("fact_order_process", with_model(f"""
+    SELECT {FACT_COLS_SQL}, strftime(o.create_time, '%Y-%m-%d') AS start_date,
            CASE WHEN o.status IN ('60020', '60030') THEN strftime(c.update_time, '%Y-%m-%d')
                 ELSE '9999-12-31' END AS end_date,
            CASE WHEN o.status IN ('60020', '60030') THEN strftime(c.update_time, '%Y-%m-%d')
                 ELSE '9999-12-31' END AS dt
-    FROM order_cargo c JOIN order_info o ON c.order_id = o.order_id""", "order_info", "order_cargo"))
+    FROM {FACT_FROM_SQL}""", *FACT_MODEL))
 def fact_order_process(spark, sf_dir):
     """Accumulating snapshot: closed rows land in their end-day partition,
     open rows in ``9999-12-31`` (re-written when they close)."""
-    o = model.order_info(spark, sf_dir)
-    c = model.order_cargo(spark, sf_dir, with_city=False)
+    j = model.order_cargo(spark, sf_dir).join(model.order_info(spark, sf_dir), "order_id")
     end = F.when(F.col("status").isin("60020", "60030"), F.date_format("update_time", "yyyy-MM-dd")) \
         .otherwise(F.lit("9999-12-31"))
-    return (c.join(o, "order_id").select(
-        "order_id", "line_no", "cargo_type", "status", "order_no", "collect_type", "payment_type", "user_id",
-        "sender_district_id", "receiver_district_id", mask_name(F.col("receiver_name")).alias("receiver_name"),
-        "amount", "weight", "volume", "distance",
-        F.date_format("estimate_arrive_date", "yyyy-MM-dd").alias("estimate_arrive_date"),
-        F.date_format("create_time", "yyyy-MM-dd").alias("start_date"),
-        end.alias("end_date"), end.alias("dt")))
+    return described(spark, sf_dir, j).select(*FACT_COLS, *_texts(), F.date_format("create_time", "yyyy-MM-dd").alias("start_date"),
+                                              end.alias("end_date"), end.alias("dt"))
 
 
 @query("fact_trans_finish", with_model("""
@@ -210,13 +216,13 @@ def trans_finish(spark, sf_dir, days=None):
 def _bound(spark, sf_dir, time_col, days=None):
     b = model.order_org_bound(spark, sf_dir, days).where(F.col(time_col).isNotNull())
     ts = F.to_utc_timestamp(millis_to_ts(F.col(time_col)), F.current_timezone())
-    return b.select("order_id", "org_id", F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias(time_col),
+    return b.select("id", "order_id", "org_id", time_col.replace("_time", "_emp_id"), F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias(time_col),
                     F.date_format(ts, "yyyy-MM-dd").alias("dt"))
 
 
 def _bound_sql(time_col):
     return with_model(f"""
-        SELECT order_id, org_id,
+        SELECT id, order_id, org_id, {time_col.replace("_time", "_emp_id")},
                strftime(epoch_ms(CAST({time_col} AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS {time_col},
                strftime(epoch_ms(CAST({time_col} AS BIGINT)), '%Y-%m-%d') AS dt
         FROM order_org_bound WHERE {time_col} IS NOT NULL""", "order_org_bound")

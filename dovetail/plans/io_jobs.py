@@ -154,7 +154,7 @@ PREV = "1998-08-01"
     SELECT '{PREV}' AS dt, w.recent_days, sum(order_count), sum(order_amount)
     FROM ({R_.ORDER_CARGO_1D_SQL}) one, (VALUES (1), (7), (30)) AS w(recent_days)
     WHERE CAST(one.dt AS DATE) > DATE '{PREV}' - w.recent_days AND CAST(one.dt AS DATE) <= DATE '{PREV}'
-    GROUP BY w.recent_days""", "dic", "order_info", "order_cargo", "organ", "region_info"))
+    GROUP BY w.recent_days""", "dic", "order_info", "order_cargo", "areas", "organ", "region_info"))
 def report_merge(spark, sf_dir):
     """Report upsert: yesterday's stored report plus a stale version of today's
     rows; today's recomputation replaces rows by (dt, recent_days) and the

@@ -7,8 +7,10 @@ deterministic projection of a driver table (SURVEY 7.4 roles):
 reference table     derived from
 ==================  ===========================================================
 order_info          orders: status from priority, cancelled = ('P', '5-LOW');
-                    receiver = the customer, in the district its key ends in
-order_cargo         lineitem: cargo line; sender = supplier of the line
+                    receiver = the customer (its own complex), in the
+                    district its key ends in; 1 to 7 declared pieces
+order_cargo         lineitem: cargo line with three sides; sender = supplier
+                    of the line (complex of the same number)
 base_region_info    region (province) / nation (city) / supplier (district)
 base_organ          supplier: level 1 hub when s_acctbal >= 5000, else station
 base_dic            fixed code dictionary below (bounded, broadcast)
@@ -73,13 +75,24 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(16,2)").alias("amount"),
         F.col("o_orderdate").alias("create_time"),
         (F.lit(10000) + F.col("o_custkey") % 10).cast("long").alias("receiver_district_id"),
+        F.col("o_custkey").alias("receiver_complex_id"),
         F.concat(F.lit("Customer"), F.col("o_custkey").cast("string")).alias("receiver_name"),
+        (F.col("o_orderkey") % 7 + 1).cast("long").alias("cargo_num"),
         F.date_add(F.col("o_orderdate").cast("date"), 7).alias("estimate_arrive_date"),
     )
 
 
+def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City and province of every district that has both."""
+    s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    return s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        (F.col("s_suppkey") + 10000).alias("district_id"), (F.col("s_nationkey") + 100).cast("long").alias("city_id"),
+        (F.col("n_regionkey") + 1).cast("long").alias("province_id"))
+
+
 def order_cargo(spark: SparkSession, sf_dir: str, with_type: bool = True, with_city: bool = True) -> DataFrame:
-    """Cargo lines with their part type and sender district / city.
+    """Cargo lines with their part type and sender district / city / province.
 
     ``with_type`` / ``with_city`` add the part and supplier joins only when a
     job uses those columns (a left join Catalyst cannot drop by itself).
@@ -90,15 +103,22 @@ def order_cargo(spark: SparkSession, sf_dir: str, with_type: bool = True, with_c
         p = load(spark, sf_dir, "part").select("p_partkey", "p_type")
         out = out.join(p, li.l_partkey == p.p_partkey, "left")
     if with_city:
-        s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        out = out.join(s, li.l_suppkey == s.s_suppkey, "left")
+        out = out.join(areas(spark, sf_dir), li.l_suppkey + 10000 == F.col("district_id"), "left")
+    none = F.lit(None).cast("long")
     return out.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
         (F.col("p_type") if with_type else F.lit(None).cast("string")).alias("cargo_type"),
         F.col("l_quantity").cast("decimal(16,2)").alias("weight"),
         (F.col("l_suppkey") + 10000).alias("sender_district_id"),
-        ((F.col("s_nationkey") + 100) if with_city else F.lit(None).cast("long")).alias("sender_city_id"),
+        (F.col("city_id") if with_city else none).alias("sender_city_id"),
+        (F.col("province_id") if with_city else none).alias("sender_province_id"),
+        F.col("l_suppkey").alias("sender_complex_id"),
+        F.concat(F.lit("Supplier"), F.col("l_suppkey").cast("string")).alias("sender_name"),
+        F.col("l_quantity").cast("long").alias("volume_length"),
+        F.col("l_linenumber").cast("long").alias("volume_width"),
+        (F.col("l_partkey") % 40 + 1).cast("long").alias("volume_height"),
         F.col("l_shipdate").alias("update_time"),
         (F.col("l_quantity") * F.col("l_linenumber")).cast("decimal(16,2)").alias("volume"),
         (F.col("l_quantity") * 10).cast("decimal(16,2)").alias("distance"),
@@ -175,8 +195,12 @@ def order_org_bound(spark: SparkSession, sf_dir: str, days: tuple[str, str] | No
     li = load(spark, sf_dir, "lineitem").where(raw_days(days, hours_before=2))
     t = epoch_ms(F.col("l_shipdate"))
     return li.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_suppkey").alias("org_id"),
+        (F.col("l_suppkey") + 20000).alias("inbound_emp_id"),
+        (F.col("l_suppkey") + 30000).alias("sort_emp_id"),
+        (F.col("l_suppkey") + 40000).alias("outbound_emp_id"),
         t.cast("string").alias("inbound_time"),
         F.when(F.col("l_returnflag") != "N", (t + 3600000).cast("string")).alias("sort_time"),
         F.when(F.col("l_linestatus") == "F", (t + 7200000).cast("string")).alias("outbound_time"),

@@ -22,18 +22,28 @@ MODEL = {
                o_custkey AS user_id, CAST(o_totalprice AS DECIMAL(16,2)) AS amount,
                o_orderdate AS create_time,
                CAST(10000 + o_custkey % 10 AS BIGINT) AS receiver_district_id,
-               'Customer' || CAST(o_custkey AS VARCHAR) AS receiver_name,
+               o_custkey AS receiver_complex_id, 'Customer' || CAST(o_custkey AS VARCHAR) AS receiver_name,
+               CAST(1 + o_orderkey % 7 AS BIGINT) AS cargo_num,
                CAST(o_orderdate AS DATE) + 7 AS estimate_arrive_date
         FROM orders""",
     "order_cargo": """
-        SELECT l_orderkey AS order_id, l_linenumber AS line_no, p_type AS cargo_type,
-               CAST(l_quantity AS DECIMAL(16,2)) AS weight,
-               l_suppkey + 10000 AS sender_district_id, s_nationkey + 100 AS sender_city_id,
+        SELECT CAST(10 * l_orderkey + l_linenumber AS BIGINT) AS id, l_orderkey AS order_id, l_linenumber AS line_no,
+               p_type AS cargo_type, CAST(l_quantity AS DECIMAL(16,2)) AS weight,
+               CAST(trunc(l_quantity) AS BIGINT) AS volume_length, CAST(l_linenumber AS BIGINT) AS volume_width,
+               CAST(1 + l_partkey % 40 AS BIGINT) AS volume_height,
+               l_suppkey + 10000 AS sender_district_id,
+               CAST(CASE WHEN n_nationkey IS NOT NULL THEN s_nationkey + 100 END AS BIGINT) AS sender_city_id,
+               CAST(n_regionkey + 1 AS BIGINT) AS sender_province_id, l_suppkey AS sender_complex_id,
+               'Supplier' || CAST(l_suppkey AS VARCHAR) AS sender_name,
                l_shipdate AS update_time,
                CAST(l_quantity * l_linenumber AS DECIMAL(16,2)) AS volume,
                CAST(l_quantity * 10 AS DECIMAL(16,2)) AS distance
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
-                      LEFT JOIN supplier ON l_suppkey = s_suppkey""",
+                      LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey""",
+    "areas": """
+        SELECT s_suppkey + 10000 AS district_id, CAST(n_nationkey + 100 AS BIGINT) AS city_id,
+               CAST(n_regionkey + 1 AS BIGINT) AS province_id
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "region_info": """
         SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, CAST(0 AS BIGINT) AS parent_id, r_name AS name,
                'province' AS dict_code FROM region
@@ -60,7 +70,8 @@ MODEL = {
                CAST(l_quantity * 10 AS DECIMAL(16,2)) AS actual_distance
         FROM lineitem""",
     "order_org_bound": """
-        SELECT l_orderkey AS order_id, l_suppkey AS org_id,
+        SELECT CAST(10 * l_orderkey + l_linenumber AS BIGINT) AS id, l_orderkey AS order_id, l_suppkey AS org_id,
+               l_suppkey + 20000 AS inbound_emp_id, l_suppkey + 30000 AS sort_emp_id, l_suppkey + 40000 AS outbound_emp_id,
                CAST(epoch_ms(l_shipdate) AS VARCHAR) AS inbound_time,
                CASE WHEN l_returnflag <> 'N' THEN CAST(epoch_ms(l_shipdate) + 3600000 AS VARCHAR) END AS sort_time,
                CASE WHEN l_linestatus = 'F' THEN CAST(epoch_ms(l_shipdate) + 7200000 AS VARCHAR) END AS outbound_time
