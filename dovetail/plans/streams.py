@@ -21,6 +21,7 @@ from dovetail.sources import envelopes as E
 from dovetail.sources.tables import load
 from dovetail.streaming import operators as S
 from dovetail.streaming.runner import SLICES, KeyedState, Topic, bounds, current, run_foreach_batch, run_to_table, slice_sql
+from dovetail.streaming.sinks import Change, Sink, SinkCatalog
 
 TS_MS = "(epoch_us(ts) // 1000)"
 
@@ -141,6 +142,34 @@ def stream_dedup_composite(spark, sf_dir, **how):
     return run_to_table(spark, [topic], plan, "dedup_composite", **how)
 
 
+BLOOM_RATE = 0.01
+
+
+@query("stream_dedup_bloom", """
+    SELECT 2 * count(*) AS delivered, count(*) AS distinct_rows, 0 AS kept_twice, 0 AS kept_unknown, TRUE AS rate_held FROM orders""")
+def stream_dedup_bloom(spark, sf_dir, **how):
+    """Snapshot envelopes of orders, each delivered a second time up to a year later,
+    de-duplicated on ``id_ts`` through a Bloom filter: blocks of bits as state,
+    as large as the number of orders and the rate ask for and no larger.
+    Reports what was kept beside the exact key: no row twice, no row that was
+    not delivered, and at most twice the rate of the new rows lost."""
+    o = E.of_table(E.order_envelopes(spark, sf_dir), "order_info").where(F.col("op") == "r")
+    o = o.select(F.col("after")["id"].alias("id"), "ts_ms")
+    again = F.col("ts_ms") + F.pmod(F.xxhash64("id"), F.lit(365)) * 86_400_000
+    sent = o.withColumn("sent_ms", F.col("ts_ms")).unionByName(o.withColumn("sent_ms", again))
+    shape = S.bloom_shape(load(spark, sf_dir, "orders").count(), BLOOM_RATE)
+    kept = _with_state(spark, Topic("order-twice", sent, F.col("ts_ms"), arrives=F.col("sent_ms")), "dedup_bloom", "block",
+                       lambda b, st: S.bloom_new(b, st, F.concat_ws("_", "id", "ts_ms"), shape), **how)
+    both = sent.groupBy("id", "ts_ms").agg(F.count("*").alias("sent"), F.lit(0).alias("kept")).unionByName(
+        kept.groupBy("id", "ts_ms").agg(F.lit(0).cast("bigint").alias("sent"), F.count("*").cast("int").alias("kept")))
+    g = both.groupBy("id", "ts_ms").agg(F.sum("sent").alias("sent"), F.sum("kept").alias("kept"))
+    n = F.count(F.when(F.col("sent") > 0, 1))
+    return g.agg(F.sum("sent").alias("delivered"), n.alias("distinct_rows"),
+                 F.count(F.when(F.col("kept") > 1, 1)).alias("kept_twice"),
+                 F.count(F.when(F.col("sent") == 0, 1)).alias("kept_unknown"),
+                 (F.count(F.when(F.col("kept") == 0, 1)) <= 2 * BLOOM_RATE * n).alias("rate_held"))
+
+
 # -- keyed state ---------------------------------------------------------------------------------------
 
 def _with_state(spark, topic, name, key, step, drop=None, **how):
@@ -618,3 +647,59 @@ def stream_dim_routing(spark, sf_dir, **how):
     store = spark.read.option("basePath", out).parquet(os.path.join(out, "batch=*"))
     return latest_per_key(store.select("sink_table", "row_key", "payload", "ts_ms"), ["sink_table", "row_key"],
                           ["ts_ms", "payload"]).select("sink_table", "row_key", "payload")
+
+
+@query("stream_sink_catalog", """
+    WITH g AS (SELECT p_type, min(2 * p_partkey) AS made, min(2 * p_partkey + 1) FILTER (p_size > 45) AS anew
+               FROM part WHERE p_type <> 'PROMO' GROUP BY p_type)
+    SELECT 'dim_' || lower(p_type) AS sink_table, md5(CAST(p_partkey // 8 AS VARCHAR)) AS row_key,
+           CASE WHEN anew IS NULL THEN 'name,partkey' ELSE 'name,partkey,size' END AS sink_columns,
+           p_name AS name, CAST(p_partkey AS VARCHAR) AS partkey,
+           CASE WHEN anew IS NOT NULL THEN CAST(p_size AS VARCHAR) END AS size
+    FROM part JOIN g USING (p_type) WHERE 2 * p_partkey >= coalesce(anew, made)
+    QUALIFY row_number() OVER (PARTITION BY p_type, p_partkey // 8 ORDER BY p_partkey DESC) = 1""")
+def stream_sink_catalog(spark, sf_dir, **how):
+    """Sink tables made, made anew and dropped by a stream of config changes
+    among the rows they route: a table holds the latest row per key since it was
+    made, with the columns it was made with; what comes before or after its
+    life is dropped. Returns the rows of every table there is in the end."""
+    topic = sink_topic(spark, sf_dir)
+
+    def write(batch: DataFrame, bid: int, out: str):
+        config = batch.where("op <> 'row'").collect()  # table definitions, as many as the config has
+        changes = [Change(c["op"], Sink(c["sink_table"], c["source"], "slot", c["sink_columns"] or "", c["ts_ms"])) for c in config]
+        SinkCatalog(os.path.join(out, "sinks")).run(spark, bid, changes, batch.where("op = 'row'").select("source", "after", "ts_ms"))
+
+    out = run_foreach_batch(spark, [topic], lambda s: s, "sink_catalog", write, **how)
+    catalog = SinkCatalog(os.path.join(out, "sinks"))
+    none = spark.createDataFrame([], "sink_table string, row_key string, sink_columns string, name string, partkey string, size string")
+    parts = [none]
+    for s in catalog.at(spark).values():
+        t = catalog.read(spark, s.table)
+        parts.append(t.select(F.lit(s.table).alias("sink_table"), "row_key", F.lit(s.columns).alias("sink_columns"),
+                              *[(F.col(c) if c in t.columns else F.lit(None).cast("string")).alias(c) for c in ("name", "partkey", "size")]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def sink_topic(spark, sf_dir) -> Topic:
+    """Parts as rows of their type's table, among the changes of the routing
+    config: a type's table is made at its first part, made anew with a size
+    column at its first large one, and that of PROMO is dropped after its last."""
+    p = load(spark, sf_dir, "part")
+    text = lambda c: F.col(c).cast("string")
+    slot = F.floor(F.col("p_partkey") / 8).cast("string")
+    rows = p.select(F.lit("row").alias("op"), F.lower("p_type").alias("source"), F.lit(None).cast("string").alias("sink_table"),
+                    F.lit(None).cast("string").alias("sink_columns"),
+                    F.create_map(F.lit("slot"), slot, F.lit("name"), F.col("p_name"), F.lit("partkey"), text("p_partkey"),
+                                 F.lit("size"), text("p_size")).alias("after"), (F.col("p_partkey") * 2).cast("bigint").alias("ts_ms"))
+    at = F.col("p_partkey").cast("bigint") * 2
+    g = p.groupBy(F.lower("p_type").alias("source")).agg(
+        F.min(at).alias("made"), F.min(F.when(F.col("p_size") > 45, at + 1)).alias("anew"), (F.max(at) + 2).alias("end"))
+    def change(op, ts, columns):
+        return g.select(F.lit(op).alias("op"), "source", F.concat(F.lit("dim_"), "source").alias("sink_table"),
+                        F.lit(columns).cast("string").alias("sink_columns"),
+                        F.lit(None).cast(rows.schema["after"].dataType).alias("after"), F.col(ts).alias("ts_ms")).where("ts_ms IS NOT NULL")
+
+    config = change("c", "made", "name,partkey").unionByName(change("u", "anew", "name,partkey,size")) \
+        .unionByName(change("d", "end", None).where("source = 'promo'"))
+    return Topic("parts-and-config", rows.unionByName(config), F.col("ts_ms"), source=(sf_dir, ("part",)))

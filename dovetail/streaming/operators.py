@@ -9,6 +9,8 @@ with many rows is worked on in pieces.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,3 +97,49 @@ def repair_is_new(batch: DataFrame, state: DataFrame | None, key: str = "mid",
             key, F.coalesce("__was", "first_day").alias("first_day"))
     fixed = F.when((F.col("is_new") == "1") & (day != F.col("first_day")), "0").otherwise(F.col("is_new"))
     return batch.join(here, key).select(*batch.columns, fixed.alias("fixed_is_new")), here
+
+
+# -- Bloom filters --------------------------------------------------------------------------------------
+
+BLOCK_BITS = 32_768  # bits of one bitmap of Spark's bitmap aggregates
+
+
+def bloom_shape(expected: int, rate: float) -> tuple[int, int]:
+    """(blocks, positions per item) for ``expected`` items at a false-positive rate."""
+    bits = -max(expected, 1) * math.log(rate) / math.log(2) ** 2
+    return max(1, math.ceil(bits / BLOCK_BITS)), max(1, round(-math.log2(rate)))
+
+
+def bloom_new(batch: DataFrame, state: DataFrame | None, item: Column, shape: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Rows of the batch whose ``item`` a Bloom filter has not seen, one each
+    (the one with the least columns), and the touched blocks of the filter
+    (block, bits) as they are then.
+
+    A hash of the item chooses its block and the positions in it. Blocks are
+    bitmaps, built and merged by aggregates: the state has at most as many
+    as ``shape`` says, however long the stream runs. An item that was seen is always
+    dropped; a new one is dropped at the rate the shape was made for. Repeats
+    inside the batch are told apart exactly."""
+    blocks, positions = shape
+    cols = batch.columns
+    one = batch.withColumn("__item", item).groupBy("__item").agg(F.min(F.struct(*cols)).alias("__row"))
+    # start and step below 2^15: the sums stay small; the step is odd, so positions differ
+    first = F.pmod(F.xxhash64(F.lit(1), "__item"), F.lit(BLOCK_BITS))
+    step = F.pmod(F.xxhash64(F.lit(2), "__item"), F.lit(BLOCK_BITS)).bitwiseOR(F.lit(1))
+    at = F.transform(F.sequence(F.lit(0), F.lit(positions - 1)), lambda i: F.pmod(first + i * step, F.lit(BLOCK_BITS)))
+    one = one.withColumn("__at", at).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "__item"), F.lit(blocks)))
+    if state is not None:
+        one = one.join(state.select("block", "bits"), "block", "left")
+        seen = F.forall("__at", lambda p: _bit("bits", p))
+        one = one.where(F.col("bits").isNull() | ~seen)
+    built = one.select("block", F.explode("__at").alias("p")).groupBy("block").agg(F.bitmap_construct_agg("p").alias("bits"))
+    if state is not None:
+        built = state.select("block", "bits").join(built.select("block").distinct(), "block", "left_semi").unionByName(built) \
+            .groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return one.select("__row.*"), built
+
+
+def _bit(bits: str, p: Column) -> Column:
+    """Bit ``p`` of a bitmap: bytes in order, lowest bit first."""
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.floor(p / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.pmod(F.floor(byte / F.pow(F.lit(2), p % 8)), F.lit(2)) == 1

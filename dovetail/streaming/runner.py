@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,19 +116,41 @@ def _sources(spark: SparkSession, base: str, topics: list[Topic]) -> list[DataFr
             .parquet(os.path.join(base, "landing", t.name)) for t in topics]
 
 
+@dataclass
+class Restarts:
+    """How often a failed run starts again from its checkpoint: up to ``most``
+    failures within ``seconds``, ``pause`` seconds after each; one more ends it
+    with the failure."""
+    most: int = 5
+    seconds: float = 300.0
+    pause: float = 10.0
+
+    def run(self, start: Callable[[], object]) -> None:
+        failed: list[float] = []
+        while True:
+            try:
+                return start().awaitTermination()
+            except StreamingQueryException:
+                now = time.monotonic()
+                failed = [t for t in failed if now - t <= self.seconds] + [now]
+                if len(failed) > self.most:
+                    raise
+                time.sleep(self.pause)
+
+
 def _drain(spark: SparkSession, base: str, topics: list[Topic], start: Callable[[], object], slices: int,
-           until: int | None, before: Callable[[int], None] | None) -> None:
+           until: int | None, before: Callable[[int], None] | None, restarts: Restarts | None = None) -> None:
     _stage(spark, base, topics, slices)
     for i in range(slices if until is None else until):
         if before:
             before(i)
         _land(spark, base, topics, i)
-        start().awaitTermination()
+        (restarts or Restarts()).run(start)
 
 
 def run_to_table(spark: SparkSession, topics: list[Topic], build: Callable[..., DataFrame], name: str,
                  output_mode: str = "append", slices: int = SLICES, run: str | None = None,
-                 until: int | None = None) -> DataFrame:
+                 until: int | None = None, restarts: Restarts | None = None) -> DataFrame:
     """``build(*streams)`` over the topics, drained slice by slice into a
     Parquet sink (exactly-once file sink + checkpoint); the sink as a batch
     DataFrame. ``run``: a fixed name, under which a stopped run is resumed;
@@ -140,13 +164,14 @@ def run_to_table(spark: SparkSession, topics: list[Topic], build: Callable[...,
         return (out.writeStream.format("parquet").outputMode(output_mode).option("path", os.path.join(base, "out"))
                 .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(availableNow=True).start())
 
-    _drain(spark, base, topics, start, slices, until, None)
+    _drain(spark, base, topics, start, slices, until, None, restarts)
     return spark.read.schema(schema[0]).parquet(os.path.join(base, "out"))
 
 
 def run_foreach_batch(spark: SparkSession, topics: list[Topic], build: Callable[..., DataFrame], name: str,
                       fn: Callable[[DataFrame, int, str], None], slices: int = SLICES, run: str | None = None,
-                      until: int | None = None, before: Callable[[int], None] | None = None) -> str:
+                      until: int | None = None, before: Callable[[int], None] | None = None,
+                      restarts: Restarts | None = None) -> str:
     """Drain through ``fn(batch_df, batch_id, out_dir)``; returns out_dir.
 
     ``fn`` must be idempotent per batch id (it writes folders that carry the
@@ -159,7 +184,7 @@ def run_foreach_batch(spark: SparkSession, topics: list[Topic], build: Callable[
         return (build(*_sources(spark, base, topics)).writeStream.foreachBatch(lambda df, bid: fn(df, bid, out))
                 .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(availableNow=True).start())
 
-    _drain(spark, base, topics, start, slices, until, before)
+    _drain(spark, base, topics, start, slices, until, before, restarts)
     return out
 
 
