@@ -524,3 +524,31 @@ def test_kept_says_that_the_id_is_the_components(spark):
     got = rows_of(odd_sketch.report(frame(spark, rows)), "doc_id", "component_id", "kept")
     assert got == Counter({(7, 7, True): 2, (9, 7, False): 1})
     assert odd_sketch.keep_one(frame(spark, rows)).count() == 1
+
+
+def test_identical_records_spread_over_buckets(spark):
+    """60,000 rows that nothing tells apart: no bucket grows with them, every row keeps one slot, and files do not matter."""
+    hot = spark.range(60_000).select(F.lit(1).cast("bigint").alias("doc_id"), F.lit("the same").alias("text"))
+    df = hot.unionByName(spark.range(2, 5_002).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text")))
+    rows = df.withColumn("__h", external_shuffle._hash(df, 1, "doc_id", "text"))
+    placed = external_shuffle.scattered(rows, 1, 65, F.col("text"), 1_000, 1 << 30)
+    sizes = [r["count"] for r in placed.groupBy("__bucket").count().collect()]
+    assert sum(sizes) == 65_000 and len(sizes) == 65 and max(sizes) < 1_300
+
+    def slots(d):
+        out = external_shuffle.with_slots(d, seed=1, bucket_rows=1_000)
+        return sorted((r["__shard"], r["__slot"], r["doc_id"]) for r in out.select("__shard", "__slot", "doc_id").collect())
+
+    got = slots(df.repartition(7))
+    assert got == slots(df.repartition(3, "text")) and [g[:2] for g in got] == [(k, i) for k in range(8) for i in range(8_125)]
+    shares = [sum(1 for g in got if g[0] == k and g[2] == 1) for k in range(8)]
+    assert sum(shares) == 60_000 and min(shares) > 7_200  # 7,500 expected in each shard
+
+
+def test_sharding_with_clashing_names(spark):
+    names = ["__h", "__t", "__bucket", "__before", "c0", "n", "pack", "__slot", "__RANK"]
+    df = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    out = external_shuffle.with_slots(df.unionByName(df), shards=2, bucket_rows=5, bucket_chars=4)
+    assert out.columns == ["doc_id", "text", *names[:7], "__shard", "__slot"]
+    assert sorted((r["__shard"], r["__slot"]) for r in out.collect()) == [(k, i) for k in range(2) for i in range(50)]
+    assert {(r["__h"], r["pack"]) for r in out.collect()} == {(0, 6)}
