@@ -10,6 +10,7 @@ with many rows is worked on in pieces.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -120,23 +121,36 @@ def bloom_new(batch: DataFrame, state: DataFrame | None, item: Column, shape: tu
     as ``shape`` says, however long the stream runs. An item that was seen is always
     dropped; a new one is dropped at the rate the shape was made for. Repeats
     inside the batch are told apart exactly."""
+    one = _placed(batch, item, shape, whole=True)
+    if state is not None:
+        one = one.join(state.select("block", "bits"), "block", "left")
+        seen = reduce(Column.__and__, [_bit("bits", F.col("__at")[i]) for i in range(shape[1])])
+        one = one.where(F.col("bits").isNull() | ~seen)
+    new = one.select("__row.*")
+    return new, bloom_marked(new, state, item, shape)
+
+
+def bloom_marked(new: DataFrame, state: DataFrame | None, item: Column, shape: tuple[int, int]) -> DataFrame:
+    """The touched blocks of the filter (block, bits) after the rows it let
+    through, one an item. Given those as they were written, the batch is not worked out again."""
+    built = _placed(new, item, shape).select("block", F.explode("__at").alias("p")).groupBy("block").agg(
+        F.bitmap_construct_agg("p").alias("bits"))
+    if state is None:
+        return built
+    return state.select("block", "bits").join(built.select("block").distinct(), "block", "left_semi").unionByName(built) \
+        .groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def _placed(rows: DataFrame, item: Column, shape: tuple[int, int], whole: bool = False) -> DataFrame:
+    """Rows with their block and positions; ``whole``: one of each item, as ``__row``."""
     blocks, positions = shape
-    cols = batch.columns
-    one = batch.withColumn("__item", item).groupBy("__item").agg(F.min(F.struct(*cols)).alias("__row"))
+    rows = rows.withColumn("__item", item) if not whole else rows.withColumn("__item", item).groupBy("__item").agg(
+        F.min(F.struct(*rows.columns)).alias("__row"))
     # start and step below 2^15: the sums stay small; the step is odd, so positions differ
     first = F.pmod(F.xxhash64(F.lit(1), "__item"), F.lit(BLOCK_BITS))
     step = F.pmod(F.xxhash64(F.lit(2), "__item"), F.lit(BLOCK_BITS)).bitwiseOR(F.lit(1))
-    at = F.transform(F.sequence(F.lit(0), F.lit(positions - 1)), lambda i: F.pmod(first + i * step, F.lit(BLOCK_BITS)))
-    one = one.withColumn("__at", at).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "__item"), F.lit(blocks)))
-    if state is not None:
-        one = one.join(state.select("block", "bits"), "block", "left")
-        seen = F.forall("__at", lambda p: _bit("bits", p))
-        one = one.where(F.col("bits").isNull() | ~seen)
-    built = one.select("block", F.explode("__at").alias("p")).groupBy("block").agg(F.bitmap_construct_agg("p").alias("bits"))
-    if state is not None:
-        built = state.select("block", "bits").join(built.select("block").distinct(), "block", "left_semi").unionByName(built) \
-            .groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return one.select("__row.*"), built
+    at = F.array(*[F.pmod(first + i * step, F.lit(BLOCK_BITS)) for i in range(positions)])
+    return rows.withColumn("__at", at).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "__item"), F.lit(blocks)))
 
 
 def _bit(bits: str, p: Column) -> Column:
