@@ -18,7 +18,7 @@ from dovetail.plans.cdc import LINES, RDIC_SQL, T_ORDER, rdic
 from dovetail.registry import query
 from dovetail.sources import applog
 from dovetail.sources import envelopes as E
-from dovetail.sources.tables import load
+from dovetail.sources.tables import dealt, load
 from dovetail.streaming import operators as S
 from dovetail.streaming.runner import SLICES, KeyedState, Topic, bounds, current, run_foreach_batch, run_to_table, slice_sql
 from dovetail.streaming.sinks import Change, Sink, SinkCatalog
@@ -158,10 +158,11 @@ def stream_dedup_bloom(spark, sf_dir, **how):
     again = F.col("ts_ms") + F.pmod(F.xxhash64("id"), F.lit(365)) * 86_400_000
     sent = o.withColumn("sent_ms", F.col("ts_ms")).unionByName(o.withColumn("sent_ms", again))
     shape = S.bloom_shape(load(spark, sf_dir, "orders").count(), BLOOM_RATE)
+    key = F.concat_ws("_", "id", "ts_ms")
     kept = _with_state(spark, Topic("order-twice", sent, F.col("ts_ms"), arrives=F.col("sent_ms")), "dedup_bloom", "block",
-                       lambda b, st: S.bloom_new(b, st, F.concat_ws("_", "id", "ts_ms"), shape), **how)
-    both = sent.groupBy("id", "ts_ms").agg(F.count("*").alias("sent"), F.lit(0).alias("kept")).unionByName(
-        kept.groupBy("id", "ts_ms").agg(F.lit(0).cast("bigint").alias("sent"), F.count("*").cast("int").alias("kept")))
+                       lambda b, st: S.bloom_new(b, st, key, shape), after=lambda rows, st: S.bloom_marked(rows, st, key, shape), **how)
+    both = sent.select("id", "ts_ms", F.lit(1).alias("sent"), F.lit(0).alias("kept")).unionByName(
+        kept.select("id", "ts_ms", F.lit(0).alias("sent"), F.lit(1).alias("kept")))
     g = both.groupBy("id", "ts_ms").agg(F.sum("sent").alias("sent"), F.sum("kept").alias("kept"))
     n = F.count(F.when(F.col("sent") > 0, 1))
     return g.agg(F.sum("sent").alias("delivered"), n.alias("distinct_rows"),
@@ -172,15 +173,18 @@ def stream_dedup_bloom(spark, sf_dir, **how):
 
 # -- keyed state ---------------------------------------------------------------------------------------
 
-def _with_state(spark, topic, name, key, step, drop=None, **how):
+def _with_state(spark, topic, name, key, step, drop=None, after=None, **how):
     """Drain a topic through ``step(batch, state) -> (rows, state of the batch's
-    keys)``; state is stored as changes by batch, rows are returned as written."""
+    keys)``; state is stored as changes by batch, rows are returned as written.
+    ``after(rows, state)``: the batch's state where its written rows tell it."""
     def write(batch: DataFrame, bid: int, out: str):
         store = KeyedState(os.path.join(out, "state"), key, drop=drop)
         stored = store.read(spark, bid)
-        rows, state = step(batch, None if stored is None else stored.drop("__at"))
-        rows.write.mode("overwrite").parquet(os.path.join(out, "rows", f"batch={bid}"))
-        store.write(state, bid)
+        known = None if stored is None else stored.drop("__at")
+        rows, state = step(batch, known)
+        written = os.path.join(out, "rows", f"batch={bid}")
+        rows.write.mode("overwrite").parquet(written)
+        store.write(after(spark.read.schema(rows.schema).parquet(written), known) if after else state, bid)
 
     out = run_foreach_batch(spark, [topic], lambda s: s, name, write, **how)
     return spark.read.parquet(os.path.join(out, "rows")).drop("batch")
@@ -416,6 +420,7 @@ def _split_topic(spark, sf_dir, name, where, late, value):
     li = load(spark, sf_dir, "lineitem").where(where)
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     ts = epoch_ms(F.col("o_orderdate")) + F.col("l_linenumber") * 1000 + F.when(F.expr(late), 1_200_000).otherwise(4000)
+    li, o = dealt(li.count(), li, "l_orderkey", o, "o_orderkey")
     rows = li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey").alias("k"), F.col(value).cast("bigint").alias("v"),
         ts.cast("bigint").alias("ts_ms"))
@@ -627,7 +632,7 @@ def stream_dim_routing(spark, sf_dir, **how):
     from dovetail.operators.windows import latest_per_key
     from dovetail.session import scratch_dir
     config = scratch_dir(spark, "routing")
-    env = E.envelopes(spark, sf_dir, ["order_info", "cart_info"])
+    env = E.envelopes(spark, sf_dir, ["order_info", "cart_info"]).drop("before")  # routing reads the image after a change
 
     def change(i: int):
         spark.createDataFrame(ROUTING[i], "source_table string, sink_table string, sink_row_key string, sink_columns string") \
