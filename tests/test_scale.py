@@ -1,9 +1,11 @@
 """Joins of the large tables keep their tasks small as the tables grow (rows a task lowered to the test's size)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from dovetail.plans import cdc, facts, rollups
-from dovetail.sources import tables
+from dovetail.sources import envelopes, tables
+from dovetail.streaming import operators
 from tests.conftest import SF
 
 
@@ -26,3 +28,21 @@ def test_large_joins_are_dealt_by_rows(spark, monkeypatch, build):
     dealt = tasks_of_joins(df)
     assert dealt and set(dealt) == {-(-lines // a_task)}
     assert {tuple(map(str, r)) for r in df.collect()} == before
+
+
+def test_envelopes_build_only_the_maps_that_are_read(spark):
+    """The time bounds and the activity of a table need no row image."""
+    env = envelopes.order_envelopes(spark, SF, tables={"order_info"})
+    lean = env.select("op", "ts_ms")._jdf.queryExecution().optimizedPlan().toString()
+    assert "map(" not in lean
+    whole = {tuple(map(str, r)) for r in env.select("op", "ts_ms", "before", "after").collect()}
+    assert {r[:2] for r in whole} == {tuple(map(str, r)) for r in env.select("op", "ts_ms").collect()}
+
+
+def test_bloom_state_follows_from_the_rows_kept(spark):
+    shape, item = operators.bloom_shape(2_000, 0.01), F.col("id").cast("string")
+    blocks = lambda df: {(r["block"], bytes(r["bits"])) for r in df.collect()}
+    kept, state = operators.bloom_new(spark.range(1_000), None, item, shape)
+    assert blocks(operators.bloom_marked(kept, None, item, shape)) == blocks(state)
+    more, later = operators.bloom_new(spark.range(500, 2_000), state, item, shape)
+    assert blocks(operators.bloom_marked(more, state, item, shape)) == blocks(later)
