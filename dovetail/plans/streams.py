@@ -18,9 +18,10 @@ from dovetail.plans.cdc import LINES, RDIC_SQL, T_ORDER, rdic
 from dovetail.registry import query
 from dovetail.sources import applog
 from dovetail.sources import envelopes as E
-from dovetail.sources.tables import dealt, load
+from dovetail.sources.tables import load
 from dovetail.streaming import operators as S
-from dovetail.streaming.runner import SLICES, KeyedState, Topic, bounds, current, run_foreach_batch, run_to_table, slice_sql
+from dovetail.streaming.runner import SLICES, KeyedState, Topic, bounds, current, rows_a_part, run_foreach_batch, run_to_table, \
+    slice_sql, stage
 from dovetail.streaming.sinks import Change, Sink, SinkCatalog
 
 TS_MS = "(epoch_us(ts) // 1000)"
@@ -328,9 +329,15 @@ def _order_topic(spark, sf_dir, name, table, *cols, where=None):
                  source=(sf_dir, ("orders",)))
 
 
-def _detail_topic(spark, sf_dir):
+def _lines(spark, sf_dir, job, run=None):
+    """Lines with their order's attributes, joined once for all topics of a job."""
+    lines = E.order_lines(spark, sf_dir)
+    return spark.read.schema(lines.schema).parquet(stage(spark, lines, f"lines-{job}", run))
+
+
+def _detail_topic(spark, sf_dir, lines):
     a = F.col("after")
-    env = E.of_table(E.line_envelopes(spark, sf_dir, tables={"order_detail"}), "order_detail")
+    env = E.of_table(E.line_envelopes(spark, sf_dir, tables={"order_detail"}, lines=lines), "order_detail")
     return Topic("order-detail", env.select(
         a["order_id"].alias("k"), a["id"].alias("id"), a["sku_id"].cast("bigint").alias("sku_id"),
         a["sku_num"].cast("int").alias("sku_num"), "ts_ms"), F.col("ts_ms"), source=(sf_dir, ("lineitem", "orders")))
@@ -360,7 +367,8 @@ def stream_cancel_join(spark, sf_dir, **how):
                         F.col("r.sku_id").alias("sku_id"), F.col("r.sku_num").alias("sku_num"),
                         F.col("l.cancel_ts").alias("cancel_ts"))
 
-    return run_to_table(spark, [cancel, _detail_topic(spark, sf_dir)], plan, "cancel_join", **how)
+    return run_to_table(spark, [cancel, _detail_topic(spark, sf_dir, _lines(spark, sf_dir, "cancel_join", how.get("run")))], plan,
+                        "cancel_join", rows_a_part=rows_a_part(spark), **how)
 
 
 @query("stream_pay_interval_join", f"""
@@ -385,7 +393,8 @@ def stream_pay_interval_join(spark, sf_dir, **how):
                          F.col("l.callback_time").alias("callback_time"))
                  .join(F.broadcast(d), F.col("payment_type") == F.col("__code"), "left").drop("__code"))
 
-    return run_to_table(spark, [pay, _detail_topic(spark, sf_dir)], plan, "pay_join", **how)
+    return run_to_table(spark, [pay, _detail_topic(spark, sf_dir, _lines(spark, sf_dir, "pay_join", how.get("run")))], plan,
+                        "pay_join", rows_a_part=rows_a_part(spark), **how)
 
 
 @query("interval_join_symmetric", """
@@ -407,7 +416,7 @@ def interval_join_symmetric(spark, sf_dir, **how):
                         F.col("r.info_event_id").alias("info_event_id"), F.col("r.info_value").alias("info_value"))
 
     return run_to_table(spark, [event_topic(spark, sf_dir, "user_id", "event_id", "event_type", "value")], plan,
-                        "interval_sym", **how)
+                        "interval_sym", rows_a_part=rows_a_part(spark), **how)
 
 
 # When the activity and the coupon of an order line are recorded,
@@ -415,13 +424,10 @@ def interval_join_symmetric(spark, sf_dir, **how):
 _ACT_LATE, _CPN_LATE, _BOUND = "l_linenumber >= 5", "l_quantity > 45", "10 minutes"
 
 
-def _split_topic(spark, sf_dir, name, where, late, value):
+def _split_topic(sf_dir, lines, name, where, late, value):
     """Activity or coupon records of order lines, as a topic of their own."""
-    li = load(spark, sf_dir, "lineitem").where(where)
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     ts = epoch_ms(F.col("o_orderdate")) + F.col("l_linenumber") * 1000 + F.when(F.expr(late), 1_200_000).otherwise(4000)
-    li, o = dealt(li.count(), li, "l_orderkey", o, "o_orderkey")
-    rows = li.join(o, li.l_orderkey == o.o_orderkey).select(
+    rows = lines.where(where).select(
         F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey").alias("k"), F.col(value).cast("bigint").alias("v"),
         ts.cast("bigint").alias("ts_ms"))
     return Topic(name, rows, F.col("ts_ms"), source=(sf_dir, ("lineitem", "orders")))
@@ -432,12 +438,12 @@ def with_heartbeat(spark, topics: list[Topic]) -> list[Topic]:
     first column) of its own: the watermark then passes everything before, so
     that every outer row comes out. (A null key would not do: joins filter it
     before the watermark sees the row.)"""
-    _, hi = bounds(spark, topics)
+    lo, hi = bounds(spark, topics)
     out = []
     for t in topics:
         known = {"ts_ms": F.lit(hi + 86_400_000), t.rows.columns[0]: F.lit(f"last of {t.name}")}
         beat = spark.range(1).select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in t.rows.schema.fields])
-        out.append(Topic(f"{t.name}-{hi}", t.rows.unionByName(beat), t.at, t.arrives, t.source))
+        out.append(Topic(f"{t.name}-{hi}", t.rows.unionByName(beat), t.at, t.arrives, t.source, (lo, hi + 86_400_000)))
     return out
 
 
@@ -456,10 +462,11 @@ def stream_order_detail_wide(spark, sf_dir, **how):
     a = F.col("after")
     orders = _order_topic(spark, sf_dir, "orders-read", "order_info", a["id"].alias("k"),
                           a["user_id"].cast("bigint").alias("user_id"), where=F.col("op") == "r")
+    lines = _lines(spark, sf_dir, "detail_wide", how.get("run"))
     topics = with_heartbeat(spark, [
-        _detail_topic(spark, sf_dir), orders,
-        _split_topic(spark, sf_dir, "detail-activity", "l_discount > 0.05", _ACT_LATE, "l_suppkey"),
-        _split_topic(spark, sf_dir, "detail-coupon", "l_tax > 0.04", _CPN_LATE, "l_partkey")])
+        _detail_topic(spark, sf_dir, lines), orders,
+        _split_topic(sf_dir, lines, "detail-activity", "l_discount > 0.05", _ACT_LATE, "l_suppkey"),
+        _split_topic(sf_dir, lines, "detail-coupon", "l_tax > 0.04", _CPN_LATE, "l_partkey")])
 
     def plan(det, o, act, cou):
         d = _timed_as(det, "t_d").withColumnRenamed("k", "order_id")
@@ -473,7 +480,7 @@ def stream_order_detail_wide(spark, sf_dir, **how):
         return j.select("id", "order_id", F.col("o_user_id").alias("user_id"), "sku_id", "sku_num",
                         F.col("a_v").alias("activity_id"), F.col("c_v").alias("coupon_id"), "ts_ms")
 
-    return run_to_table(spark, topics, plan, "detail_wide", **how)
+    return run_to_table(spark, topics, plan, "detail_wide", rows_a_part=rows_a_part(spark), **how)
 
 
 # -- snapshot phase -----------------------------------------------------------------------------------

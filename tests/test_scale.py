@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from dovetail.plans import cdc, facts, rollups
+from dovetail.plans import cdc, facts, rollups, streams
 from dovetail.sources import envelopes, tables
-from dovetail.streaming import operators
+from dovetail.streaming import operators, runner
 from tests.conftest import SF
 
 
@@ -46,3 +46,39 @@ def test_bloom_state_follows_from_the_rows_kept(spark):
     assert blocks(operators.bloom_marked(kept, None, item, shape)) == blocks(state)
     more, later = operators.bloom_new(spark.range(500, 2_000), state, item, shape)
     assert blocks(operators.bloom_marked(more, state, item, shape)) == blocks(later)
+
+
+def test_joins_of_streams_take_large_slices_in_parts(spark, monkeypatch, tmp_path):
+    """Each part is delivered when the one before is worked off; no topic joins the tables anew."""
+    orders = spark.range(60).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "'P' AS o_orderstatus", "1.0D AS o_totalprice",
+                                        "timestamp'2000-01-01' + make_interval(0, 0, 0, int(id * id / 30)) AS o_orderdate",
+                                        "if(id % 3 = 0, '5-LOW', '1-URGENT') AS o_orderpriority")
+    lines = spark.range(120).selectExpr("id % 60 AS l_orderkey", "id AS l_partkey", "id % 5 AS l_suppkey", "int(1 + id / 60) AS l_linenumber",
+                                        "3.0D AS l_quantity", "9.0D AS l_extendedprice", "0.06D AS l_discount", "0.05D AS l_tax",
+                                        "'N' AS l_returnflag", "'O' AS l_linestatus")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    stored = streams._lines(spark, str(tmp_path), "t")
+    topics = [streams._detail_topic(spark, str(tmp_path), stored),
+              streams._split_topic(str(tmp_path), stored, "t", "l_discount > 0.05", "l_linenumber >= 5", "l_suppkey")]
+    for plan in (t.rows._jdf.queryExecution().optimizedPlan().toString() for t in topics):
+        assert "Join" not in plan
+    landed, land = [], runner._land
+    monkeypatch.setattr(runner, "_land", lambda s, base, topics, what: (landed.append(what), land(s, base, topics, what)))
+    monkeypatch.setattr(streams, "rows_a_part", lambda s: 20)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = sorted((r.order_id, r.id) for r in streams.stream_cancel_join(spark, str(tmp_path)).collect())
+    assert got == sorted((str(i % 60), f"{i % 60}_{1 + i // 60}_{i}") for i in range(120) if i % 60 % 3 == 0)
+    assert len(landed) > runner.SLICES and len(set(landed)) == len(landed) and any("__part" in x for x in landed)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_state_of_joined_streams_has_a_task_a_core(spark):
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "10000")
+    try:
+        with runner._a_task_a_core(spark):
+            assert int(spark.conf.get("spark.sql.shuffle.partitions")) == spark.sparkContext.defaultParallelism
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
