@@ -73,11 +73,11 @@ def test_joins_of_streams_take_large_slices_in_parts(spark, monkeypatch, tmp_pat
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_state_of_joined_streams_has_a_task_a_core(spark):
+def test_state_of_joined_streams_has_a_task_a_core(spark, tmp_path):
     was = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "10000")
     try:
-        with runner._a_task_a_core(spark):
+        with runner._lean_state(spark, str(tmp_path)):
             assert int(spark.conf.get("spark.sql.shuffle.partitions")) == spark.sparkContext.defaultParallelism
         assert spark.conf.get("spark.sql.shuffle.partitions") == "10000"
     finally:
