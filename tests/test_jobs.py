@@ -38,6 +38,21 @@ def test_cart_add_rules(spark):
     assert out == [("1", 2), ("1", 3), ("2", 1)]
 
 
+def test_snapshot_gate_passes_marked_rows_and_tells_when_the_phase_ended(spark):
+    snap = lambda t, mark="true": {**src(t), "snapshot": mark}
+    rows = [
+        ("r", None, {"id": "1"}, src("a"), 14_999), ("c", None, {"id": "2"}, snap("a"), 29_999),  # 15 s apart, over a span's end
+        ("u", None, {"id": "1"}, snap("a", "false"), 40_000), (None, None, None, src("a"), 30_000),  # the first live row says nothing
+        ("r", None, {"id": "3"}, src("b"), 5), ("r", None, {"id": "4"}, src("b"), 15_006), ("c", None, None, src("b"), 15_007),
+        ("r", None, {"id": "5"}, src("c"), 1), ("r", None, {"id": "6"}, src("c"), None), ("r", None, {"id": "7"}, src("c"), 15_001),
+        ("c", None, {"id": "8"}, src("live"), 1), ("r", None, {"id": "9"}, src("timeless"), None),
+        ("r", None, {"id": "1"}, src("old"), -20_000), ("r", None, {"id": "2"}, src("old"), -5_000), ("d", None, None, src("old"), 10_000),
+    ]
+    got = {r.tbl: (r.n, r.ended_ms, r.reason) for r in cdc.snapshot_gate(env_rows(spark, rows).repartition(5)).collect()}
+    assert got == {"a": (2, 30_000, "live row"), "b": (2, 15_005, "silence"), "c": (3, 30_001, "silence"), "timeless": (1, None, None),
+                   "old": (2, 10_000, "live row")}
+
+
 def test_partial_update_keeps_latest_non_null(spark):
     df = spark.createDataFrame([("a", "d1", 7, 2, "x", 1), ("a", "d1", None, 5, None, 3), ("a", "d1", None, None, "y", 2)],
                                "id string, ds string, user_id int, sku_num int, sku_name string, ts_ms long")
