@@ -20,8 +20,8 @@ from dovetail.sources import applog
 from dovetail.sources import envelopes as E
 from dovetail.sources.tables import load
 from dovetail.streaming import operators as S
-from dovetail.streaming.runner import SLICES, KeyedState, Topic, bounds, current, rows_a_part, run_foreach_batch, run_to_table, \
-    slice_sql, stage
+from dovetail.streaming.runner import ROWS_A_JOINING_CORE, SLICES, KeyedState, Topic, bounds, current, join_to_table, rows_a_part, \
+    run_foreach_batch, run_to_table, slice_sql, stage
 from dovetail.streaming.sinks import Change, Sink, SinkCatalog
 
 TS_MS = "(epoch_us(ts) // 1000)"
@@ -337,7 +337,8 @@ def _lines(spark, sf_dir, job, run=None):
 
 def _detail_topic(spark, sf_dir, lines):
     a = F.col("after")
-    env = E.of_table(E.line_envelopes(spark, sf_dir, tables={"order_detail"}, lines=lines), "order_detail")
+    env = E.of_table(E.line_envelopes(spark, sf_dir, tables={"order_detail"}, lines=lines,
+                                      fields={"id", "order_id", "sku_id", "sku_num"}), "order_detail")
     return Topic("order-detail", env.select(
         a["order_id"].alias("k"), a["id"].alias("id"), a["sku_id"].cast("bigint").alias("sku_id"),
         a["sku_num"].cast("int").alias("sku_num"), "ts_ms"), F.col("ts_ms"), source=(sf_dir, ("lineitem", "orders")))
@@ -422,6 +423,7 @@ def interval_join_symmetric(spark, sf_dir, **how):
 # When the activity and the coupon of an order line are recorded,
 # after the line: usually within seconds, for some lines past the bound.
 _ACT_LATE, _CPN_LATE, _BOUND = "l_linenumber >= 5", "l_quantity > 45", "10 minutes"
+_BOUND_MS, _DELAY_MS = 600_000, 5_000
 
 
 def _split_topic(sf_dir, lines, name, where, late, value):
@@ -468,19 +470,22 @@ def stream_order_detail_wide(spark, sf_dir, **how):
         _split_topic(sf_dir, lines, "detail-activity", "l_discount > 0.05", _ACT_LATE, "l_suppkey"),
         _split_topic(sf_dir, lines, "detail-coupon", "l_tax > 0.04", _CPN_LATE, "l_partkey")])
 
-    def plan(det, o, act, cou):
-        d = _timed_as(det, "t_d").withColumnRenamed("k", "order_id")
-        o, act, cou = (_timed_as(x, f"t_{n}").select(*[F.col(c).alias(f"{n}_{c}") for c in x.columns if c != "ts_ms"], f"t_{n}")
-                       for n, x in (("o", o), ("a", act), ("c", cou)))
+    def plan(frames, before, now):
+        det, o, act, cou = frames
+        d = _timed_as(det, "t_d").withColumnsRenamed({"k": "order_id", "__new": "d_new"})
+        o, act, cou = (_timed_as(x.withColumnRenamed("__new", "new"), f"t_{n}").select(
+            *[F.col(c).alias(f"{n}_{c}") for c in x.withColumnRenamed("__new", "new").columns if c != "ts_ms"], f"t_{n}")
+            for n, x in (("o", o), ("a", act), ("c", cou)))
         bound = F.expr(f"INTERVAL {_BOUND}")
         j = d.join(o, (F.col("order_id") == F.col("o_k")) & F.col("t_o").between(F.col("t_d") - bound, F.col("t_d")))
         for n in ("a", "c"):
             right = act if n == "a" else cou
             j = j.join(right, (F.col("id") == F.col(f"{n}_k")) & F.col(f"t_{n}").between(F.col("t_d"), F.col("t_d") + bound), "left")
+        j = S.newly_known(j, ["d_new", "o_new"], {f"{n}_new": F.col("t_d") + bound for n in ("a", "c")}, before, now)
         return j.select("id", "order_id", F.col("o_user_id").alias("user_id"), "sku_id", "sku_num",
                         F.col("a_v").alias("activity_id"), F.col("c_v").alias("coupon_id"), "ts_ms")
 
-    return run_to_table(spark, topics, plan, "detail_wide", rows_a_part=rows_a_part(spark), **how)
+    return join_to_table(spark, topics, plan, "detail_wide", _DELAY_MS, 2 * _BOUND_MS, rows_a_part=rows_a_part(spark, ROWS_A_JOINING_CORE), **how)
 
 
 # -- snapshot phase -----------------------------------------------------------------------------------

@@ -1,5 +1,5 @@
-"""Streaming operators: event time, last-per-window, de-duplication and the
-two keyed-state filters (newest-only, new-visitor repair).
+"""Streaming operators: event time, last-per-window, de-duplication, what a
+chain of joins knows after a batch, and the two keyed-state filters (newest-only, new-visitor repair).
 
 The keyed filters work on one micro-batch and the state stored by the batches
 before it, with joins, aggregations and windows: rows of a key are put in
@@ -52,6 +52,24 @@ def record_hash(df: DataFrame, cols: list[str]) -> Column:
     return F.xxhash64(F.to_json(F.struct(*cols)))
 
 
+def newly_known(rows: DataFrame, new: list[str], waits: dict[str, Column], before: int | None, now: int | None) -> DataFrame:
+    """Of a chain of joins over a batch and the rows held from those before it,
+    the rows that are known by the watermark ``now`` and were not by ``before``
+    (epoch millis; null: none yet).
+
+    ``new``: flags of the sides that are always there, true where the row came
+    with this batch; ``waits``: the same flag of each left-joined side (null
+    where there is no match) and the time until which a match can come. A row
+    with all its matches is known at once, one that misses some when the
+    watermark has passed that time."""
+    def known(mark: int | None) -> Column:
+        past = [F.lit(False) if mark is None else F.coalesce(u < F.timestamp_millis(F.lit(mark)), F.lit(False)) for u in waits.values()]
+        return reduce(Column.__and__, [F.col(c).isNotNull() | p for c, p in zip(waits, past)], F.lit(True))
+
+    came = reduce(Column.__or__, [F.coalesce(F.col(c), F.lit(False)) for c in [*new, *waits]])
+    return rows.where(known(now) & (came | ~known(before)))
+
+
 # -- keyed state ------------------------------------------------------------------------------------
 
 def newest_only(batch: DataFrame, state: DataFrame | None, key: str, order: str, time: str,

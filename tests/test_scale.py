@@ -1,10 +1,14 @@
 """Joins of the large tables keep their tasks small as the tables grow (rows a task lowered to the test's size)."""
 
+import os
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from dovetail.plans import cdc, facts, rollups, streams
 from dovetail.sources import envelopes, tables
+from dovetail.session import scratch_dir
 from dovetail.streaming import operators, runner
 from tests.conftest import SF
 
@@ -82,3 +86,52 @@ def test_state_of_joined_streams_has_a_task_a_core(spark, tmp_path):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "10000"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+CHAIN = "k string, v long, ts_ms long, arrives long"
+
+
+def chain(frames, before, now):
+    """left joined to an inner side up to 10 s before and an outer one up to 10 s after."""
+    d, o, a = (operators.with_event_time(x, F.col("ts_ms"), "5 seconds", out="t").select(
+        *[F.col(c).alias(f"{n}_{c}") for c in ("k", "v", "t", "__new")]) for n, x in zip("doa", frames))
+    ten = F.expr("INTERVAL 10 seconds")
+    j = d.join(o, (F.col("d_k") == F.col("o_k")) & F.col("o_t").between(F.col("d_t") - ten, F.col("d_t")))
+    j = j.join(a, (F.col("d_k") == F.col("a_k")) & F.col("a_t").between(F.col("d_t"), F.col("d_t") + ten), "left")
+    return operators.newly_known(j, ["d___new", "o___new"], {"a___new": F.col("d_t") + ten}, before, now).select("d_v", "o_v", "a_v")
+
+
+def chained(spark, rows, **how):
+    topics = [runner.Topic(f"chain-{n}", spark.createDataFrame(rows[n], CHAIN).repartition(3), F.col("ts_ms"), arrives=F.col("arrives")) for n in "doa"]
+    return sorted((tuple(r) for r in runner.join_to_table(spark, topics, chain, "t-chain", 5_000, 20_000, **how).collect()), key=str)
+
+
+def test_joins_of_streams_by_batch_are_those_of_the_whole(spark):
+    """Matches over batch borders, repeated and unmatched rows, late ones, null keys and times; a run that is stopped and does its
+    last batch again, and one in parts."""
+    rng, sec, end = random.Random(5), 1000, 10**6
+    rows = {n: [(rng.choice(["x", "y", "z", None]), 100 * i + j, t, t) for i in range(60) for j in range(rng.choice([0, 1, 2]))
+                for t in [i * 4 * sec + rng.randrange(4 * sec)]] for n in "doa"}
+    rows["d"] += [("x", -1, None, 0), *rows["d"][:5], ("late", 7, 2 * sec, 239 * sec)]
+    rows["o"] += [("late", 8, 2 * sec, 2 * sec)]
+    whole = []
+    for k, v, t, at in rows["d"]:
+        if t is None or at != t:  # without a time, or behind the watermark when it comes
+            continue
+        for o in rows["o"]:
+            if k is not None and o[0] == k and t - 10 * sec <= o[2] <= t:
+                found = [a[1] for a in rows["a"] if a[0] == k and t <= a[2] <= t + 10 * sec]
+                whole += [(v, o[1], f) for f in found or [None]]
+    whole.sort(key=str)
+    assert any(r[2] is None for r in whole) and any(r[2] is not None for r in whole)
+    rows = {n: [*((k, v, t, 4 * at) for k, v, t, at in rows[n]), (f"last {n}", 0, end, end)] for n in rows}  # spread over the slices
+    assert chained(spark, rows, slices=1, rows_a_part=60) == whole
+    name = scratch_dir(spark, "x").rsplit("/", 1)[-1]
+    early = chained(spark, rows, slices=4, run=name, until=2)
+    assert any(r[2] is not None for r in early) and len(early) < len(whole)  # what is matched comes out at once
+    base = runner.job_dir(spark, "stream-t-chain", name)
+    for f in (f"{base}/checkpoint/commits/1", f"{base}/checkpoint/commits/.1.crc"):
+        if os.path.exists(f):
+            os.remove(f)  # stopped after the batch had written, before it was done
+    assert chained(spark, rows, slices=4, run=name) == whole
+    assert not os.path.exists(f"{base}/out/held/batch=1") and spark.read.parquet(f"{base}/out/held/batch=3").count() == 3  # the last rows alone
